@@ -2,8 +2,13 @@
 
 A side is broadcast only after an exact check that it holds at most
 ``max_rows`` rows (``limit(max_rows + 1).count()``, which stops reading once
-the bound is passed).  Beyond the bound the join is left to the planner:
-a shuffled sort-merge join, where AQE splits a skewed key's partition.
+the bound is passed).  Beyond the bound both sides are shuffled on the key and
+the checked side - a series file or code list, unique on its key - is hinted
+as the hash-build side (``shuffle_hash``): the big fact side is only streamed,
+never broadcast or sorted, whatever the planner estimates from file sizes.
+A key holding a third of the fact rows makes one partition large on the
+streamed side only; AQE's skew handling splits it (the build side has one row
+for that key, which is copied to each split).
 """
 
 from __future__ import annotations
@@ -27,10 +32,14 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None, what: str = "") -> DataFrame:
-    """``F.broadcast(df)`` when it provably has at most ``max_rows`` rows, else ``df``."""
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None, what: str = "",
+                      fallback: str | None = "shuffle_hash") -> DataFrame:
+    """``F.broadcast(df)`` when it provably has at most ``max_rows`` rows;
+    otherwise ``df`` hinted with ``fallback`` (build side of a shuffled join)."""
     limit = broadcast_limit(df, max_rows)
-    return F.broadcast(df) if fits(df, limit) else df
+    if fits(df, limit):
+        return F.broadcast(df)
+    return df.hint(fallback) if fallback else df
 
 
 def lookup_join(df: DataFrame, dim: DataFrame, key: Column | str, name_out: str,

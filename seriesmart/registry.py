@@ -397,9 +397,8 @@ def year_chunk_progress(spark, sf):
 
 @query
 def log_upsert_latest(spark, sf):
-    e = table(spark, sf, "events")
-    return latest_log(e, ["user_id", "event_type"], ["ts", "event_id"]).select(
-        "user_id", "event_type", "event_id", "ts", "value")
+    e = table(spark, sf, "events").select("user_id", "event_type", "event_id", "ts", "value")
+    return latest_log(e, ["user_id", "event_type"], ["ts", "event_id"])
 
 
 @query
