@@ -7,10 +7,13 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's str.strip() removes Unicode white space plus the ASCII separators
-# 0x1C-0x1F; Java's (?U)\s covers the first set only, so add the separators.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-_ANY_NON_SPACE = r"(?U)[^\s\x1c-\x1f]"
+# The characters Python's str.strip() removes (str.isspace):
+# ASCII tab, LF, VT, FF, CR, the separators 0x1C-0x1F, space, NEL, NBSP and
+# the Unicode space separators.  Trimming with this set (btrim, no regex)
+# gives the same fields as the reference's per-field strip.
+WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+              "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+              "\u2028\u2029\u202f\u205f\u3000")
 
 DEFAULT_NULL_TOKENS = ("", "-")
 LEGACY_NULL_TOKENS = ("", "NA", "NaN")
@@ -22,16 +25,23 @@ def _c(c: Column | str) -> Column:
 
 def clean_text(c: Column | str) -> Column:
     """Trim white space on both sides, Unicode-aware (F.trim keeps \\r, \\t, NBSP)."""
-    return F.regexp_replace(_c(c), _EDGE_SPACE, "")
+    return F.btrim(_c(c), F.lit(WHITESPACE))
 
 
 def is_blank(c: Column | str) -> Column:
-    """True when the text has no non-space character (NULL stays NULL)."""
-    return ~_c(c).rlike(_ANY_NON_SPACE)
+    """True when the text has no non-space character (NULL stays NULL).
+
+    Most lines start with a visible character, so that is tested first and
+    the trimmed copy is only made for the rest."""
+    c = _c(c)
+    starts_visible = ~F.substring(c, 1, 1).isin(*WHITESPACE) & (F.length(c) > 0)
+    return F.when(starts_visible, F.lit(False)).otherwise(clean_text(c) == "")
 
 
 def strip_nul(c: Column | str) -> Column:
-    return F.translate(_c(c), "\x00", "")
+    """Remove NUL bytes; text without one is passed through without a copy."""
+    c = _c(c)
+    return F.when(F.instr(c, "\x00") > 0, F.translate(c, "\x00", "")).otherwise(c)
 
 
 def strip_quotes(c: Column | str) -> Column:

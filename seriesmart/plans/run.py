@@ -11,14 +11,14 @@ import traceback
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.loadlog import (append_log, empty_log, latest_log, log_rows, read_log,
                                  should_reload)
-from ..operators.quality import check_constraints, has_duplicates, row_count_verdict, table_rules
+from ..operators.quality import has_duplicates, row_count_verdict, table_rules
 from ..sinks.writers import publish_full_refresh
-from ..sources.text import count_skipped, read_dimension, read_facts, read_lines, read_series
+from ..sources.text import read_dimension, read_facts, read_series
 from .specs import DatasetSpec
 from .wide import wide_table
 
@@ -48,10 +48,11 @@ class LoadResult:
     violations: dict | None = None
 
 
-def read_inputs(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, mode: str = "strict"):
+def read_inputs(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, mode: str = "strict",
+                observation: Observation | None = None):
     dims = {k: read_dimension(spark, p) for k, p in paths.dims.items()}
     series = read_series(spark, paths.series, spec.series_columns)
-    facts = read_facts(spark, paths.data, spec.fact_columns, mode=mode)
+    facts = read_facts(spark, paths.data, spec.fact_columns, mode=mode, observation=observation)
     return facts, series, dims
 
 
@@ -59,6 +60,13 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, ou
                  log_path: str | None = None, heads: DataFrame | None = None, force: bool = False,
                  mode: str = "strict", data_key: str = "all", check_keys: bool = True,
                  years: tuple[int, int] | None = None) -> LoadResult:
+    """Load one dataset; the result says ``success``, ``warning`` (published,
+    row count dropped), ``failed`` (not published) or ``skipped``.
+
+    Passes over the data: one over the series file (uniqueness), one staged
+    write that also counts parsed/skipped lines and constraint violations,
+    and - with ``check_keys`` - one aggregate over the staged key columns.
+    """
     log = read_log(spark, log_path) if log_path else empty_log(spark)
     head = None
     if heads is not None:
@@ -78,12 +86,10 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, ou
             append_log(log_rows(spark, [entry]), log_path)
 
     try:
-        facts, series, dims = read_inputs(spark, spec, paths, mode)
-        if facts.limit(1).count() == 0:
-            raise ValueError(f"{spec.key}: empty fact file")
+        lines = Observation(f"lines_{spec.key}")
+        facts, series, dims = read_inputs(spark, spec, paths, mode, observation=lines)
         if has_duplicates(series, ["series_id"]):
             raise ValueError(f"{spec.key}: duplicate series_id in the series file")
-        skipped = count_skipped(read_lines(spark, paths.data), spec.fact_columns).first()["skipped"]
         wide = wide_table(facts, series, dims, spec, mode=mode, years=years)
         if spec.chunk_years:
             # one file set per year, hot years split by AQE's rebalance
@@ -92,8 +98,11 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, ou
             (F.col("dataset") == spec.key) & (F.col("data_key") == data_key)),
             ["dataset", "data_key"]).select("rows_loaded").first()
         prev_rows = prev["rows_loaded"] if prev else None
+        rules = table_rules(spec.columns)
 
-        def validate(rows: int):
+        def validate(rows: int, metrics: dict):
+            if lines.get.get("kept", 0) == 0:
+                return "failed", f"{spec.key}: empty fact file"
             v = spark.range(1).select(row_count_verdict(F.lit(rows), F.lit(prev_rows).cast("bigint"))
                                       .alias("v")).first()["v"]
             msg = None
@@ -101,16 +110,21 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, ou
                 msg = f"{rows} rows is {100.0 * rows / prev_rows:.1f}% of the previous {prev_rows}"
             return v, msg
 
-        res = publish_full_refresh(wide, f"{out_root.rstrip('/')}/{spec.table}", validate,
-                                   partition_by=("year",) if spec.chunk_years else ())
-        staged = spark.read.parquet(res.location)
-        violations = check_constraints(staged, table_rules(spec.columns)).first().asDict()
-        if check_keys and spec.primary_key and has_duplicates(staged, list(spec.primary_key)):
-            violations["duplicate_keys"] = 1
-        status = res.status
-        _log("failed" if status == "failed" else "success", res.rows,
-             res.location if status != "failed" else None, res.message)
-        return LoadResult(spec.key, status, res.rows, res.location, res.message, skipped, violations)
+        res = publish_full_refresh(
+            wide, f"{out_root.rstrip('/')}/{spec.table}", validate,
+            partition_by=("year",) if spec.chunk_years else (),
+            extra_metrics=[F.count_if(rule).cast("bigint").alias(name) for name, rule in rules.items()])
+        violations = {k: res.metrics[k] for k in rules}
+        if check_keys and spec.primary_key and res.status != "failed":
+            staged = spark.read.parquet(res.location)
+            if has_duplicates(staged, list(spec.primary_key)):
+                violations["duplicate_keys"] = 1
+        if res.status == "failed":
+            _log("failed", res.rows, None, res.message)
+        else:
+            _log("success", res.rows, res.location, res.message)
+        return LoadResult(spec.key, res.status, res.rows, res.location, res.message,
+                          lines.get.get("skipped"), violations)
     except Exception as e:  # one dataset's failure does not stop the others
         _log("failed", 0, None, str(e)[:2000])
         return LoadResult(spec.key, "failed", 0, None, f"{e}\n{traceback.format_exc(limit=3)}")

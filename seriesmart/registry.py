@@ -29,6 +29,7 @@ from .operators import (Lookup, check_constraints, check_unique, denormalize, de
                         not_null, orphan_counts, recent_log, row_count_verdict, run_summary,
                         should_download, should_reload, skip_counts, stale_success, table_counts,
                         with_surrogate_id, year_chunks, year_range)
+from .plans import DatasetPaths, DatasetSpec, load_dataset, parse_ddl
 from .session import scratch_path
 from .sinks import (export_csv, publish_full_refresh, read_current, replace_partitions,
                     write_lines, write_tsv)
@@ -526,6 +527,50 @@ def csv_export_roundtrip(spark, sf):
                           {"n_nationkey": "int", "n_regionkey": "int"})
 
 
+# --- the whole load, end to end ----------------------------------------------
+
+# A survey-shaped dataset over the driver's tables: lineitem rows are the
+# observations of series = orders, customer is the code list of the series'
+# customer code, the order status plays the seasonal flag (F adjusted, O not).
+ORDERS_SURVEY = DatasetSpec(
+    key="orders_survey", title="Orders as a survey", table="orders_wide",
+    data_file="orders_survey.data", series_file="orders_survey.series",
+    dimension_files={"customer": "orders_survey.customer"},
+    series_columns=("series_id", "customer_code", "status", "priority"),
+    lookups=(Lookup("customer", "customer_name", key="customer_code"),),
+    columns=parse_ddl("series_id varchar(20) not null, year int not null, "
+                      "period varchar(3) not null, period_name varchar(50), value decimal(14,2), "
+                      "customer_code varchar(20), customer_name varchar(100), "
+                      "seasonal_code varchar(1), seasonal_name varchar(30), "
+                      "footnote_codes varchar(10)"),
+    code_from={"seasonal_code": "status",
+               "seasonal_name": "CASE status WHEN 'F' THEN 'Seasonally Adjusted' "
+                                "WHEN 'O' THEN 'Not Seasonally Adjusted' END"},
+    chunk_years=2)
+
+
+@query
+def survey_load_end_to_end(spark, sf):
+    li, o, c = (table(spark, sf, t) for t in ("lineitem", "orders", "customer"))
+    src = scratch_path(spark, "survey_src")
+    spec = ORDERS_SURVEY
+    period = F.concat(F.lit("M"), F.lpad(F.month("l_shipdate").cast("string"), 2, "0"))
+    write_tsv(li.select(F.col("l_orderkey").alias("series_id"), F.year("l_shipdate").alias("year"),
+                        period.alias("period"), F.col("l_extendedprice").alias("value"),
+                        F.col("l_returnflag").alias("footnote_codes")),
+              f"{src}/{spec.data_file}", header=True)
+    write_tsv(o.select(F.col("o_orderkey").alias("series_id"), F.col("o_custkey").alias("customer_code"),
+                       F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority")),
+              f"{src}/{spec.series_file}", header=True)
+    write_tsv(c.select(F.col("c_custkey").alias("code"), F.col("c_name").alias("name")),
+              f"{src}/{spec.dimension_files['customer']}", header=True)
+    out = scratch_path(spark, "survey_out")
+    res = load_dataset(spark, spec, DatasetPaths.in_folder(src, spec), out, f"{out}/_load_log")
+    if res.status == "failed":
+        raise RuntimeError(f"load failed: {res.message}")
+    return spark.read.parquet(res.location)
+
+
 ORACLE_SQL: dict[str, str] = {
     "anti_join_orphans": "SELECT l_orderkey, COUNT(*) AS n FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderstatus = 'F') GROUP BY l_orderkey",
     "bulk_scan": "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer",
@@ -565,6 +610,7 @@ ORACLE_SQL: dict[str, str] = {
     "star_denormalize": "SELECT l.l_orderkey, l.l_linenumber, l.l_quantity, o.o_custkey, c.c_name, l.l_partkey, p.p_name, l.l_suppkey, s.s_name FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey LEFT JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN part p ON l.l_partkey = p.p_partkey LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey",
     "stream_file_ingest": "SELECT event_id, user_id, event_type FROM events",
     "substring_key_join": "SELECT p.p_partkey, substring(p.p_brand, 7, 1) AS code, r.r_name FROM part p LEFT JOIN region r ON substring(p.p_brand, 7, 1) = CAST(r.r_regionkey AS VARCHAR)",
+    "survey_load_end_to_end": "SELECT CAST(l.l_orderkey AS VARCHAR) AS series_id, CAST(year(l.l_shipdate) AS INTEGER) AS year, 'M' || lpad(CAST(month(l.l_shipdate) AS VARCHAR), 2, '0') AS period, CASE 'M' || lpad(CAST(month(l.l_shipdate) AS VARCHAR), 2, '0') WHEN 'M01' THEN 'JAN' WHEN 'M02' THEN 'FEB' WHEN 'M03' THEN 'MAR' WHEN 'M04' THEN 'APR' WHEN 'M05' THEN 'MAY' WHEN 'M06' THEN 'JUN' WHEN 'M07' THEN 'JUL' WHEN 'M08' THEN 'AUG' WHEN 'M09' THEN 'SEP' WHEN 'M10' THEN 'OCT' WHEN 'M11' THEN 'NOV' WHEN 'M12' THEN 'DEC' END AS period_name, CAST(CAST(l.l_extendedprice AS VARCHAR) AS DECIMAL(14,2)) AS value, CAST(o.o_custkey AS VARCHAR) AS customer_code, c.c_name AS customer_name, o.o_orderstatus AS seasonal_code, CASE o.o_orderstatus WHEN 'F' THEN 'Seasonally Adjusted' WHEN 'O' THEN 'Not Seasonally Adjusted' END AS seasonal_name, l.l_returnflag AS footnote_codes FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey LEFT JOIN customer c ON o.o_custkey = c.c_custkey",
     "surrogate_id": "SELECT CAST(ROW_NUMBER() OVER (ORDER BY p_partkey) AS BIGINT) AS id, p_partkey, p_name FROM part",
     "table_counts_union": "SELECT 'orders' AS tbl, COUNT(*) AS n FROM orders UNION ALL SELECT 'lineitem', COUNT(*) FROM lineitem UNION ALL SELECT 'part', COUNT(*) FROM part",
     "trim_normalize": "SELECT c_custkey, c_name FROM customer",

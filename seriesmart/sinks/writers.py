@@ -52,15 +52,24 @@ def write_observed(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "
 
 
 def publish_full_refresh(df: DataFrame, root: str,
-                         validate: Callable[[int], tuple[str, str | None]] | None = None,
+                         validate: Callable[..., tuple[str, str | None]] | None = None,
                          partition_by: Sequence[str] = (), extra_metrics: Sequence = ()) -> WriteResult:
-    """Write a new version of the table under ``root``, validate its row
-    count, and publish it only when the verdict is not ``failed``."""
+    """Write a new version of the table under ``root``, validate it, and
+    publish it only when the verdict is not ``failed``.
+
+    ``validate(rows)`` - or ``validate(rows, metrics)`` when ``extra_metrics``
+    are given - returns ``(status, message)``; the metrics are counted during
+    the write itself."""
     stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
     location = f"{root.rstrip('/')}/v={stamp}-{uuid.uuid4().hex[:8]}"
     metrics = write_observed(df, location, partition_by=partition_by, extra_metrics=extra_metrics)
     rows = int(metrics["rows"])
-    status, message = ("success", None) if validate is None else validate(rows)
+    if validate is None:
+        status, message = "success", None
+    elif extra_metrics:
+        status, message = validate(rows, metrics)
+    else:
+        status, message = validate(rows)
     if status != "failed":
         _record_version(df.sparkSession, root, location, rows)
     return WriteResult(location, rows, status, message, metrics)

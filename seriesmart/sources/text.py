@@ -19,12 +19,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import cast_value
 from ..operators.joins import bounded_broadcast
-from ..functions.text import DEFAULT_NULL_TOKENS, clean_field, clean_text, is_blank, strip_nul
+from ..functions.text import DEFAULT_NULL_TOKENS, clean_field, clean_text, is_blank, null_if_token, strip_nul
 
 FACT_COLUMNS = ("series_id", "year", "period", "value", "footnote_codes")
 HEADER_PREFIX = "series_id"
@@ -47,24 +47,23 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], with_order: bool
     return df
 
 
-def _fields(lines: DataFrame, strip_nul_bytes: bool) -> tuple[Column, Column]:
+def _split(lines: DataFrame, strip_nul_bytes: bool, header_prefix: str | None,
+           keep: Sequence[str] = ()) -> DataFrame:
+    """``_p`` (the fields of the line) plus flags ``_real`` (neither blank nor a
+    header line); the line is split once, every later step reads the array."""
     v = F.col("value")
     if strip_nul_bytes:
         v = strip_nul(v)
-    return v, F.split(v, "\t", -1)
-
-
-def _line_filters(v: Column, header_prefix: str | None) -> Column:
-    keep = ~is_blank(v)
+    real = ~is_blank(v)
     if header_prefix:
-        keep = keep & ~clean_text(v).startswith(header_prefix)
-    return keep
+        real = real & ~v.startswith(header_prefix)
+    return lines.select(F.split(v, "\t", -1).alias("_p"), real.alias("_real"), *keep)
 
 
 def parse_lines(lines: DataFrame, columns: Sequence[str], min_fields: int | None = None,
                 null_tokens: Iterable[str] = DEFAULT_NULL_TOKENS,
                 header_prefix: str | None = HEADER_PREFIX, strip_nul_bytes: bool = True,
-                keep: Sequence[str] = ()) -> DataFrame:
+                keep: Sequence[str] = (), observation: Observation | None = None) -> DataFrame:
     """Split tab-separated lines into the named positional columns (all strings).
 
     * blank lines and a header line (starting with ``header_prefix``) are dropped;
@@ -74,14 +73,21 @@ def parse_lines(lines: DataFrame, columns: Sequence[str], min_fields: int | None
       lower than ``len(columns)``) is NULL;
     * each field is trimmed and NULL tokens (``''`` and ``'-'``) become NULL.
     ``keep`` names input columns carried through (e.g. ``_line``).
+    With ``observation`` the counts ``kept`` and ``skipped`` (as in
+    ``count_skipped``) are collected while the rows are parsed, no extra pass.
     """
     n = len(columns) if min_fields is None else min_fields
     tokens = tuple(null_tokens)
-    v, parts = _fields(lines, strip_nul_bytes)
-    ok = _line_filters(v, header_prefix) & (F.size(parts) >= n)
-    fields = [clean_field(F.try_element_at(parts, F.lit(i + 1)), tokens).alias(c)
-              for i, c in enumerate(columns)]
-    return lines.filter(ok).select(*fields, *keep)
+    split = _split(lines, strip_nul_bytes, header_prefix, keep)
+    if observation is not None:
+        real, size = F.col("_real"), F.size("_p")
+        split = split.observe(observation,
+                              F.count_if(real & (size >= n)).cast("bigint").alias("kept"),
+                              F.count_if(real & (size < n)).cast("bigint").alias("skipped"))
+    ok = split.filter(F.col("_real") & (F.size("_p") >= n))
+    trimmed = ok.select(*[clean_text(F.try_element_at("_p", F.lit(i + 1))).alias(c)
+                          for i, c in enumerate(columns)], *keep)
+    return trimmed.select(*[null_if_token(c, tokens).alias(c) for c in columns], *keep)
 
 
 def count_skipped(lines: DataFrame, columns: Sequence[str] | int, min_fields: int | None = None,
@@ -93,21 +99,21 @@ def count_skipped(lines: DataFrame, columns: Sequence[str] | int, min_fields: in
     """
     width = columns if isinstance(columns, int) else len(columns)
     n = width if min_fields is None else min_fields
-    v, parts = _fields(lines, strip_nul_bytes)
-    real = _line_filters(v, header_prefix)
-    return lines.agg(
-        F.count_if(real & (F.size(parts) >= n)).cast("bigint").alias("kept"),
-        F.count_if(real & (F.size(parts) < n)).cast("bigint").alias("skipped"))
+    split = _split(lines, strip_nul_bytes, header_prefix)
+    real, size = F.col("_real"), F.size("_p")
+    return split.agg(F.count_if(real & (size >= n)).cast("bigint").alias("kept"),
+                     F.count_if(real & (size < n)).cast("bigint").alias("skipped"))
 
 
 def read_facts(spark: SparkSession, paths, columns: Sequence[str] = FACT_COLUMNS,
-               min_fields: int | None = None, mode: str = "strict") -> DataFrame:
+               min_fields: int | None = None, mode: str = "strict",
+               observation: Observation | None = None) -> DataFrame:
     """Fact lines -> ``series_id, year int, period, value (text), footnote_codes``.
 
     ``value`` stays text until the wide table's decimal cast, so no precision is
     lost on the way.  ``year`` is cast here (strict: bad text fails the load).
     """
-    df = parse_lines(read_lines(spark, paths), columns, min_fields)
+    df = parse_lines(read_lines(spark, paths), columns, min_fields, observation=observation)
     if "year" in columns:
         df = df.withColumn("year", cast_value("year", "int", mode, what="year"))
     return df
