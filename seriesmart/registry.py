@@ -29,7 +29,8 @@ from .operators import (Lookup, check_constraints, check_unique, denormalize, de
                         not_null, orphan_counts, recent_log, row_count_verdict, run_summary,
                         should_download, should_reload, skip_counts, stale_success, table_counts,
                         with_surrogate_id, year_chunks, year_range)
-from .plans import DatasetPaths, DatasetSpec, load_dataset, parse_ddl
+from .plans import (DatasetPaths, DatasetSpec, StarDim, StarSpec, load_dataset, load_star_dataset,
+                    parse_ddl)
 from .session import scratch_path
 from .sinks import (export_csv, publish_full_refresh, read_current, replace_partitions,
                     write_lines, write_tsv)
@@ -571,6 +572,37 @@ def survey_load_end_to_end(spark, sf):
     return spark.read.parquet(res.location)
 
 
+ORDERS_STAR = StarSpec(key="orders_star", data_file="orders_star.data", fact_table="orders_fact",
+                       dims=(StarDim("area", "orders_star.area", "orders_area",
+                                     ("area_code", "area_name")),),
+                       series_file="orders_star.series")
+
+
+@query
+def star_path_load(spark, sf):
+    """The star load shape: a code-list table, a series mapping (orders with
+    status P carry an empty item code and are not mapped) and the fact table
+    of lineitem rows mapped through it."""
+    li, o, c = (table(spark, sf, t) for t in ("lineitem", "orders", "customer"))
+    src = scratch_path(spark, "star_src")
+    spec = ORDERS_STAR
+    period = F.concat(F.lit("M"), F.lpad(F.month("l_shipdate").cast("string"), 2, "0"))
+    write_tsv(li.select(F.col("l_orderkey").alias("series_id"), F.year("l_shipdate").alias("year"),
+                        period.alias("period"), F.col("l_extendedprice").alias("value")),
+              f"{src}/{spec.data_file}", header=True)
+    item = F.when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(F.col("o_orderpriority"))
+    write_tsv(o.select(F.col("o_orderkey").alias("series_id"), F.col("o_custkey").alias("area_code"),
+                       item.alias("item_code"), F.col("o_orderstatus").alias("seasonal_code")),
+              f"{src}/{spec.series_file}", header=True)
+    write_tsv(c.select(F.col("c_custkey").alias("area_code"), F.col("c_name").alias("area_name")),
+              f"{src}/{spec.dims[0].file}", header=True)
+    out = scratch_path(spark, "star_out")
+    res = load_star_dataset(spark, spec, src, out, f"{out}/_load_log")["orders_star_fact"]
+    if res.status == "failed":
+        raise RuntimeError(f"load failed: {res.message}")
+    return spark.read.parquet(res.location)
+
+
 ORACLE_SQL: dict[str, str] = {
     "anti_join_orphans": "SELECT l_orderkey, COUNT(*) AS n FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderstatus = 'F') GROUP BY l_orderkey",
     "bulk_scan": "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer",
@@ -607,6 +639,7 @@ ORACLE_SQL: dict[str, str] = {
     "should_download": "WITH cut AS (SELECT MAX(event_id) / 2 AS m FROM events), prev AS (SELECT user_id, etag, status FROM (SELECT user_id, event_type AS etag, CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS status, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events CROSS JOIN cut WHERE event_id < m AND user_id % 7 <> 0) t WHERE rn = 1), head AS (SELECT user_id, CASE WHEN user_id % 5 = 0 THEN NULL ELSE etag END AS etag FROM (SELECT user_id, event_type AS etag, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events CROSS JOIN cut WHERE event_id >= m) t WHERE rn = 1) SELECT h.user_id, CASE WHEN h.etag IS NULL OR h.etag = '' THEN true WHEN p.user_id IS NULL THEN true WHEN p.status = 'failed' THEN true ELSE h.etag IS DISTINCT FROM p.etag END AS download FROM head h LEFT JOIN prev p ON h.user_id = p.user_id",
     "should_reload": "WITH cut AS (SELECT MAX(event_id) / 2 AS m FROM events), prev AS (SELECT user_id, etag, status FROM (SELECT user_id, event_type AS etag, CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS status, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events CROSS JOIN cut WHERE event_id < m AND user_id % 7 <> 0) t WHERE rn = 1), head AS (SELECT user_id, CASE WHEN user_id % 5 = 0 THEN NULL ELSE etag END AS etag FROM (SELECT user_id, event_type AS etag, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events CROSS JOIN cut WHERE event_id >= m) t WHERE rn = 1) SELECT h.user_id, CASE WHEN p.user_id IS NULL THEN true WHEN p.status = 'failed' THEN true WHEN h.etag IS NULL OR h.etag = '' THEN false ELSE h.etag IS DISTINCT FROM p.etag END AS reload FROM head h LEFT JOIN prev p ON h.user_id = p.user_id",
     "stale_success": "SELECT user_id, MAX(CASE WHEN event_type <> 'error' THEN ts END) AS last_ok FROM events GROUP BY user_id HAVING MAX(CASE WHEN event_type <> 'error' THEN ts END) < (SELECT MAX(ts) FROM events) - INTERVAL 2 DAY",
+    "star_path_load": "SELECT CAST(l.l_orderkey AS VARCHAR) AS series_id, CAST(o.o_custkey AS VARCHAR) AS area_code, o.o_orderpriority AS item_code, o.o_orderstatus AS seasonal_code, CAST(year(l.l_shipdate) AS INTEGER) AS year, 'M' || lpad(CAST(month(l.l_shipdate) AS VARCHAR), 2, '0') AS period, CAST(CAST(l.l_extendedprice AS VARCHAR) AS DOUBLE) AS value FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE o.o_orderstatus <> 'P'",
     "star_denormalize": "SELECT l.l_orderkey, l.l_linenumber, l.l_quantity, o.o_custkey, c.c_name, l.l_partkey, p.p_name, l.l_suppkey, s.s_name FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey LEFT JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN part p ON l.l_partkey = p.p_partkey LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey",
     "stream_file_ingest": "SELECT event_id, user_id, event_type FROM events",
     "substring_key_join": "SELECT p.p_partkey, substring(p.p_brand, 7, 1) AS code, r.r_name FROM part p LEFT JOIN region r ON substring(p.p_brand, 7, 1) = CAST(r.r_regionkey AS VARCHAR)",
