@@ -29,8 +29,8 @@ from .operators import (Lookup, check_constraints, check_unique, denormalize, de
                         not_null, orphan_counts, recent_log, row_count_verdict, run_summary,
                         should_download, should_reload, skip_counts, stale_success, table_counts,
                         with_surrogate_id, year_chunks, year_range)
-from .plans import (DatasetPaths, DatasetSpec, StarDim, StarSpec, load_dataset, load_star_dataset,
-                    parse_ddl)
+from .plans import (DatasetPaths, DatasetSpec, LegacySpec, StarDim, StarSpec, load_dataset,
+                    load_legacy_dataset, load_star_dataset, parse_ddl)
 from .session import scratch_path
 from .sinks import (export_csv, publish_full_refresh, read_current, replace_partitions,
                     write_lines, write_tsv)
@@ -603,6 +603,31 @@ def star_path_load(spark, sf):
     return spark.read.parquet(res.location)
 
 
+ORDERS_LEGACY = LegacySpec("orders_legacy", "orders_narrow",
+                           (("o_orderkey", "bigint"), ("o_custkey", "bigint"),
+                            ("o_orderstatus", "string"), ("o_orderdate", "date")))
+
+
+@query
+def legacy_parts_load(spark, sf):
+    """The older loader's shape: two parts of one dataset, one comma-separated
+    with an upper-case header, one tab-separated; each part decided and logged
+    on its own, both loaded in one job."""
+    o = table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus",
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"))
+    root = scratch_path(spark, "legacy_src")
+    export_csv(o.filter(F.col("o_orderstatus") == "F").toDF(*[c.upper() for c in o.columns]),
+               f"{root}/orders_data_1")
+    write_tsv(o.filter(F.col("o_orderstatus") != "F"), f"{root}/orders_data_2", header=True)
+    out = scratch_path(spark, "legacy_out")
+    res = load_legacy_dataset(spark, ORDERS_LEGACY, [f"{root}/orders_data_1", f"{root}/orders_data_2"],
+                              out, f"{out}/_load_log")
+    if res["status"] == "failed":
+        raise RuntimeError("load failed")
+    return spark.read.parquet(res["location"]).drop("loaded_at")
+
+
 ORACLE_SQL: dict[str, str] = {
     "anti_join_orphans": "SELECT l_orderkey, COUNT(*) AS n FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderstatus = 'F') GROUP BY l_orderkey",
     "bulk_scan": "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer",
@@ -616,6 +641,7 @@ ORACLE_SQL: dict[str, str] = {
     "dimension_table_scan": "SELECT p_partkey, p_name, p_brand, p_size FROM part",
     "full_refresh_roundtrip": "SELECT s_suppkey, s_name, s_nationkey FROM supplier",
     "header_mapped_scan": "SELECT s_suppkey, s_name, s_nationkey, CAST(NULL AS VARCHAR) AS absent FROM supplier",
+    "legacy_parts_load": "SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders",
     "left_lookup_keeps_unmatched": "SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, p.p_name FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey LEFT JOIN (SELECT * FROM part WHERE p_size < 25) p ON l.l_partkey = p.p_partkey",
     "log_upsert_latest": "SELECT user_id, event_type, event_id, ts, value FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events) t WHERE rn = 1",
     "map_join_skip_count": "SELECT CAST(SUM(CASE WHEN o.o_orderkey IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS loaded, CAST(SUM(CASE WHEN o.o_orderkey IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS skipped FROM lineitem l LEFT JOIN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') o ON l.l_orderkey = o.o_orderkey",

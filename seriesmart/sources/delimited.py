@@ -31,8 +31,10 @@ def clean_header(name: str) -> str:
 
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str],
                    schema: T.StructType | dict | None = None, sep: str | None = None,
-                   null_tokens: Iterable[str] = LEGACY_NULL_TOKENS) -> DataFrame:
-    """Read a header-named file into ``columns`` (in that order), typed by ``schema``."""
+                   null_tokens: Iterable[str] = LEGACY_NULL_TOKENS,
+                   with_file: bool = False) -> DataFrame:
+    """Read a header-named file into ``columns`` (in that order), typed by
+    ``schema``; ``with_file`` adds the source file path as ``_file``."""
     paths = paths if isinstance(paths, str) else list(paths)
     sep = sep or detect_delimiter(spark, paths)
     raw = (spark.read.option("header", True).option("sep", sep).option("quote", '"')
@@ -58,6 +60,8 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], columns: Seq
         elif not isinstance(t, T.StringType):
             v = v.try_cast(t)
         out.append(v.alias(c))
+    if with_file:
+        out.append(F.col("_metadata.file_path").alias("_file"))
     return raw.select(*out)
 
 
