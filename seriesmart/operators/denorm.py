@@ -19,10 +19,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .joins import bounded_broadcast, lookup_join
+from .joins import bounded_broadcast, broadcast_limit, lookup_join
 
 
 @dataclass(frozen=True)
@@ -56,21 +56,38 @@ def enrich(df: DataFrame, dims: Mapping[str, DataFrame], lookups: Sequence[Looku
 def denormalize(facts: DataFrame, series: DataFrame, dims: Mapping[str, DataFrame],
                 lookups: Sequence[Lookup], fact_key: str = "series_id",
                 series_key: str | None = None, select: Sequence[Column | str] | None = None,
-                max_rows: int | None = None) -> DataFrame:
+                max_rows: int | None = None, series_rows: int | None = None,
+                observation: Observation | None = None) -> DataFrame:
     """Wide rows: every fact row with a series row, plus one name per lookup.
 
     Facts without a series row are dropped (inner join).  Series columns that
     also exist on the facts are not carried (the fact's value wins).  When
     ``select`` is given the result is projected to it, in that order.
+    ``series_rows``, when the caller already counted the series, replaces the
+    size check of the enriched series (left lookups keep its row count).
+    With ``observation`` the fact rows without a series are counted
+    (``orphan_facts``) in the same pass: the join is then a left join on the
+    same strategy, observed, and filtered to the matched rows.
     """
     series_key = series_key or fact_key
     keep = [c for c in series.columns if c == series_key or c not in facts.columns]
     s = enrich(series.select(*keep), dims, [lk for lk in lookups if lk.on == "series"], max_rows)
-    s = bounded_broadcast(s, max_rows, what="series")
+    if series_rows is None:
+        s = bounded_broadcast(s, max_rows, what="series")
+    else:
+        s = F.broadcast(s) if series_rows <= broadcast_limit(s, max_rows) else s.hint("shuffle_hash")
+    how = "inner"
+    if observation is not None:
+        s = s.withColumn("_has_series", F.lit(True))
+        how = "left"
     if series_key == fact_key:
-        wide = facts.join(s, fact_key, "inner")
+        wide = facts.join(s, fact_key, how)
     else:
-        wide = facts.join(s, facts[fact_key] == s[series_key], "inner")
+        wide = facts.join(s, facts[fact_key] == s[series_key], how)
+    if observation is not None:
+        wide = (wide.observe(observation, F.count_if(F.col("_has_series").isNull())
+                             .cast("bigint").alias("orphan_facts"))
+                .filter(F.col("_has_series")).drop("_has_series"))
     wide = enrich(wide, dims, [lk for lk in lookups if lk.on == "fact"], max_rows)
     if select is not None:
         wide = wide.select(*select)

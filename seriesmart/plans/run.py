@@ -88,9 +88,15 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, ou
     try:
         lines = Observation(f"lines_{spec.key}")
         facts, series, dims = read_inputs(spark, spec, paths, mode, observation=lines)
-        if has_duplicates(series, ["series_id"]):
+        # one aggregate gives the series count (join strategy) and the key check
+        stats = (series.groupBy("series_id").agg(F.count(F.lit(1)).alias("n"))
+                 .agg(F.sum("n").alias("rows"), F.count_if(F.col("n") > 1).alias("dups")).first())
+        if stats["dups"]:
             raise ValueError(f"{spec.key}: duplicate series_id in the series file")
-        wide = wide_table(facts, series, dims, spec, mode=mode, years=years)
+        joined, values = Observation(f"join_{spec.key}"), Observation(f"values_{spec.key}")
+        wide = wide_table(facts, series, dims, spec, mode=mode, years=years,
+                          series_rows=int(stats["rows"] or 0), observation=joined,
+                          values_observation=values)
         if spec.chunk_years:
             # one file set per year, hot years split by AQE's rebalance
             wide = wide.hint("rebalance", "year")
@@ -115,6 +121,8 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, ou
             partition_by=("year",) if spec.chunk_years else (),
             extra_metrics=[F.count_if(rule).cast("bigint").alias(name) for name, rule in rules.items()])
         violations = {k: res.metrics[k] for k in rules}
+        violations.update(joined.get)
+        violations.update(values.get)
         if check_keys and spec.primary_key and res.status != "failed":
             staged = spark.read.parquet(res.location)
             if has_duplicates(staged, list(spec.primary_key)):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.casts import cast_value
@@ -28,12 +28,17 @@ def _year_policy(facts: DataFrame, spec: DatasetSpec) -> DataFrame:
 
 def wide_table(facts: DataFrame, series: DataFrame, dims: Mapping[str, DataFrame],
                spec: DatasetSpec, mode: str = "strict", years: tuple[int, int] | None = None,
-               with_id: bool | None = None, max_rows: int | None = None) -> DataFrame:
+               with_id: bool | None = None, max_rows: int | None = None,
+               series_rows: int | None = None, observation: Observation | None = None,
+               values_observation: Observation | None = None) -> DataFrame:
     """The wide table of ``spec`` from parsed facts, series and code lists.
 
     ``years`` keeps a year range (pushed to the fact scan).  ``mode`` is the
     value cast: ``strict`` fails on text that is not a number or does not fit
-    the column's NUMERIC(p,s); ``tolerant`` stores NULL instead.
+    the column's NUMERIC(p,s); ``tolerant`` stores NULL instead.  With
+    ``observation`` the facts without a series are counted (``orphan_facts``),
+    with ``values_observation`` the fact values that do not fit the column
+    (``bad_values``) - both during the same pass.
     """
     facts = facts.select(*[c for c in spec.fact_columns if c in facts.columns])
     if years is not None:
@@ -42,7 +47,13 @@ def wide_table(facts: DataFrame, series: DataFrame, dims: Mapping[str, DataFrame
     lookups = list(spec.lookups)
     if spec.period_name == "case":
         lookups = [lk for lk in lookups if lk.dim != "period"]
-    wide = denormalize(facts, series, dims, lookups, fact_key="series_id", max_rows=max_rows)
+    if values_observation is not None:
+        raw = F.col("value")
+        facts = facts.observe(values_observation,
+                              F.count_if(raw.isNotNull() & raw.try_cast(spec.value_type).isNull())
+                              .cast("bigint").alias("bad_values"))
+    wide = denormalize(facts, series, dims, lookups, fact_key="series_id", max_rows=max_rows,
+                       series_rows=series_rows, observation=observation)
     produced = {lk.name_out for lk in lookups}
     out = []
     for name, typ, _ in spec.columns:

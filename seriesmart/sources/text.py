@@ -23,7 +23,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import cast_value
-from ..operators.joins import bounded_broadcast
 from ..functions.text import DEFAULT_NULL_TOKENS, clean_field, clean_text, is_blank, null_if_token, strip_nul
 
 FACT_COLUMNS = ("series_id", "year", "period", "value", "footnote_codes")
@@ -154,10 +153,13 @@ def _first_lines(lines: DataFrame) -> DataFrame:
     return first
 
 
-def _drop_first_line_if(lines: DataFrame, cond: Column) -> DataFrame:
-    """Drop the first line of each file when it satisfies ``cond``."""
-    heads = bounded_broadcast(_first_lines(lines).withColumn("_first", F.lit(True)),
-                              what="first lines per file")
+def _drop_first_line_if(lines: DataFrame, cond: Column, max_files: int = 100_000) -> DataFrame:
+    """Drop the first line of each file when it satisfies ``cond``.
+
+    The first lines form one row per input file, so the file listing bounds
+    their number; they are broadcast when the listing is within ``max_files``."""
+    heads = _first_lines(lines).withColumn("_first", F.lit(True))
+    heads = F.broadcast(heads) if len(lines.inputFiles()) <= max_files else heads.hint("shuffle_hash")
     marked = lines.join(heads,
                         (F.col(f"{LINE}.file") == F.col("_file")) & (F.col(f"{LINE}.pos") == F.col("_pos")),
                         "left")

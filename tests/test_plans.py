@@ -75,3 +75,16 @@ def test_hot_series_is_split_by_aqe(spark):
         final = plan(agg)
     assert r["n"] == n and r["s"] == n * (n - 1) // 2
     assert "ShuffledHashJoin(skew=true)" in final
+
+
+def test_counted_orphans_keep_the_fact_side_streamed(spark):
+    from pyspark.sql import Observation
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    o = spark.read.parquet(f"{SF}/orders.parquet").filter("o_orderstatus = 'F'")
+    obs = Observation("orphans")
+    df = denormalize(li, o, {}, [], fact_key="l_orderkey", series_key="o_orderkey", max_rows=10,
+                     observation=obs).select("l_orderkey")
+    p = plan(df)
+    assert "ShuffledHashJoin" in p and "LeftOuter, BuildRight" in p
+    n = df.count()
+    assert n + obs.get["orphan_facts"] == li.count()

@@ -163,7 +163,9 @@ def test_load_lifecycle(spark, tmp_path):
 
     r1 = load_dataset(spark, spec, paths, out, log_path, heads=_heads(spark, spec.key, "e1"))
     assert r1.status == "success" and r1.rows == 60 and r1.skipped_lines == 0
-    assert r1.violations["duplicate_keys"] if "duplicate_keys" in r1.violations else True
+    # the fact file has 15 rows of a series that does not exist
+    assert r1.violations["orphan_facts"] == 15 and r1.violations["bad_values"] == 0
+    assert "duplicate_keys" not in r1.violations
     assert read_current(spark, f"{out}/la_data").count() == 60
 
     # same etag: nothing to do
@@ -187,7 +189,7 @@ def test_load_lifecycle(spark, tmp_path):
     # tolerant mode loads it with a NULL value
     r5 = load_dataset(spark, spec, paths, out, log_path, heads=_heads(spark, spec.key, "e3"),
                       mode="tolerant")
-    assert r5.status == "success" and r5.rows == 61
+    assert r5.status == "success" and r5.rows == 61 and r5.violations["bad_values"] == 1
 
 
 def test_null_year_policies(spark, tmp_path):
