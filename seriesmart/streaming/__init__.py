@@ -1,3 +1,3 @@
-from .ingest import stream_ingest
+from .ingest import freeze_static, stream_ingest
 
-__all__ = ["stream_ingest"]
+__all__ = ["freeze_static", "stream_ingest"]

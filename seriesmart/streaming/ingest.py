@@ -14,9 +14,20 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ensure_checkpoint_dir
 from ..sources.text import parse_lines
 
 
+def freeze_static(*frames: DataFrame) -> list[DataFrame]:
+    """Checkpoint the static side of a stream-static join (series, code lists)
+    to the shared checkpoint folder: every micro-batch then joins the same
+    rows, lineage is cut, and expressions that streaming plans reject (the
+    file-order ids of the code-list reader) are already evaluated."""
+    if frames:
+        ensure_checkpoint_dir(frames[0].sparkSession)
+    return [f.checkpoint(eager=True) for f in frames]
+
+
 def stream_ingest(spark: SparkSession, landing_dir: str, columns: Sequence[str], out_dir: str,
                   checkpoint: str, min_fields: int | None = None,
                   transform: Callable[[DataFrame], DataFrame] | None = None,
