@@ -47,9 +47,11 @@ class Lookup:
 
 
 def enrich(df: DataFrame, dims: Mapping[str, DataFrame], lookups: Sequence[Lookup],
-           max_rows: int | None = None) -> DataFrame:
+           max_rows: int | None = None, small_dims: Mapping[str, bool] | None = None) -> DataFrame:
+    small_dims = small_dims or {}
     for lk in lookups:
-        df = lookup_join(df, dims[lk.dim], lk.key_col(), lk.name_out, max_rows=max_rows)
+        df = lookup_join(df, dims[lk.dim], lk.key_col(), lk.name_out, max_rows=max_rows,
+                         small=small_dims.get(lk.dim))
     return df
 
 
@@ -57,21 +59,24 @@ def denormalize(facts: DataFrame, series: DataFrame, dims: Mapping[str, DataFram
                 lookups: Sequence[Lookup], fact_key: str = "series_id",
                 series_key: str | None = None, select: Sequence[Column | str] | None = None,
                 max_rows: int | None = None, series_rows: int | None = None,
-                observation: Observation | None = None) -> DataFrame:
+                observation: Observation | None = None,
+                small_dims: Mapping[str, bool] | None = None) -> DataFrame:
     """Wide rows: every fact row with a series row, plus one name per lookup.
 
     Facts without a series row are dropped (inner join).  Series columns that
     also exist on the facts are not carried (the fact's value wins).  When
     ``select`` is given the result is projected to it, in that order.
     ``series_rows``, when the caller already counted the series, replaces the
-    size check of the enriched series (left lookups keep its row count).
+    size check of the enriched series (left lookups keep its row count);
+    ``small_dims`` likewise passes size decisions already made per code list.
     With ``observation`` the fact rows without a series are counted
     (``orphan_facts``) in the same pass: the join is then a left join on the
     same strategy, observed, and filtered to the matched rows.
     """
     series_key = series_key or fact_key
     keep = [c for c in series.columns if c == series_key or c not in facts.columns]
-    s = enrich(series.select(*keep), dims, [lk for lk in lookups if lk.on == "series"], max_rows)
+    s = enrich(series.select(*keep), dims, [lk for lk in lookups if lk.on == "series"], max_rows,
+               small_dims)
     if series_rows is None:
         s = bounded_broadcast(s, max_rows, what="series")
     else:
@@ -88,7 +93,7 @@ def denormalize(facts: DataFrame, series: DataFrame, dims: Mapping[str, DataFram
         wide = (wide.observe(observation, F.count_if(F.col("_has_series").isNull())
                              .cast("bigint").alias("orphan_facts"))
                 .filter(F.col("_has_series")).drop("_has_series"))
-    wide = enrich(wide, dims, [lk for lk in lookups if lk.on == "fact"], max_rows)
+    wide = enrich(wide, dims, [lk for lk in lookups if lk.on == "fact"], max_rows, small_dims)
     if select is not None:
         wide = wide.select(*select)
     return wide

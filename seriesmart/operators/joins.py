@@ -33,31 +33,39 @@ def fits(df: DataFrame, max_rows: int) -> bool:
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None, what: str = "",
-                      fallback: str | None = "shuffle_hash") -> DataFrame:
+                      fallback: str | None = "shuffle_hash", bound_by: DataFrame | None = None,
+                      small: bool | None = None) -> DataFrame:
     """``F.broadcast(df)`` when it provably has at most ``max_rows`` rows;
-    otherwise ``df`` hinted with ``fallback`` (build side of a shuffled join)."""
-    limit = broadcast_limit(df, max_rows)
-    if fits(df, limit):
+    otherwise ``df`` hinted with ``fallback`` (build side of a shuffled join).
+
+    ``bound_by`` is a DataFrame with at least as many rows as ``df`` (e.g. the
+    raw lines of a deduplicated code list): checking it stops after
+    ``max_rows + 1`` scanned rows instead of computing ``df``.  ``small``
+    passes a decision the caller already made."""
+    if small is None:
+        small = fits(bound_by if bound_by is not None else df, broadcast_limit(df, max_rows))
+    if small:
         return F.broadcast(df)
     return df.hint(fallback) if fallback else df
 
 
 def lookup_join(df: DataFrame, dim: DataFrame, key: Column | str, name_out: str,
                 dim_key: str = "code", dim_name: str = "name",
-                max_rows: int | None = None) -> DataFrame:
+                max_rows: int | None = None, small: bool | None = None) -> DataFrame:
     """Left outer code lookup: adds ``name_out``; NULL when the code is unknown
-    or NULL.  ``dim`` must be unique on ``dim_key`` (code lists are)."""
+    or NULL.  ``dim`` must be unique on ``dim_key`` (code lists are).
+    ``small``: the caller's size decision (None: check here)."""
     k = F.col(key) if isinstance(key, str) else key
     d = dim.select(F.col(dim_key).alias("_lk_code"), F.col(dim_name).alias(name_out))
-    d = bounded_broadcast(d, max_rows)
+    d = bounded_broadcast(d, max_rows, small=small)
     return df.join(d, k == F.col("_lk_code"), "left").drop("_lk_code")
 
 
 def map_join(facts: DataFrame, mapping: DataFrame, fact_key: str, map_key: str,
-             max_rows: int | None = None) -> DataFrame:
+             max_rows: int | None = None, bound_by: DataFrame | None = None) -> DataFrame:
     """Rows of ``facts`` whose key is in ``mapping`` (inner join), with the
     mapping's columns.  Rows without a match are dropped - see ``skip_counts``."""
-    m = bounded_broadcast(mapping, max_rows)
+    m = bounded_broadcast(mapping, max_rows, bound_by=bound_by)
     if fact_key == map_key:
         return facts.join(m, fact_key, "inner")
     return facts.join(m, facts[fact_key] == m[map_key], "inner")

@@ -18,7 +18,8 @@ from ..operators.loadlog import (append_log, empty_log, latest_log, log_rows, re
                                  should_reload)
 from ..operators.quality import has_duplicates, row_count_verdict, table_rules
 from ..sinks.writers import publish_full_refresh
-from ..sources.text import read_dimension, read_facts, read_series
+from ..operators.joins import broadcast_limit, fits
+from ..sources.text import read_dimension, read_facts, read_lines, read_series
 from .specs import DatasetSpec
 from .wide import wide_table
 
@@ -93,10 +94,14 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, ou
                  .agg(F.sum("n").alias("rows"), F.count_if(F.col("n") > 1).alias("dups")).first())
         if stats["dups"]:
             raise ValueError(f"{spec.key}: duplicate series_id in the series file")
+        # a code list has at most as many rows as its file has lines: check
+        # the lines (the scan stops at the bound) instead of the deduplicated list
+        limit = broadcast_limit(series)
+        small_dims = {k: fits(read_lines(spark, p), limit) for k, p in paths.dims.items()}
         joined, values = Observation(f"join_{spec.key}"), Observation(f"values_{spec.key}")
         wide = wide_table(facts, series, dims, spec, mode=mode, years=years,
                           series_rows=int(stats["rows"] or 0), observation=joined,
-                          values_observation=values)
+                          values_observation=values, small_dims=small_dims)
         if spec.chunk_years:
             # one file set per year, hot years split by AQE's rebalance
             wide = wide.hint("rebalance", "year")

@@ -46,7 +46,7 @@ MAPPED_COLUMNS = ("area_code", "item_code", "seasonal_code")
 
 def read_star_facts(spark: SparkSession, paths, mapping: DataFrame | None = None,
                     observation: Observation | None = None, mode: str = "strict",
-                    max_rows: int | None = None) -> DataFrame:
+                    max_rows: int | None = None, mapping_bound: DataFrame | None = None) -> DataFrame:
     """Fact lines of the star shape: ``series_id, year int, period, value double``
     from the first four fields (lines with fewer are skipped).  With a series
     ``mapping`` the series' codes are added and unknown series are dropped;
@@ -60,7 +60,7 @@ def read_star_facts(spark: SparkSession, paths, mapping: DataFrame | None = None
     if mapping is None:
         return rows.observe(observation, F.count(F.lit(1)).alias("rows")) if observation else rows
     m = bounded_broadcast(mapping.select("series_id", *MAPPED_COLUMNS)
-                          .withColumn("_mapped", F.lit(True)), max_rows)
+                          .withColumn("_mapped", F.lit(True)), max_rows, bound_by=mapping_bound)
     j = rows.join(m, "series_id", "left")
     if observation is not None:
         j = j.observe(observation, F.count_if(F.col("_mapped").isNull()).cast("bigint").alias("unmapped"))
@@ -136,7 +136,8 @@ def load_star_dataset(spark: SparkSession, spec: StarSpec, folder: str, out_root
         results[name] = "skipped"
         return results
     obs = Observation(f"star_{spec.key}")
-    facts = read_star_facts(spark, f"{base}/{spec.data_file}", mapping, obs)
+    bound = read_lines(spark, f"{base}/{spec.series_file}") if spec.series_file else None
+    facts = read_star_facts(spark, f"{base}/{spec.data_file}", mapping, obs, mapping_bound=bound)
     try:
         res = publish_and_log(spark, facts, f"{out}/{spec.fact_table}", log, log_path, name, head=head)
         res.metrics = {**(res.metrics or {}), **obs.get}
