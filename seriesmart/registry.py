@@ -43,9 +43,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(fn: Query | None = None, *, name: str | None = None):
+    """Register ``fn`` under its own name or ``name``."""
+    def add(f: Query) -> Query:
+        QUERIES[name or f.__name__] = f
+        return f
+    return add(fn) if fn is not None else add
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -303,24 +306,18 @@ def rfc_timestamp(spark, sf):
     return e.select("event_id", http_date(text).alias("ts"))
 
 
-@query
+@query(name="url_segment")
 def url_segment_query(spark, sf):
     pg = table(spark, sf, "pages")
     return pg.select("page_id", url_segment("url", -2).alias("seg"))
 
 
-QUERIES["url_segment"] = QUERIES.pop("url_segment_query")
-
-
-@query
-def date_range_filter(spark, sf):  # registered as year_range_filter
+@query(name="year_range_filter")
+def date_range_filter(spark, sf):
     o = table(spark, sf, "orders")
     return year_range(o, 1996, 1997, "o_orderdate").select("o_orderkey", "o_totalprice")
 
 
-QUERIES["year_range_filter"] = QUERIES.pop("date_range_filter")
-
-
 @query
 def surrogate_id(spark, sf):
     p = table(spark, sf, "part").select("p_partkey", "p_name")
@@ -374,24 +371,18 @@ def table_counts_union(spark, sf):
     return table_counts({t: table(spark, sf, t) for t in ("orders", "lineitem", "part")})
 
 
-@query
+@query(name="dimension_sizes")
 def dimension_sizes_query(spark, sf):
     p = table(spark, sf, "part")
     return dimension_sizes({"brand": p.select(F.col("p_brand").alias("code")),
                             "type": p.select(F.col("p_type").alias("code"))})
 
 
-QUERIES["dimension_sizes"] = QUERIES.pop("dimension_sizes_query")
-
-
-@query
+@query(name="min_max_year")
 def min_max_year_query(spark, sf):
     return min_max_year(table(spark, sf, "orders"), "o_orderdate")
 
 
-QUERIES["min_max_year"] = QUERIES.pop("min_max_year_query")
-
-
 @query
 def year_chunk_progress(spark, sf):
     return year_chunks(table(spark, sf, "orders"), 2, "o_orderdate")
@@ -409,14 +400,11 @@ def recent_log_topk(spark, sf):
     return recent_log(e, 10, ("ts", "event_id")).select("event_id", "user_id", "event_type", "ts")
 
 
-@query
+@query(name="run_summary")
 def run_summary_query(spark, sf):
     return run_summary(table(spark, sf, "events"), "event_type")
 
 
-QUERIES["run_summary"] = QUERIES.pop("run_summary_query")
-
-
 # --- data quality and change detection ---------------------------------------
 
 @query
@@ -451,7 +439,7 @@ def row_deviation_alert(spark, sf):
     return c.filter(deviation_alert("new_rows", "prev_rows", 0.1)).select("user_id")
 
 
-@query
+@query(name="stale_success")
 def stale_success_query(spark, sf):
     e = table(spark, sf, "events")
     now = e.select(F.max("ts")).scalar()
@@ -459,9 +447,6 @@ def stale_success_query(spark, sf):
                          ok=F.col("event_type") != "error")
 
 
-QUERIES["stale_success"] = QUERIES.pop("stale_success_query")
-
-
 def _log_and_heads(spark, sf):
     """Previous log: per dataset (user) its latest event before the split,
     failed when that event is an error; every seventh dataset has no log row.
@@ -479,24 +464,18 @@ def _log_and_heads(spark, sf):
     return log, heads
 
 
-@query
+@query(name="should_reload")
 def should_reload_query(spark, sf):
     log, heads = _log_and_heads(spark, sf)
     return should_reload(heads, log, keys=["user_id"], order=["seq"]).select("user_id", "reload")
 
 
-QUERIES["should_reload"] = QUERIES.pop("should_reload_query")
-
-
-@query
+@query(name="should_download")
 def should_download_query(spark, sf):
     log, heads = _log_and_heads(spark, sf)
     return should_download(heads, log, keys=["user_id"], order=["seq"]).select("user_id", "download")
 
 
-QUERIES["should_download"] = QUERIES.pop("should_download_query")
-
-
 # --- sinks --------------------------------------------------------------------
 
 @query
