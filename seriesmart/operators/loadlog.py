@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .joins import bounded_broadcast
 from .latest import latest_per_key, top_k
 
 KEYS = ("dataset", "data_key")
@@ -148,7 +149,7 @@ def already_loaded(datasets: DataFrame, log: DataFrame, force: bool = False,
     """Per dataset: skip the load when its ``data_key`` entry (``all``) says success."""
     cur = latest_log(log.filter(F.col("data_key") == data_key), ["dataset"])
     ok = cur.select("dataset", (F.col("status") == "success").alias("_ok"))
-    j = datasets.join(ok, "dataset", "left")
+    j = datasets.join(bounded_broadcast(ok, bound_by=log), "dataset", "left")
     skip = F.lit(False) if force else F.coalesce(F.col("_ok"), F.lit(False))
     return j.select(*datasets.columns, skip.alias("skip"))
 

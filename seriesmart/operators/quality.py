@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import bounded_broadcast
 from .latest import latest_per_key
 
 
@@ -87,7 +88,7 @@ def validate_row_count(new_counts: DataFrame, log: DataFrame,
     last_ok = latest_per_key(log.filter(F.col("status") == "success"), keys,
                              ["load_timestamp", "seq"], [rows_col, "status"])
     prev = last_ok.select(*keys, F.col(rows_col).alias("prev_rows"), F.col("status").alias("prev_status"))
-    j = new_counts.join(prev, list(keys), "left")
+    j = new_counts.join(bounded_broadcast(prev, bound_by=log), list(keys), "left")
     return j.select(*keys, F.col(rows_col).alias("new_rows"), "prev_rows",
                     row_count_verdict(F.col(rows_col), F.col("prev_rows"), "prev_status").alias("verdict"),
                     F.round(F.lit(100.0) * F.col(rows_col) / F.col("prev_rows"), 1).alias("pct_of_prev"))

@@ -449,17 +449,20 @@ def stale_success_query(spark, sf):
 
 def _log_and_heads(spark, sf):
     """Previous log: per dataset (user) its latest event before the split,
-    failed when that event is an error; every seventh dataset has no log row.
-    Source heads: the latest event after the split; every fifth has no etag."""
-    e = table(spark, sf, "events")
+    failed when that event is an error; a dataset whose latest earlier event
+    is a signup was registered but never loaded, so it has no log row.
+    Source heads: the latest event after the split; a source whose latest
+    event is a view sent no etag."""
+    e = table(spark, sf, "events").select("user_id", "event_id", "event_type")
     m = _half(e)
-    prev = e.filter((F.col("event_id") < m) & (F.col("user_id") % 7 != 0))
-    log = prev.select("user_id", F.col("event_type").alias("etag"),
-                      F.when(F.col("event_type") == "error", F.lit("failed"))
-                      .otherwise(F.lit("success")).alias("status"),
-                      F.col("event_id").alias("seq"))
-    new = latest_log(e.filter(F.col("event_id") >= m), ["user_id"], ["event_id"], )
-    heads = new.select("user_id", F.when(F.col("user_id") % 5 == 0, F.lit(None))
+    last_prev = latest_log(e.filter(F.col("event_id") < m), ["user_id"], ["event_id"])
+    log = (last_prev.filter(F.col("event_type") != "signup")
+           .select("user_id", F.col("event_type").alias("etag"),
+                   F.when(F.col("event_type") == "error", F.lit("failed"))
+                   .otherwise(F.lit("success")).alias("status"),
+                   F.col("event_id").alias("seq")))
+    new = latest_log(e.filter(F.col("event_id") >= m), ["user_id"], ["event_id"])
+    heads = new.select("user_id", F.when(F.col("event_type") == "view", F.lit(None))
                        .otherwise(F.col("event_type")).alias("etag"))
     return log, heads
 
@@ -641,8 +644,8 @@ ORACLE_SQL: dict[str, str] = {
     "seasonal_label_case": "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'Seasonally Adjusted' WHEN 'O' THEN 'Not Seasonally Adjusted' ELSE NULL END AS seasonal_name FROM orders",
     "series_mapping_filter": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'",
     "short_row_filter": "SELECT CAST(SUM(CASE WHEN o_orderkey % 10 <> 0 AND o_orderkey % 11 <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS kept, CAST(SUM(CASE WHEN o_orderkey % 10 = 0 AND o_orderkey % 11 <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS skipped FROM orders",
-    "should_download": "WITH cut AS (SELECT MAX(event_id) / 2 AS m FROM events), prev AS (SELECT user_id, etag, status FROM (SELECT user_id, event_type AS etag, CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS status, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events CROSS JOIN cut WHERE event_id < m AND user_id % 7 <> 0) t WHERE rn = 1), head AS (SELECT user_id, CASE WHEN user_id % 5 = 0 THEN NULL ELSE etag END AS etag FROM (SELECT user_id, event_type AS etag, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events CROSS JOIN cut WHERE event_id >= m) t WHERE rn = 1) SELECT h.user_id, CASE WHEN h.etag IS NULL OR h.etag = '' THEN true WHEN p.user_id IS NULL THEN true WHEN p.status = 'failed' THEN true ELSE h.etag IS DISTINCT FROM p.etag END AS download FROM head h LEFT JOIN prev p ON h.user_id = p.user_id",
-    "should_reload": "WITH cut AS (SELECT MAX(event_id) / 2 AS m FROM events), prev AS (SELECT user_id, etag, status FROM (SELECT user_id, event_type AS etag, CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS status, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events CROSS JOIN cut WHERE event_id < m AND user_id % 7 <> 0) t WHERE rn = 1), head AS (SELECT user_id, CASE WHEN user_id % 5 = 0 THEN NULL ELSE etag END AS etag FROM (SELECT user_id, event_type AS etag, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events CROSS JOIN cut WHERE event_id >= m) t WHERE rn = 1) SELECT h.user_id, CASE WHEN p.user_id IS NULL THEN true WHEN p.status = 'failed' THEN true WHEN h.etag IS NULL OR h.etag = '' THEN false ELSE h.etag IS DISTINCT FROM p.etag END AS reload FROM head h LEFT JOIN prev p ON h.user_id = p.user_id",
+    "should_download": "WITH cut AS (SELECT MAX(event_id) / 2 AS m FROM events), prev AS (SELECT user_id, etag, status FROM (SELECT user_id, event_type AS etag, CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS status, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events CROSS JOIN cut WHERE event_id < m) t WHERE rn = 1 AND etag <> 'signup'), head AS (SELECT user_id, CASE WHEN etag = 'view' THEN NULL ELSE etag END AS etag FROM (SELECT user_id, event_type AS etag, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events CROSS JOIN cut WHERE event_id >= m) t WHERE rn = 1) SELECT h.user_id, CASE WHEN h.etag IS NULL OR h.etag = '' THEN true WHEN p.user_id IS NULL THEN true WHEN p.status = 'failed' THEN true ELSE h.etag IS DISTINCT FROM p.etag END AS download FROM head h LEFT JOIN prev p ON h.user_id = p.user_id",
+    "should_reload": "WITH cut AS (SELECT MAX(event_id) / 2 AS m FROM events), prev AS (SELECT user_id, etag, status FROM (SELECT user_id, event_type AS etag, CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS status, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events CROSS JOIN cut WHERE event_id < m) t WHERE rn = 1 AND etag <> 'signup'), head AS (SELECT user_id, CASE WHEN etag = 'view' THEN NULL ELSE etag END AS etag FROM (SELECT user_id, event_type AS etag, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events CROSS JOIN cut WHERE event_id >= m) t WHERE rn = 1) SELECT h.user_id, CASE WHEN p.user_id IS NULL THEN true WHEN p.status = 'failed' THEN true WHEN h.etag IS NULL OR h.etag = '' THEN false ELSE h.etag IS DISTINCT FROM p.etag END AS reload FROM head h LEFT JOIN prev p ON h.user_id = p.user_id",
     "stale_success": "SELECT user_id, MAX(CASE WHEN event_type <> 'error' THEN ts END) AS last_ok FROM events GROUP BY user_id HAVING MAX(CASE WHEN event_type <> 'error' THEN ts END) < (SELECT MAX(ts) FROM events) - INTERVAL 2 DAY",
     "star_path_load": "SELECT CAST(l.l_orderkey AS VARCHAR) AS series_id, CAST(o.o_custkey AS VARCHAR) AS area_code, o.o_orderpriority AS item_code, o.o_orderstatus AS seasonal_code, CAST(year(l.l_shipdate) AS INTEGER) AS year, 'M' || lpad(CAST(month(l.l_shipdate) AS VARCHAR), 2, '0') AS period, CAST(CAST(l.l_extendedprice AS VARCHAR) AS DOUBLE) AS value FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE o.o_orderstatus <> 'P'",
     "star_denormalize": "SELECT l.l_orderkey, l.l_linenumber, l.l_quantity, o.o_custkey, c.c_name, l.l_partkey, p.p_name, l.l_suppkey, s.s_name FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey LEFT JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN part p ON l.l_partkey = p.p_partkey LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey",
