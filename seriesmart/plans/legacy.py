@@ -21,7 +21,7 @@ from ..operators.quality import row_count_verdict
 from ..operators.latest import latest_per_key
 from ..sinks.writers import WriteResult, publish_full_refresh
 from ..sources.delimited import detect_delimiter, read_delimited
-from ..sources.files import manifest
+from ..sources.files import existing_per_key
 
 
 @dataclass(frozen=True)
@@ -115,14 +115,4 @@ def _from_part(part: str):
 
 def yearly_files(spark: SparkSession, root: str, years, patterns: Sequence[str]) -> list[str]:
     """For each year the first pattern that names an existing file or folder."""
-    base = root.rstrip("/")
-    listed = [r["path"] for r in manifest(spark, base).select("path").collect()]
-    found = []
-    for y in years:
-        for p in patterns:
-            path = p.format(root=base, year=y)
-            rel = path[len(base):]
-            if any(f.endswith(rel) or (rel + "/") in f for f in listed):
-                found.append(path)
-                break
-    return found
+    return [p for _, p in existing_per_key(spark, root, years, patterns)]

@@ -70,21 +70,8 @@ def read_years(spark: SparkSession, root: str, years: Iterable[int], patterns: S
     """Yearly files: for each year the first pattern (``{root}``/``{year}``
     placeholders, a file or a folder) that exists; all found years are read
     in one scan.  Existence comes from one listing of ``root``."""
-    from .files import manifest
-    base = root.rstrip("/")
-    listed = [r["path"] for r in manifest(spark, base).select("path").collect()]
-
-    def exists(p: str) -> bool:
-        return any(f.endswith(p) or (p + "/") in f for f in listed)
-
-    found = []
-    for y in years:
-        for p in patterns:
-            path = p.format(root=base, year=y)
-            rel = path[len(base):] if path.startswith(base) else path
-            if exists(rel):
-                found.append(path)
-                break
+    from .files import existing_per_key
+    found = [p for _, p in existing_per_key(spark, root, years, patterns)]
     if not found:
         raise FileNotFoundError(f"no yearly files under {root}")
     return read_delimited(spark, found, columns, schema, sep)

@@ -18,3 +18,20 @@ def manifest(spark: SparkSession, root: str, with_md5: bool = False,
     if with_md5:
         cols.append(F.md5("content").alias("md5"))
     return df.select(*cols)
+
+
+def existing_per_key(spark: SparkSession, root: str, keys, patterns) -> list[tuple[object, str]]:
+    """For each key the first pattern (``{root}``, ``{key}`` placeholders)
+    naming an existing file or folder under ``root``: ``[(key, path), ...]``.
+    Existence comes from one listing of ``root``."""
+    base = root.rstrip("/")
+    listed = [r["path"] for r in manifest(spark, base).select("path").collect()]
+    found = []
+    for k in keys:
+        for p in patterns:
+            path = p.format(root=base, key=k, year=k)
+            rel = path[len(base):] if path.startswith(base) else path
+            if any(f.endswith(rel) or (rel + "/") in f for f in listed):
+                found.append((k, path))
+                break
+    return found

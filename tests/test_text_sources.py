@@ -112,3 +112,9 @@ def test_read_parts(spark, tmp_path):
     write_text(tmp_path / "y", "c\n")
     assert rows(read_parts(spark, str(tmp_path), "x")) == [("a",), ("b",)]
     assert rows(read_parts(spark, str(tmp_path), "y")) == [("c",)]
+
+
+def test_last_line_keeps_its_trailing_empty_fields(spark, tmp_path):
+    # a whole-text strip would eat the trailing tab of the last row and drop it
+    p = write_text(tmp_path / "f.txt", "A1\t2020\tM01\t1\t\nA2\t2020\tM02\t2\t")
+    assert rows(read_facts(spark, p, FACT), "series_id") == [("A1",), ("A2",)]
