@@ -69,7 +69,8 @@ def bad_value_counts(df: DataFrame, schema: dict) -> DataFrame:
 
 
 def date_guard(c: Column | str, fmt: str | None = None) -> Column:
-    """Keep a date text only when it contains '-', otherwise NULL."""
+    """Keep a date text only when it contains '-', otherwise NULL (a date
+    parse, no time zone involved)."""
     c = _c(c)
-    parsed = F.try_to_timestamp(c, F.lit(fmt)) if fmt else F.try_to_timestamp(c)
-    return F.when(c.contains("-"), parsed.cast("date"))
+    parsed = F.try_to_date(c, F.lit(fmt)) if fmt else F.try_to_date(c)
+    return F.when(c.contains("-"), parsed)

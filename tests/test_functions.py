@@ -71,3 +71,14 @@ def test_url_segment_and_date_guard(spark):
     assert one(spark, url_segment(F.col("v")), "nothing") is None
     assert one(spark, date_guard(F.col("v")), "2024-01-31") == dt.date(2024, 1, 31)
     assert one(spark, date_guard(F.col("v")), "20240131") is None
+
+
+def test_dates_ignore_session_time_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([("Sun, 10 Mar 2024 02:30:00 GMT", "2024-03-10")], "h string, d string")
+        r = df.select(http_date("h").alias("h"), date_guard("d").alias("d")).first()
+        assert r["h"] == dt.datetime(2024, 3, 10, 2, 30) and r["d"] == dt.date(2024, 3, 10)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
