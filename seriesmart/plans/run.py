@@ -7,6 +7,7 @@ decision, a handful of counts and one log row per dataset.
 
 from __future__ import annotations
 
+import threading
 import traceback
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -14,6 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.aggregates import year_chunks
 from ..operators.loadlog import (append_log, empty_log, latest_log, log_rows, read_log,
                                  should_reload)
 from ..operators.quality import has_duplicates, row_count_verdict, table_rules
@@ -24,6 +26,11 @@ from .specs import DatasetSpec
 from .wide import wide_table
 
 
+# appends of several loads into one log folder must not overlap (each write
+# commits through the folder's temporary directory)
+_LOG_LOCK = threading.Lock()
+
+
 @dataclass
 class DatasetPaths:
     """Where the raw files of one dataset are (files, folders or globs)."""
@@ -47,6 +54,7 @@ class LoadResult:
     message: str | None = None
     skipped_lines: int | None = None
     violations: dict | None = None
+    chunks: list | None = None      # (chunk_start, chunk_end, chunk_rows, total_rows)
 
 
 def read_inputs(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, mode: str = "strict",
@@ -84,7 +92,8 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, ou
             if head_row is not None:
                 entry.update(etag=head_row["etag"], last_modified=head_row["last_modified"],
                              source_url=head_row["source_url"])
-            append_log(log_rows(spark, [entry]), log_path)
+            with _LOG_LOCK:
+                append_log(log_rows(spark, [entry]), log_path)
 
     try:
         lines = Observation(f"lines_{spec.key}")
@@ -128,23 +137,38 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, ou
         violations = {k: res.metrics[k] for k in rules}
         violations.update(joined.get)
         violations.update(values.get)
-        if check_keys and spec.primary_key and res.status != "failed":
+        chunks = None
+        if res.status != "failed":
             staged = spark.read.parquet(res.location)
-            if has_duplicates(staged, list(spec.primary_key)):
+            if check_keys and spec.primary_key and has_duplicates(staged, list(spec.primary_key)):
                 violations["duplicate_keys"] = 1
+            if spec.chunk_years and res.rows:
+                chunks = [tuple(r) for r in year_chunks(staged.select("year"), spec.chunk_years)
+                          .orderBy("chunk_start").collect()]
         if res.status == "failed":
             _log("failed", res.rows, None, res.message)
         else:
             _log("success", res.rows, res.location, res.message)
         return LoadResult(spec.key, res.status, res.rows, res.location, res.message,
-                          lines.get.get("skipped"), violations)
+                          lines.get.get("skipped"), violations, chunks)
     except Exception as e:  # one dataset's failure does not stop the others
         _log("failed", 0, None, str(e)[:2000])
         return LoadResult(spec.key, "failed", 0, None, f"{e}\n{traceback.format_exc(limit=3)}")
 
 
 def load_all(spark: SparkSession, specs: Sequence[DatasetSpec], folders: Mapping[str, str],
-             out_root: str, log_path: str | None = None, **kw) -> list[LoadResult]:
-    """Load several datasets one after the other (each isolated)."""
-    return [load_dataset(spark, s, DatasetPaths.in_folder(folders[s.key], s), out_root, log_path, **kw)
-            for s in specs if s.key in folders]
+             out_root: str, log_path: str | None = None, workers: int = 1, **kw) -> list[LoadResult]:
+    """Load several datasets, each isolated (one failure does not stop the
+    others).  With ``workers`` > 1 the datasets' jobs are submitted from that
+    many driver threads and run side by side on the cluster (use the FAIR
+    scheduler to share it evenly); results keep the order of ``specs``."""
+    todo = [s for s in specs if s.key in folders]
+
+    def one(s):
+        return load_dataset(spark, s, DatasetPaths.in_folder(folders[s.key], s), out_root, log_path, **kw)
+
+    if workers <= 1:
+        return [one(s) for s in todo]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        return list(pool.map(one, todo))

@@ -26,14 +26,16 @@ def test_one_failure_does_not_stop_the_others(spark, tmp_path):
         fh.write(first_row + "\n")                # duplicate series id: the load fails
     log = str(tmp_path / "log")
     res = load_all(spark, [bad, good], {"jolts": str(tmp_path / "bad"), "productivity": str(tmp_path / "good")},
-                   str(tmp_path / "out"), log)
+                   str(tmp_path / "out"), log, workers=2)
     assert [(r.dataset, r.status) for r in res] == [("jolts", "failed"), ("productivity", "success")]
+    # productivity is chunked by 10 years: 2019-2021 form one chunk of 60 rows
+    assert res[1].chunks == [(2019, 2021, 60, 60)]
     from seriesmart.operators.loadlog import read_log
     lg = read_log(spark, log)
     assert [r["dataset"] for r in failed_loads(lg).collect()] == ["jolts"]
     counts, recent = status_report({"mp_data": spark.read.parquet(res[1].location)}, lg)
     assert counts.collect()[0]["rows"] == 60
-    assert [r["dataset"] for r in recent.collect()] == ["productivity", "jolts"]
+    assert sorted(r["dataset"] for r in recent.collect()) == ["jolts", "productivity"]
     assert full_log(lg).count() == 2
 
 
