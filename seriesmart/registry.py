@@ -532,8 +532,8 @@ ORDERS_SURVEY = DatasetSpec(
     chunk_years=2)
 
 
-@query
-def survey_load_end_to_end(spark, sf):
+def survey_files(spark, sf) -> str:
+    """Raw survey-shaped files derived from lineitem, orders and customer."""
     li, o, c = (table(spark, sf, t) for t in ("lineitem", "orders", "customer"))
     src = scratch_path(spark, "survey_src")
     spec = ORDERS_SURVEY
@@ -547,6 +547,13 @@ def survey_load_end_to_end(spark, sf):
               f"{src}/{spec.series_file}", header=True)
     write_tsv(c.select(F.col("c_custkey").alias("code"), F.col("c_name").alias("name")),
               f"{src}/{spec.dimension_files['customer']}", header=True)
+    return src
+
+
+@query
+def survey_load_end_to_end(spark, sf):
+    spec = ORDERS_SURVEY
+    src = survey_files(spark, sf)
     out = scratch_path(spark, "survey_out")
     res = load_dataset(spark, spec, DatasetPaths.in_folder(src, spec), out, f"{out}/_load_log")
     if res.status == "failed":
