@@ -75,6 +75,9 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, ou
     Passes over the data: one over the series file (uniqueness), one staged
     write that also counts parsed/skipped lines and constraint violations,
     and - with ``check_keys`` - one aggregate over the staged key columns.
+    In ``strict`` mode a NOT NULL, VARCHAR(n) or PRIMARY KEY violation fails
+    the load before it is published (as the target table would reject it);
+    ``tolerant`` mode publishes and reports the counts in ``violations``.
     """
     log = read_log(spark, log_path) if log_path else empty_log(spark)
     head = None
@@ -120,9 +123,21 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, ou
         prev_rows = prev["rows_loaded"] if prev else None
         rules = table_rules(spec.columns)
 
+        key_checked = False
+
         def validate(rows: int, metrics: dict):
+            nonlocal key_checked
             if lines.get.get("kept", 0) == 0:
                 return "failed", f"{spec.key}: empty fact file"
+            if mode == "strict":
+                # the target's NOT NULL / VARCHAR(n) / PRIMARY KEY reject the load
+                bad = {k: metrics[k] for k in rules if metrics[k]}
+                if bad:
+                    return "failed", f"{spec.key}: constraint violations {bad}"
+                if check_keys and spec.primary_key:
+                    key_checked = True
+                    if has_duplicates(spark.read.parquet(metrics["location"]), list(spec.primary_key)):
+                        return "failed", f"{spec.key}: duplicate primary key {spec.primary_key}"
             v = spark.range(1).select(row_count_verdict(F.lit(rows), F.lit(prev_rows).cast("bigint"))
                                       .alias("v")).first()["v"]
             msg = None
@@ -140,7 +155,8 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, ou
         chunks = None
         if res.status != "failed":
             staged = spark.read.parquet(res.location)
-            if check_keys and spec.primary_key and has_duplicates(staged, list(spec.primary_key)):
+            if (check_keys and spec.primary_key and not key_checked
+                    and has_duplicates(staged, list(spec.primary_key))):
                 violations["duplicate_keys"] = 1
             if spec.chunk_years and res.rows:
                 chunks = [tuple(r) for r in year_chunks(staged.select("year"), spec.chunk_years)

@@ -529,7 +529,9 @@ ORDERS_SURVEY = DatasetSpec(
     code_from={"seasonal_code": "status",
                "seasonal_name": "CASE status WHEN 'F' THEN 'Seasonally Adjusted' "
                                 "WHEN 'O' THEN 'Not Seasonally Adjusted' END"},
-    chunk_years=2)
+    # several lines of one order ship in the same month: no (series, year,
+    # period) key on this data
+    chunk_years=2, primary_key=())
 
 
 def survey_files(spark, sf) -> str:

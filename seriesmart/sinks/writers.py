@@ -59,7 +59,8 @@ def publish_full_refresh(df: DataFrame, root: str,
 
     ``validate(rows)`` - or ``validate(rows, metrics)`` when ``extra_metrics``
     are given - returns ``(status, message)``; the metrics are counted during
-    the write itself."""
+    the write itself, and ``metrics['location']`` names the staged version
+    (for checks that read it back before it is published)."""
     stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
     location = f"{root.rstrip('/')}/v={stamp}-{uuid.uuid4().hex[:8]}"
     metrics = write_observed(df, location, partition_by=partition_by, extra_metrics=extra_metrics)
@@ -67,7 +68,7 @@ def publish_full_refresh(df: DataFrame, root: str,
     if validate is None:
         status, message = "success", None
     elif extra_metrics:
-        status, message = validate(rows, metrics)
+        status, message = validate(rows, {**metrics, "location": location})
     else:
         status, message = validate(rows)
     if status != "failed":

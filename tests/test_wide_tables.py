@@ -223,3 +223,20 @@ def test_empty_fact_and_duplicate_series_fail(spark, tmp_path):
         fh.write("EMU00000\t01\t01\t01\tU\n")
     r = load_dataset(spark, spec, paths, str(tmp_path / "o"))
     assert r.status == "failed" and "duplicate series_id" in r.message
+
+
+def test_strict_load_rejects_key_and_length_violations(spark, tmp_path):
+    spec = DATASETS["state_metro"]
+    src = str(tmp_path / "src")
+    make_files(src, spec)
+    paths = DatasetPaths.in_folder(src, spec)
+    fact = f"{src}/{spec.data_file}"
+    lines = open(fact).read().splitlines()
+    write_text(fact, "\n".join(lines + [lines[1]]) + "\n")          # a repeated observation
+    r = load_dataset(spark, spec, paths, str(tmp_path / "o"))
+    assert r.status == "failed" and "duplicate primary key" in r.message
+    r2 = load_dataset(spark, spec, paths, str(tmp_path / "o2"), mode="tolerant")
+    assert r2.status == "success" and r2.violations["duplicate_keys"] == 1
+    write_text(fact, "\n".join(lines + ["STU00000\t2024\tM01\t1\tTOO_LONG_FOOTNOTE"]) + "\n")
+    r3 = load_dataset(spark, spec, paths, str(tmp_path / "o3"))
+    assert r3.status == "failed" and "long_footnote_codes" in r3.message
