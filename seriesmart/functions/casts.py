@@ -21,7 +21,7 @@ def _c(c):
 def _type(t) -> T.DataType:
     if isinstance(t, T.DataType):
         return t
-    return T._parse_datatype_string(t)
+    return T.DataType.fromDDL(t)
 
 
 def strict_cast(c: Column | str, to, what: str = "value") -> Column:

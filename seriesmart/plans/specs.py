@@ -52,6 +52,16 @@ class DatasetSpec:
     def output_names(self) -> tuple:
         return tuple(n for n, _, _ in self.columns)
 
+    def struct_type(self):
+        """The wide table as a Spark schema (VARCHAR(n) as string - lengths
+        are checked by the load, not by the file format)."""
+        from pyspark.sql import types as T
+        fields = [] if not self.surrogate_id else [T.StructField("id", T.LongType(), False)]
+        for name, typ, nn in self.columns:
+            t = "string" if typ.startswith("varchar") else typ
+            fields.append(T.StructField(name, T.DataType.fromDDL(t), not nn))
+        return T.StructType(fields)
+
 
 def _lk(dim: str, key: str, name_out: str | None = None, on: str = "series",
         key_sql: str | None = None) -> Lookup:

@@ -1,7 +1,8 @@
 from .writers import (WriteResult, append, create_table, current_location, export_csv,
-                      publish_full_refresh, read_current, replace_partitions, table_exists,
+                      publish_full_refresh, read_current, register_table, replace_partitions,
+                      table_exists,
                       write_lines, write_observed, write_tsv)
 
 __all__ = ["WriteResult", "append", "create_table", "current_location", "export_csv",
-           "publish_full_refresh", "read_current", "replace_partitions", "table_exists",
+           "publish_full_refresh", "read_current", "register_table", "replace_partitions", "table_exists",
            "write_lines", "write_observed", "write_tsv"]

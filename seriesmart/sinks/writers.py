@@ -136,6 +136,25 @@ def write_lines(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
     lines.write.mode(mode).text(path)
 
 
+def register_table(spark: SparkSession, name: str, location: str,
+                   partition_by: Sequence[str] = ()) -> None:
+    """Make catalog table ``name`` read the published version at ``location``:
+    created on first use, otherwise re-pointed (``ALTER TABLE ... SET
+    LOCATION``), so readers switch from one complete version to the next."""
+    if not table_exists(spark, name):
+        df = spark.read.parquet(location)
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        sql = f"CREATE TABLE {name} ({ddl}) USING parquet"
+        if partition_by:
+            sql += " PARTITIONED BY (" + ", ".join(partition_by) + ")"
+        spark.sql(sql + f" LOCATION '{location}'")
+    else:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+    if partition_by:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(name)
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 

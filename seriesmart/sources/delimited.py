@@ -44,7 +44,7 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], columns: Seq
     if isinstance(schema, T.StructType):
         types = {f.name: f.dataType for f in schema.fields}
     elif schema:
-        types = {k: (v if isinstance(v, T.DataType) else T._parse_datatype_string(v))
+        types = {k: (v if isinstance(v, T.DataType) else T.DataType.fromDDL(v))
                  for k, v in schema.items()}
     tokens = tuple(null_tokens)
     out = []

@@ -95,3 +95,26 @@ def test_manifest_and_create_table(spark, tmp_path):
     assert table_exists(spark, name)
     assert not create_table(spark, name, schema)
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_register_table_switches_versions(spark, tmp_path):
+    from seriesmart.sinks import register_table
+    root = str(tmp_path / "t")
+    df1 = spark.createDataFrame([(1, 2020), (2, 2021)], "k int, year int")
+    r1 = publish_full_refresh(df1, root, partition_by=["year"])
+    register_table(spark, "sm_versions_t", r1.location, ["year"])
+    assert spark.table("sm_versions_t").count() == 2
+    r2 = publish_full_refresh(df1.union(spark.createDataFrame([(3, 2022)], "k int, year int")), root,
+                              partition_by=["year"])
+    register_table(spark, "sm_versions_t", r2.location, ["year"])
+    assert spark.table("sm_versions_t").count() == 3
+    assert spark.table("sm_versions_t").filter("year = 2022").count() == 1
+    spark.sql("DROP TABLE sm_versions_t")
+
+
+def test_spec_schema(spark):
+    from seriesmart.plans import DATASETS
+    cpi = DATASETS["cpi"].struct_type()
+    assert cpi.fieldNames()[0] == "id" and cpi["value"].dataType.simpleString() == "decimal(15,4)"
+    ce = DATASETS["employment"].struct_type()
+    assert not ce["series_id"].nullable and ce["value"].dataType.simpleString() == "decimal(14,2)"
