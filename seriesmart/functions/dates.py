@@ -2,39 +2,23 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# "Sun, 06 Nov 1994 08:49:37 GMT" / "06 Nov 1994 08:49:37 +0100"
-_DATE_RE = (r"^\s*(?:[A-Za-z]{3},\s*)?(\d{1,2}) ([A-Za-z]{3}) (\d{4}) "
-            r"(\d{2}):(\d{2}):(\d{2})\s*(\S*)\s*$")
-
-# English month abbreviations of the HTTP date format.
-MONTHS = ("JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC")
+_EPOCH = "1970-01-01 00:00:00"
 
 
 def http_date(c: Column | str) -> Column:
-    """Parse an HTTP date to TIMESTAMP_NTZ in UTC; NULL when it does not parse.
+    """Parse an HTTP date ("Sun, 06 Nov 1994 08:49:37 GMT"; weekday optional;
+    zone name, +hhmm offset, or none for GMT) to TIMESTAMP_NTZ in UTC; NULL
+    when it does not parse.
 
-    The parts are taken with one pattern and assembled with
-    ``try_make_timestamp_ntz``, so the session time zone plays no part.
-    GMT/UTC/UT/Z or no zone means UTC; ``+hhmm`` offsets are applied."""
+    The text is parsed with its own zone, so the instant does not depend on
+    the session time zone; its epoch seconds are then added to the NTZ epoch.
+    """
     c = F.col(c) if isinstance(c, str) else c
-
-    def part(i):
-        return F.regexp_extract(c, _DATE_RE, i)
-
-    months = F.create_map(*[F.lit(x) for x in chain.from_iterable(
-        (m, i + 1) for i, m in enumerate(MONTHS))])
-    local = F.try_make_timestamp_ntz(
-        part(3).try_cast("int"), months[F.upper(part(2))], part(1).try_cast("int"),
-        part(4).try_cast("int"), part(5).try_cast("int"), part(6).try_cast("decimal(8,6)"))
-    zone = F.upper(part(7))
-    sign = F.when(F.substring(zone, 1, 1) == "-", F.lit(-1)).otherwise(F.lit(1))
-    offset_min = F.when(
-        zone.rlike(r"^[+-]\d{4}$"),
-        sign * (F.substring(zone, 2, 2).cast("int") * 60 + F.substring(zone, 4, 2).cast("int")),
-    ).when(zone.isin("", "GMT", "UTC", "UT", "Z"), F.lit(0))
-    return F.when(part(1) != "", F.timestamp_add("MINUTE", -offset_min, local))
+    body = F.trim(F.regexp_replace(c, r"^\s*[A-Za-z]{3},", ""))
+    with_zone = F.when(body.rlike(r":\d\d$"), F.concat(body, F.lit(" GMT"))).otherwise(body)
+    instant = F.coalesce(F.try_to_timestamp(with_zone, F.lit("d MMM yyyy HH:mm:ss z")),
+                         F.try_to_timestamp(with_zone, F.lit("d MMM yyyy HH:mm:ss Z")))
+    return F.timestamp_add("SECOND", F.unix_seconds(instant), F.lit(_EPOCH).cast("timestamp_ntz"))
