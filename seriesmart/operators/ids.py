@@ -2,7 +2,8 @@
 
 1. range-partition and sort on the order columns plus tie-breakers (a row
    hash and the input position), so even a key holding a third of all rows is
-   spread over several tasks;
+   spread over several tasks; there are at least as many ranges as input
+   splits, so each range is about one split in size;
 2. checkpoint to the shared checkpoint folder - both later passes then see
    the same partitions, and lost executors do not re-run the sort;
 3. count rows per partition (one small row per partition to the driver) and
@@ -26,7 +27,9 @@ def with_surrogate_id(df: DataFrame, order: Sequence[str], id_col: str = "id",
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     cols = list(df.columns)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # at least as many ranges as input splits, so a range is about one split
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                          df.rdd.getNumPartitions())
     keyed = df.withColumn("_h", F.xxhash64(*cols)).withColumn("_m", F.monotonically_increasing_id())
     order_cols = [*order, "_h", "_m"]
     ranged = keyed.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
