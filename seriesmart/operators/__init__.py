@@ -4,7 +4,7 @@ from .ids import with_surrogate_id
 from .joins import (bounded_broadcast, fits, lookup_join, map_join, orphan_counts, orphans,
                     skip_counts)
 from .latest import latest_per_key, top_k
-from .loadlog import (LOG_SCHEMA, already_loaded, append_log, empty_log, failed_loads, full_log,
+from .loadlog import (LOG_SCHEMA, already_loaded, append_log, empty_log, ensure_log, failed_loads, full_log,
                       latest_log, log_rows, read_log, recent_log, run_summary, should_download,
                       should_reload, stale_success)
 from .quality import (check_constraints, check_unique, deviation_alert, has_duplicates,

@@ -50,14 +50,17 @@ def empty_log(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], LOG_SCHEMA)
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """The log at ``path``; an empty log when nothing was written yet."""
-    try:
-        return spark.read.schema(LOG_SCHEMA).parquet(path)
-    except Exception as e:  # path does not exist yet
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return empty_log(spark)
-        raise
+def ensure_log(spark: SparkSession, path: str) -> None:
+    """Create the log at ``path`` if it is missing (appending no rows writes
+    the folder and its schema; an existing log is left as it is)."""
+    empty_log(spark).coalesce(1).write.mode("append").parquet(path)
+
+
+def read_log(spark: SparkSession, path: str, create: bool = True) -> DataFrame:
+    """The log at ``path`` (created empty first when ``create``)."""
+    if create:
+        ensure_log(spark, path)
+    return spark.read.schema(LOG_SCHEMA).parquet(path)
 
 
 def log_rows(spark: SparkSession, entries: Sequence[dict]) -> DataFrame:
