@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import year_chunks
-from ..operators.loadlog import (append_log, empty_log, latest_log, log_rows, read_log,
+from ..operators.loadlog import (append_log, empty_log, ensure_log, latest_log, log_rows, read_log,
                                  should_reload)
 from ..operators.quality import has_duplicates, row_count_verdict, table_rules
 from ..sinks.writers import publish_full_refresh
@@ -79,7 +79,11 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, ou
     the load before it is published (as the target table would reject it);
     ``tolerant`` mode publishes and reports the counts in ``violations``.
     """
-    log = read_log(spark, log_path) if log_path else empty_log(spark)
+    if log_path:
+        with _LOG_LOCK:
+            log = read_log(spark, log_path)
+    else:
+        log = empty_log(spark)
     head = None
     if heads is not None:
         head = heads.filter((F.col("dataset") == spec.key) & (F.col("data_key") == data_key))
@@ -190,6 +194,8 @@ def load_all(spark: SparkSession, specs: Sequence[DatasetSpec], folders: Mapping
 
     if workers <= 1:
         return [one(s) for s in todo]
+    if log_path:
+        ensure_log(spark, log_path)
     from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(max_workers=workers) as pool:
         return list(pool.map(one, todo))
