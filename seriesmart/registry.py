@@ -24,11 +24,12 @@ from pyspark.sql import functions as F
 from .functions import (LEGACY_NULL_TOKENS, DEFAULT_NULL_TOKENS, cast_columns, cast_value,
                         http_date, null_if_token, period_label, seasonal_from_id, seasonal_label,
                         url_segment)
-from .operators import (Lookup, check_constraints, check_unique, denormalize, deviation_alert,
+from .operators import (Lookup, already_loaded, check_constraints, check_unique, denormalize, deviation_alert,
                         dimension_sizes, latest_log, longer_than, lookup_join, min_max_year,
                         not_null, orphan_counts, recent_log, row_count_verdict, run_summary,
                         should_download, should_reload, skip_counts, stale_success, table_counts,
-                        with_surrogate_id, year_chunks, year_range)
+                        validate_row_count as validate_counts, with_surrogate_id, year_chunks,
+                        year_range)
 from .plans import (DatasetPaths, DatasetSpec, LegacySpec, StarDim, StarSpec, load_dataset,
                     load_legacy_dataset, load_star_dataset, parse_ddl)
 from .session import scratch_path
@@ -467,6 +468,48 @@ def _log_and_heads(spark, sf):
     return log, heads
 
 
+def _event_log(e):
+    """Events as load-log rows: dataset = user, one load per event, failed
+    when the event is an error."""
+    return e.select(F.col("user_id").alias("dataset"), F.lit("all").alias("data_key"),
+                    F.when(F.col("event_type") == "error", F.lit("failed"))
+                    .otherwise(F.lit("success")).alias("status"),
+                    F.col("ts").alias("load_timestamp"), F.col("event_id").alias("seq"),
+                    F.col("event_id").alias("event_id"))
+
+
+@query
+def already_loaded_skip(spark, sf):
+    """Skip a dataset whose current ``all`` entry says success."""
+    e = table(spark, sf, "events")
+    datasets = e.select(F.col("user_id").alias("dataset")).distinct()
+    return already_loaded(datasets, _event_log(e)).select(F.col("dataset").alias("user_id"), "skip")
+
+
+@query
+def validate_against_last_success(spark, sf):
+    """New row counts (events after the split) judged against the last
+    successful earlier load; a failed load never lowers the bar.  Earlier
+    loads per user: a successful one with the user's non-error events before
+    the split, and a failed one with the error events."""
+    e = table(spark, sf, "events").select("user_id", "event_id", "event_type", "ts")
+    m = _half(e)
+    ok = F.col("event_type") != "error"
+    before = e.filter(F.col("event_id") < m)
+    loads = []
+    for status, cond in (("success", ok), ("failed", ~ok)):
+        loads.append(before.groupBy(F.col("user_id").alias("dataset")).agg(
+            F.count_if(cond).alias("rows_loaded"), F.max(F.when(cond, F.col("ts"))).alias("load_timestamp"),
+            F.max(F.when(cond, F.col("event_id"))).alias("seq"))
+            .filter(F.col("rows_loaded") > 0)
+            .withColumns({"data_key": F.lit("all"), "status": F.lit(status)}))
+    log = loads[0].unionByName(loads[1])
+    new = (e.filter(F.col("event_id") >= m).groupBy(F.col("user_id").alias("dataset"))
+           .agg(F.count(F.lit(1)).alias("rows_loaded")).withColumn("data_key", F.lit("all")))
+    v = validate_counts(new, log)
+    return v.select(F.col("dataset").alias("user_id"), "new_rows", "prev_rows", "verdict")
+
+
 @query(name="should_reload")
 def should_reload_query(spark, sf):
     log, heads = _log_and_heads(spark, sf)
@@ -620,6 +663,8 @@ def legacy_parts_load(spark, sf):
 
 
 ORACLE_SQL: dict[str, str] = {
+    "already_loaded_skip": "SELECT user_id, event_type <> 'error' AS skip FROM (SELECT user_id, event_type, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) t WHERE rn = 1",
+    "validate_against_last_success": "WITH cut AS (SELECT MAX(event_id) / 2 AS m FROM events), a AS (SELECT user_id, CAST(SUM(CASE WHEN event_type <> 'error' THEN 1 ELSE 0 END) AS BIGINT) AS ok_rows FROM events CROSS JOIN cut WHERE event_id < m GROUP BY user_id), new AS (SELECT user_id, COUNT(*) AS new_rows FROM events CROSS JOIN cut WHERE event_id >= m GROUP BY user_id) SELECT n.user_id, n.new_rows, NULLIF(a.ok_rows, 0) AS prev_rows, CASE WHEN a.ok_rows IS NULL OR a.ok_rows <= 0 THEN 'success' WHEN n.new_rows < a.ok_rows * 0.5 THEN 'failed' WHEN n.new_rows < a.ok_rows * 0.9 THEN 'warning' ELSE 'success' END AS verdict FROM new n LEFT JOIN a ON n.user_id = a.user_id",
     "anti_join_orphans": "SELECT l_orderkey, COUNT(*) AS n FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderstatus = 'F') GROUP BY l_orderkey",
     "bulk_scan": "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer",
     "constraint_violations": "SELECT CAST(SUM(CASE WHEN p_name IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_names, CAST(SUM(CASE WHEN length(p_name) > 10 THEN 1 ELSE 0 END) AS BIGINT) AS too_long FROM part",
