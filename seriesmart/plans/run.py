@@ -59,7 +59,8 @@ class LoadResult:
 
 def read_inputs(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, mode: str = "strict",
                 observation: Observation | None = None):
-    dims = {k: read_dimension(spark, p) for k, p in paths.dims.items()}
+    dims = {k: read_dimension(spark, p, *spec.dim_columns.get(k, (0, 1)))
+            for k, p in paths.dims.items()}
     series = read_series(spark, paths.series, spec.series_columns)
     facts = read_facts(spark, paths.data, spec.fact_columns, mode=mode, observation=observation)
     return facts, series, dims

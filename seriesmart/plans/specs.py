@@ -43,6 +43,8 @@ class DatasetSpec:
     chunk_years: int | None = 10
     surrogate_id: bool = False
     primary_key: tuple = ("series_id", "year", "period")
+    # per code list (key column, name column) when not (0, 1)
+    dim_columns: dict = field(default_factory=dict, hash=False, compare=False)
 
     @property
     def value_type(self) -> str:

@@ -240,3 +240,15 @@ def test_strict_load_rejects_key_and_length_violations(spark, tmp_path):
     write_text(fact, "\n".join(lines + ["STU00000\t2024\tM01\t1\tTOO_LONG_FOOTNOTE"]) + "\n")
     r3 = load_dataset(spark, spec, paths, str(tmp_path / "o3"))
     assert r3.status == "failed" and "long_footnote_codes" in r3.message
+
+
+def test_dimension_columns_per_spec(spark, tmp_path):
+    import dataclasses
+    spec = dataclasses.replace(DATASETS["productivity"], dim_columns={"sector": (1, 2)})
+    src = str(tmp_path / "src")
+    make_files(src, spec)
+    # a sector file whose code is the second column
+    write_text(f"{src}/{spec.dimension_files['sector']}", "sort\tcode\ttext\n9\t00\tSector zero\n")
+    f, s, d = read_inputs(spark, spec, DatasetPaths.in_folder(src, spec))
+    got = {r["sector_code"]: r["sector_name"] for r in wide_table(f, s, d, spec).collect()}
+    assert got["00"] == "Sector zero" and got.get("01") is None
