@@ -88,3 +88,25 @@ def test_counted_orphans_keep_the_fact_side_streamed(spark):
     assert "ShuffledHashJoin" in p and "LeftOuter, BuildRight" in p
     n = df.count()
     assert n + obs.get["orphan_facts"] == li.count()
+
+
+def test_hot_series_is_split_in_the_counted_left_join(spark):
+    from pyspark.sql import Observation
+    n = 600_000
+    facts = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 20000).alias("series_id"),
+        F.col("id").alias("v"))
+    series = spark.range(19000).select(F.col("id").alias("series_id"))
+    with conf(spark, **{"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+                        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+                        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                        "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        obs = Observation("orphans_skew")
+        df = denormalize(facts, series, {}, [], max_rows=1000, observation=obs)
+        agg = df.groupBy().agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"))
+        r = agg.collect()[0]
+        final = plan(agg)
+    orphans = n - sum(1 for i in range(n) if i % 3 != 0 and i % 20000 < 19000) - n // 3
+    assert r["n"] + obs.get["orphan_facts"] == n
+    assert obs.get["orphan_facts"] == orphans
+    assert "ShuffledHashJoin(skew=true)" in final and "LeftOuter" in final
