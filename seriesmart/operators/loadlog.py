@@ -46,8 +46,21 @@ HEADS_SCHEMA = T.StructType([
 ])
 
 
+def literal_rows(spark: SparkSession, rows: Sequence[dict], schema: T.StructType) -> DataFrame:
+    """A few rows built from literals (no Python worker involved); an empty
+    frame of ``schema`` when ``rows`` is empty."""
+    frames = [spark.range(1).select(*[F.lit(r.get(f.name)).cast(f.dataType).alias(f.name)
+                                      for f in schema.fields]) for r in rows]
+    if not frames:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def empty_log(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], LOG_SCHEMA)
+    return literal_rows(spark, [], LOG_SCHEMA)
 
 
 def ensure_log(spark: SparkSession, path: str) -> None:
@@ -76,7 +89,7 @@ def log_rows(spark: SparkSession, entries: Sequence[dict]) -> DataFrame:
         r["seq"] = r["seq"] if r["seq"] is not None else base + i
         r["status"] = r["status"] or "success"
         rows.append(r)
-    return spark.createDataFrame(rows, LOG_SCHEMA)
+    return literal_rows(spark, rows, LOG_SCHEMA)
 
 
 def append_log(entries: DataFrame, path: str) -> None:

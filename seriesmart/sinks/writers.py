@@ -79,8 +79,10 @@ def publish_full_refresh(df: DataFrame, root: str,
 def _record_version(spark: SparkSession, root: str, location: str, rows: int) -> None:
     import time
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    row = spark.createDataFrame([(location, rows, now, time.time_ns())], _VERSION_SCHEMA)
-    row.coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/{VERSIONS}")
+    from ..operators.loadlog import literal_rows
+    row = literal_rows(spark, [{"location": location, "rows": rows, "published_at": now,
+                                "seq": time.time_ns()}], _VERSION_SCHEMA)
+    row.write.mode("append").parquet(f"{root.rstrip('/')}/{VERSIONS}")
 
 
 def current_location(spark: SparkSession, root: str) -> str | None:
