@@ -252,3 +252,12 @@ def test_dimension_columns_per_spec(spark, tmp_path):
     f, s, d = read_inputs(spark, spec, DatasetPaths.in_folder(src, spec))
     got = {r["sector_code"]: r["sector_name"] for r in wide_table(f, s, d, spec).collect()}
     assert got["00"] == "Sector zero" and got.get("01") is None
+
+
+def test_year_range_load(spark, tmp_path):
+    spec = DATASETS["jolts"]
+    make_files(str(tmp_path), spec)
+    f, s, d = read_inputs(spark, spec, DatasetPaths.in_folder(str(tmp_path), spec))
+    got = wide_table(f, s, d, spec, years=(2020, 2021))
+    assert sorted({r["year"] for r in got.collect()}) == [2020, 2021]
+    assert got.count() == 4 * 2 * len(PERIODS)
