@@ -70,6 +70,10 @@ def _lk(dim: str, key: str, name_out: str | None = None, on: str = "series",
     return Lookup(dim=dim, name_out=name_out or f"{dim}_name", key=key, key_sql=key_sql, on=on)
 
 
+# The ten datasets' raw file names, positional series columns,
+# code lists and target table layouts (column names, VARCHAR lengths, NUMERIC
+# precision, NOT NULL). They must equal the published files and the wide
+# tables users query, so they are stated as data below.
 _HEAD = "series_id varchar(20) not null, year int not null, period varchar(3) not null"
 
 DATASETS: dict[str, DatasetSpec] = {}

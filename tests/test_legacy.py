@@ -6,7 +6,7 @@ from seriesmart.operators.loadlog import HEADS_SCHEMA, read_log
 from seriesmart.plans import LegacySpec, load_legacy_dataset, part_keys, yearly_files
 from seriesmart.sinks import read_current
 
-SPEC = LegacySpec("la", "bls_unemployment",
+SPEC = LegacySpec("la", "unemployment_narrow",
                   (("series_id", "string"), ("year", "int"), ("period", "string"),
                    ("value", "decimal(18,4)"), ("footnote_codes", "string")))
 
@@ -19,7 +19,7 @@ def test_parts_logged_with_their_own_counts(spark, tmp_path):
     out, log = str(tmp_path / "out"), str(tmp_path / "log")
     r = load_legacy_dataset(spark, SPEC, [p1, p2], out, log)
     assert r["rows"] == 3 and r["parts"] == {"part1": 2, "part2": 1}
-    t = read_current(spark, f"{out}/bls_unemployment")
+    t = read_current(spark, f"{out}/unemployment_narrow")
     assert t.columns == ["series_id", "year", "period", "value", "footnote_codes", "loaded_at"]
     rows = sorted((x["series_id"], x["year"], x["period"], x["value"] and float(x["value"]),
                    x["footnote_codes"]) for x in t.collect())
@@ -53,7 +53,7 @@ def test_yearly_keys_and_listing(spark, tmp_path):
                          ["{root}/{year}.q1-q4.singlefile.csv", "{root}/{year}_qtrly_singlefile.csv"])
     assert [f[-30:].split("/")[-1][:4] for f in files] == ["2019", "2020", "2021"]
     assert part_keys(files, year_keyed=True) == ["2019", "2020", "2021"]
-    spec = LegacySpec("qcew", "bls_qcew", (("area_fips", "string"), ("year", "int")))
+    spec = LegacySpec("qcew", "census_narrow", (("area_fips", "string"), ("year", "int")))
     r = load_legacy_dataset(spark, spec, files, str(tmp_path / "o"), str(tmp_path / "log"), year_keyed=True)
     assert r["parts"] == {"2019": 1, "2020": 1, "2021": 1}
-    assert {x["area_fips"] for x in read_current(spark, f"{tmp_path}/o/bls_qcew").collect()} == {"01000"}
+    assert {x["area_fips"] for x in read_current(spark, f"{tmp_path}/o/census_narrow").collect()} == {"01000"}
