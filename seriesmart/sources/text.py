@@ -46,17 +46,19 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], with_order: bool
     return df
 
 
-def _split(lines: DataFrame, strip_nul_bytes: bool, header_prefix: str | None,
+def _flags(lines: DataFrame, n: int, strip_nul_bytes: bool, header_prefix: str | None,
            keep: Sequence[str] = ()) -> DataFrame:
-    """``_p`` (the fields of the line) plus flags ``_real`` (neither blank nor a
-    header line); the line is split once, every later step reads the array."""
+    """The (NUL-free) line plus ``_real`` (neither blank nor a header line) and
+    ``_n``, the number of fields counted up to ``n`` (a split that stops after
+    ``n - 1`` tabs)."""
     v = F.col("value")
     if strip_nul_bytes:
         v = strip_nul(v)
     real = ~is_blank(v)
     if header_prefix:
         real = real & ~v.startswith(header_prefix)
-    return lines.select(F.split(v, "\t", -1).alias("_p"), real.alias("_real"), *keep)
+    return lines.select(v.alias("value"), real.alias("_real"),
+                        F.size(F.split(v, "\t", max(n, 1))).alias("_n"), *keep)
 
 
 def parse_lines(lines: DataFrame, columns: Sequence[str], min_fields: int | None = None,
@@ -74,18 +76,22 @@ def parse_lines(lines: DataFrame, columns: Sequence[str], min_fields: int | None
     ``keep`` names input columns carried through (e.g. ``_line``).
     With ``observation`` the counts ``kept`` and ``skipped`` (as in
     ``count_skipped``) are collected while the rows are parsed, no extra pass.
+
+    Splits stop early: the field count stops at ``min_fields`` and a kept line
+    is split only as far as the wanted columns.
     """
     n = len(columns) if min_fields is None else min_fields
     tokens = tuple(null_tokens)
-    split = _split(lines, strip_nul_bytes, header_prefix, keep)
+    flagged = _flags(lines, n, strip_nul_bytes, header_prefix, keep)
     if observation is not None:
-        real, size = F.col("_real"), F.size("_p")
-        split = split.observe(observation,
-                              F.count_if(real & (size >= n)).cast("bigint").alias("kept"),
-                              F.count_if(real & (size < n)).cast("bigint").alias("skipped"))
-    ok = split.filter(F.col("_real") & (F.size("_p") >= n))
-    trimmed = ok.select(*[clean_text(F.try_element_at("_p", F.lit(i + 1))).alias(c)
-                          for i, c in enumerate(columns)], *keep)
+        real, size = F.col("_real"), F.col("_n")
+        flagged = flagged.observe(observation,
+                                  F.count_if(real & (size >= n)).cast("bigint").alias("kept"),
+                                  F.count_if(real & (size < n)).cast("bigint").alias("skipped"))
+    ok = flagged.filter(F.col("_real") & (F.col("_n") >= n))
+    parts = ok.select(F.split("value", "\t", len(columns) + 1).alias("_p"), *keep)
+    trimmed = parts.select(*[clean_text(F.try_element_at("_p", F.lit(i + 1))).alias(c)
+                             for i, c in enumerate(columns)], *keep)
     return trimmed.select(*[null_if_token(c, tokens).alias(c) for c in columns], *keep)
 
 
@@ -98,10 +104,10 @@ def count_skipped(lines: DataFrame, columns: Sequence[str] | int, min_fields: in
     """
     width = columns if isinstance(columns, int) else len(columns)
     n = width if min_fields is None else min_fields
-    split = _split(lines, strip_nul_bytes, header_prefix)
-    real, size = F.col("_real"), F.size("_p")
-    return split.agg(F.count_if(real & (size >= n)).cast("bigint").alias("kept"),
-                     F.count_if(real & (size < n)).cast("bigint").alias("skipped"))
+    flagged = _flags(lines, n, strip_nul_bytes, header_prefix)
+    real, size = F.col("_real"), F.col("_n")
+    return flagged.agg(F.count_if(real & (size >= n)).cast("bigint").alias("kept"),
+                       F.count_if(real & (size < n)).cast("bigint").alias("skipped"))
 
 
 def read_facts(spark: SparkSession, paths, columns: Sequence[str] = FACT_COLUMNS,
