@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .joins import bounded_broadcast, broadcast_limit, lookup_join
+from .joins import bounded_broadcast, lookup_join
 
 
 @dataclass(frozen=True)
@@ -77,10 +77,7 @@ def denormalize(facts: DataFrame, series: DataFrame, dims: Mapping[str, DataFram
     keep = [c for c in series.columns if c == series_key or c not in facts.columns]
     s = enrich(series.select(*keep), dims, [lk for lk in lookups if lk.on == "series"], max_rows,
                small_dims)
-    if series_rows is None:
-        s = bounded_broadcast(s, max_rows, what="series")
-    else:
-        s = F.broadcast(s) if series_rows <= broadcast_limit(s, max_rows) else s.hint("shuffle_hash")
+    s = bounded_broadcast(s, max_rows, what="series", rows=series_rows)
     how = "inner"
     if observation is not None:
         s = s.withColumn("_has_series", F.lit(True))

@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_ROWS = 100_000
 CONF_BROADCAST_ROWS = "seriesmart.broadcast.maxRows"
+# rows of a hash-join build side per shuffle partition (its hash table cannot
+# spill); above budget x partitions the join sorts and merges instead
+DEFAULT_HASH_ROWS_PER_PARTITION = 2_000_000
+CONF_HASH_ROWS = "seriesmart.shuffleHash.maxRowsPerPartition"
 
 
 def broadcast_limit(df: DataFrame, max_rows: int | None = None) -> int:
@@ -32,21 +36,41 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def hash_join_limit(df: DataFrame) -> int:
+    spark = df.sparkSession
+    per = int(spark.conf.get(CONF_HASH_ROWS, None) or DEFAULT_HASH_ROWS_PER_PARTITION)
+    return per * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None, what: str = "",
                       fallback: str | None = "shuffle_hash", bound_by: DataFrame | None = None,
-                      small: bool | None = None) -> DataFrame:
-    """``F.broadcast(df)`` when it provably has at most ``max_rows`` rows;
-    otherwise ``df`` hinted with ``fallback`` (build side of a shuffled join).
+                      small: bool | None = None, rows: int | None = None) -> DataFrame:
+    """Choose how ``df`` - the side of a join that is unique on its key - joins:
+
+    * ``F.broadcast(df)`` when it provably has at most ``max_rows`` rows;
+    * else the build side of a shuffled hash join when it has at most
+      ``seriesmart.shuffleHash.maxRowsPerPartition`` x shuffle partitions rows;
+    * else a sort-merge join (which spills), never an unchecked broadcast.
 
     ``bound_by`` is a DataFrame with at least as many rows as ``df`` (e.g. the
-    raw lines of a deduplicated code list): checking it stops after
-    ``max_rows + 1`` scanned rows instead of computing ``df``.  ``small``
-    passes a decision the caller already made."""
+    raw lines of a deduplicated code list): checking it stops after the bound
+    instead of computing ``df``.  ``small`` / ``rows`` pass what the caller
+    already knows."""
+    probe = bound_by if bound_by is not None else df
+    if rows is not None:
+        small = rows <= broadcast_limit(df, max_rows)
     if small is None:
-        small = fits(bound_by if bound_by is not None else df, broadcast_limit(df, max_rows))
+        small = fits(probe, broadcast_limit(df, max_rows))
     if small:
         return F.broadcast(df)
-    return df.hint(fallback) if fallback else df
+    if not fallback:
+        return df
+    if fallback == "shuffle_hash":
+        cap = hash_join_limit(df)
+        hashable = rows <= cap if rows is not None else fits(probe, cap)
+        if not hashable:
+            return df.hint("merge")
+    return df.hint(fallback)
 
 
 def lookup_join(df: DataFrame, dim: DataFrame, key: Column | str, name_out: str,

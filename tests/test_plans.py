@@ -110,3 +110,13 @@ def test_hot_series_is_split_in_the_counted_left_join(spark):
     assert r["n"] + obs.get["orphan_facts"] == n
     assert obs.get["orphan_facts"] == orphans
     assert "ShuffledHashJoin(skew=true)" in final and "LeftOuter" in final
+
+
+
+def test_huge_build_side_sorts_and_merges_instead(spark):
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    o = spark.read.parquet(f"{SF}/orders.parquet")
+    with conf(spark, **{"seriesmart.shuffleHash.maxRowsPerPartition": "1"}):
+        p = plan(denormalize(li, o, {}, [], fact_key="l_orderkey", series_key="o_orderkey",
+                             max_rows=10).select("l_orderkey"))
+    assert "SortMergeJoin" in p and "ShuffledHashJoin" not in p
