@@ -57,16 +57,18 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = None, what: str = ""
     instead of computing ``df``.  ``small`` / ``rows`` pass what the caller
     already knows."""
     probe = bound_by if bound_by is not None else df
+    limit = broadcast_limit(df, max_rows)
+    cap = max(hash_join_limit(df), limit)
+    if rows is None and small is None:
+        # one probe answers both questions; it stops reading after cap + 1 rows
+        rows = probe.limit(cap + 1).count()
     if rows is not None:
-        small = rows <= broadcast_limit(df, max_rows)
-    if small is None:
-        small = fits(probe, broadcast_limit(df, max_rows))
+        small = rows <= limit
     if small:
         return F.broadcast(df)
     if not fallback:
         return df
     if fallback == "shuffle_hash":
-        cap = hash_join_limit(df)
         hashable = rows <= cap if rows is not None else fits(probe, cap)
         if not hashable:
             return df.hint("merge")
