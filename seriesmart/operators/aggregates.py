@@ -66,20 +66,23 @@ def year_chunks(df: DataFrame, width: int, year_col: str = "year") -> DataFrame:
     """Rows per block of ``width`` years from the first year, with a running total:
     ``chunk_start, chunk_end, chunk_rows, total_rows``.
 
-    The rows are first reduced to one count per chunk (partial aggregation);
-    the running total then runs over those few rows only.
+    One pass over the data reduces it to one count per year (partial
+    aggregation); the first and last year, the chunks and the running total
+    are then computed over those few rows (at most one per year, so the
+    unpartitioned windows below never see the data itself).
     """
-    y = df.select(year_of(df, year_col).cast("int").alias("_yr")).filter(F.col("_yr").isNotNull())
-    bounds = y.agg(F.min("_yr").alias("lo"), F.max("_yr").alias("hi"))
-    lo = bounds.select("lo").scalar()
-    hi = bounds.select("hi").scalar()
-    start = (lo + F.floor((F.col("_yr") - lo) / F.lit(width)) * width).cast("int")
-    c = (y.groupBy(start.alias("chunk_start"))
-         .agg(F.count(F.lit(1)).alias("chunk_rows")))
-    # one row per chunk: the running total needs no partitioning
+    per_year = (df.select(year_of(df, year_col).cast("int").alias("_yr"))
+                .filter(F.col("_yr").isNotNull())
+                .groupBy("_yr").agg(F.count(F.lit(1)).alias("_n")))
+    everything = Window.partitionBy()
+    bounded = per_year.select("_yr", "_n", F.min("_yr").over(everything).alias("_lo"),
+                              F.max("_yr").over(everything).alias("_hi"))
+    start = (F.col("_lo") + F.floor((F.col("_yr") - F.col("_lo")) / F.lit(width)) * width).cast("int")
+    c = bounded.groupBy(start.alias("chunk_start")).agg(F.sum("_n").alias("chunk_rows"),
+                                                        F.max("_hi").alias("_hi"))
     w = Window.orderBy("chunk_start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return c.select(
         "chunk_start",
-        F.least(F.col("chunk_start") + (width - 1), hi).cast("int").alias("chunk_end"),
-        "chunk_rows",
+        F.least(F.col("chunk_start") + (width - 1), F.col("_hi")).cast("int").alias("chunk_end"),
+        F.col("chunk_rows").cast("bigint").alias("chunk_rows"),
         F.sum("chunk_rows").over(w).cast("bigint").alias("total_rows"))
