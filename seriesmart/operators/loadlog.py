@@ -186,3 +186,32 @@ def stale_success(log: DataFrame, max_age: str, keys: Sequence[str] = KEYS,
 def failed_loads(log: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Keys whose current state is failed."""
     return latest_log(log, keys).filter(F.col("status") == "failed")
+
+
+def alerts(log: DataFrame, max_age: str = "2 days", deviation: float = 0.1,
+           keys: Sequence[str] = KEYS, now: Column | None = None) -> DataFrame:
+    """All alerts of the log as rows ``keys..., alert, detail``:
+
+    * ``failed``: the key's current state is a failed load;
+    * ``stale``: no successful load within ``max_age`` of ``now``;
+    * ``row_deviation``: the last successful load's row count differs from
+      the one before it by more than ``deviation`` of it.
+    """
+    keys = list(keys)
+    failed = failed_loads(log, keys).select(*keys, F.lit("failed").alias("alert"),
+                                            F.col("error_message").alias("detail"))
+    stale = stale_success(log, max_age, keys, now).select(
+        *keys, F.lit("stale").alias("alert"), F.col("last_ok").cast("string").alias("detail"))
+    ok = log.filter(F.col("status") == "success")
+    last = latest_per_key(ok, keys, ORDER, ["rows_loaded", *ORDER]).select(
+        *keys, F.col("rows_loaded").alias("_new"), F.struct(*ORDER).alias("_at"))
+    earlier = (ok.join(bounded_broadcast(last, bound_by=log), keys)
+               .filter(F.struct(*ORDER) < F.col("_at")))
+    prev = earlier.groupBy(*keys).agg(F.max_by("rows_loaded", F.struct(*ORDER)).alias("_prev"),
+                                      F.first("_new").alias("_new"))
+    moved = prev.filter((F.col("_prev") > 0)
+                        & (F.abs(F.col("_new") - F.col("_prev")) > F.lit(deviation) * F.col("_prev")))
+    dev = moved.select(*keys, F.lit("row_deviation").alias("alert"),
+                       F.concat(F.col("_prev").cast("string"), F.lit(" -> "),
+                                F.col("_new").cast("string")).alias("detail"))
+    return failed.unionByName(stale).unionByName(dev)

@@ -96,3 +96,22 @@ def test_log_views(spark):
     skip = {r["dataset"]: r["skip"] for r in already_loaded(ds, log).collect()}
     assert skip == {"a": True, "b": False, "c": False}
     assert not any(r["skip"] for r in already_loaded(ds, log, force=True).collect())
+
+
+
+def test_alerts(spark):
+    from pyspark.sql import functions as F
+    from seriesmart.operators import alerts
+    d = dt.datetime
+    log = log_rows(spark, [
+        dict(dataset="a", data_key="all", status="success", rows_loaded=100, load_timestamp=d(2024, 1, 1), seq=1),
+        dict(dataset="a", data_key="all", status="success", rows_loaded=80, load_timestamp=d(2024, 1, 9), seq=2),
+        dict(dataset="b", data_key="all", status="success", rows_loaded=100, load_timestamp=d(2024, 1, 2), seq=3),
+        dict(dataset="b", data_key="all", status="success", rows_loaded=95, load_timestamp=d(2024, 1, 3), seq=4),
+        dict(dataset="c", data_key="all", status="success", rows_loaded=10, load_timestamp=d(2024, 1, 9), seq=5),
+        dict(dataset="c", data_key="all", status="failed", rows_loaded=0, load_timestamp=d(2024, 1, 10), seq=6,
+             error_message="boom")])
+    got = sorted((r["dataset"], r["alert"], r["detail"]) for r in
+                 alerts(log, "2 days", 0.1, now=F.lit(d(2024, 1, 10)).cast("timestamp")).collect())
+    assert got == [("a", "row_deviation", "100 -> 80"), ("b", "stale", "2024-01-03 00:00:00"),
+                   ("c", "failed", "boom")]
