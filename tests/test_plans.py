@@ -120,3 +120,16 @@ def test_huge_build_side_sorts_and_merges_instead(spark):
         p = plan(denormalize(li, o, {}, [], fact_key="l_orderkey", series_key="o_orderkey",
                              max_rows=10).select("l_orderkey"))
     assert "SortMergeJoin" in p and "ShuffledHashJoin" not in p
+
+
+def test_hot_year_is_split_across_files_by_rebalance(spark, tmp_path):
+    import os
+    from seriesmart.sinks import publish_full_refresh
+    n = 400_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 10 < 9, F.lit(2020)).otherwise(F.lit(2021)).alias("year"),
+        F.col("id").alias("v"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    with conf(spark, **{"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m"}):
+        res = publish_full_refresh(df.hint("rebalance", "year"), str(tmp_path / "t"), partition_by=["year"])
+    hot = [f for f in os.listdir(res.location.replace("file:", "") + "/year=2020") if f.endswith(".parquet")]
+    assert res.rows == n and len(hot) > 2
