@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .functions import (LEGACY_NULL_TOKENS, DEFAULT_NULL_TOKENS, cast_columns, cast_value,
                         http_date, null_if_token, period_label, seasonal_from_id, seasonal_label,
                         url_segment)
-from .operators import (Lookup, already_loaded, check_constraints, check_unique, denormalize, deviation_alert,
+from .operators import (Lookup, alerts, already_loaded, check_constraints, check_unique, denormalize, deviation_alert,
                         dimension_sizes, latest_log, longer_than, lookup_join, min_max_year,
                         not_null, orphan_counts, recent_log, row_count_verdict, run_summary,
                         should_download, should_reload, skip_counts, stale_success, table_counts,
@@ -475,7 +475,7 @@ def _event_log(e):
                     F.when(F.col("event_type") == "error", F.lit("failed"))
                     .otherwise(F.lit("success")).alias("status"),
                     F.col("ts").alias("load_timestamp"), F.col("event_id").alias("seq"),
-                    F.col("event_id").alias("event_id"))
+                    F.col("value"))
 
 
 @query
@@ -510,6 +510,19 @@ def validate_against_last_success(spark, sf):
     return v.select(F.col("dataset").alias("user_id"), "new_rows", "prev_rows", "verdict")
 
 
+@query
+def load_log_alerts(spark, sf):
+    """Alerts over a log where every event is a load of its user's dataset
+    (error events failed), with floor(value) rows: failed datasets, no
+    success within two days of the newest event, and a row count that moved
+    more than 10 % between the last two successful loads."""
+    e = table(spark, sf, "events")
+    log = _event_log(e).withColumns({"rows_loaded": F.floor("value").cast("bigint"),
+                                     "error_message": F.lit(None).cast("string")})
+    now = e.select(F.max("ts")).scalar()
+    return alerts(log, "2 days", 0.1, now=now).select(F.col("dataset").alias("user_id"), "alert")
+
+
 @query(name="should_reload")
 def should_reload_query(spark, sf):
     log, heads = _log_and_heads(spark, sf)
@@ -679,6 +692,7 @@ ORACLE_SQL: dict[str, str] = {
     "header_mapped_scan": "SELECT s_suppkey, s_name, s_nationkey, CAST(NULL AS VARCHAR) AS absent FROM supplier",
     "legacy_parts_load": "SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders",
     "left_lookup_keeps_unmatched": "SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, p.p_name FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey LEFT JOIN (SELECT * FROM part WHERE p_size < 25) p ON l.l_partkey = p.p_partkey",
+    "load_log_alerts": "WITH lg AS (SELECT user_id, event_id, ts, event_type, CAST(FLOOR(value) AS BIGINT) AS rows_loaded FROM events), cur AS (SELECT user_id, event_type FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM lg) t WHERE rn = 1), ok AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM lg WHERE event_type <> 'error'), failed AS (SELECT user_id, 'failed' AS alert FROM cur WHERE event_type = 'error'), stale AS (SELECT user_id, 'stale' AS alert FROM ok WHERE rn = 1 AND ts < (SELECT MAX(ts) FROM events) - INTERVAL 2 DAY), dev AS (SELECT n.user_id, 'row_deviation' AS alert FROM ok n JOIN ok p ON n.user_id = p.user_id AND n.rn = 1 AND p.rn = 2 WHERE p.rows_loaded > 0 AND abs(n.rows_loaded - p.rows_loaded) > 0.1 * p.rows_loaded) SELECT user_id, alert FROM failed UNION ALL SELECT user_id, alert FROM stale UNION ALL SELECT user_id, alert FROM dev",
     "log_upsert_latest": "SELECT user_id, event_type, event_id, ts, value FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events) t WHERE rn = 1",
     "map_join_skip_count": "SELECT CAST(SUM(CASE WHEN o.o_orderkey IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS loaded, CAST(SUM(CASE WHEN o.o_orderkey IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS skipped FROM lineitem l LEFT JOIN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') o ON l.l_orderkey = o.o_orderkey",
     "min_max_year": "SELECT CAST(MIN(year(o_orderdate)) AS INTEGER) AS min_year, CAST(MAX(year(o_orderdate)) AS INTEGER) AS max_year FROM orders",
