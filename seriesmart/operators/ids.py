@@ -22,14 +22,20 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
+def _input_splits(df: DataFrame) -> int:
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (remote session)
+        return 0
+
+
 def with_surrogate_id(df: DataFrame, order: Sequence[str], id_col: str = "id",
                       start: int = 1, partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     cols = list(df.columns)
     # at least as many ranges as input splits, so a range is about one split
-    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                          df.rdd.getNumPartitions())
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), _input_splits(df))
     keyed = df.withColumn("_h", F.xxhash64(*cols)).withColumn("_m", F.monotonically_increasing_id())
     order_cols = [*order, "_h", "_m"]
     ranged = keyed.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
