@@ -118,3 +118,12 @@ def test_spec_schema(spark):
     assert cpi.fieldNames()[0] == "id" and cpi["value"].dataType.simpleString() == "decimal(15,4)"
     ce = DATASETS["employment"].struct_type()
     assert not ce["series_id"].nullable and ce["value"].dataType.simpleString() == "decimal(14,2)"
+
+
+def test_stream_backlog_in_bounded_batches(spark, tmp_path):
+    land, out, ck = (str(tmp_path / x) for x in ("land", "out", "ck"))
+    for i in range(3):
+        write_text(f"{land}/f{i}.txt", "".join(f"S{i}_{j}\t{2000 + j}\n" for j in range(5)))
+    batches = stream_ingest(spark, land, ["series_id", "year"], out, ck, max_files_per_trigger=1)
+    assert batches >= 3
+    assert spark.read.parquet(out).count() == 15
