@@ -184,7 +184,7 @@ def read_dimension(spark: SparkSession, paths, key_col: int = 0, name_col: int =
     lines = read_lines(spark, paths, with_order=True)
     lines = lines.withColumn("value", strip_nul("value"))
     lines = _drop_first_line_if(lines, F.col("value").contains("\t"))
-    parts = F.split(F.col("value"), "\t", -1)
+    parts = F.split(F.col("value"), "\t", max(key_col, name_col) + 2)
     code = clean_text(F.try_element_at(parts, F.lit(key_col + 1)))
     name = clean_field(F.try_element_at(parts, F.lit(name_col + 1)), null_tokens)
     rows = (lines.filter(~is_blank("value"))
