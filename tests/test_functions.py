@@ -59,11 +59,13 @@ def test_null_tokens(spark):
 
 
 def test_http_date(spark):
-    df = spark.createDataFrame([("Sun, 06 Nov 1994 08:49:37 GMT",), ("06 Nov 1994 09:49:37 +0100",),
-                                ("6 Nov 1994 08:49:37",), ("garbage",)], "v string")
+    vals = ["Sun, 06 Nov 1994 08:49:37 GMT", "06 Nov 1994 09:49:37 +0100", "6 Nov 1994 08:49:37",
+            "Sun, 06 Nov 1994 08:49:37 UT", "06 Nov 1994 08:49:37 UTC", "06 Nov 1994 08:49:37 Z",
+            "06 Nov 1994 03:49:37 -0500", " Sun,  06 Nov 1994 08:49:37 GMT ", "garbage"]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
     got = [r[0] for r in df.select(http_date("v")).collect()]
     t = dt.datetime(1994, 11, 6, 8, 49, 37)
-    assert got == [t, t, t, None]
+    assert got == [t] * 8 + [None]
 
 
 def test_url_segment_and_date_guard(spark):
