@@ -82,12 +82,15 @@ def tsv_positional_scan(spark, sf):
 
 @query
 def short_row_filter(spark, sf):
+    """Raw lines from orders: low-priority orders become blank lines, pending
+    orders short rows (two fields), the rest full rows."""
     o = table(spark, sf, "orders")
     k = F.col("o_orderkey")
     full = F.concat_ws("\t", k.cast("string"), F.col("o_custkey").cast("string"),
                        F.col("o_orderstatus"), F.col("o_totalprice").cast("string"))
     short = F.concat_ws("\t", k.cast("string"), F.col("o_custkey").cast("string"))
-    line = F.when(k % 11 == 0, F.lit("  ")).when(k % 10 == 0, short).otherwise(full)
+    line = (F.when(F.col("o_orderpriority") == "5-LOW", F.lit("  "))
+            .when(F.col("o_orderstatus") == "P", short).otherwise(full))
     return count_skipped(o.select(line.alias("value")), 4)
 
 
@@ -268,9 +271,10 @@ def schema_typed_cast(spark, sf):
 
 @query
 def date_guard(spark, sf):
+    """Order dates as text; open orders carry them without dashes (dropped)."""
     o = table(spark, sf, "orders")
     path = scratch_path(spark, "date_guard")
-    d = F.when(F.col("o_orderkey") % 2 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise(
+    d = F.when(F.col("o_orderstatus") != "O", F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise(
         F.date_format("o_orderdate", "yyyyMMdd"))
     write_tsv(o.select("o_orderkey", d.alias("d")), path, header=True)
     return read_delimited(spark, path, ["o_orderkey", "d"], {"o_orderkey": "bigint", "d": "date"})
@@ -682,7 +686,7 @@ ORACLE_SQL: dict[str, str] = {
     "bulk_scan": "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer",
     "constraint_violations": "SELECT CAST(SUM(CASE WHEN p_name IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_names, CAST(SUM(CASE WHEN length(p_name) > 10 THEN 1 ELSE 0 END) AS BIGINT) AS too_long FROM part",
     "csv_export_roundtrip": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
-    "date_guard": "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderdate AS DATE) END AS d FROM orders",
+    "date_guard": "SELECT o_orderkey, CASE WHEN o_orderstatus <> 'O' THEN CAST(o_orderdate AS DATE) END AS d FROM orders",
     "decimal_cast": "SELECT l_orderkey, l_linenumber, CAST(CAST(l_extendedprice AS VARCHAR) AS DECIMAL(14,2)) AS value FROM lineitem",
     "delimiter_detect": "SELECT 'comma_file' AS f, ',' AS delim, COUNT(*) AS n, CAST(SUM(s_nationkey) AS BIGINT) AS key_sum FROM supplier UNION ALL SELECT 'tab_file', chr(9), COUNT(*), CAST(SUM(s_nationkey) AS BIGINT) FROM supplier",
     "dim_last_wins": "SELECT o_custkey, max_by(o_orderstatus, o_orderkey) AS name FROM orders GROUP BY o_custkey",
@@ -711,7 +715,7 @@ ORACLE_SQL: dict[str, str] = {
     "schema_typed_cast": "SELECT o_orderkey, lpad(CAST(o_orderkey AS VARCHAR),12,'0') AS code, TRY_CAST(o_orderpriority AS INTEGER) AS bad FROM orders",
     "seasonal_label_case": "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'Seasonally Adjusted' WHEN 'O' THEN 'Not Seasonally Adjusted' ELSE NULL END AS seasonal_name FROM orders",
     "series_mapping_filter": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'",
-    "short_row_filter": "SELECT CAST(SUM(CASE WHEN o_orderkey % 10 <> 0 AND o_orderkey % 11 <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS kept, CAST(SUM(CASE WHEN o_orderkey % 10 = 0 AND o_orderkey % 11 <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS skipped FROM orders",
+    "short_row_filter": "SELECT CAST(SUM(CASE WHEN o_orderstatus <> 'P' AND o_orderpriority <> '5-LOW' THEN 1 ELSE 0 END) AS BIGINT) AS kept, CAST(SUM(CASE WHEN o_orderstatus = 'P' AND o_orderpriority <> '5-LOW' THEN 1 ELSE 0 END) AS BIGINT) AS skipped FROM orders",
     "should_download": "WITH cut AS (SELECT MAX(event_id) / 2 AS m FROM events), prev AS (SELECT user_id, etag, status FROM (SELECT user_id, event_type AS etag, CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS status, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events CROSS JOIN cut WHERE event_id < m) t WHERE rn = 1 AND etag <> 'signup'), head AS (SELECT user_id, CASE WHEN etag = 'view' THEN NULL ELSE etag END AS etag FROM (SELECT user_id, event_type AS etag, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events CROSS JOIN cut WHERE event_id >= m) t WHERE rn = 1) SELECT h.user_id, CASE WHEN h.etag IS NULL OR h.etag = '' THEN true WHEN p.user_id IS NULL THEN true WHEN p.status = 'failed' THEN true ELSE h.etag IS DISTINCT FROM p.etag END AS download FROM head h LEFT JOIN prev p ON h.user_id = p.user_id",
     "should_reload": "WITH cut AS (SELECT MAX(event_id) / 2 AS m FROM events), prev AS (SELECT user_id, etag, status FROM (SELECT user_id, event_type AS etag, CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS status, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events CROSS JOIN cut WHERE event_id < m) t WHERE rn = 1 AND etag <> 'signup'), head AS (SELECT user_id, CASE WHEN etag = 'view' THEN NULL ELSE etag END AS etag FROM (SELECT user_id, event_type AS etag, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events CROSS JOIN cut WHERE event_id >= m) t WHERE rn = 1) SELECT h.user_id, CASE WHEN p.user_id IS NULL THEN true WHEN p.status = 'failed' THEN true WHEN h.etag IS NULL OR h.etag = '' THEN false ELSE h.etag IS DISTINCT FROM p.etag END AS reload FROM head h LEFT JOIN prev p ON h.user_id = p.user_id",
     "stale_success": "SELECT user_id, MAX(CASE WHEN event_type <> 'error' THEN ts END) AS last_ok FROM events GROUP BY user_id HAVING MAX(CASE WHEN event_type <> 'error' THEN ts END) < (SELECT MAX(ts) FROM events) - INTERVAL 2 DAY",
