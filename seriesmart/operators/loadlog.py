@@ -177,6 +177,9 @@ def stale_success(log: DataFrame, max_age: str, keys: Sequence[str] = KEYS,
     (``max_age`` an interval text such as ``'2 days'``).  ``now`` defaults to
     the current time; keys that never succeeded give ``last_ok`` NULL and are
     not reported here (they show up as failed)."""
+    import re
+    if not re.fullmatch(r"\s*\d+\s+(second|minute|hour|day|week)s?\s*", max_age, re.IGNORECASE):
+        raise ValueError(f"max_age must look like '2 days', not {max_age!r}")
     ok = (F.col("status") == "success") if ok is None else ok
     last = log.groupBy(*keys).agg(F.max(F.when(ok, F.col(ts_col))).alias("last_ok"))
     now = F.current_timestamp() if now is None else now
