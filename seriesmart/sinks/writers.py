@@ -138,6 +138,15 @@ def write_lines(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
     lines.write.mode(mode).text(path)
 
 
+def _ident(name: str) -> str:
+    """Quote each part of a (possibly qualified) table or column name."""
+    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def register_table(spark: SparkSession, name: str, location: str,
                    partition_by: Sequence[str] = ()) -> None:
     """Make catalog table ``name`` read the published version at ``location``:
@@ -146,14 +155,14 @@ def register_table(spark: SparkSession, name: str, location: str,
     if not table_exists(spark, name):
         df = spark.read.parquet(location)
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-        sql = f"CREATE TABLE {name} ({ddl}) USING parquet"
+        sql = f"CREATE TABLE {_ident(name)} ({ddl}) USING parquet"
         if partition_by:
-            sql += " PARTITIONED BY (" + ", ".join(partition_by) + ")"
-        spark.sql(sql + f" LOCATION '{location}'")
+            sql += " PARTITIONED BY (" + ", ".join(_ident(c) for c in partition_by) + ")"
+        spark.sql(sql + f" LOCATION {_literal(location)}")
     else:
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+        spark.sql(f"ALTER TABLE {_ident(name)} SET LOCATION {_literal(location)}")
     if partition_by:
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        spark.sql(f"ALTER TABLE {_ident(name)} RECOVER PARTITIONS")
     spark.catalog.refreshTable(name)
 
 
@@ -167,10 +176,10 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, location:
     if table_exists(spark, name):
         return False
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    sql = f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet"
+    sql = f"CREATE TABLE IF NOT EXISTS {_ident(name)} ({ddl}) USING parquet"
     if partition_by:
-        sql += " PARTITIONED BY (" + ", ".join(partition_by) + ")"
+        sql += " PARTITIONED BY (" + ", ".join(_ident(c) for c in partition_by) + ")"
     if location:
-        sql += f" LOCATION '{location}'"
+        sql += f" LOCATION {_literal(location)}"
     spark.sql(sql)
     return True
