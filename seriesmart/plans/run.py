@@ -85,13 +85,12 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, ou
             log = read_log(spark, log_path)
     else:
         log = empty_log(spark)
-    head = None
+    head_row = None
     if heads is not None:
         head = heads.filter((F.col("dataset") == spec.key) & (F.col("data_key") == data_key))
-        decision = should_reload(head, log).select("reload").first()
-        if decision is not None and not decision["reload"] and not force:
+        head_row = should_reload(head, log).first()      # the head's columns plus the verdict
+        if head_row is not None and not head_row["reload"] and not force:
             return LoadResult(spec.key, "skipped", message="source unchanged")
-    head_row = head.first() if head is not None else None
 
     def _log(status, rows=None, location=None, message=None):
         if log_path:
