@@ -19,16 +19,16 @@ import sys
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="python -m seriesmart")
     sub = ap.add_subparsers(dest="cmd", required=True)
-    ld = sub.add_parser("load")
-    ld.add_argument("--datasets", default="all")
-    ld.add_argument("--landing", required=True)
-    ld.add_argument("--out", required=True)
-    ld.add_argument("--log", required=True)
-    ld.add_argument("--heads")
-    ld.add_argument("--force", action="store_true")
-    ld.add_argument("--tolerant", action="store_true")
-    ld.add_argument("--workers", type=int, default=1)
-    st = sub.add_parser("status")
+    ld = sub.add_parser("load", help="load datasets from raw files into validated wide tables")
+    ld.add_argument("--datasets", default="all", help="'all' or a comma list of dataset keys")
+    ld.add_argument("--landing", required=True, help="folder with one sub-folder of raw files per dataset")
+    ld.add_argument("--out", required=True, help="root of the published tables")
+    ld.add_argument("--log", required=True, help="path of the load log")
+    ld.add_argument("--heads", help="CSV of source tags: dataset,data_key,etag,last_modified,source_url")
+    ld.add_argument("--force", action="store_true", help="load even when the source is unchanged")
+    ld.add_argument("--tolerant", action="store_true", help="store NULL for unfit values instead of failing")
+    ld.add_argument("--workers", type=int, default=1, help="datasets loaded side by side")
+    st = sub.add_parser("status", help="rows per published table and the newest load-log rows")
     st.add_argument("--out", required=True)
     st.add_argument("--log", required=True)
     for p in (ld, st):
