@@ -9,10 +9,23 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe
+from . import bpe, pii, secret_scan
 from .common import id_text, n_of, sha256, span_text, table
 
 
+def _span_digest(found: DataFrame, base: list[str]) -> DataFrame:
+    """Counts and digest of the base spans, and all spans as text."""
+    spans = F.col("spans")
+    own = F.filter(spans, lambda s: s["kind"].isin(base))
+    return found.select("doc_id", *[n_of(spans, k).alias(f"n_{k}") for k in base],
+                        sha256(span_text(own)).alias("base_sha256"), span_text(spans).alias("spans"))
+
+
+def op2_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    return _span_digest(pii.scan(id_text(table(spark, sf_dir, "documents"))), pii.BASE)
+
+
 def op6_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,7 +36,12 @@ def op6_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                        sha256(F.col("decoded")).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op6_bpe_roundtrip,)}
+def op7_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    return _span_digest(secret_scan.scan(id_text(table(spark, sf_dir, "documents"))), secret_scan.BASE)
+
+
+QUERIES = {f.__name__: f for f in (op2_pii_spans, op6_bpe_roundtrip, op7_secret_spans)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {}
