@@ -25,6 +25,7 @@ from functools import lru_cache
 
 import ahocorasick
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
@@ -36,7 +37,7 @@ PATTERN = (r" ?\p{L}+|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}+| ?[^\p{White_Space}\p{L}\
            r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 #: Pieces, and checked pairs, that a worker keeps: as many new ones, and the
 #: ones before them that were used again.
-MEMO = 400_000
+MEMO = 250_000
 #: Ids that are decoded at once.
 STEP = 1 << 20
 
@@ -188,25 +189,28 @@ def tables(path: str) -> Tables:
     return Tables(path)
 
 
+def _lists(many: list[np.ndarray]) -> pa.Array:
+    offsets = np.zeros(len(many) + 1, np.int32)
+    np.cumsum([len(x) for x in many], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(many) if many else [], pa.int32()))
+
+
 def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """Replace the text column by its token ids (array<int>)."""
-    import pyarrow as pa
+    return map_column(df, text_col, f"`{ids_col}` array<int>",
+                      lambda texts: {ids_col: _lists([tables(path).encode(x) for x in texts])})
 
-    def run(texts: list) -> dict:
-        t = tables(path)
-        got = [t.encode(x) for x in texts]
-        offsets = np.zeros(len(got) + 1, np.int32)
-        np.cumsum([len(x) for x in got], out=offsets[1:])
-        flat = np.concatenate(got) if got else np.empty(0, np.int32)
-        return {ids_col: pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))}
 
-    return map_column(df, text_col, f"`{ids_col}` array<int>", run)
+def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
+    """Replace the ids by the text that they stand for."""
+    return map_column(df, ids_col, f"`{text_col}` string",
+                      lambda many: {text_col: [tables(path).decode(x) for x in many]})
 
 
-def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
-    """Add the text that the ids stand for; the ids stay."""
-    from pyspark.sql import functions as F
+def round_trip(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
+    """Replace the text column by its ids and the text decoded from these, in one pass."""
+    def run(texts: list) -> dict:
+        many = [tables(path).encode(x) for x in texts]
+        return {ids_col: _lists(many), decoded_col: [tables(path).decode(x) for x in many]}
 
-    out = map_column(df.withColumn("__ids", F.col(ids_col)), "__ids", f"`{text_col}` string",
-                     lambda many: {text_col: [tables(path).decode(x) for x in many]})
-    return out
+    return map_column(df, text_col, f"`{ids_col}` array<int>, `{decoded_col}` string", run)

@@ -27,11 +27,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+#: Rows of an Arrow batch that are worked on at once.
+SLICE = 256
+
+
 def map_column(df: DataFrame, col: str, out: str, fn: Callable[[list], dict[str, Iterable[Any]]]) -> DataFrame:
     """Replace column ``col`` by the columns that ``fn`` makes of its values.
 
-    ``fn`` gets the values of one Arrow batch and returns one sequence per name
-    of the DDL ``out``; all other columns pass through as they are.
+    ``fn`` gets some of the values and returns one sequence per name of the DDL
+    ``out``; all other columns pass through as they are.  A worker holds the
+    results of ``SLICE`` rows, not those of a whole Arrow batch.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -42,7 +47,7 @@ def map_column(df: DataFrame, col: str, out: str, fn: Callable[[list], dict[str,
     types = to_arrow_schema(made)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             got = fn(batch.column(batch.schema.get_field_index(col)).to_pylist())
             arrays = [batch.column(batch.schema.get_field_index(f.name)) for f in rest]
             arrays += [pa.array(got[t.name], type=t.type) for t in types]

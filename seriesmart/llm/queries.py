@@ -29,8 +29,7 @@ def op2_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
-    ids = bpe.encode(id_text(table(spark, sf_dir, "documents")), vocabulary)
-    both = bpe.decode(ids, vocabulary, text_col="decoded")
+    both = bpe.round_trip(id_text(table(spark, sf_dir, "documents")), vocabulary)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        sha256(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
                        sha256(F.col("decoded")).alias("decoded_sha256"))
