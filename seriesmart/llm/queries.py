@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, near_dup, pii, secret_scan
+from . import bpe, near_dup, pii, quality_llr, secret_scan
 from .common import id_text, n_of, sha256, span_text, table
 
 
@@ -26,6 +26,11 @@ def op2_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_digest(pii.scan(id_text(table(spark, sf_dir, "documents"))), pii.BASE)
 
 
+def op3_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules, score and verdict of every document."""
+    return quality_llr.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document, on four-word shingles."""
     return near_dup.kept(near_dup.classes(table(spark, sf_dir, "documents"), spark, words=4, percent=80))
@@ -45,7 +50,7 @@ def op7_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_digest(secret_scan.scan(id_text(table(spark, sf_dir, "documents"))), secret_scan.BASE)
 
 
-QUERIES = {f.__name__: f for f in (op2_pii_spans, op4_near_duplicates, op6_bpe_roundtrip, op7_secret_spans)}
+QUERIES = {f.__name__: f for f in (op2_pii_spans, op3_quality_llr, op4_near_duplicates, op6_bpe_roundtrip, op7_secret_spans)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {}
