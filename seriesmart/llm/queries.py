@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, near_dup, pii, quality_llr, secret_scan
+from . import bpe, near_dup, pii, quality_llr, secret_scan, toxicity
 from .common import id_text, n_of, sha256, span_text, table
 
 
@@ -50,7 +50,12 @@ def op7_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_digest(secret_scan.scan(id_text(table(spark, sf_dir, "documents"))), secret_scan.BASE)
 
 
-QUERIES = {f.__name__: f for f in (op2_pii_spans, op3_quality_llr, op4_near_duplicates, op6_bpe_roundtrip, op7_secret_spans)}
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op2_pii_spans, op3_quality_llr, op4_near_duplicates, op6_bpe_roundtrip, op7_secret_spans, op8_toxicity)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {}
