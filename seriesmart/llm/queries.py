@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, near_dup, pii, quality_llr, secret_scan, toxicity
+from . import bpe, decontaminate, near_dup, pii, quality_llr, secret_scan, toxicity
 from .common import id_text, n_of, sha256, span_text, table
 
 
@@ -36,6 +36,12 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.kept(near_dup.classes(table(spark, sf_dir, "documents"), spark, words=4, percent=80))
 
 
+def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a benchmark item that it holds, edited copies included."""
+    found = decontaminate.leaks(id_text(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("x")).select("doc_id", "x.*")
+
+
 def op6_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
@@ -55,7 +61,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pii_spans, op3_quality_llr, op4_near_duplicates, op6_bpe_roundtrip, op7_secret_spans, op8_toxicity)}
+QUERIES = {f.__name__: f for f in (op2_pii_spans, op3_quality_llr, op4_near_duplicates, op5_benchmark_leaks, op6_bpe_roundtrip, op7_secret_spans, op8_toxicity)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {}
