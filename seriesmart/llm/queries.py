@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, near_dup, pii, quality_llr, secret_scan, toxicity
+from . import bpe, decontaminate, near_dup, pii, quality_llr, secret_scan, shards, toxicity
 from .common import id_text, n_of, sha256, span_text, table
 
 
@@ -61,7 +61,14 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pii_spans, op3_quality_llr, op4_near_duplicates, op5_benchmark_leaks, op6_bpe_roundtrip, op7_secret_spans, op8_toxicity)}
+def op10_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, copies together, counts at most one apart."""
+    placed = shards.assign(table(spark, sf_dir, "documents"), spark)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+QUERIES = {f.__name__: f for f in (op2_pii_spans, op3_quality_llr, op4_near_duplicates, op5_benchmark_leaks, op6_bpe_roundtrip, op7_secret_spans, op8_toxicity, op10_balanced_shards)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {}
