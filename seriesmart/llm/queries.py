@@ -9,8 +9,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, near_dup, pii, quality_llr, secret_scan, shards, toxicity
+from . import bpe, decontaminate, near_dup, pii, quality_llr, secret_scan, shards, toxicity, warc_index
 from .common import id_text, n_of, sha256, span_text, table
+from .graph import stored
 
 
 def _span_digest(found: DataFrame, base: list[str]) -> DataFrame:
@@ -21,6 +22,19 @@ def _span_digest(found: DataFrame, base: list[str]) -> DataFrame:
                         sha256(span_text(own)).alias("base_sha256"), span_text(spans).alias("spans"))
 
 
+def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, written, looked up by its URL in the index and read back."""
+    pages = table(spark, sf_dir, "pages")
+    places, idx = warc_index.archive(pages, spark)
+    found = warc_index.lookup(places.select("url_key", "page_id"), idx)
+    got = stored(warc_index.read(found).select("page_id", "n", "digest", "kind", "refers_to"), spark, "records")
+    # A revisit has no payload: its length is that of the response which it refers to.
+    sizes = got.filter("kind = 'response' AND n >= 1000").groupBy("page_id", "digest").agg(F.max("n").alias("size"))
+    return (got.join(sizes.withColumnRenamed("page_id", "refers_to"), ["refers_to", "digest"], "left")
+            .select("page_id", F.coalesce("n", "size").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
+                    F.col("kind").alias("record_type"), F.col("refers_to")))
+
+
 def op2_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document."""
     return _span_digest(pii.scan(id_text(table(spark, sf_dir, "documents"))), pii.BASE)
@@ -68,7 +82,15 @@ def op10_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pii_spans, op3_quality_llr, op4_near_duplicates, op5_benchmark_leaks, op6_bpe_roundtrip, op7_secret_spans, op8_toxicity, op10_balanced_shards)}
+QUERIES = {f.__name__: f for f in (op1_warc_index, op2_pii_spans, op3_quality_llr, op4_near_duplicates, op5_benchmark_leaks, op6_bpe_roundtrip, op7_secret_spans, op8_toxicity, op10_balanced_shards)}
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_warc_index": """
+        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+             f AS (SELECT d, max(page_id) AS first, count(*) AS k FROM p WHERE n >= 1000 GROUP BY d)
+        SELECT p.page_id, p.n::BIGINT AS payload_bytes, p.d AS payload_digest,
+               CASE WHEN f.k > 1 AND p.page_id <> f.first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN f.k > 1 AND p.page_id <> f.first THEN f.first END AS refers_to
+        FROM p LEFT JOIN f USING (d)""",
+}
