@@ -37,7 +37,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import id_text, map_column
 from .graph import components, stored
@@ -101,24 +101,27 @@ def minhash(h: np.ndarray) -> np.ndarray:
 
 
 def sketch(df: DataFrame, k: int) -> DataFrame:
-    """Replace ``text`` by n (shingles), set_id, sig (16 bits a value) and bands."""
+    """Replace ``text`` by n (shingles), set_id and sig (16 bits a value)."""
     def run(texts: list) -> dict:
-        out: dict[str, list] = {"n": [], "set_id": [], "sig": [], "bands": []}
+        out: dict[str, list] = {"n": [], "set_id": [], "sig": []}
         for text in texts:
             h = hashed(words_of(text), k)
             out["n"].append(len(h))
-            if not len(h):
-                for c in ("set_id", "sig", "bands"):
-                    out[c].append(None)
-                continue
-            least = minhash(h)
-            rows = least.reshape(BANDS, ROWS)
-            out["set_id"].append(blake2b(h.tobytes(), digest_size=16).digest())
-            out["sig"].append(least.astype(np.uint16).tobytes())
-            out["bands"].append([int(x) for x in np.array([xxhash.xxh64_intdigest(r.tobytes()) for r in rows], np.uint64).view(np.int64)])
+            out["set_id"].append(_set_id(h) if len(h) else None)
+            out["sig"].append(minhash(h).astype(np.uint16).tobytes() if len(h) else None)
         return out
 
-    return map_column(df, "text", "n long, set_id binary, sig binary, bands array<long>", run)
+    return map_column(df, "text", "n long, set_id binary, sig binary", run)
+
+
+def _set_id(h: np.ndarray) -> bytes:
+    return blake2b(h.tobytes(), digest_size=16).digest()
+
+
+def _band_keys(sig: str) -> Column:
+    """One hash of the signature values of each band."""
+    size = 2 * ROWS
+    return F.array(*[F.xxhash64(F.substring(sig, 1 + size * b, size)) for b in range(BANDS)])
 
 
 @lru_cache(maxsize=8)
@@ -187,19 +190,16 @@ def classes(docs: DataFrame, spark: SparkSession, words: int = 5, percent: int =
     ``percent`` per cent in common; component_id is the least id reachable.
     """
     plain = id_text(docs, id_col, text_col)
-    rows = stored(sketch(plain, words), spark, "sketch")
-    some = rows.filter("n > 0")
-    firsts = some.groupBy("set_id").agg(F.min("doc_id").alias("first"))
-    # One row for each class; repeated rows of its first document are one.
-    vertices = stored(
-        some.select("set_id", "doc_id", "n", "sig", "bands").join(firsts, "set_id")
-        .filter(F.col("doc_id").eqNullSafe(F.col("first"))).dropDuplicates(["set_id"])
-        .select(F.monotonically_increasing_id().alias("v"), "set_id", "first", "n", "sig", "bands"), spark, "vertices")
-
-    member = vertices.select("v", "n", F.posexplode("bands").alias("band", "key"))
+    rows = stored(sketch(plain, words).withColumn("v", F.monotonically_increasing_id()), spark, "sketch")
+    # The row that stands for its class: that of the least id, and the first of these.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "v"))
+    stand = stored(rows.filter("n > 0").groupBy("set_id").agg(first.alias("x")).select("set_id", F.col("x.doc_id").alias("first"), "x.v"), spark, "classes")
+    vertices = stored(rows.select("v", "n", "sig").join(stand.select("v"), "v", "left_semi"), spark, "vertices")
+
+    member = vertices.select("v", "n", F.posexplode(_band_keys("sig")).alias("band", "key"))
     full = member.groupBy("band", "key").agg(F.count("*").alias("m")).filter("m > 1")
     member = stored(member.join(full, ["band", "key"]).select("v", "n", "band", "key"), spark, "members")
-    candidates = member.select("v").distinct().join(vertices.select("v", "set_id", "first"), "v")
+    candidates = member.select("v").distinct().join(stand, "v")
     texts = stored(_texts(plain, candidates, words), spark, "texts")
     own = texts.select("v").join(_own(texts, words), "v", "left").select("v", F.coalesce("own", F.lit(0)).alias("own"))
     member = stored(member.join(own, "v").withColumn("shared", F.col("n") - F.col("own")), spark, "members")
@@ -223,7 +223,7 @@ def classes(docs: DataFrame, spark: SparkSession, words: int = 5, percent: int =
     links = links.union(_verified(rest, vertices, texts, words, percent, spark))
 
     of = components(links, spark)
-    least = (vertices.select("v", "set_id", "first").join(of, "v", "left").withColumn("c", F.coalesce("c", "v")))
+    least = (stand.join(of, "v", "left").withColumn("c", F.coalesce("c", "v")))
     least = least.join(least.groupBy("c").agg(F.min("first").alias("component_id")), "c").select("set_id", "component_id")
     return (rows.select("doc_id", "n", "set_id").join(least, "set_id", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
@@ -231,11 +231,11 @@ def classes(docs: DataFrame, spark: SparkSession, words: int = 5, percent: int =
 
 
 def _texts(plain: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
-    """``(v, text)``: the text of one document of each candidate class."""
-    wanted = plain.join(candidates.withColumnRenamed("first", "doc_id").select("doc_id", "v", "set_id"), "doc_id")
+    """``(v, text)``: the text of the document that stands for each candidate class."""
+    wanted = plain.join(candidates.select(F.col("first").alias("id"), "v", "set_id"), F.col("doc_id").eqNullSafe(F.col("id"))).drop("id")
     # An id that several rows have: only the row with the class's own set.
     checked = map_column(wanted.withColumn("body", F.col("text")), "text", "got binary", lambda texts: {
-        "got": [blake2b(hashed(words_of(t), k).tobytes(), digest_size=16).digest() for t in texts]})
+        "got": [_set_id(hashed(words_of(t), k)) for t in texts]})
     return checked.filter("got = set_id").select("v", F.col("body").alias("text")).dropDuplicates(["v"])
 
 
