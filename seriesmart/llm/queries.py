@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, near_dup, pii, quality_llr, secret_scan, shards, toxicity, warc_index
+from . import bpe, decontaminate, html_main, near_dup, pii, quality_llr, secret_scan, shards, toxicity, warc_index
 from .common import id_text, n_of, sha256, span_text, table
 from .graph import stored
 
@@ -75,6 +75,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
+    return html_main.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document, copies together, counts at most one apart."""
     placed = shards.assign(table(spark, sf_dir, "documents"), spark)
@@ -82,7 +88,7 @@ def op10_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_index, op2_pii_spans, op3_quality_llr, op4_near_duplicates, op5_benchmark_leaks, op6_bpe_roundtrip, op7_secret_spans, op8_toxicity, op10_balanced_shards)}
+QUERIES = {f.__name__: f for f in (op1_warc_index, op2_pii_spans, op3_quality_llr, op4_near_duplicates, op5_benchmark_leaks, op6_bpe_roundtrip, op7_secret_spans, op8_toxicity, op9_main_text, op10_balanced_shards)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
