@@ -12,8 +12,9 @@
    summed and counted evidence gives the score.
 
 Labels are learned only from rows whose crc32(doc_id as text) mod 3 isn't 1, up
-to ``TRAIN`` labelled documents (those whose ids hash lowest); the vocabulary
-has up to ``VOCABULARY`` entries.  So the model, which goes to every task, is of
+to ``TRAIN`` labelled documents (those whose ids hash lowest); of the
+``CANDIDATES`` words and beginnings that most toxic ones of these have, up to
+``VOCABULARY`` make the vocabulary.  So the model, which goes to every task, is of
 bounded size.  The language model covers all documents.  Labels, language,
 source and id never enter a score.
 
@@ -39,10 +40,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import id_text, map_column
+from .graph import stored
 
-TRAIN, VOCABULARY = 20_000, 4_096
-#: Least G-squared of a vocabulary entry, lengths of word beginnings, least score of a toxic document.
-LEAST_G2, HEADS, THRESHOLD = 24.0, (3, 4, 5, 6, 7), 0.7
+TRAIN, CANDIDATES, VOCABULARY = 20_000, 100_000, 4_096
+#: Least toxic documents and G-squared of a vocabulary entry, lengths of word beginnings, least score of a toxic document.
+LEAST_TOXIC, LEAST_G2, HEADS, THRESHOLD = 5, 24.0, (3, 4, 5, 6, 7), 0.7
 #: Entries that a worker keeps.
 MEMO = 200_000
 
@@ -203,34 +205,40 @@ def training_ids(labels: DataFrame, most: int = TRAIN) -> DataFrame:
     return one.filter(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select("doc_id", "toxic")
 
 
+def _g2(toxic: int, other: int, all_toxic: float, all_other: float) -> float:
+    """G-squared of a feature's toxic and other documents against the shares of all."""
+    total, share = toxic + other, all_toxic / (all_toxic + all_other)
+    part = lambda x, p: x * math.log(x / (total * p)) if x else 0.0
+    return 2 * (part(toxic, share) + part(other, 1 - share))
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """The model of the documents ``(doc_id, text)``."""
     letters = language_model(docs)
-    some = docs.join(F.broadcast(training_ids(labels)), "doc_id").select("toxic", "text")
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(letters)
-        for batch in batches:
-            seen: tuple[Counter, Counter] = Counter(), Counter()
-            for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen[toxic].update({f for w in restorer.words(text) for f in _features(w)})
-                seen[toxic][""] += 1
-            names = list(seen[0] | seen[1])
-            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([seen[0][f] for f in names]), pa.array([seen[1][f] for f in names])], ["f", "n", "t"])
-
-    counts = some.mapInArrow(count, "f string, n long, t long").groupBy("f").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
-    both = counts.filter("f = ''").first()
-    if not both or not both.t or not both.n:
+    some = stored(docs.join(F.broadcast(training_ids(labels)), "doc_id").select("toxic", "text"), docs.sparkSession, "training")
+    size = {r.toxic: r.n for r in some.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    n, t = float(size.get(0, 0)), float(size.get(1, 0))
+    if not n or not t:
         return Model(letters, {}, np.zeros(4))
-    n, t = float(both.n), float(both.t)
-    rate = t / (n + t)
-    seen = F.col("n") + F.col("t")
-    part = lambda x, share: F.when(x > 0, x * F.log(x / (seen * share))).otherwise(F.lit(0.0))
-    g2 = 2 * (part(F.col("t"), rate) + part(F.col("n"), 1 - rate))
-    odds = F.log((F.col("t") + rate) / (F.col("n") + 1 - rate))
-    rows = (counts.filter("f != ''").select("f", odds.alias("odds"), g2.alias("g2")).filter((F.col("odds") > 0) & (F.col("g2") >= LEAST_G2))
-            .orderBy(F.desc("g2"), "f").limit(VOCABULARY).collect())
-    vocabulary = {r.f: r.odds for r in rows}
+
+    def counted(rows: DataFrame, wanted: frozenset | None) -> DataFrame:
+        """``(f, n)``: in how many texts each feature (each wanted one) occurs."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            restorer, seen = Restorer(letters), Counter()
+            for batch in batches:
+                for text in batch.column(0).to_pylist():
+                    found = {f for w in restorer.words(text) for f in _features(w)}
+                    seen.update(found if wanted is None else found & wanted)
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["f", "n"])
+
+        return rows.select("text").mapInArrow(run, "f string, n long").groupBy("f").agg(F.sum("n").alias("n"))
+
+    often = counted(some.filter("toxic = 1"), None).filter(F.col("n") >= LEAST_TOXIC).orderBy(F.desc("n"), "f").limit(CANDIDATES).collect()
+    wanted = frozenset(r.f for r in often)
+    other = {r.f: r.n for r in counted(some.filter("toxic = 0"), wanted).collect()}
+    rated = sorted((-_g2(r.n, other.get(r.f, 0), t, n), r.f, math.log((r.n + t / (n + t)) / (other.get(r.f, 0) + n / (n + t)))) for r in often)
+    vocabulary = {f: odds for g2, f, odds in rated if odds > 0 and -g2 >= LEAST_G2}
+    vocabulary = dict(list(vocabulary.items())[:VOCABULARY])
 
     def rate_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer, memo = Restorer(letters), {}
