@@ -52,7 +52,8 @@ MEMO = 200_000
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
         "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "*": "aeiou"}
 _WORD = re.compile(r"[^\W\d_]+")
-_MIXED = re.compile(r"(?<![^\s\"'(.,;:])[@$!|+(]?[^\W_][\w@$!|+*(]{1,22}[\w$]?(?![\w@])")
+_SIGN = re.compile(r"[\d@$!|+*(]")
+_MIXED = re.compile(r"(?<![^\s\"'(.,;:])(?=[^\s\W]*[\d@$!|+*(])[@$!|+(]?[^\W_][\w@$!|+*(]{1,22}[\w$]?(?![\w@])")
 _LONG = re.compile(r"([^\W\d_])\1\1")
 _GAPS = re.compile(r"(?<!\w)[^\W_](?:[ .*_-]{1,2}[^\W_]){3,}(?!\w)")
 _GAP = frozenset(" .*_-")
@@ -97,35 +98,38 @@ def language_model(docs: DataFrame) -> np.ndarray:
 
 # --- restoration ----------------------------------------------------------------------------
 
-def _options(c: str, before: str, gaps: bool) -> list[tuple[int, float]]:
+def _options(c: str, before: str, gaps: bool, end: bool) -> list[tuple[int, float]]:
     """(code of the letter or -1 for nothing or 0 for a border, log of the channel's probability)"""
     if gaps and c in _GAP:
         return [(-1, math.log(0.7)), (0, math.log(0.3))]
     code = int(_code(c)[0])
     if code:
         out = [(code, math.log(0.97))]
-        if before.lower() == c.lower():
-            out.append((-1, math.log(0.6)))
+        if before[-1:] == c:  # a letter twice is common in words, three times isn't
+            out.append((-1, math.log(0.6 if before[-2:] == c + c else 0.02)))
         return out
     out = [(ord(x) - 96, math.log(0.6 / len(LEET[c]))) for x in LEET.get(c, "")]
-    return out + [(-1, math.log(0.05))]
+    # A sign for nothing hardly stands within a word; around one it may be punctuation.
+    nothing = 1e-6 if not end else 1e-4 if c.isdigit() else 1e-2 if c in "$@" else 0.3
+    return out + [(-1, math.log(nothing))]
 
 
 def decode(span: str, model: np.ndarray, gaps: bool = False) -> str:
     """The likeliest word (words, with gaps) behind a disguised stretch."""
     paths: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
     before = ""
-    for c in span:
+    for k, c in enumerate(span.lower()):
+        end = k == 0 or k == len(span) - 1
         after: dict[tuple[int, int], tuple[float, tuple]] = {}
         for (a, b), (p, letters) in paths.items():
-            for code, q in _options(c, before, gaps):
+            for code, q in _options(c, before, gaps, end):
                 if code < 0:
                     key, r, got = (a, b), p + q, letters
                 else:
                     key, r, got = (b, code), p + q + model[a, b, code], (letters, code)
                 if key not in after or after[key][0] < r:
                     after[key] = (r, got)
-        paths, before = after, c
+        paths, before = after, (before + c)[-2:]
     _, letters = max((p + model[a, b, 0], got) for (a, b), (p, got) in paths.items())
     out = []
     while letters:
@@ -134,37 +138,81 @@ def decode(span: str, model: np.ndarray, gaps: bool = False) -> str:
     return "".join(reversed(out))
 
 
+def _looks(text: str) -> tuple[bool, bool]:
+    """Whether a text may have a letter three times in a row, and four single letters with gaps."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    same = c[1:] == c[:-1]
+    letter = np.r_[False, _codes()[np.minimum(c, 0x250)] + ((c >= 48) & (c < 58)) + (c > 0x24F) > 0, False]
+    single = np.flatnonzero(letter[1:-1] & ~letter[:-2] & ~letter[2:])
+    near = np.diff(single) <= 3
+    return bool((same[1:] & same[:-1] & letter[3:-1]).any()), bool((near[2:] & near[1:-1] & near[:-2]).any())
+
+
 def _stretches(text: str) -> Iterator[tuple[str, bool]]:
-    if re.search(r"[\d@$!|+*(]", text):
+    """(disguised stretch, whether with gaps) of a text in lower case."""
+    if _SIGN.search(text):
         for m in _MIXED.finditer(text):
-            s = m[0].rstrip("!|+*(@") if len(m[0]) - len(m[0].rstrip("!|+*(@$")) != 1 else m[0]
+            s = m[0].rstrip("!|+*(@$")
+            s = m[0] if len(m[0]) == len(s) + 1 else s  # two signs or more at the end are noise
             signs = sum(c in LEET for c in s)
-            if signs and 2 * signs <= len(s) and len(s) >= 3 and any(c.isalpha() for c in s):
+            if signs and 3 * signs <= 2 * len(s) and len(s) >= 3:
                 yield s, False
-    if _LONG.search(text):
+    long, gaps = _looks(text)
+    if long:
         for m in _WORD.finditer(text):
-            if len(m[0]) <= 64 and _LONG.search(m[0].lower()):
+            if len(m[0]) <= 64 and _LONG.search(m[0]):
                 yield m[0], False
-    for m in _GAPS.finditer(text):
-        for at in range(0, len(m[0]), 64):
-            yield m[0][at:at + 80], True
+    if gaps:
+        for m in _GAPS.finditer(text):
+            for at in range(0, len(m[0]), 64):
+                yield m[0][at:at + 80], True
 
 
 class Restorer:
     def __init__(self, model: np.ndarray):
-        self.model, self.memo = model, {}
+        self.model = model
+        self.decoded: dict[tuple[str, bool], list[str]] = {}
+        self.found: dict[str, tuple] = {}
+        self.begin: frozenset | None = None
+
+    def heads(self, vocabulary: dict[str, float]) -> frozenset:
+        """The first three letters of all entries (a restorer serves one vocabulary)."""
+        if self.begin is None:
+            self.begin = frozenset(f[:3].rstrip("-") for f in vocabulary)
+        return self.begin
+
+    def restored(self, lower: str) -> Iterator[str]:
+        """The words behind the disguised stretches of a text in lower case."""
+        for key in _stretches(lower):
+            got = self.decoded.get(key)
+            if got is None:
+                if len(self.decoded) > MEMO:
+                    self.decoded.clear()
+                got = self.decoded[key] = decode(*[key[0], self.model, key[1]]).split()
+            yield from got
 
     def words(self, text: str) -> set[str]:
         """The words of a text, in lower case, and the words restored from it."""
-        out = set(_WORD.findall(text.lower()))
-        for key in _stretches(text):
-            got = self.memo.get(key)
+        lower = text.lower()
+        return {*_WORD.findall(lower), *self.restored(lower)}
+
+    def evidence(self, text: str, vocabulary: dict[str, float]) -> tuple[float, float, float]:
+        """The strongest evidence, the sum and the number of the words that have any."""
+        lower, hits = text.lower(), {}
+        heads = self.heads(vocabulary)
+        for token in {*lower.split(), *self.restored(lower)}:
+            if token.isalpha() and token[:3] not in heads:
+                continue
+            got = self.found.get(token)
             if got is None:
-                if len(self.memo) > MEMO:
-                    self.memo.clear()
-                got = self.memo[key] = decode(*[key[0], self.model, key[1]]).split()
-            out.update(got)
-        return out
+                if len(self.found) > MEMO:
+                    self.found.clear()
+                got = self.found[token] = tuple((w, e) for w in _WORD.findall(token) if w[:3] in heads and (e := max(
+                    (vocabulary.get(f, 0.0) for f in _features(w)), default=0.0)))
+            if got:
+                hits.update(got)
+        e = hits.values()
+        return min(max(e, default=0.0), 6.0), min(sum(e), 24.0), min(float(len(e)), 8.0)
 
 
 # --- score ----------------------------------------------------------------------------------
@@ -180,20 +228,6 @@ def _features(word: str) -> list[str]:
     return [word, *(word[:k] + "-" for k in HEADS if len(word) >= k)]
 
 
-def _evidence(words: set[str], vocabulary: dict[str, float], memo: dict[str, float]) -> tuple[float, float, float]:
-    """The strongest evidence, the sum and the number of the words that have any."""
-    most = total = n = 0.0
-    for w in words:
-        e = memo.get(w)
-        if e is None:
-            if len(memo) > MEMO:
-                memo.clear()
-            e = memo[w] = max((vocabulary.get(f, 0.0) for f in _features(w)), default=0.0)
-        if e:
-            most, total, n = max(most, e), total + e, n + 1
-    return min(most, 6.0), min(total, 24.0), min(n, 8.0)
-
-
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
@@ -241,9 +275,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     vocabulary = dict(list(vocabulary.items())[:VOCABULARY])
 
     def rate_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, memo = Restorer(letters), {}
+        restorer = Restorer(letters)
         for batch in batches:
-            got = [_evidence(restorer.words(x), vocabulary, memo) for x in batch.column(1).to_pylist()]
+            got = [restorer.evidence(x, vocabulary) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([g[i] for g in got], pa.float64()) for i in range(3))], ["toxic", "a", "b", "c"])
 
     rated = some.mapInArrow(rate_rows, "toxic int, a double, b double, c double").groupBy("a", "b", "c", "toxic").count().collect()
@@ -267,23 +301,22 @@ def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """Replace the text of ``(doc_id, text)`` by its score."""
     def run(texts: list) -> dict:
-        state = _state(model)
-        got = np.array([(1.0, *_evidence(state[0].words(t or ""), model.vocabulary, state[1])) for t in texts]).reshape(-1, 4)
+        restorer = _restorer(model)
+        got = np.array([(1.0, *restorer.evidence(t or "", model.vocabulary)) for t in texts]).reshape(-1, 4)
         out = 1 / (1 + np.exp(-np.clip(got @ model.weights, -30, 30))) if model.vocabulary or model.weights.any() else np.zeros(len(got))
         return {"score": out}
 
     return map_column(docs, "text", "score double", run)
 
 
-_STATES: dict[int, tuple[Restorer, dict]] = {}
+_KEPT: list[tuple[Model, Restorer]] = []
 
 
-def _state(model: Model) -> tuple[Restorer, dict]:
-    """What a task keeps between its slices."""
-    if id(model) not in _STATES:
-        _STATES.clear()
-        _STATES[id(model)] = (Restorer(model.letters), {})
-    return _STATES[id(model)]
+def _restorer(model: Model) -> Restorer:
+    """What a worker keeps between the slices of a task."""
+    if not _KEPT or _KEPT[0][0] is not model:
+        _KEPT[:] = [(model, Restorer(model.letters))]
+    return _KEPT[0][1]
 
 
 def rate(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
