@@ -178,3 +178,8 @@ def leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col
                              lambda texts, prepared=prepared: {"__more": [find(t, prepared, threshold) for t in texts]})
             out = out.withColumn(out_col, F.concat(out_col, "__more")).drop("__more")
     return out
+
+
+def clean(docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of the documents that hold no item, with all their columns."""
+    return leaks(docs, items, text_col, out_col="__leaks").filter(F.size("__leaks") == 0).select(*docs.columns)

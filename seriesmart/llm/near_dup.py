@@ -250,3 +250,17 @@ def _verified(pairs: DataFrame, vertices: DataFrame, texts: DataFrame, k: int, p
 def kept(df: DataFrame) -> DataFrame:
     """Adds ``kept``: true for the document that stands for its component."""
     return df.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def distinct(docs: DataFrame, spark: SparkSession, words: int = 5, percent: int = 80,
+             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of one document of each component, that of the least id, with all columns.
+
+    Rows without an id stay.  Of repeated rows with the same id and text, one stays.
+    """
+    found = stored(classes(docs, spark, words, percent, id_col, text_col), spark, "found")
+    gone = kept(found).filter("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__gone")).distinct()
+    out = docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+    if found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").limit(1).count():
+        out = out.dropDuplicates([id_col, text_col])
+    return out

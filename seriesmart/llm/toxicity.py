@@ -298,15 +298,15 @@ def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
     return w
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """Replace the text of ``(doc_id, text)`` by its score."""
+def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """Replace the text by its score."""
     def run(texts: list) -> dict:
         restorer = _restorer(model)
         got = np.array([(1.0, *restorer.evidence(t or "", model.vocabulary)) for t in texts]).reshape(-1, 4)
         out = 1 / (1 + np.exp(-np.clip(got @ model.weights, -30, 30))) if model.vocabulary or model.weights.any() else np.zeros(len(got))
-        return {"score": out}
+        return {score_col: out}
 
-    return map_column(docs, "text", "score double", run)
+    return map_column(docs, text_col, f"`{score_col}` double", run)
 
 
 _KEPT: list[tuple[Model, Restorer]] = []
@@ -324,3 +324,9 @@ def rate(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: s
     plain = id_text(docs, id_col, text_col)
     return (score(plain, train(plain, labels)).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")))
+
+
+def clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of the documents that aren't rejected, with all their columns."""
+    model = train(id_text(docs, id_col, text_col), labels)
+    return score(docs.withColumn("__text", F.col(text_col)), model, "__text", "__score").filter(F.col("__score") < THRESHOLD).select(*docs.columns)
