@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import map_column
 
-THRESHOLD, RARE, FALLBACK = 0.5, 1e-9, 6
+THRESHOLD, RARE, FALLBACK = 0.5, 1e-9, 12
 MATCH, MISMATCH, GAP = 2, -1, -1
 BLOCK = 4 << 20
 LEAK = "struct<item_id:bigint,score:double,matched:int,start:int,end:int>"
@@ -98,7 +98,7 @@ def prepare(docs: DataFrame, block: list, text_col: str = "text") -> Items:
     seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
     for item, w in enumerate(words):
         chance = share[w[:-2]] + share[w[1:-1]] + share[w[2:]] if len(w) > 2 else np.empty(0)
-        chosen = set(np.flatnonzero(chance <= np.log(RARE))) | set(np.argsort(chance, kind="stable")[:FALLBACK])
+        chosen = set(np.flatnonzero(chance <= np.log(RARE))) | set(np.argsort(chance, kind="stable")[:max(FALLBACK, len(chance) // 2)])
         codes = _triples(w, len(known))
         for at in sorted(chosen):
             seeds[int(codes[at])].append((item, int(at)))

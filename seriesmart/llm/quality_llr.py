@@ -13,7 +13,7 @@ that no text and no word is shuffled; only bucket counts are.
 
 Defined results: a null or empty text has no words and fails the base rules; a
 text without n-grams scores 0; null ids are never trusted; an id with
-contradicting labels isn't trusted; without labels every score is 0; repeated
+contradicting labels isn't trusted; without labels every score is 0 (but for rounding); repeated
 rows give repeated results; an empty table gives an empty result; further
 columns are left out.
 """
@@ -91,9 +91,9 @@ def weights(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("b")).join(counts, "b", "left")
     listed = every.agg(F.array_sort(F.collect_list(F.struct("b", F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("own", F.lit(0)).alias("own")))).alias("s"),
                        F.coalesce(F.sum("raw"), F.lit(0)).alias("raws"), F.coalesce(F.sum("own"), F.lit(0)).alias("owns"))
-    return listed.select(F.when(F.col("owns") > 0, F.transform("s", lambda x: F.log((x["own"] + 1) / (F.col("owns") + BUCKETS))
-                                                               - F.log((x["raw"] + 1) / (F.col("raws") + BUCKETS))))
-                         .otherwise(F.array_repeat(F.lit(0.0), BUCKETS)).alias("w"))
+    raw = lambda x: (x["raw"] + 1) / (F.col("raws") + BUCKETS)
+    # The trusted counts are smoothed with the raw shares, so few trusted documents say little.
+    return listed.select(F.transform("s", lambda x: F.log((x["own"] + BUCKETS * raw(x)) / (F.col("owns") + BUCKETS) / raw(x))).alias("w"))
 
 
 def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:

@@ -2,8 +2,9 @@
 
 Documents with equal texts are linked.  Every document starts in a shard by
 hash.  In a round, the members of each group are counted by shard; the group's
-targets are the shards that hold most of it and have room (as many as its size
-needs), and every linked document outside them asks to move to one.  A shard
+targets are the shards where most of it could be, with what is there and what
+there is room for (as many as its size needs), and every linked document outside
+them asks to move to one.  A shard
 takes as many as its quota leaves room for: where more ask, a hash of document
 and round decides, so no numbering is needed.  Rounds end when hardly any
 document moves.  Documents without links give way: at the end what lies beyond
@@ -50,17 +51,19 @@ def propagate(rows: DataFrame, total: int, shards: int, spark: SparkSession) ->
         cells = rows.groupBy("g", "shard").agg(F.count("*").alias("n"))
         load = {r.shard: r.n for r in cells.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
         room = {s: max(0.0, quota - load.get(s, 0)) for s in range(shards)}
-        # A shard with room comes before one without; then the most members.
-        open_ = F.element_at(_by_shard(room, shards), F.col("shard") + 1) >= 1
-        ranked = cells.groupBy("g").agg(F.sum("n").alias("size"), F.array_sort(F.collect_list(F.struct(
-            (~open_ & (F.col("n") < quota / 2)).alias("closed"), (-F.col("n")).alias("n"), F.xxhash64("g", "shard").alias("h"), "shard"))).alias("s"))
-        target = ranked.select("g", F.transform(F.slice("s", 1, F.greatest(F.lit(1), F.ceil(F.col("size") / quota)).cast("int")), lambda x: x["shard"]).alias("targets"))
+        # Where most of the group could be: what is there and what there is room for.
+        size = F.sum("n").over(Window.partitionBy("g"))
+        free = F.element_at(_by_shard(room, shards), F.col("shard") + 1)
+        order = Window.partitionBy("g").orderBy(F.desc(F.least("size", F.col("n") + F.col("free"))), F.desc("n"), F.xxhash64("g", "shard"))
+        before = F.sum(F.col("n") + F.col("free")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+        target = (cells.withColumn("size", size).withColumn("free", free).withColumn("before", F.coalesce(before, F.lit(0.0)))
+                  .filter("before < size").groupBy("g").agg(F.array_sort(F.collect_list("shard")).alias("targets")))
         asked = rows.join(target, "g").withColumn("to", F.when(F.array_contains("targets", F.col("shard")), F.col("shard")).otherwise(
-            F.element_at("targets", (F.pmod(F.xxhash64("r", F.lit("to")), F.size("targets")) + 1).cast("int"))))
+            F.element_at("targets", (F.pmod(F.xxhash64("r", F.lit(turn)), F.size("targets")) + 1).cast("int"))))
         asked = stored(asked.select("r", "g", "shard", "to"), spark, "asked")
         wishes = {r.to: r.n for r in asked.filter("shard != to").groupBy("to").agg(F.count("*").alias("n")).collect()}
         share = {s: min(1.0, room[s] / n) for s, n in wishes.items()}
-        taken = _unit(F.col("r"), F.lit(turn)) < F.element_at(_by_shard(share, shards), F.col("to") + 1)
+        taken = _unit(F.col("r"), F.lit(-1 - turn)) < F.element_at(_by_shard(share, shards), F.col("to") + 1)
         rows = stored(asked.select("r", "g", F.when(taken, F.col("to")).otherwise(F.col("shard")).alias("shard")), spark, "shards")
         if sum(n * share[s] for s, n in wishes.items()) <= SETTLED * linked:
             break
