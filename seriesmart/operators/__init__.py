@@ -1,10 +1,10 @@
 from .aggregates import dimension_sizes, min_max_year, table_counts, year_chunks, year_of, year_range
 from .denorm import Lookup, denormalize, enrich
 from .ids import with_surrogate_id
-from .joins import (bounded_broadcast, fits, lookup_join, map_join, orphan_counts, orphans,
+from .joins import (bounded_broadcast, lookup_join, map_join, orphan_counts, orphans,
                     skip_counts)
 from .latest import latest_per_key, top_k
-from .loadlog import (LOG_SCHEMA, alerts, already_loaded, append_log, empty_log, ensure_log, failed_loads, full_log,
+from .loadlog import (LOG_SCHEMA, alerts, already_loaded, append_log, empty_log, failed_loads, full_log,
                       latest_log, log_rows, read_log, recent_log, run_summary, should_download,
                       should_reload, stale_success)
 from .quality import (check_constraints, check_unique, deviation_alert, has_duplicates,

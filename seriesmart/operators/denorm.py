@@ -3,10 +3,10 @@
 Plan shape (the point of this module):
 
 * lookups keyed on *series* columns are joined to the series first - code
-  lists x series is small x small, each code list broadcast after a size check;
-* the enriched series is joined to the facts once, broadcast when it passes
-  the size check, otherwise shuffled (sort-merge; AQE splits a hot series'
-  partition - the series side holds one row per key, so splitting is safe);
+  lists x series is small x small;
+* the enriched series is joined to the facts once, broadcast when its size
+  allows, otherwise shuffled (sort-merge; AQE splits a hot series' partition -
+  the series side holds one row per key, so splitting is safe);
 * lookups keyed on *fact* columns (the period list) are joined afterwards.
 
 That gives the same rows as joining every lookup to the fact rows, because a
@@ -47,11 +47,11 @@ class Lookup:
 
 
 def enrich(df: DataFrame, dims: Mapping[str, DataFrame], lookups: Sequence[Lookup],
-           max_rows: int | None = None, small_dims: Mapping[str, bool] | None = None) -> DataFrame:
-    small_dims = small_dims or {}
+           max_rows: int | None = None, dim_rows: Mapping[str, int] | None = None) -> DataFrame:
+    dim_rows = dim_rows or {}
     for lk in lookups:
         df = lookup_join(df, dims[lk.dim], lk.key_col(), lk.name_out, max_rows=max_rows,
-                         small=small_dims.get(lk.dim))
+                         rows=dim_rows.get(lk.dim))
     return df
 
 
@@ -60,15 +60,16 @@ def denormalize(facts: DataFrame, series: DataFrame, dims: Mapping[str, DataFram
                 series_key: str | None = None, select: Sequence[Column | str] | None = None,
                 max_rows: int | None = None, series_rows: int | None = None,
                 observation: Observation | None = None,
-                small_dims: Mapping[str, bool] | None = None) -> DataFrame:
+                dim_rows: Mapping[str, int] | None = None) -> DataFrame:
     """Wide rows: every fact row with a series row, plus one name per lookup.
 
     Facts without a series row are dropped (inner join).  Series columns that
     also exist on the facts are not carried (the fact's value wins).  When
     ``select`` is given the result is projected to it, in that order.
-    ``series_rows``, when the caller already counted the series, replaces the
-    size check of the enriched series (left lookups keep its row count);
-    ``small_dims`` likewise passes size decisions already made per code list.
+    ``series_rows``, when the caller already counted the series, decides how
+    the enriched series is joined (left lookups keep its row count);
+    ``dim_rows`` likewise for the code lists.  Without counts Spark's byte sizes
+    decide; no job is started here.
     With ``observation`` the fact rows without a series are counted
     (``orphan_facts``) in the same pass: the join is then a left join on the
     same strategy, observed, and filtered to the matched rows.
@@ -76,8 +77,8 @@ def denormalize(facts: DataFrame, series: DataFrame, dims: Mapping[str, DataFram
     series_key = series_key or fact_key
     keep = [c for c in series.columns if c == series_key or c not in facts.columns]
     s = enrich(series.select(*keep), dims, [lk for lk in lookups if lk.on == "series"], max_rows,
-               small_dims)
-    s = bounded_broadcast(s, max_rows, what="series", rows=series_rows)
+               dim_rows)
+    s = bounded_broadcast(s, max_rows, series_rows)
     how = "inner"
     if observation is not None:
         s = s.withColumn("_has_series", F.lit(True))
@@ -90,7 +91,7 @@ def denormalize(facts: DataFrame, series: DataFrame, dims: Mapping[str, DataFram
         wide = (wide.observe(observation, F.count_if(F.col("_has_series").isNull())
                              .cast("bigint").alias("orphan_facts"))
                 .filter(F.col("_has_series")).drop("_has_series"))
-    wide = enrich(wide, dims, [lk for lk in lookups if lk.on == "fact"], max_rows, small_dims)
+    wide = enrich(wide, dims, [lk for lk in lookups if lk.on == "fact"], max_rows, dim_rows)
     if select is not None:
         wide = wide.select(*select)
     return wide

@@ -1,54 +1,43 @@
 """Surrogate ids (SERIAL) in a global order, without a single-task sort.
 
-1. range-partition and sort on the order columns plus tie-breakers (a row
-   hash and the input position), so even a key holding a third of all rows is
-   spread over several tasks; there are at least as many ranges as input
-   splits, so each range is about one split in size;
-2. checkpoint to the shared checkpoint folder - both later passes then see
-   the same partitions, and lost executors do not re-run the sort;
-3. count rows per partition (one small row per partition to the driver) and
-   turn the counts into offsets;
+1. the rows are written to the shared scratch folder once; what is observed on
+   them (counts of the load) is therefore counted once;
+2. the stored rows are range-partitioned and sorted on the order columns plus
+   tie-breakers (a row hash and the stored position), so even a key holding a
+   third of all rows is spread over several tasks, and written with their
+   partition number and their position in it;
+3. the rows of each partition are counted; the running total over these (one
+   row a partition) gives each partition's offset, joined as a broadcast;
 4. id = offset of the partition + position inside it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import accumulate, chain
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-
-
-def _input_splits(df: DataFrame) -> int:
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (remote session)
-        return 0
+from ..session import scratch_path
 
 
 def with_surrogate_id(df: DataFrame, order: Sequence[str], id_col: str = "id",
                       start: int = 1, partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     cols = list(df.columns)
-    # at least as many ranges as input splits, so a range is about one split
-    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), _input_splits(df))
-    keyed = df.withColumn("_h", F.xxhash64(*cols)).withColumn("_m", F.monotonically_increasing_id())
-    order_cols = [*order, "_h", "_m"]
-    ranged = keyed.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-    frozen = ranged.drop("_h", "_m").checkpoint(eager=True)
-
-    pid = F.spark_partition_id()
-    counts = sorted((r["p"], r["c"]) for r in
-                    frozen.groupBy(pid.alias("p")).agg(F.count(F.lit(1)).alias("c")).collect())
-    offsets = [0, *accumulate(c for _, c in counts)][:-1]
-    if not counts:
-        return frozen.withColumn(id_col, F.lit(None).cast("bigint")).select(id_col, *cols)
-    offset_map = F.create_map(*[F.lit(x) for x in
-                                chain.from_iterable((p, o) for (p, _), o in zip(counts, offsets))])
-    pos = F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)
-    ident = (offset_map[pid] + pos + F.lit(start)).cast("bigint")
-    return frozen.select(ident.alias(id_col), *cols)
+
+    def stored(rows: DataFrame) -> DataFrame:
+        path = scratch_path(spark, "ids")
+        rows.write.parquet(path)
+        return spark.read.parquet(path)
+
+    rows = stored(df).withColumn("_h", F.xxhash64(*cols)).withColumn("_m", F.monotonically_increasing_id())
+    keys = [F.col(c) for c in (*order, "_h", "_m")]
+    ranged = rows.repartitionByRange(partitions, *keys) if partitions else rows.repartitionByRange(*keys)
+    position = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
+    placed = stored(ranged.sortWithinPartitions(*keys).select(
+        F.spark_partition_id().alias("_p"), position.alias("_i"), *cols))
+    counts = placed.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_o"))
+    return (placed.join(F.broadcast(offsets), "_p")  # as many rows as there are partitions
+            .select((F.col("_o") + F.col("_i") + F.lit(start)).cast("bigint").alias(id_col), *cols))

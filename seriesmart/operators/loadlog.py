@@ -11,8 +11,10 @@ All decisions are set-wise: a DataFrame of candidates in (``source_heads``:
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,17 +65,24 @@ def empty_log(spark: SparkSession) -> DataFrame:
     return literal_rows(spark, [], LOG_SCHEMA)
 
 
-def ensure_log(spark: SparkSession, path: str) -> None:
-    """Create the log at ``path`` if it is missing (appending no rows writes
-    the folder and its schema; an existing log is left as it is)."""
-    empty_log(spark).coalesce(1).write.mode("append").parquet(path)
+# appends of several loads into one log folder must not overlap (each write
+# commits through the folder's temporary directory)
+_LOCK = threading.Lock()
 
 
-def read_log(spark: SparkSession, path: str, create: bool = True) -> DataFrame:
-    """The log at ``path`` (created empty first when ``create``)."""
-    if create:
-        ensure_log(spark, path)
-    return spark.read.schema(LOG_SCHEMA).parquet(path)
+def missing(e: AnalysisException) -> bool:
+    """Whether the error says that a path does not exist."""
+    return (e.getCondition() or "") == "PATH_NOT_FOUND"
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """The log at ``path``; empty where there is none yet.  Writes nothing."""
+    try:
+        return spark.read.schema(LOG_SCHEMA).parquet(path)
+    except AnalysisException as e:
+        if not missing(e):
+            raise
+        return empty_log(spark)
 
 
 def log_rows(spark: SparkSession, entries: Sequence[dict]) -> DataFrame:
@@ -93,7 +102,8 @@ def log_rows(spark: SparkSession, entries: Sequence[dict]) -> DataFrame:
 
 
 def append_log(entries: DataFrame, path: str) -> None:
-    entries.select(*LOG_SCHEMA.fieldNames()).write.mode("append").parquet(path)
+    with _LOCK:
+        entries.select(*LOG_SCHEMA.fieldNames()).write.mode("append").parquet(path)
 
 
 def latest_log(log: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER) -> DataFrame:
@@ -165,7 +175,7 @@ def already_loaded(datasets: DataFrame, log: DataFrame, force: bool = False,
     """Per dataset: skip the load when its ``data_key`` entry (``all``) says success."""
     cur = latest_log(log.filter(F.col("data_key") == data_key), ["dataset"])
     ok = cur.select("dataset", (F.col("status") == "success").alias("_ok"))
-    j = datasets.join(bounded_broadcast(ok, bound_by=log), "dataset", "left")
+    j = datasets.join(bounded_broadcast(ok), "dataset", "left")
     skip = F.lit(False) if force else F.coalesce(F.col("_ok"), F.lit(False))
     return j.select(*datasets.columns, skip.alias("skip"))
 
@@ -208,7 +218,7 @@ def alerts(log: DataFrame, max_age: str = "2 days", deviation: float = 0.1,
     ok = log.filter(F.col("status") == "success")
     last = latest_per_key(ok, keys, ORDER, ["rows_loaded", *ORDER]).select(
         *keys, F.col("rows_loaded").alias("_new"), F.struct(*ORDER).alias("_at"))
-    earlier = (ok.join(bounded_broadcast(last, bound_by=log), keys)
+    earlier = (ok.join(bounded_broadcast(last), keys)
                .filter(F.struct(*ORDER) < F.col("_at")))
     prev = earlier.groupBy(*keys).agg(F.max_by("rows_loaded", F.struct(*ORDER)).alias("_prev"),
                                       F.first("_new").alias("_new"))

@@ -81,15 +81,35 @@ def row_count_verdict(new_rows: Column | str, prev_rows: Column | str,
             .otherwise(F.lit("success")))
 
 
+def verdict_of(new_rows: int, prev_rows: int | None, prev_status: str | None = "success",
+               fail_below: float = 0.5, warn_below: float = 0.9) -> str:
+    """``row_count_verdict`` of two counts the driver already has."""
+    if prev_rows is None or prev_rows <= 0 or prev_status != "success":
+        return "success"
+    return "failed" if new_rows < prev_rows * fail_below else "warning" if new_rows < prev_rows * warn_below else "success"
+
+
+#: What a new row count is compared with: the last successful load (a failed
+#: load never lowers the bar), or the latest load (anything passes after a
+#: load that did not succeed).
+COUNT_RULES = ("last_success", "latest")
+
+
+def previous_loads(log: DataFrame, rule: str) -> DataFrame:
+    """The log rows that may be what a new count is compared with."""
+    if rule not in COUNT_RULES:
+        raise ValueError(f"count rule {rule!r} is none of {COUNT_RULES}")
+    return log.filter(F.col("status") == "success") if rule == "last_success" else log
+
+
 def validate_row_count(new_counts: DataFrame, log: DataFrame,
                        keys: Sequence[str] = ("dataset", "data_key"),
-                       rows_col: str = "rows_loaded") -> DataFrame:
+                       rows_col: str = "rows_loaded", rule: str = "last_success") -> DataFrame:
     """Verdict per key of ``new_counts`` (``keys..., rows_loaded``) against the
-    last *successful* load in the log (a failed load never lowers the bar)."""
-    last_ok = latest_per_key(log.filter(F.col("status") == "success"), keys,
-                             ["load_timestamp", "seq"], [rows_col, "status"])
-    prev = last_ok.select(*keys, F.col(rows_col).alias("prev_rows"), F.col("status").alias("prev_status"))
-    j = new_counts.join(bounded_broadcast(prev, bound_by=log), list(keys), "left")
+    load in the log that ``rule`` names (see ``COUNT_RULES``)."""
+    last = latest_per_key(previous_loads(log, rule), keys, ["load_timestamp", "seq"], [rows_col, "status"])
+    prev = last.select(*keys, F.col(rows_col).alias("prev_rows"), F.col("status").alias("prev_status"))
+    j = new_counts.join(bounded_broadcast(prev), list(keys), "left")
     return j.select(*keys, F.col(rows_col).alias("new_rows"), "prev_rows",
                     row_count_verdict(F.col(rows_col), F.col("prev_rows"), "prev_status").alias("verdict"),
                     F.round(F.lit(100.0) * F.col(rows_col) / F.col("prev_rows"), 1).alias("pct_of_prev"))

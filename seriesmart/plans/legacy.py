@@ -2,8 +2,8 @@
 
 A dataset is one or more part files (``{key}_data_1..n`` or one file; the
 yearly census has one file per year).  Every part gets its own download
-decision and its own log row with *its own* row count; all parts that are
-loaded are read in one scan (one per delimiter) and written in one job, the
+decision and its own log row with *its own* row count; when one changed, all
+parts are read (one scan per distinct header) and written in one job, the
 per-part counts being collected as metrics of that write.
 """
 
@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.loadlog import append_log, empty_log, log_rows, read_log, should_download
-from ..operators.quality import row_count_verdict
+from ..operators.quality import verdict_of
 from ..operators.latest import latest_per_key
 from ..sinks.writers import WriteResult, publish_full_refresh
-from ..sources.delimited import detect_delimiter, read_delimited
+from ..sources.delimited import read_delimited
 from ..sources.files import existing_per_key
 
 
@@ -46,71 +46,72 @@ def part_keys(parts: Sequence[str], year_keyed: bool = False) -> list[str]:
 
 
 def read_parts_delimited(spark: SparkSession, parts: Sequence[str], spec: LegacySpec) -> DataFrame:
-    """All parts in as few scans as there are delimiters, with ``_file``."""
-    names = [n for n, _ in spec.columns]
-    schema = dict(spec.columns)
-    by_sep: dict[str, list[str]] = {}
-    for p in parts:
-        by_sep.setdefault(detect_delimiter(spark, p), []).append(p)
-    frames = [read_delimited(spark, ps, names, schema, sep, with_file=True) for sep, ps in by_sep.items()]
-    df = frames[0]
-    for f in frames[1:]:
-        df = df.unionByName(f)
-    if spec.stamp:
-        df = df.withColumn("loaded_at", F.current_timestamp())
-    return df
+    """All parts, each file by its own header and delimiter, with ``_file``."""
+    df = read_delimited(spark, list(parts), [n for n, _ in spec.columns], dict(spec.columns), with_file=True)
+    return df.withColumn("loaded_at", F.current_timestamp()) if spec.stamp else df
 
 
 def load_legacy_dataset(spark: SparkSession, spec: LegacySpec, parts: Sequence[str], out_root: str,
                         log_path: str | None = None, heads: DataFrame | None = None,
                         force: bool = False, year_keyed: bool = False) -> dict:
-    """Decide per part, load the parts that need it in one job, log per part."""
+    """Decide per part; when any part changed, load *all* parts into a new
+    version (a published table always holds every part), log the changed ones.
+
+    Each part's count is validated against its own last successful one (``force``
+    accepts any).  An error leaves a ``failed`` row for every part to load."""
     log = read_log(spark, log_path) if log_path else empty_log(spark)
-    keys = part_keys(parts, year_keyed)
-    todo = list(zip(parts, keys))
-    head_rows: Mapping[str, object] = {}
+    named = list(zip(parts, part_keys(parts, year_keyed)))
+    decided: Mapping[str, object] = {}
+    todo = named
     if heads is not None:
         h = heads.filter(F.col("dataset") == spec.key)
         decided = {r["data_key"]: r for r in should_download(h, log).collect()}
-        head_rows = decided
-        todo = [(p, k) for p, k in todo if force or k not in decided or decided[k]["download"]]
+        todo = [(p, k) for p, k in named if force or k not in decided or decided[k]["download"]]
     if not todo:
         return {"status": "skipped", "parts": {}}
-    df = read_parts_delimited(spark, [p for p, _ in todo], spec)
-    obs = Observation(f"parts_{spec.key}")
-    df = df.observe(obs, *[F.count_if(_from_part(p)).cast("bigint").alias(k) for p, k in todo])
-    # previous total: the last successful count of every part key, summed
-    ok = log.filter((F.col("dataset") == spec.key) & (F.col("status") == "success"))
-    prev_total = latest_per_key(ok, ["data_key"], ["load_timestamp", "seq"], ["rows_loaded"]) \
-        .agg(F.sum("rows_loaded")).first()[0]
-
-    def validate(rows: int):
-        v = spark.range(1).select(row_count_verdict(F.lit(rows), F.lit(prev_total).cast("bigint"))
-                                  .alias("v")).first()["v"]
-        return v, (None if v == "success" else f"{rows} rows against {prev_total} before")
-
-    res: WriteResult = publish_full_refresh(df.drop("_file"), f"{out_root.rstrip('/')}/{spec.table}",
-                                            validate)
-    status = "failed" if res.status == "failed" else "success"
-    counts = {k: obs.get.get(k) for _, k in todo}
-    if log_path:
-        entries = []
+
+    def entries(status: str, counts: Mapping[str, int], message: str | None, location: str | None) -> None:
+        if not log_path:
+            return
+        rows = []
         for p, k in todo:
-            e = {"dataset": spec.key, "data_key": k, "rows_loaded": counts[k], "status": status,
-                 "error_message": res.message, "location": res.location if status == "success" else None,
-                 "source_url": p}
-            hr = head_rows.get(k)
-            if hr is not None:
-                e.update(etag=hr["etag"], last_modified=hr["last_modified"])
-            entries.append(e)
-        append_log(log_rows(spark, entries), log_path)
-    return {"status": res.status, "rows": res.rows, "location": res.location, "parts": counts}
-
-
-def _from_part(part: str):
-    """Rows whose source file is the part file or lies inside the part folder."""
-    name = "/" + os.path.basename(part.rstrip("/"))
-    return F.col("_file").endswith(name) | F.col("_file").contains(name + "/")
+            e = {"dataset": spec.key, "data_key": k, "rows_loaded": counts.get(k, 0), "status": status,
+                 "error_message": message, "location": location, "source_url": p}
+            if k in decided:
+                e.update(etag=decided[k]["etag"], last_modified=decided[k]["last_modified"])
+            rows.append(e)
+        append_log(log_rows(spark, rows), log_path)
+
+    try:
+        ok = log.filter((F.col("dataset") == spec.key) & (F.col("status") == "success"))
+        last = {r["data_key"]: r["rows_loaded"] for r in
+                latest_per_key(ok, ["data_key"], ["load_timestamp", "seq"], ["rows_loaded"]).collect()}
+        # the part of a row: the place of its file in the listing, found once a row
+        owner = {f: k for p, k in named for f in spark.read.text(p).inputFiles()}
+        files = list(owner)
+        df = read_parts_delimited(spark, parts, spec).withColumn(
+            "_part", F.array_position(F.array(*[F.lit(f) for f in files]), F.col("_file")))
+        found: dict[str, int] = {}
+
+        def validate(rows: int, metrics: dict):
+            for k in dict.fromkeys(owner.values()):
+                found[k] = sum(metrics[f"file{i}"] for i, f in enumerate(files) if owner[f] == k)
+            verdicts = {k: "success" if force else verdict_of(found.get(k, 0), last.get(k)) for _, k in todo}
+            worst = max(verdicts.values(), key=("success", "warning", "failed").index)
+            text = ", ".join(f"{k}: {found.get(k, 0)} rows against {last[k]} before" for k, v in verdicts.items() if v != "success")
+            return worst, text or None
+
+        observed = df.observe(obs := Observation(f"parts_{spec.key}"), *[
+            F.count_if(F.col("_part") == i + 1).cast("bigint").alias(f"file{i}") for i in range(len(files))])
+        res: WriteResult = publish_full_refresh(
+            observed.drop("_file", "_part"), f"{out_root.rstrip('/')}/{spec.table}", lambda rows: validate(rows, obs.get))
+    except Exception as e:
+        entries("failed", {}, str(e), None)
+        return {"status": "failed", "rows": 0, "location": None, "parts": {}, "message": str(e)}
+    status = "failed" if res.status == "failed" else "success"
+    entries(status, found, res.message, res.location if status == "success" else None)
+    return {"status": res.status, "rows": res.rows, "location": res.location,
+            "parts": {k: found.get(k, 0) for _, k in todo}, "message": res.message}
 
 
 def yearly_files(spark: SparkSession, root: str, years, patterns: Sequence[str]) -> list[str]:

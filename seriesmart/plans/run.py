@@ -7,7 +7,6 @@ decision, a handful of counts and one log row per dataset.
 
 from __future__ import annotations
 
-import threading
 import traceback
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -16,21 +15,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import year_chunks
-from ..operators.loadlog import (append_log, empty_log, ensure_log, latest_log, log_rows, read_log,
-                                 should_reload)
-from ..operators.quality import has_duplicates, row_count_verdict, table_rules
+from ..operators.loadlog import append_log, empty_log, latest_log, log_rows, read_log, should_reload
+from ..operators.quality import has_duplicates, previous_loads, table_rules, verdict_of
 from ..sinks.writers import publish_full_refresh
-from ..operators.joins import broadcast_limit, fits
-from ..sources.text import read_dimension, read_facts, read_lines, read_series
+from ..sources.text import read_dimension, read_facts, read_series
 from .specs import DatasetSpec
 from .wide import wide_table
 
 
-# appends of several loads into one log folder must not overlap (each write
-# commits through the folder's temporary directory)
-_LOG_LOCK = threading.Lock()
-
-
 @dataclass
 class DatasetPaths:
     """Where the raw files of one dataset are (files, folders or globs)."""
@@ -69,7 +61,7 @@ def read_inputs(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, mod
 def load_dataset(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, out_root: str,
                  log_path: str | None = None, heads: DataFrame | None = None, force: bool = False,
                  mode: str = "strict", data_key: str = "all", check_keys: bool = True,
-                 years: tuple[int, int] | None = None) -> LoadResult:
+                 count_rule: str = "last_success") -> LoadResult:
     """Load one dataset; the result says ``success``, ``warning`` (published,
     row count dropped), ``failed`` (not published) or ``skipped``.
 
@@ -79,12 +71,10 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, ou
     In ``strict`` mode a NOT NULL, VARCHAR(n) or PRIMARY KEY violation fails
     the load before it is published (as the target table would reject it);
     ``tolerant`` mode publishes and reports the counts in ``violations``.
+    The row count is compared with the load that ``count_rule`` names (see
+    ``operators.quality.COUNT_RULES``); ``force`` also accepts any count.
     """
-    if log_path:
-        with _LOG_LOCK:
-            log = read_log(spark, log_path)
-    else:
-        log = empty_log(spark)
+    log = read_log(spark, log_path) if log_path else empty_log(spark)
     head_row = None
     if heads is not None:
         head = heads.filter((F.col("dataset") == spec.key) & (F.col("data_key") == data_key))
@@ -99,8 +89,7 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, ou
             if head_row is not None:
                 entry.update(etag=head_row["etag"], last_modified=head_row["last_modified"],
                              source_url=head_row["source_url"])
-            with _LOG_LOCK:
-                append_log(log_rows(spark, [entry]), log_path)
+            append_log(log_rows(spark, [entry]), log_path)
 
     try:
         lines = Observation(f"lines_{spec.key}")
@@ -110,14 +99,10 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, ou
                  .agg(F.sum("n").alias("rows"), F.count_if(F.col("n") > 1).alias("dups")).first())
         if stats["dups"]:
             raise ValueError(f"{spec.key}: duplicate series_id in the series file")
-        # a code list has at most as many rows as its file has lines: check
-        # the lines (the scan stops at the bound) instead of the deduplicated list
-        limit = broadcast_limit(series)
-        small_dims = {k: fits(read_lines(spark, p), limit) for k, p in paths.dims.items()}
         joined, values = Observation(f"join_{spec.key}"), Observation(f"values_{spec.key}")
-        wide = wide_table(facts, series, dims, spec, mode=mode, years=years,
+        wide = wide_table(facts, series, dims, spec, mode=mode,
                           series_rows=int(stats["rows"] or 0), observation=joined,
-                          values_observation=values, small_dims=small_dims)
+                          values_observation=values)
         if spec.chunk_years:
             # one file set per year, hot years split by AQE's rebalance; rows
             # sorted by series inside each file so row-group statistics prune
@@ -126,10 +111,10 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, ou
             wide = wide.hint("rebalance", "year").sortWithinPartitions("year", "series_id", "period")
         elif not spec.surrogate_id:
             wide = wide.sortWithinPartitions("series_id", "year", "period")
-        prev = latest_log(log.filter(F.col("status") == "success").filter(
+        prev = latest_log(previous_loads(log, count_rule).filter(
             (F.col("dataset") == spec.key) & (F.col("data_key") == data_key)),
-            ["dataset", "data_key"]).select("rows_loaded").first()
-        prev_rows = prev["rows_loaded"] if prev else None
+            ["dataset", "data_key"]).select("rows_loaded", "status").first()
+        prev_rows = prev["rows_loaded"] if prev and not force else None
         rules = table_rules(spec.columns)
 
         key_checked = False
@@ -147,8 +132,7 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, ou
                     key_checked = True
                     if has_duplicates(spark.read.parquet(metrics["location"]), list(spec.primary_key)):
                         return "failed", f"{spec.key}: duplicate primary key {spec.primary_key}"
-            v = spark.range(1).select(row_count_verdict(F.lit(rows), F.lit(prev_rows).cast("bigint"))
-                                      .alias("v")).first()["v"]
+            v = verdict_of(rows, prev_rows, prev["status"] if prev else None)
             msg = None
             if v != "success" and prev_rows:
                 msg = f"{rows} rows is {100.0 * rows / prev_rows:.1f}% of the previous {prev_rows}"
@@ -177,8 +161,8 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, ou
         return LoadResult(spec.key, res.status, res.rows, res.location, res.message,
                           lines.get.get("skipped"), violations, chunks)
     except Exception as e:  # one dataset's failure does not stop the others
-        _log("failed", 0, None, str(e)[:2000])
-        return LoadResult(spec.key, "failed", 0, None, f"{e}\n{traceback.format_exc(limit=3)}")
+        _log("failed", 0, None, str(e))
+        return LoadResult(spec.key, "failed", 0, None, f"{e}\n{traceback.format_exc()}")
 
 
 def load_all(spark: SparkSession, specs: Sequence[DatasetSpec], folders: Mapping[str, str],
@@ -194,8 +178,6 @@ def load_all(spark: SparkSession, specs: Sequence[DatasetSpec], folders: Mapping
 
     if workers <= 1:
         return [one(s) for s in todo]
-    if log_path:
-        ensure_log(spark, log_path)
     from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(max_workers=workers) as pool:
         return list(pool.map(one, todo))

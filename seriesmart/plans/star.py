@@ -2,7 +2,7 @@
 bulk (one tab-separated file straight into a table).
 
 Both are compositions of the same operators as the wide tables: text scans,
-a size-checked join, the reload decision, row-count validation against the
+a join sized by Spark, the reload decision, row-count validation against the
 last success, a staged publish and an appended log row.
 """
 
@@ -18,10 +18,10 @@ from ..functions.casts import cast_value
 from ..operators.joins import bounded_broadcast
 from ..operators.loadlog import (append_log, empty_log, latest_log, log_rows, read_log,
                                  should_reload)
-from ..operators.quality import row_count_verdict
+from ..operators.quality import verdict_of
 from ..sinks.writers import WriteResult, publish_full_refresh
-from ..sources.text import (parse_lines, read_bulk, read_dimension_table, read_lines,
-                            read_series_mapping)
+from ..sources.text import (HEADER_PREFIX, parse_lines, read_bulk, read_dimension_table, read_lines,
+                            read_series_mapping, starts_with)
 
 
 @dataclass(frozen=True)
@@ -46,12 +46,12 @@ MAPPED_COLUMNS = ("area_code", "item_code", "seasonal_code")
 
 def read_star_facts(spark: SparkSession, paths, mapping: DataFrame | None = None,
                     observation: Observation | None = None, mode: str = "strict",
-                    max_rows: int | None = None, mapping_bound: DataFrame | None = None) -> DataFrame:
+                    max_rows: int | None = None, mapping_rows: int | None = None) -> DataFrame:
     """Fact lines of the star shape: ``series_id, year int, period, value double``
     from the first four fields (lines with fewer are skipped).  With a series
     ``mapping`` the series' codes are added and unknown series are dropped;
     ``observation`` then also counts them as ``unmapped``."""
-    rows = parse_lines(read_lines(spark, paths), ["series_id", "year", "period", "value"],
+    rows = parse_lines(read_lines(spark, paths, header=starts_with(HEADER_PREFIX)), ["series_id", "year", "period", "value"],
                        min_fields=4, null_tokens=())
     year = F.when(F.col("year") != "", F.col("year"))
     value = F.when(~F.col("value").isin("", "-"), F.col("value"))
@@ -60,7 +60,7 @@ def read_star_facts(spark: SparkSession, paths, mapping: DataFrame | None = None
     if mapping is None:
         return rows.observe(observation, F.count(F.lit(1)).alias("rows")) if observation else rows
     m = bounded_broadcast(mapping.select("series_id", *MAPPED_COLUMNS)
-                          .withColumn("_mapped", F.lit(True)), max_rows, bound_by=mapping_bound)
+                          .withColumn("_mapped", F.lit(True)), max_rows, mapping_rows)
     j = rows.join(m, "series_id", "left")
     if observation is not None:
         j = j.observe(observation, F.count_if(F.col("_mapped").isNull()).cast("bigint").alias("unmapped"))
@@ -78,8 +78,7 @@ def publish_and_log(spark: SparkSession, df: DataFrame, root: str, log: DataFram
     prev_rows = prev["rows_loaded"] if prev else None
 
     def validate(rows: int):
-        v = spark.range(1).select(row_count_verdict(F.lit(rows), F.lit(prev_rows).cast("bigint"))
-                                  .alias("v")).first()["v"]
+        v = verdict_of(rows, prev_rows)
         msg = None if v == "success" else f"{rows} rows against {prev_rows} before"
         return v, msg
 
@@ -125,25 +124,27 @@ def load_star_dataset(spark: SparkSession, spec: StarSpec, folder: str, out_root
         if not go:
             results[name] = "skipped"
             continue
-        table = read_dimension_table(spark, f"{base}/{d.file}", d.key,
-                                     list(d.columns) if d.columns else None)
-        results[name] = publish_and_log(spark, table, f"{out}/{d.table}", log, log_path, name, head=head)
-    mapping = (read_series_mapping(spark, f"{base}/{spec.series_file}")
-               if spec.series_file else None)
+        try:
+            table = read_dimension_table(spark, f"{base}/{d.file}", d.key,
+                                         list(d.columns) if d.columns else None)
+            results[name] = publish_and_log(spark, table, f"{out}/{d.table}", log, log_path, name, head=head)
+        except Exception as e:  # a broken code list doesn't stop the others
+            _append(spark, log_path, name, "all", head, "failed", 0, None, str(e))
+            results[name] = WriteResult("", 0, "failed", str(e))
     name = f"{spec.key}_fact"
     go, head = _decide(spark, heads, log, name, "all", force)
     if not go:
         results[name] = "skipped"
         return results
     obs = Observation(f"star_{spec.key}")
-    bound = read_lines(spark, f"{base}/{spec.series_file}") if spec.series_file else None
-    facts = read_star_facts(spark, f"{base}/{spec.data_file}", mapping, obs, mapping_bound=bound)
     try:
+        mapping = (read_series_mapping(spark, f"{base}/{spec.series_file}") if spec.series_file else None)
+        facts = read_star_facts(spark, f"{base}/{spec.data_file}", mapping, obs)
         res = publish_and_log(spark, facts, f"{out}/{spec.fact_table}", log, log_path, name, head=head)
         res.metrics = {**(res.metrics or {}), **obs.get}
         results[name] = res
     except Exception as e:
-        _append(spark, log_path, name, "all", head, "failed", 0, None, str(e)[:2000])
+        _append(spark, log_path, name, "all", head, "failed", 0, None, str(e))
         results[name] = WriteResult("", 0, "failed", str(e))
     return results
 
@@ -160,5 +161,5 @@ def load_bulk_dataset(spark: SparkSession, key: str, path: str, columns: Sequenc
         return publish_and_log(spark, read_bulk(spark, path, columns),
                                f"{out_root.rstrip('/')}/{table}", log, log_path, key, head=head)
     except Exception as e:
-        _append(spark, log_path, key, "all", head, "failed", 0, None, str(e)[:2000])
+        _append(spark, log_path, key, "all", head, "failed", 0, None, str(e))
         return WriteResult("", 0, "failed", str(e))

@@ -31,7 +31,7 @@ def wide_table(facts: DataFrame, series: DataFrame, dims: Mapping[str, DataFrame
                with_id: bool | None = None, max_rows: int | None = None,
                series_rows: int | None = None, observation: Observation | None = None,
                values_observation: Observation | None = None,
-               small_dims: dict | None = None) -> DataFrame:
+               dim_rows: dict | None = None) -> DataFrame:
     """The wide table of ``spec`` from parsed facts, series and code lists.
 
     ``years`` keeps a year range (pushed to the fact scan).  ``mode`` is the
@@ -54,7 +54,7 @@ def wide_table(facts: DataFrame, series: DataFrame, dims: Mapping[str, DataFrame
                               F.count_if(raw.isNotNull() & raw.try_cast(spec.value_type).isNull())
                               .cast("bigint").alias("bad_values"))
     wide = denormalize(facts, series, dims, lookups, fact_key="series_id", max_rows=max_rows,
-                       series_rows=series_rows, observation=observation, small_dims=small_dims)
+                       series_rows=series_rows, observation=observation, dim_rows=dim_rows)
     produced = {lk.name_out for lk in lookups}
     out = []
     for name, typ, _ in spec.columns:

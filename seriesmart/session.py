@@ -4,12 +4,13 @@ Everything in the package works on any SparkSession; ``build_session`` only
 collects the settings we want for local runs and tests.  Scratch output
 (round-trip fixtures, staged loads, checkpoints) goes under the folder named by
 ``spark.checkpoint.dir`` - on a cluster that is a shared file system path.  A
-local temporary folder is created only when the session names none.
+local temporary folder is created only on a local master that names none;
+elsewhere a missing setting is an error.
 """
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -42,13 +43,16 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset."""
+    """Return the shared checkpoint folder, creating a local one only on a local master."""
     try:
         sc = spark.sparkContext
     except Exception:  # a remote (Connect) session: only its conf is visible
         sc = None
     d = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not d:
+        master = sc.master if sc else spark.conf.get("spark.master", "")
+        if not re.match(r"local($|\[)", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="seriesmart-ckpt-")
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
@@ -59,13 +63,3 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, "seriesmart", *parts, uuid.uuid4().hex])
-
-
-def local_dir(path: str) -> str:
-    """Strip a ``file:`` scheme for local-only helpers used in tests."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def makedirs_local(path: str) -> str:
-    os.makedirs(local_dir(path), exist_ok=True)
-    return path

@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,7 +89,10 @@ def _record_version(spark: SparkSession, root: str, location: str, rows: int) ->
 def current_location(spark: SparkSession, root: str) -> str | None:
     try:
         v = spark.read.schema(_VERSION_SCHEMA).parquet(f"{root.rstrip('/')}/{VERSIONS}")
-    except Exception:
+    except AnalysisException as e:
+        from ..operators.loadlog import missing
+        if not missing(e):
+            raise
         return None
     best = v.orderBy(F.col("published_at").desc(), F.col("seq").desc()).select("location").first()
     return best["location"] if best else None
@@ -113,8 +117,9 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str] | s
 
 
 def export_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",") -> None:
-    """CSV export without row names (one file per task, header in each)."""
-    df.write.mode("overwrite").option("header", header).option("sep", sep).csv(path)
+    """CSV export without row names (one file per task, header in each); a quote
+    inside a value is doubled, a backslash is a character like any other."""
+    df.write.mode("overwrite").option("header", header).option("sep", sep).option("escape", '"').csv(path)
 
 
 def write_tsv(df: DataFrame, path: str, header: bool = False, mode: str = "overwrite",

@@ -9,7 +9,10 @@ only text containing ``-``.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,29 +20,41 @@ from pyspark.sql import types as T
 
 from ..functions.casts import date_guard
 from ..functions.text import LEGACY_NULL_TOKENS, clean_text, null_if_token
+from .text import first_lines
+
+
+def delimiter_of(line: str) -> str:
+    """Tab when the line has one, else comma."""
+    return "\t" if "\t" in line else ","
 
 
 def detect_delimiter(spark: SparkSession, paths: str | Sequence[str]) -> str:
-    """Tab when the first line has one, else comma (reads one line)."""
+    """The delimiter of the first file's first line (reads one line)."""
     first = spark.read.text(paths if isinstance(paths, str) else list(paths)).limit(1).first()
-    return "\t" if first is not None and "\t" in first["value"] else ","
+    return delimiter_of(first["value"] if first is not None else "")
 
 
 def clean_header(name: str) -> str:
     return name.strip().strip('"').strip().lower()
 
 
+def _fields(line: str, sep: str) -> list[str]:
+    return [clean_header(c) for c in next(csv.reader([line.lstrip("\ufeff")], delimiter=sep), [])]
+
+
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str],
                    schema: T.StructType | dict | None = None, sep: str | None = None,
                    null_tokens: Iterable[str] = LEGACY_NULL_TOKENS,
-                   with_file: bool = False) -> DataFrame:
-    """Read a header-named file into ``columns`` (in that order), typed by
-    ``schema``; ``with_file`` adds the source file path as ``_file``."""
-    paths = paths if isinstance(paths, str) else list(paths)
-    sep = sep or detect_delimiter(spark, paths)
-    raw = (spark.read.option("header", True).option("sep", sep).option("quote", '"')
-           .option("mode", "PERMISSIVE").csv(paths))
-    by_name = {clean_header(c): c for c in raw.columns}
+                   with_file: bool = False, multi_line: bool = False) -> DataFrame:
+    """Read header-named files into ``columns`` (in that order), typed by
+    ``schema``; ``with_file`` adds the source file path as ``_file``.
+
+    Every file's columns go by its own header line: files are grouped by header
+    and read in one scan a group.  ``sep`` None: each file's own delimiter.
+    Quoted fields may hold delimiters and doubled quotes, a backslash is a
+    character like any other; with ``multi_line`` they may also hold line
+    breaks (such files aren't split among tasks).  Files without a line are
+    left out."""
     types: dict[str, T.DataType] = {}
     if isinstance(schema, T.StructType):
         types = {f.name: f.dataType for f in schema.fields}
@@ -47,29 +62,45 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], columns: Seq
         types = {k: (v if isinstance(v, T.DataType) else T.DataType.fromDDL(v))
                  for k, v in schema.items()}
     tokens = tuple(null_tokens)
-    out = []
-    for c in columns:
-        t = types.get(c, T.StringType())
-        src = by_name.get(c.lower())
-        if src is None:
-            out.append(F.lit(None).cast(t).alias(c))
-            continue
-        v = null_if_token(clean_text(F.col(f"`{src}`")), tokens)
-        if isinstance(t, T.DateType):
-            v = date_guard(v)
-        elif not isinstance(t, T.StringType):
-            v = v.try_cast(t)
-        out.append(v.alias(c))
-    if with_file:
-        out.append(F.col("_metadata.file_path").alias("_file"))
-    return raw.select(*out)
+    groups: dict[tuple[str, str], list[str]] = {}
+    for file, line in first_lines(spark, paths).items():
+        groups.setdefault((sep or delimiter_of(line), line), []).append(unquote(file))
+
+    def one(by: str, names: list[str], files: list[str]) -> DataFrame:
+        # positional names; the header line of each file is dropped by the reader
+        raw = (spark.read.schema(T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))]))
+               .option("header", True).option("enforceSchema", True).option("sep", by).option("quote", '"')
+               .option("escape", '"').option("multiLine", multi_line).option("mode", "PERMISSIVE").csv(files))
+        at = {n: f"c{i}" for i, n in reversed(list(enumerate(names)))}  # the first of equal names
+        out = []
+        for c in columns:
+            t = types.get(c, T.StringType())
+            src = at.get(c.lower())
+            if src is None:
+                out.append(F.lit(None).cast(t).alias(c))
+                continue
+            v = null_if_token(clean_text(F.col(src)), tokens)
+            if isinstance(t, T.DateType):
+                v = date_guard(v)
+            elif not isinstance(t, T.StringType):
+                v = v.try_cast(t)
+            out.append(v.alias(c))
+        if with_file:
+            out.append(F.input_file_name().alias("_file"))
+        return raw.select(*out)
+
+    frames = [one(by, _fields(line, by), files) for (by, line), files in groups.items()]
+    if not frames:
+        names = [T.StructField(c, types.get(c, T.StringType())) for c in columns]
+        return spark.createDataFrame([], T.StructType(names + [T.StructField("_file", T.StringType())] * with_file))
+    return reduce(DataFrame.unionByName, frames)
 
 
 def read_years(spark: SparkSession, root: str, years: Iterable[int], patterns: Sequence[str],
                columns: Sequence[str], schema=None, sep: str | None = ",") -> DataFrame:
     """Yearly files: for each year the first pattern (``{root}``/``{year}``
-    placeholders, a file or a folder) that exists; all found years are read
-    in one scan.  Existence comes from one listing of ``root``."""
+    placeholders, a file or a folder) that exists; found years with the same
+    header are read in one scan.  Existence comes from one listing of ``root``."""
     from .files import existing_per_key
     found = [p for _, p in existing_per_key(spark, root, years, patterns)]
     if not found:

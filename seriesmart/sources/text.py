@@ -16,14 +16,16 @@ column, so batch, in-memory and streaming inputs share one parser.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import cast_value
-from ..functions.text import DEFAULT_NULL_TOKENS, clean_field, clean_text, is_blank, null_if_token, strip_nul
+from ..functions.text import DEFAULT_NULL_TOKENS, WHITESPACE, clean_field, clean_text, is_blank, null_if_token, strip_nul
 
 FACT_COLUMNS = ("series_id", "year", "period", "value", "footnote_codes")
 HEADER_PREFIX = "series_id"
@@ -34,10 +36,35 @@ def _paths(paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def read_lines(spark: SparkSession, paths: str | Sequence[str], with_order: bool = False) -> DataFrame:
+def first_lines(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, str]:
+    """The first line of every (non-empty) file, by the path Spark reports for it.
+
+    One job a file that reads one line, eight at a time: a whole scan would read
+    every byte only to look at the headers."""
+    def first(file: str):
+        row = spark.read.text(unquote(file)).first()
+        return None if row is None else row["value"]
+
+    files = spark.read.text(_paths(paths)).inputFiles()
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        return {f: v for f, v in zip(files, pool.map(first, files)) if v is not None}
+
+
+def read_lines(spark: SparkSession, paths: str | Sequence[str], with_order: bool = False,
+               header: Callable[[str], bool] | None = None) -> DataFrame:
     """Raw lines as ``value``; with ``with_order`` also ``_line``, a struct that
-    sorts lines in file order (file path, split start, position in the split)."""
+    sorts lines in file order (file path, split start, position in the split).
+
+    ``header`` says of a file's first line whether it is a header; such a line
+    is dropped from its file.  Lines further down are data whatever they start
+    with (only an exact repetition of its own file's header is dropped too)."""
     df = spark.read.text(_paths(paths))
+    file = F.input_file_name()
+    if header:
+        heads = {f: v for f, v in first_lines(spark, paths).items() if header(v)}
+        if heads:
+            pairs = [f"{f}\t{v}" for f, v in heads.items()]
+            df = df.filter(~(F.col("value").isin(sorted(set(heads.values()))) & F.concat_ws("\t", file, "value").isin(pairs)))
     if with_order:
         df = df.select("value", F.struct(
             F.col("_metadata.file_path").alias("file"),
@@ -46,28 +73,35 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], with_order: bool
     return df
 
 
-def _flags(lines: DataFrame, n: int, strip_nul_bytes: bool, header_prefix: str | None,
+def starts_with(prefix: str) -> Callable[[str], bool]:
+    """A header test: the line, without NUL bytes and leading white space, starts with ``prefix``."""
+    return lambda line: line.replace("\0", "").lstrip(WHITESPACE).startswith(prefix)
+
+
+def _flags(lines: DataFrame, n: int, strip_nul_bytes: bool, header_field: str | None,
            keep: Sequence[str] = ()) -> DataFrame:
-    """The (NUL-free) line plus ``_real`` (neither blank nor a header line) and
-    ``_n``, the number of fields counted up to ``n`` (a split that stops after
+    """The (NUL-free) line plus ``_real`` (neither blank nor a header line of an
+    input without files) and ``_n``, the number of fields counted up to ``n`` (a split that stops after
     ``n - 1`` tabs)."""
     v = F.col("value")
     if strip_nul_bytes:
         v = strip_nul(v)
     real = ~is_blank(v)
-    if header_prefix:
-        real = real & ~v.startswith(header_prefix)
+    if header_field:
+        real = real & (clean_text(F.substring_index(v, "\t", 1)) != header_field)
     return lines.select(v.alias("value"), real.alias("_real"),
                         F.size(F.split(v, "\t", max(n, 1))).alias("_n"), *keep)
 
 
 def parse_lines(lines: DataFrame, columns: Sequence[str], min_fields: int | None = None,
                 null_tokens: Iterable[str] = DEFAULT_NULL_TOKENS,
-                header_prefix: str | None = HEADER_PREFIX, strip_nul_bytes: bool = True,
+                header_field: str | None = None, strip_nul_bytes: bool = True,
                 keep: Sequence[str] = (), observation: Observation | None = None) -> DataFrame:
     """Split tab-separated lines into the named positional columns (all strings).
 
-    * blank lines and a header line (starting with ``header_prefix``) are dropped;
+    * blank lines are dropped; header lines are the business of ``read_lines``, which
+      knows the files; for lines without files (a stream) ``header_field`` drops those
+      whose whole first field is that name;
     * a line with fewer than ``min_fields`` fields (default: ``len(columns)``)
       is skipped - see ``count_skipped`` for the count;
     * extra fields are ignored; a missing optional field (when ``min_fields`` is
@@ -82,7 +116,7 @@ def parse_lines(lines: DataFrame, columns: Sequence[str], min_fields: int | None
     """
     n = len(columns) if min_fields is None else min_fields
     tokens = tuple(null_tokens)
-    flagged = _flags(lines, n, strip_nul_bytes, header_prefix, keep)
+    flagged = _flags(lines, n, strip_nul_bytes, header_field, keep)
     if observation is not None:
         real, size = F.col("_real"), F.col("_n")
         flagged = flagged.observe(observation,
@@ -96,7 +130,7 @@ def parse_lines(lines: DataFrame, columns: Sequence[str], min_fields: int | None
 
 
 def count_skipped(lines: DataFrame, columns: Sequence[str] | int, min_fields: int | None = None,
-                  header_prefix: str | None = HEADER_PREFIX,
+                  header_field: str | None = None,
                   strip_nul_bytes: bool = True) -> DataFrame:
     """One row ``kept, skipped``: lines parsed vs. lines dropped for too few fields.
 
@@ -104,7 +138,7 @@ def count_skipped(lines: DataFrame, columns: Sequence[str] | int, min_fields: in
     """
     width = columns if isinstance(columns, int) else len(columns)
     n = width if min_fields is None else min_fields
-    flagged = _flags(lines, n, strip_nul_bytes, header_prefix)
+    flagged = _flags(lines, n, strip_nul_bytes, header_field)
     real, size = F.col("_real"), F.col("_n")
     return flagged.agg(F.count_if(real & (size >= n)).cast("bigint").alias("kept"),
                        F.count_if(real & (size < n)).cast("bigint").alias("skipped"))
@@ -118,7 +152,8 @@ def read_facts(spark: SparkSession, paths, columns: Sequence[str] = FACT_COLUMNS
     ``value`` stays text until the wide table's decimal cast, so no precision is
     lost on the way.  ``year`` is cast here (strict: bad text fails the load).
     """
-    df = parse_lines(read_lines(spark, paths), columns, min_fields, observation=observation)
+    df = parse_lines(read_lines(spark, paths, header=starts_with(HEADER_PREFIX)), columns, min_fields,
+                     observation=observation)
     if "year" in columns:
         df = df.withColumn("year", cast_value("year", "int", mode, what="year"))
     return df
@@ -127,7 +162,7 @@ def read_facts(spark: SparkSession, paths, columns: Sequence[str] = FACT_COLUMNS
 def read_series(spark: SparkSession, paths, columns: Sequence[str],
                 min_fields: int | None = None) -> DataFrame:
     """Series lines -> one row per series with the dataset's positional columns."""
-    return parse_lines(read_lines(spark, paths), columns, min_fields)
+    return parse_lines(read_lines(spark, paths, header=starts_with(HEADER_PREFIX)), columns, min_fields)
 
 
 def latest_by_line(df: DataFrame, key: str, value_cols: Sequence[str]) -> DataFrame:
@@ -144,34 +179,13 @@ def read_series_mapping(spark: SparkSession, paths,
     """Series -> code mapping: lines need ``min_fields`` fields and non-empty
     required codes (default: the first ``min_fields`` columns); last line wins."""
     required = list(required or columns[:min_fields])
-    df = parse_lines(read_lines(spark, paths, with_order=True), columns, min_fields,
-                     null_tokens=("",), keep=(LINE,))
+    df = parse_lines(read_lines(spark, paths, with_order=True, header=starts_with(HEADER_PREFIX)), columns,
+                     min_fields, null_tokens=("",), keep=(LINE,))
     present = [F.col(c).isNotNull() for c in required]
     df = df.filter(reduce(lambda a, b: a & b, present))
     return latest_by_line(df, columns[0], columns[1:])
 
 
-def _first_lines(lines: DataFrame) -> DataFrame:
-    """The first line of every file (one row per file)."""
-    first = (lines.filter(F.col(f"{LINE}.block") == 0)
-             .groupBy(F.col(f"{LINE}.file").alias("_file"))
-             .agg(F.min(F.col(f"{LINE}.pos")).alias("_pos")))
-    return first
-
-
-def _drop_first_line_if(lines: DataFrame, cond: Column, max_files: int = 100_000) -> DataFrame:
-    """Drop the first line of each file when it satisfies ``cond``.
-
-    The first lines form one row per input file, so the file listing bounds
-    their number; they are broadcast when the listing is within ``max_files``."""
-    heads = _first_lines(lines).withColumn("_first", F.lit(True))
-    heads = F.broadcast(heads) if len(lines.inputFiles()) <= max_files else heads.hint("shuffle_hash")
-    marked = lines.join(heads,
-                        (F.col(f"{LINE}.file") == F.col("_file")) & (F.col(f"{LINE}.pos") == F.col("_pos")),
-                        "left")
-    return marked.filter(~(F.coalesce(F.col("_first"), F.lit(False)) & cond)).select(*lines.columns)
-
-
 def read_dimension(spark: SparkSession, paths, key_col: int = 0, name_col: int = 1,
                    null_tokens: Iterable[str] = DEFAULT_NULL_TOKENS) -> DataFrame:
     """Code list -> ``(code, name)``.
@@ -181,9 +195,8 @@ def read_dimension(spark: SparkSession, paths, key_col: int = 0, name_col: int =
     ``name_col`` (NULL when missing, empty or ``-``); NUL bytes are removed and
     the last line wins for a repeated code.
     """
-    lines = read_lines(spark, paths, with_order=True)
+    lines = read_lines(spark, paths, with_order=True, header=lambda line: "\t" in line)
     lines = lines.withColumn("value", strip_nul("value"))
-    lines = _drop_first_line_if(lines, F.col("value").contains("\t"))
     parts = F.split(F.col("value"), "\t", max(key_col, name_col) + 2)
     code = clean_text(F.try_element_at(parts, F.lit(key_col + 1)))
     name = clean_field(F.try_element_at(parts, F.lit(name_col + 1)), null_tokens)
@@ -196,33 +209,31 @@ def read_dimension(spark: SparkSession, paths, key_col: int = 0, name_col: int =
 def read_dimension_table(spark: SparkSession, paths, pk_column: str,
                          columns: Sequence[str] | None = None,
                          null_tokens: Iterable[str] = DEFAULT_NULL_TOKENS) -> DataFrame:
-    """A whole code-list table.  A line starting with ``pk_column`` is the
-    header; with ``columns`` the fields are taken by position into those
-    names, otherwise the header names them.  Missing trailing fields are NULL."""
-    lines = read_lines(spark, paths)
+    """A whole code-list table.  A file's first line is its header when it starts
+    with ``pk_column``; with ``columns`` the fields are taken by position into
+    those names, otherwise the header names them.  Missing trailing fields are NULL."""
+    header = starts_with(pk_column)
     if columns is None:
-        head = (lines.filter(clean_text(strip_nul("value")).startswith(pk_column))
-                .select(strip_nul("value").alias("value")).first())
+        head = next((v for v in first_lines(spark, paths).values() if header(v)), None)
         if head is None:
             raise ValueError(f"no header line starting with {pk_column!r} and no column list")
-        columns = [c.strip() for c in head["value"].split("\t")]
-    return parse_lines(lines, columns, min_fields=1, null_tokens=null_tokens,
-                       header_prefix=pk_column)
+        columns = [c.strip() for c in head.replace("\0", "").split("\t")]
+    return parse_lines(read_lines(spark, paths, header=header), columns, min_fields=1, null_tokens=null_tokens)
 
 
 def read_bulk(spark: SparkSession, paths, columns: Sequence[str]) -> DataFrame:
     """A bulk data file: all listed columns, header ``series_id`` dropped."""
-    return parse_lines(read_lines(spark, paths), columns)
+    return parse_lines(read_lines(spark, paths, header=starts_with(HEADER_PREFIX)), columns)
 
 
-def read_parts(spark: SparkSession, root: str, stem: str) -> DataFrame:
+def read_parts(spark: SparkSession, root: str, stem: str, header: Callable[[str], bool] | None = None) -> DataFrame:
     """Lines of a dataset split into numbered parts (``{stem}_data_1``,
     ``{stem}_data_2``, ...), else of the single ``{stem}`` file; all parts are
     read in one scan."""
     base = root.rstrip("/")
     try:
-        return read_lines(spark, f"{base}/{stem}_data_[0-9]*")
+        return read_lines(spark, f"{base}/{stem}_data_[0-9]*", header=header)
     except Exception as e:
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise
-    return read_lines(spark, f"{base}/{stem}")
+    return read_lines(spark, f"{base}/{stem}", header=header)

@@ -15,7 +15,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
-from ..sources.text import parse_lines
+from ..sources.text import HEADER_PREFIX, parse_lines
 
 
 def freeze_static(*frames: DataFrame) -> list[DataFrame]:
@@ -42,7 +42,8 @@ def stream_ingest(spark: SparkSession, landing_dir: str, columns: Sequence[str],
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    parsed = parse_lines(reader.load(landing_dir), columns, min_fields)
+    # a stream has no first lines: a header is a line whose first field is the column's name
+    parsed = parse_lines(reader.load(landing_dir), columns, min_fields, header_field=HEADER_PREFIX)
     if transform is not None:
         parsed = transform(parsed)
     w = parsed.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)

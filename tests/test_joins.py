@@ -41,7 +41,10 @@ def test_duplicate_mapping_keys_do_not_multiply_counts(spark):
 
 def test_join_choice(spark):
     # over the broadcast bound but within the hash budget: shuffled hash join hint
-    plan = bounded_broadcast(spark.range(100), max_rows=10)._jdf.queryExecution().analyzed().toString()
+    plan = bounded_broadcast(spark.range(100), max_rows=10, rows=100)._jdf.queryExecution().analyzed().toString()
     assert "shuffle_hash" in plan.lower()
-    plan = bounded_broadcast(spark.range(100), max_rows=1000)._jdf.queryExecution().analyzed().toString()
+    plan = bounded_broadcast(spark.range(100), max_rows=1000, rows=100)._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in plan.lower()
+    # without a count: no hint
+    plan = bounded_broadcast(spark.range(100), max_rows=10)._jdf.queryExecution().analyzed().toString()
+    assert "hint" not in plan.lower()

@@ -57,3 +57,32 @@ def test_yearly_keys_and_listing(spark, tmp_path):
     r = load_legacy_dataset(spark, spec, files, str(tmp_path / "o"), str(tmp_path / "log"), year_keyed=True)
     assert r["parts"] == {"2019": 1, "2020": 1, "2021": 1}
     assert {x["area_fips"] for x in read_current(spark, f"{tmp_path}/o/census_narrow").collect()} == {"01000"}
+
+
+def test_a_changed_part_keeps_the_others(spark, tmp_path):
+    from seriesmart.operators import read_log
+    spec = LegacySpec("d", "t", (("id", "int"), ("price", "double")), stamp=False)
+    parts = [write_text(tmp_path / "raw" / f"d_data_{i}", "id,price\n" + "".join(f"{i}{k},1\n" for k in range(n))) for i, n in ((1, 60), (2, 40))]
+    out, log = str(tmp_path / "out"), str(tmp_path / "log")
+    heads = lambda e: spark.createDataFrame([("d", "part1", e), ("d", "part2", "b")], "dataset string, data_key string, etag string") \
+        .selectExpr("*", "cast(null as timestamp) last_modified", "'u' source_url")
+    first = load_legacy_dataset(spark, spec, parts, out, log, heads("a"))
+    assert first["parts"] == {"part1": 60, "part2": 40}
+    write_text(tmp_path / "raw" / "d_data_1", "price,id\n" + "".join(f"2,1{k}\n" for k in range(50)))
+    second = load_legacy_dataset(spark, spec, parts, out, log, heads("a2"))
+    assert second["status"] == "warning" and second["parts"] == {"part1": 50}
+    got = {(r.id, r.price) for r in spark.read.parquet(second["location"]).collect()}
+    assert got == {(int(f"1{k}"), 2.0) for k in range(50)} | {(int(f"2{k}"), 1.0) for k in range(40)}
+    # a missing file leaves a failed row
+    bad = load_legacy_dataset(spark, spec, [parts[0], str(tmp_path / "none")], out, log, None)
+    assert bad["status"] == "failed" and read_log(spark, log).filter("status = 'failed'").count() == 2
+
+
+def test_headers_and_quotes_by_file(spark, tmp_path):
+    from seriesmart.sources.delimited import read_delimited
+    a = write_text(tmp_path / "p" / "a b.csv", 'id,"Price",note\n1,30,"a ""b"", c"\n2,40,"C:\\"\n')
+    b = write_text(tmp_path / "p" / "b.csv", "PRICE\tid\n3\t30\n")
+    got = read_delimited(spark, [a, b], ["id", "price", "note"], {"id": "int", "price": "double"})
+    assert {tuple(r) for r in got.collect()} == {(1, 30.0, 'a "b", c'), (2, 40.0, "C:\\"), (30, 3.0, None)}
+    c = write_text(tmp_path / "c.csv", 'id,note\n1,"two\nlines"\n')
+    assert [r.note for r in read_delimited(spark, c, ["note"], multi_line=True).collect()] == ["two\nlines"]

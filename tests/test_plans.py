@@ -5,7 +5,7 @@ from contextlib import contextmanager
 from pyspark.sql import functions as F
 
 import __spark_entry__ as se
-from seriesmart.operators import Lookup, denormalize, latest_per_key, year_range
+from seriesmart.operators import map_join, orphans, skip_counts, Lookup, denormalize, latest_per_key, year_range
 
 SF = "/root/testdata/sf0.001"
 
@@ -30,13 +30,28 @@ def conf(spark, **kv):
 
 
 def test_fact_side_is_never_broadcast(spark):
-    # the series is over the broadcast bound: it becomes the hash-build side
-    with conf(spark, **{"seriesmart.broadcast.maxRows": "10"}):
+    # a counted series over the broadcast bound becomes the hash-build side
+    li, o = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("lineitem", "orders"))
+    p = plan(denormalize(li, o, {}, [], fact_key="l_orderkey", series_key="o_orderkey", max_rows=10, series_rows=1500))
+    assert "ShuffledHashJoin" in p and "BuildRight" in p and "BroadcastExchange" not in p
+    # without counts Spark's byte sizes decide; the facts are larger than what may be broadcast
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "64k"}):
         p = plan(se.queries()["star_denormalize"](spark, SF))
-    assert "ShuffledHashJoin" in p and "BuildRight" in p
-    for line in p.splitlines():
-        if "BroadcastExchange" in line:
-            assert "lineitem" not in line
+    for part in p.split("BroadcastExchange")[1:]:
+        assert "lineitem" not in part.split("Exchange")[0].split("Scan")[0]
+
+
+def test_joins_start_no_job_beforehand(spark):
+    """Nothing is counted to choose a join: plans have no limit through one task."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("choose", "choose")
+    try:
+        li, o = spark.range(1000).withColumnRenamed("id", "k"), spark.range(10).withColumnRenamed("id", "k")
+        p = plan(map_join(li, o, "k", "k")) + plan(skip_counts(li, o, "k", "k")) + plan(orphans(li, o, "k", "k"))
+        assert "GlobalLimit" not in p
+        assert not tracker.getJobIdsForGroup("choose")
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
 
 
 def test_small_code_lists_are_broadcast(spark):
@@ -69,7 +84,7 @@ def test_hot_series_is_split_by_aqe(spark):
                         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
                         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
                         "spark.sql.autoBroadcastJoinThreshold": "-1"}):
-        df = denormalize(facts, series, dims, [Lookup("d", "cname", key="c")], max_rows=1000)
+        df = denormalize(facts, series, dims, [Lookup("d", "cname", key="c")], max_rows=1000, series_rows=20000)
         agg = df.groupBy().agg(F.sum("v").alias("s"), F.count(F.lit(1)).alias("n"))
         r = agg.collect()[0]
         final = plan(agg)
@@ -83,7 +98,7 @@ def test_counted_orphans_keep_the_fact_side_streamed(spark):
     o = spark.read.parquet(f"{SF}/orders.parquet").filter("o_orderstatus = 'F'")
     obs = Observation("orphans")
     df = denormalize(li, o, {}, [], fact_key="l_orderkey", series_key="o_orderkey", max_rows=10,
-                     observation=obs).select("l_orderkey")
+                     series_rows=1500, observation=obs).select("l_orderkey")
     p = plan(df)
     assert "ShuffledHashJoin" in p and "LeftOuter, BuildRight" in p
     n = df.count()
@@ -102,7 +117,7 @@ def test_hot_series_is_split_in_the_counted_left_join(spark):
                         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
                         "spark.sql.autoBroadcastJoinThreshold": "-1"}):
         obs = Observation("orphans_skew")
-        df = denormalize(facts, series, {}, [], max_rows=1000, observation=obs)
+        df = denormalize(facts, series, {}, [], max_rows=1000, series_rows=19000, observation=obs)
         agg = df.groupBy().agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"))
         r = agg.collect()[0]
         final = plan(agg)
@@ -118,7 +133,7 @@ def test_huge_build_side_sorts_and_merges_instead(spark):
     o = spark.read.parquet(f"{SF}/orders.parquet")
     with conf(spark, **{"seriesmart.shuffleHash.maxRowsPerPartition": "1"}):
         p = plan(denormalize(li, o, {}, [], fact_key="l_orderkey", series_key="o_orderkey",
-                             max_rows=10).select("l_orderkey"))
+                             max_rows=10, series_rows=1500).select("l_orderkey"))
     assert "SortMergeJoin" in p and "ShuffledHashJoin" not in p
 
 

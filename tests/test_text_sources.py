@@ -6,7 +6,7 @@ from conftest import write_bytes, write_text
 
 from seriesmart.sources import (count_skipped, parse_lines, read_dimension, read_dimension_table,
                                 read_facts, read_lines, read_parts, read_series,
-                                read_series_mapping)
+                                read_series_mapping, starts_with)
 
 FACT = ("series_id", "year", "period", "value", "footnote_codes")
 
@@ -29,7 +29,7 @@ def test_fact_edges(spark, tmp_path):
     df = read_facts(spark, p, FACT)
     assert rows(df) == [("A1", 2020, "M01", "1.5", None), ("A2", 2021, "M02", "2.0", None),
                         ("A4", 2023, "M04", None, None), ("A5", 2024, "M05", "3.25", "P")]
-    c = count_skipped(read_lines(spark, p), FACT).first()
+    c = count_skipped(read_lines(spark, p, header=starts_with("series_id")), FACT).first()
     assert (c["kept"], c["skipped"]) == (4, 1)
 
 
@@ -118,3 +118,15 @@ def test_last_line_keeps_its_trailing_empty_fields(spark, tmp_path):
     # a whole-text strip would eat the trailing tab of the last row and drop it
     p = write_text(tmp_path / "f.txt", "A1\t2020\tM01\t1\t\nA2\t2020\tM02\t2\t")
     assert rows(read_facts(spark, p, FACT), "series_id") == [("A1",), ("A2",)]
+
+
+def test_header_is_a_files_first_line_only(spark, tmp_path):
+    """Lines further down that start like a header are data; each file has its own first line."""
+    a = write_text(tmp_path / "in" / "a.txt", "series_id\tyear\nseries_id_x\t2\nA\t1\n")
+    b = write_text(tmp_path / "in" / "b.txt", "B\t3\nseries_idle\t4\n")
+    write_text(tmp_path / "in" / "c d.txt", "  series_id \tother\nC\t5\n")
+    lines = read_lines(spark, str(tmp_path / "in"), header=starts_with("series_id"))
+    assert rows(parse_lines(lines, ["k", "v"])) == [("A", "1"), ("B", "3"), ("C", "5"), ("series_id_x", "2"), ("series_idle", "4")]
+    assert rows(read_series(spark, [a, b], ["series_id", "year"])) == [("A", "1"), ("B", "3"), ("series_id_x", "2"), ("series_idle", "4")]
+    p = write_text(tmp_path / "d.txt", "area_code\tarea_name\narea9\tNine\narea_code2\tTwo\n")
+    assert rows(read_dimension_table(spark, p, "area")) == [("area9", "Nine"), ("area_code2", "Two")]
