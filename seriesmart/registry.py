@@ -733,3 +733,8 @@ ORACLE_SQL: dict[str, str] = {
     "year_chunk_progress": "WITH y AS (SELECT CAST(year(o_orderdate) AS INT) AS yr FROM orders), b AS (SELECT MIN(yr) AS lo, MAX(yr) AS hi FROM y), c AS (SELECT CAST(lo + floor((yr - lo) / 2.0) * 2 AS INT) AS chunk_start, hi, COUNT(*) AS chunk_rows FROM y CROSS JOIN b GROUP BY 1, hi) SELECT chunk_start, CAST(LEAST(chunk_start + 1, hi) AS INT) AS chunk_end, chunk_rows, CAST(SUM(chunk_rows) OVER (ORDER BY chunk_start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS total_rows FROM c",
     "year_range_filter": "SELECT o_orderkey, o_totalprice FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1997",
 }
+
+from . import registry_loads  # noqa: E402  (registers its queries here, after the helpers above)
+
+QUERIES.update(registry_loads.QUERIES)
+ORACLE_SQL.update(registry_loads.ORACLE_SQL)
