@@ -10,11 +10,11 @@
    prior, a pair is dropped once the posterior probability that its similarity
    reaches the threshold is below ``MISS``.  Survivors are verified exactly on
    the full shingle sets of both texts.
-4. *Rest*: components of these links are taken; then all pairs of a bucket that
-   are still in different components are verified in the same way, unless the
-   shingles that nobody shares rule them out exactly.  So no link between
-   components is lost to the hubs, and copies of one text, or edits that stay
-   close to it, never expand into all their pairs.
+4. *Rest*: components of these links are taken; then what a bucket still holds
+   in different components is compared in the same way, block against block
+   within a task, unless the shingles that nobody shares rule it out exactly.
+   Only links come out, no more than join the components; pairs never become
+   rows.  So no link between components is lost to the hubs.
 
 With 32 bands of 5 hashes, a pair of similarity 0.8 has no common band with
 probability (1 - 0.8^5)^32 = 3e-6; the Bayesian batches add at most 5 x MISS.
@@ -35,6 +35,7 @@ from hashlib import blake2b
 from math import comb
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -45,8 +46,8 @@ from .graph import components, stored
 BANDS, ROWS = 32, 5
 #: Signature values that are compared at once, and the chosen miss probability of each comparison.
 BATCH, MISS = 32, 1e-6
-#: Shingles that are hashed at once.
-STEP = 2048
+#: Shingles that are hashed at once, and of a block of vertices that are compared in one task.
+STEP, BLOCK = 2048, 1_000_000
 
 
 def words_of(text: str) -> list[bytes]:
@@ -217,10 +218,7 @@ def classes(docs: DataFrame, spark: SparkSession, words: int = 5, percent: int =
     close = (member.join(apart.select("band", "key", "least_n"), ["band", "key"])
              .filter(f"100 * shared >= {percent} * (n + greatest(least_n, shared) - shared)"))
     close = stored(close.select("v", "n", "shared", "c", "band", "key"), spark, "close")
-    rest = (close.alias("x").join(close.alias("y"), F.expr(
-        "x.band = y.band AND x.key = y.key AND x.v < y.v AND x.c != y.c AND " + reach))
-        .select(F.col("x.v").alias("a"), F.col("y.v").alias("b")).distinct())
-    links = links.union(_verified(rest, vertices, texts, words, percent, spark))
+    links = links.union(stored(_rest(close, vertices, texts, words, percent), spark, "rest"))
 
     of = components(links, spark)
     least = (stand.join(of, "v", "left").withColumn("c", F.coalesce("c", "v")))
@@ -247,6 +245,52 @@ def _verified(pairs: DataFrame, vertices: DataFrame, texts: DataFrame, k: int, p
     return stored(_linked(both, k, percent), spark, "linked")
 
 
+def _rest(close: DataFrame, vertices: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links between the components that vertices ``(v, n, shared, c, band, key)`` of a bucket are in.
+
+    A bucket is cut into blocks of about ``BLOCK`` shingles; every two of them
+    (and each with itself) make a unit of work, in which pairs are compared
+    without ever being rows of a table, and only links come out, no more than
+    join the unit's components.
+    """
+    size = close.groupBy("band", "key").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int")
+    units = (close.join(size, ["band", "key"]).withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("v", "n", "shared", "c", "band", "key", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
+    full = units.join(vertices.select("v", "sig"), "v").join(texts, "v")
+
+    def run(unit: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("v")
+        v, n, shared, own = (rows[c].to_numpy() for c in ("v", "n", "shared", "own"))
+        comp = np.unique(rows["c"], return_inverse=True)[1]
+        sig = np.frombuffer(b"".join(rows["sig"]), np.uint16).reshape(-1, BANDS * ROWS)
+        sets = lru_cache(maxsize=None)(lambda i: shingles(words_of(rows["text"].iat[i]), k))
+        band, out = int(unit[0]), []
+        for i in range(len(v) - 1):
+            near = np.minimum(shared[i], shared[i + 1:])
+            apart = (comp[i + 1:] != comp[i]) & (100 * near >= percent * (n[i] + n[i + 1:] - near))
+            if unit[2] != unit[3]:
+                apart &= own[i + 1:] != own[i]
+            others = np.flatnonzero(apart) + i + 1
+            matches = np.zeros(len(others), np.int64)
+            for m, least in least_matches(percent):
+                matches += (sig[others, m - BATCH:m] == sig[i, m - BATCH:m]).sum(axis=1)
+                alive = matches >= least
+                others, matches = others[alive], matches[alive]
+            # a pair belongs to the first band that it has in common
+            same = (sig[others].reshape(-1, BANDS, ROWS) == sig[i].reshape(BANDS, ROWS)).all(axis=2)
+            for j in others[same.argmax(axis=1) == band] if len(others) else ():
+                if comp[i] != comp[j]:
+                    both = len(sets(i) & sets(int(j)))
+                    if 100 * both >= percent * (n[i] + n[j] - both):
+                        out.append((v[i], v[j]))
+                        comp[comp == comp[j]] = comp[i]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return full.groupBy("band", "key", "i", "j").applyInPandas(run, "a long, b long")
+
+
 def kept(df: DataFrame) -> DataFrame:
     """Adds ``kept``: true for the document that stands for its component."""
     return df.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
