@@ -20,10 +20,12 @@ from .operators import append_log, check_constraints, full_log, out_of_range, re
 from .operators.loadlog import LOG_SCHEMA, latest_log
 from .operators.quality import validate_row_count
 from .plans import DatasetPaths, LegacySpec, load_all, load_dataset, load_legacy_dataset
+from .plans.legacy_specs import LEGACY_DATASETS, part_names
 from .plans.specs import DATASETS, DatasetSpec
 from .session import scratch_path
 from .sinks import append, export_csv, write_lines, write_tsv
 from .sources import manifest, parse_lines, read_delimited, read_dimension_table, read_lines, read_series
+from .sources.files import existing_per_key
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -220,6 +222,40 @@ def quoted_csv_roundtrip(spark, sf):
     return read_delimited(spark, path, ["c_custkey", "label"], {"c_custkey": "bigint"})
 
 
+@query("""SELECT CAST(l_orderkey AS STRING) AS series_id, CAST(year(l_shipdate) AS INT) AS year, 'M' || lpad(CAST(month(l_shipdate) AS STRING), 2, '0') AS period,
+                 CAST(CAST(l_extendedprice AS STRING) AS DECIMAL(28,10)) AS value, l_returnflag AS footnote_codes FROM lineitem""")
+def legacy_catalog_parts(spark, sf):
+    """A dataset of the older catalog with two parts (seasonally unadjusted and adjusted: line status O and F)."""
+    entry = LEGACY_DATASETS["la"]
+    li = table(spark, sf, "lineitem")
+    rows = li.select(F.col("l_orderkey").alias("series_id"), F.year("l_shipdate").alias("year"), F.concat(F.lit("M"), F.lpad(F.month("l_shipdate").cast("string"), 2, "0")).alias("period"),
+                     F.col("l_extendedprice").alias("value"), F.col("l_returnflag").alias("footnote_codes"), "l_linestatus")
+    src, out = scratch_path(spark, "la_src"), scratch_path(spark, "la_out")
+    parts = part_names(entry, src)
+    for path, status in zip(parts, "OF"):
+        write_tsv(rows.filter(F.col("l_linestatus") == status).drop("l_linestatus"), path, header=True)
+    res = load_legacy_dataset(spark, entry.spec, parts, out, f"{out}/_load_log")
+    return spark.read.parquet(res["location"]).drop("loaded_at")
+
+
+@query("""SELECT CAST(c_custkey AS STRING) AS area_fips, CAST(o_orderkey AS STRING) AS industry_code, CAST(year(o_orderdate) AS INT) AS year,
+                 CAST(quarter(o_orderdate) AS INT) AS qtr, CAST(CAST(o_totalprice AS STRING) AS DECIMAL(28,10)) AS total_qtrly_wages,
+                 CAST(o_orderdate AS DATE) AS date, c_name AS area_title FROM orders JOIN customer ON o_custkey = c_custkey""")
+def legacy_catalog_years(spark, sf):
+    """The yearly files of the older catalog's census, one folder a year."""
+    entry = LEGACY_DATASETS["qcew"]
+    o, c = table(spark, sf, "orders"), table(spark, sf, "customer")
+    rows = o.join(c, o.o_custkey == c.c_custkey).select(
+        F.col("c_name").alias("area_title"), F.col("c_custkey").alias("area_fips"), F.col("o_orderkey").alias("industry_code"),
+        F.year("o_orderdate").alias("year"), F.quarter("o_orderdate").alias("qtr"), F.col("o_totalprice").alias("total_qtrly_wages"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.year("o_orderdate").alias("y"))
+    src, out = scratch_path(spark, "qcew_src"), scratch_path(spark, "qcew_out")
+    rows.write.partitionBy("y").option("header", True).csv(src)
+    parts = [p for _, p in existing_per_key(spark, src, range(entry.years[0], entry.years[1] + 1), ["{root}/y={year}"])]
+    res = load_legacy_dataset(spark, entry.spec, parts, out, f"{out}/_load_log", year_keyed=True)
+    return spark.read.parquet(res["location"]).select("area_fips", "industry_code", "year", "qtr", "total_qtrly_wages", "date", "area_title")
+
+
 # --- headers, compression, bytes ------------------------------------------------------------
 
 @query("""SELECT CASE WHEN o_orderstatus = 'F' THEN 'series_id_' ELSE 'id_' END || o_orderkey AS series_id, o_custkey AS v, 'series' AS kind FROM orders
