@@ -145,6 +145,7 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, ou
         violations = {k: res.metrics[k] for k in rules}
         violations.update(joined.get)
         violations.update(values.get)
+        violations["replaced_lines"] = lines.get.get("replaced", 0)
         chunks = None
         if res.status != "failed":
             staged = spark.read.parquet(res.location)

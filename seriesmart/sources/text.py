@@ -6,7 +6,7 @@ cut to the wanted prefix, a row with *fewer* is skipped and counted, there is
 no quoting, and every field is trimmed with NULL tokens mapped to NULL.  The
 CSV reader's modes treat long and short rows alike, so it cannot express this.
 
-Bad UTF-8 bytes become U+FFFD (the text source decodes with replacement);
+Bad UTF-8 bytes become U+FFFD (lines with one are counted as ``replaced``);
 ``.gz`` files are decompressed by extension.  Line ends LF, CRLF and CR all
 split lines.
 
@@ -59,18 +59,18 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], with_order: bool
     is dropped from its file.  Lines further down are data whatever they start
     with (only an exact repetition of its own file's header is dropped too)."""
     df = spark.read.text(_paths(paths))
-    file = F.input_file_name()
+    line, file = F.make_valid_utf8("value"), F.input_file_name()
     if header:
         heads = {f: v for f, v in first_lines(spark, paths).items() if header(v)}
         if heads:
             pairs = [f"{f}\t{v}" for f, v in heads.items()]
-            df = df.filter(~(F.col("value").isin(sorted(set(heads.values()))) & F.concat_ws("\t", file, "value").isin(pairs)))
-    if with_order:
-        df = df.select("value", F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("pos")).alias(LINE))
-    return df
+            df = df.filter(~(line.isin(sorted(set(heads.values()))) & F.concat_ws("\t", file, line).isin(pairs)))
+    if not with_order:
+        return df.select(line.alias("value"))
+    return df.select(line.alias("value"), F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("pos")).alias(LINE))
 
 
 def starts_with(prefix: str) -> Callable[[str], bool]:
@@ -109,7 +109,7 @@ def parse_lines(lines: DataFrame, columns: Sequence[str], min_fields: int | None
     * each field is trimmed and NULL tokens (``''`` and ``'-'``) become NULL.
     ``keep`` names input columns carried through (e.g. ``_line``).
     With ``observation`` the counts ``kept`` and ``skipped`` (as in
-    ``count_skipped``) are collected while the rows are parsed, no extra pass.
+    ``count_skipped``) and ``replaced`` (lines with U+FFFD) are collected while the rows are parsed, no extra pass.
 
     Splits stop early: the field count stops at ``min_fields`` and a kept line
     is split only as far as the wanted columns.
@@ -121,7 +121,8 @@ def parse_lines(lines: DataFrame, columns: Sequence[str], min_fields: int | None
         real, size = F.col("_real"), F.col("_n")
         flagged = flagged.observe(observation,
                                   F.count_if(real & (size >= n)).cast("bigint").alias("kept"),
-                                  F.count_if(real & (size < n)).cast("bigint").alias("skipped"))
+                                  F.count_if(real & (size < n)).cast("bigint").alias("skipped"),
+                                  F.count_if(F.contains("value", F.lit("\ufffd"))).cast("bigint").alias("replaced"))
     ok = flagged.filter(F.col("_real") & (F.col("_n") >= n))
     parts = ok.select(F.split("value", "\t", len(columns) + 1).alias("_p"), *keep)
     trimmed = parts.select(*[clean_text(F.try_element_at("_p", F.lit(i + 1))).alias(c)

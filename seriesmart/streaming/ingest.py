@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from ..sources.text import HEADER_PREFIX, parse_lines
@@ -43,7 +44,8 @@ def stream_ingest(spark: SparkSession, landing_dir: str, columns: Sequence[str],
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     # a stream has no first lines: a header is a line whose first field is the column's name
-    parsed = parse_lines(reader.load(landing_dir), columns, min_fields, header_field=HEADER_PREFIX)
+    lines = reader.load(landing_dir).select(F.make_valid_utf8("value").alias("value"))
+    parsed = parse_lines(lines, columns, min_fields, header_field=HEADER_PREFIX)
     if transform is not None:
         parsed = transform(parsed)
     w = parsed.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
