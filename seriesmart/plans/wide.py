@@ -39,20 +39,22 @@ def wide_table(facts: DataFrame, series: DataFrame, dims: Mapping[str, DataFrame
     the column's NUMERIC(p,s); ``tolerant`` stores NULL instead.  With
     ``observation`` the facts without a series are counted (``orphan_facts``),
     with ``values_observation`` the fact values that do not fit the column
-    (``bad_values``) - both during the same pass.
+    (``bad_values``) and the facts dropped for a NULL year (``null_years``) -
+    all during the same pass.
     """
     facts = facts.select(*[c for c in spec.fact_columns if c in facts.columns])
     if years is not None:
         facts = year_range(facts, years[0], years[1], "year")
+    if values_observation is not None:
+        raw, dropped = F.col("value"), F.col("year").isNull() & F.lit(spec.null_year == "drop")
+        facts = facts.observe(values_observation,
+                              F.count_if(~dropped & raw.isNotNull() & raw.try_cast(spec.value_type).isNull())
+                              .cast("bigint").alias("bad_values"),
+                              F.count_if(dropped).cast("bigint").alias("null_years"))
     facts = _year_policy(facts, spec)
     lookups = list(spec.lookups)
     if spec.period_name == "case":
         lookups = [lk for lk in lookups if lk.dim != "period"]
-    if values_observation is not None:
-        raw = F.col("value")
-        facts = facts.observe(values_observation,
-                              F.count_if(raw.isNotNull() & raw.try_cast(spec.value_type).isNull())
-                              .cast("bigint").alias("bad_values"))
     wide = denormalize(facts, series, dims, lookups, fact_key="series_id", max_rows=max_rows,
                        series_rows=series_rows, observation=observation, dim_rows=dim_rows)
     produced = {lk.name_out for lk in lookups}
