@@ -1,4 +1,4 @@
-"""Write docs/PLANS.md: the physical plan tree of every registered query.
+"""Write docs/PLANS.md: the physical plan tree of every registered query of the load.
 
 usage: python tools/plans.py [SF_DIR]   (default /root/testdata/sf0.1)
 Plans are shown as planned before execution (AQE re-plans at run time:
@@ -35,13 +35,13 @@ def digest(df) -> str:
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     from seriesmart.session import build_session
-    import __spark_entry__ as se
+    from seriesmart.registry import QUERIES
     spark = build_session("local[8]", 8)
     out = ["# Physical plans of the registered queries", "",
            f"Generated by `tools/plans.py` on `{sf}`. Plans as planned before execution;",
            "AQE may still coalesce partitions, switch a join to broadcast or split a skewed",
            "partition at run time. Round-trip queries show the read-back of the files they wrote.", ""]
-    for name, fn in sorted(se.queries().items()):
+    for name, fn in sorted(QUERIES.items()):
         out += [f"## {name}", "", "```", digest(fn(spark, sf)), "```", ""]
     # the load itself: raw text -> wide table (AQE off to show the codegen stages)
     from seriesmart.plans import DatasetPaths, read_inputs, wide_table
