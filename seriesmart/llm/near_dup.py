@@ -46,6 +46,8 @@ from .graph import components, stored
 BANDS, ROWS = 32, 5
 #: Signature values that are compared at once, and the chosen miss probability of each comparison.
 BATCH, MISS = 32, 1e-6
+#: Ids that may be broadcast (eight bytes each).
+SENT = 4_000_000
 #: Shingles that are hashed at once, and of a block of vertices that are compared in one task.
 STEP, BLOCK = 2048, 1_000_000
 
@@ -303,7 +305,9 @@ def distinct(docs: DataFrame, spark: SparkSession, words: int = 5, percent: int
     Rows without an id stay.  Of repeated rows with the same id and text, one stays.
     """
     found = stored(classes(docs, spark, words, percent, id_col, text_col), spark, "found")
-    gone = kept(found).filter("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__gone")).distinct()
+    gone = stored(kept(found).filter("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__gone")).distinct(), spark, "gone")
+    if gone.count() <= SENT:  # beyond, the texts are shuffled to the ids
+        gone = F.broadcast(gone)
     out = docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
     if found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").limit(1).count():
         out = out.dropDuplicates([id_col, text_col])
