@@ -37,7 +37,7 @@ PATTERN = (r" ?\p{L}+|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}+| ?[^\p{White_Space}\p{L}\
            r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 #: Pieces, and checked pairs, that a worker keeps: as many new ones, and the
 #: ones before them that were used again.
-MEMO = 250_000
+MEMO = 180_000
 #: Ids that are decoded at once.
 STEP = 1 << 20
 

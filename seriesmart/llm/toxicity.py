@@ -46,7 +46,7 @@ TRAIN, CANDIDATES, VOCABULARY = 20_000, 100_000, 4_096
 #: Least toxic documents and G-squared of a vocabulary entry, lengths of word beginnings, least score of a toxic document.
 LEAST_TOXIC, LEAST_G2, HEADS, THRESHOLD = 5, 24.0, (3, 4, 5, 6, 7), 0.7
 #: Entries that a worker keeps.
-MEMO = 200_000
+MEMO = 50_000
 
 #: Letters that digits and signs stand for in disguised words.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
