@@ -193,10 +193,10 @@ def classes(docs: DataFrame, spark: SparkSession, words: int = 5, percent: int =
     ``percent`` per cent in common; component_id is the least id reachable.
     """
     plain = id_text(docs, id_col, text_col)
-    rows = stored(sketch(plain, words).withColumn("v", F.monotonically_increasing_id()), spark, "sketch")
-    # The row that stands for its class: that of the least id, and the first of these.
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "v"))
-    stand = stored(rows.filter("n > 0").groupBy("set_id").agg(first.alias("x")).select("set_id", F.col("x.doc_id").alias("first"), "x.v"), spark, "classes")
+    rows = stored(sketch(plain.withColumn("key", _key("text")), words).withColumn("v", F.monotonically_increasing_id()), spark, "sketch")
+    # The row that stands for its class: that of the least id, and of these that of the least key.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "v"))
+    stand = stored(rows.filter("n > 0").groupBy("set_id").agg(first.alias("x")).select("set_id", F.col("x.doc_id").alias("first"), "x.key", "x.v"), spark, "classes")
     vertices = stored(rows.select("v", "n", "sig").join(stand.select("v"), "v", "left_semi"), spark, "vertices")
 
     member = vertices.select("v", "n", F.posexplode(_band_keys("sig")).alias("band", "key"))
@@ -204,6 +204,8 @@ def classes(docs: DataFrame, spark: SparkSession, words: int = 5, percent: int =
     member = stored(member.join(full, ["band", "key"]).select("v", "n", "band", "key"), spark, "members")
     candidates = member.select("v").distinct().join(stand, "v")
     texts = stored(_texts(plain, candidates, words), spark, "texts")
+    if texts.count() > texts.select("v").distinct().count():  # repeated rows, with the same id and text
+        texts = stored(texts.dropDuplicates(["v"]), spark, "texts")
     own = texts.select("v").join(_own(texts, words), "v", "left").select("v", F.coalesce("own", F.lit(0)).alias("own"))
     member = stored(member.join(own, "v").withColumn("shared", F.col("n") - F.col("own")), spark, "members")
 
@@ -230,13 +232,20 @@ def classes(docs: DataFrame, spark: SparkSession, words: int = 5, percent: int =
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
+def _key(text: str | Column) -> Column:
+    """With the id, what a row is known by wherever its table is read again."""
+    return F.xxhash64(text)
+
+
 def _texts(plain: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
-    """``(v, text)``: the text of the document that stands for each candidate class."""
-    wanted = plain.join(candidates.select(F.col("first").alias("id"), "v", "set_id"), F.col("doc_id").eqNullSafe(F.col("id"))).drop("id")
-    # An id that several rows have: only the row with the class's own set.
-    checked = map_column(wanted.withColumn("body", F.col("text")), "text", "got binary", lambda texts: {
+    """``(v, text)``: the text of the row that stands for each candidate class, once for each repetition of that row."""
+    # By the id and the text's key: rows that share an id (or have none) only meet the class that is theirs.
+    own = (F.col("key") == F.col("own_key")) & F.col("doc_id").eqNullSafe(F.col("id"))
+    wanted = plain.withColumn("key", _key("text")).join(candidates.select(F.col("first").alias("id"), F.col("key").alias("own_key"), "v", "set_id"), own)
+    # Texts whose keys collide: only those with the class's own set.
+    checked = map_column(wanted.select("v", "set_id", "text", F.col("text").alias("body")), "text", "got binary", lambda texts: {
         "got": [_set_id(hashed(words_of(t), k)) for t in texts]})
-    return checked.filter("got = set_id").select("v", F.col("body").alias("text")).dropDuplicates(["v"])
+    return checked.filter("got = set_id").select("v", F.col("body").alias("text"))
 
 
 def _verified(pairs: DataFrame, vertices: DataFrame, texts: DataFrame, k: int, percent: int, spark: SparkSession) -> DataFrame:

@@ -1,6 +1,7 @@
 """The operators against brute-force versions, and their edge cases."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -204,6 +205,33 @@ def test_near_duplicates(spark, odd_docs, no_docs, k):
     assert sorted(ids) == sorted({d for d, _, c in comps if d is not None and d == c})
 
 
+@pytest.mark.parametrize("doc", [None, 7])
+def test_rows_of_one_id_meet_only_their_own_class(spark, tmp_path, monkeypatch, doc):
+    from seriesmart.llm import near_dup
+    rng = random.Random(12)
+    rows = []
+    for i in range(60):  # pairs of near copies that share one id, or have none; one row is repeated
+        w = sentence(rng, 60).split()
+        rows += [(doc, " ".join(w)), (doc, " ".join([*w, "tail"]))] * (2 if i == 0 else 1)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    hashed_texts, of = tmp_path / "hashed", near_dup.map_column
+    hashed_texts.mkdir()
+
+    def counted(df, col, out, fn):
+        if not out.startswith("got"):
+            return of(df, col, out, fn)
+
+        def run(texts):
+            with open(f"{hashed_texts}/{os.getpid()}", "a") as f:
+                f.write("x" * len(texts))
+            return fn(texts)
+        return of(df, col, out, run)
+    monkeypatch.setattr(near_dup, "map_column", counted)
+    got = near_dup.classes(docs, spark, words=5)
+    assert Counter(map(tuple, got.collect())) == Counter(brute_components(rows, 5))
+    assert sum(f.stat().st_size for f in hashed_texts.iterdir()) == len(rows)  # not rows x classes
+
+
 def test_batches_drop_only_unlikely_pairs():
     from seriesmart.llm.near_dup import MISS, least_matches
     for n, m in least_matches(80):
