@@ -46,8 +46,6 @@ from .graph import components, stored
 BANDS, ROWS = 32, 5
 #: Signature values that are compared at once, and the chosen miss probability of each comparison.
 BATCH, MISS = 32, 1e-6
-#: Ids that may be broadcast (eight bytes each).
-SENT = 4_000_000
 #: Shingles that are hashed at once, and of a block of vertices that are compared in one task.
 STEP, BLOCK = 2048, 1_000_000
 
@@ -192,6 +190,14 @@ def classes(docs: DataFrame, spark: SparkSession, words: int = 5, percent: int =
     Rows are linked whose sets of ``words``-word shingles have at least
     ``percent`` per cent in common; component_id is the least id reachable.
     """
+    found = _found(docs, spark, words, percent, id_col, text_col)
+    return found.select("doc_id", F.col("n").alias("n_shingles"),
+                        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def _found(docs: DataFrame, spark: SparkSession, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """``(doc_id, key, n, component_id, component_key)`` of every row, the last two of the row that stands
+    for its component: that of the least id, and of these that of the least key."""
     plain = id_text(docs, id_col, text_col)
     rows = stored(sketch(plain.withColumn("key", _key("text")), words).withColumn("v", F.monotonically_increasing_id()), spark, "sketch")
     # The row that stands for its class: that of the least id, and of these that of the least key.
@@ -226,10 +232,9 @@ def classes(docs: DataFrame, spark: SparkSession, words: int = 5, percent: int =
 
     of = components(links, spark)
     least = (stand.join(of, "v", "left").withColumn("c", F.coalesce("c", "v")))
-    least = least.join(least.groupBy("c").agg(F.min("first").alias("component_id")), "c").select("set_id", "component_id")
-    return (rows.select("doc_id", "n", "set_id").join(least, "set_id", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+    first = F.min(F.struct(F.col("first").isNull().alias("none"), "first", "key")).alias("x")
+    least = least.join(least.groupBy("c").agg(first), "c").select("set_id", F.col("x.first").alias("component_id"), F.col("x.key").alias("component_key"))
+    return rows.select("doc_id", "key", "n", "set_id").join(least, "set_id", "left").drop("set_id")
 
 
 def _key(text: str | Column) -> Column:
@@ -309,15 +314,18 @@ def kept(df: DataFrame) -> DataFrame:
 
 def distinct(docs: DataFrame, spark: SparkSession, words: int = 5, percent: int = 80,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of one document of each component, that of the least id, with all columns.
+    """One row of each component, with all columns: that of the least id (of its texts, that of the least key).
 
-    Rows without an id stay.  Of repeated rows with the same id and text, one stays.
+    Decided row by row: rows of one id with different texts may be in different
+    components.  Rows without an id stay, and rows without shingles.  Of
+    repeated rows with the same id and text, one stays.
     """
-    found = stored(classes(docs, spark, words, percent, id_col, text_col), spark, "found")
-    gone = stored(kept(found).filter("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__gone")).distinct(), spark, "gone")
-    if gone.count() <= SENT:  # beyond, the texts are shuffled to the ids
-        gone = F.broadcast(gone)
-    out = docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
-    if found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").limit(1).count():
-        out = out.dropDuplicates([id_col, text_col])
+    found = stored(_found(docs, spark, words, percent, id_col, text_col).filter("doc_id IS NOT NULL"), spark, "found")
+    gone = found.filter("n > 0 AND (doc_id != component_id OR key != component_key)")
+    gone = stored(gone.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct(), spark, "gone")
+    text_key = _key(F.coalesce(F.col(text_col), F.lit("")))
+    out = docs.join(gone, (F.col(id_col).cast("long") == F.col("__id")) & (text_key == F.col("__key")), "left_anti")
+    if found.groupBy("doc_id", "key").count().filter("count > 1").limit(1).count():
+        alone = F.when(F.col(id_col).isNull(), F.monotonically_increasing_id())
+        out = out.withColumn("__alone", alone).dropDuplicates([id_col, text_col, "__alone"]).drop("__alone")
     return out

@@ -232,6 +232,20 @@ def test_rows_of_one_id_meet_only_their_own_class(spark, tmp_path, monkeypatch,
     assert sum(f.stat().st_size for f in hashed_texts.iterdir()) == len(rows)  # not rows x classes
 
 
+def test_distinct_decides_by_row(spark):
+    from seriesmart.llm import near_dup
+    rng = random.Random(13)
+    a, b, c, d = (sentence(rng, 60) for _ in range(4))
+    rows = [(5, a), (7, a), (5, b), (3, b),  # 5 stands for a, not for b
+            (2, c), (2, c), (2, d), (2, d + " tail"), (4, d),  # repeated; near copies of one id
+            (None, a), (None, a), (None, "x"), (None, "x"), (None, None), (None, None), (6, ""), (6, "")]
+    got = Counter(map(tuple, near_dup.distinct(spark.createDataFrame(rows, "doc_id long, text string"), spark).collect()))
+    tail = (2, d + " tail")
+    assert got[(2, d)] + got[tail] == 1
+    want = Counter([(5, a), (3, b), (2, c), (6, "")] + [r for r in rows if r[0] is None])
+    assert Counter({r: n for r, n in got.items() if r not in ((2, d), tail)}) == want
+
+
 def test_batches_drop_only_unlikely_pairs():
     from seriesmart.llm.near_dup import MISS, least_matches
     for n, m in least_matches(80):
