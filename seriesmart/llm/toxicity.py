@@ -2,9 +2,10 @@
 
 1. *Character language model*: counts of letter triples over all documents (a
    fixed table of 27^3 cells, letters without their accents).
-2. *Restoration*: stretches that look disguised (digits or signs among letters,
-   letters three times or more, single letters with gaps) become a lattice: each
-   character may be itself, a letter it often stands for, or nothing.  Viterbi
+2. *Restoration*: stretches that look disguised (digits or signs for letters,
+   letters three times or more, single letters with gaps), of any length but for
+   repeats, become a lattice: each character may be itself, a letter it often
+   stands for, or nothing.  Viterbi
    decoding takes the likeliest path under channel and language model.  Restored
    words are added to the words of the text.
 3. *Score*: words and their beginnings whose documents are toxic far more often
@@ -53,10 +54,13 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "
         "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "*": "aeiou"}
 _WORD = re.compile(r"[^\W\d_]+")
 _SIGN = re.compile(r"[\d@$!|+*(]")
-_MIXED = re.compile(r"(?<![^\s\"'(.,;:])(?=[^\s\W]*[\d@$!|+*(])[@$!|+(]?[^\W_][\w@$!|+*(]{1,22}[\w$]?(?![\w@])")
+_TOKEN = re.compile(r"[\w@$!|+*(]+")
 _LONG = re.compile(r"([^\W\d_])\1\1")
-_GAPS = re.compile(r"(?<!\w)[^\W_](?:[ .*_-]{1,2}[^\W_]){3,}(?!\w)")
-_GAP = frozenset(" .*_-")
+_RUN = re.compile(r"(.)\1{3,}", re.S)
+_GAP = re.compile(r"(?:[^\w@$!|+(]|_)+")
+_GAPS = re.compile(r"(?<![\w@$!|+(])(?:[^\W_]|[@$!|+(])(?:(?:[^\w@$!|+(]|_)+(?:[^\W_]|[@$!|+(])){3,}(?![\w@$!|+(])")
+#: Least log of the likelihood, by character, of a word behind a stretch without any letter.
+LEAST_LIKELY = -4.3
 
 
 # --- language model -------------------------------------------------------------------------
@@ -98,31 +102,34 @@ def language_model(docs: DataFrame) -> np.ndarray:
 
 # --- restoration ----------------------------------------------------------------------------
 
-def _options(c: str, before: str, gaps: bool, end: bool) -> list[tuple[int, float]]:
+def _options(c: str, before: str, gaps: bool, end: bool, strict: bool) -> list[tuple[int, float]]:
     """(code of the letter or -1 for nothing or 0 for a border, log of the channel's probability)"""
-    if gaps and c in _GAP:
+    if gaps and c == " ":
         return [(-1, math.log(0.7)), (0, math.log(0.3))]
+    again = math.log(0.6 if before[-2:] == c + c else 0.02)
     code = int(_code(c)[0])
     if code:
         out = [(code, math.log(0.97))]
         if before[-1:] == c:  # a letter twice is common in words, three times isn't
-            out.append((-1, math.log(0.6 if before[-2:] == c + c else 0.02)))
+            out.append((-1, again))
         return out
     out = [(ord(x) - 96, math.log(0.6 / len(LEET[c]))) for x in LEET.get(c, "")]
     # A sign for nothing hardly stands within a word; around one it may be punctuation.
-    nothing = 1e-6 if not end else 1e-4 if c.isdigit() else 1e-2 if c in "$@" else 0.3
-    return out + [(-1, math.log(nothing))]
+    nothing = 1e-6 if not end or strict else 1e-4 if c.isdigit() else 1e-2 if c in "$@" else 0.3
+    return out + [(-1, max(math.log(nothing), again) if before[-1:] == c else math.log(nothing))]
 
 
-def decode(span: str, model: np.ndarray, gaps: bool = False) -> str:
-    """The likeliest word (words, with gaps) behind a disguised stretch."""
+def _decoded(span: str, model: np.ndarray, gaps: bool, strict: bool) -> tuple[str, float]:
+    """The likeliest word (words, with gaps) behind a disguised stretch, and the log of its path's likelihood."""
     paths: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
-    before = ""
-    for k, c in enumerate(span.lower()):
-        end = k == 0 or k == len(span) - 1
+    before, span = "", span.lower()
+    first, last = len(span) - len(span.lstrip("!|+*(@$_")), len(span.rstrip("!|+*(@$_"))
+    for k, c in enumerate(span):
+        end = k < max(first, 1) or k >= min(last, len(span) - 1)
         after: dict[tuple[int, int], tuple[float, tuple]] = {}
+        options = _options(c, before, gaps, end, strict)
         for (a, b), (p, letters) in paths.items():
-            for code, q in _options(c, before, gaps, end):
+            for code, q in options:
                 if code < 0:
                     key, r, got = (a, b), p + q, letters
                 else:
@@ -130,42 +137,56 @@ def decode(span: str, model: np.ndarray, gaps: bool = False) -> str:
                 if key not in after or after[key][0] < r:
                     after[key] = (r, got)
         paths, before = after, (before + c)[-2:]
-    _, letters = max((p + model[a, b, 0], got) for (a, b), (p, got) in paths.items())
+    likely, letters = max((p + model[a, b, 0], got) for (a, b), (p, got) in paths.items())
     out = []
     while letters:
         letters, code = letters
         out.append(chr(96 + code) if code else " ")
-    return "".join(reversed(out))
+    return "".join(reversed(out)), likely
+
+
+def decode(span: str, model: np.ndarray, gaps: bool = False) -> str:
+    """The words behind a disguised stretch: the likeliest reading and, where it begins with
+    signs, also that in which they are letters.  Without any letter, a stretch is only
+    read if that is likely; numbers and prices are not."""
+    least = -math.inf if any(map(str.isalpha, span)) else LEAST_LIKELY * sum(not c.isspace() for c in span)
+    out = []
+    for strict in (False, True)[:1 + (span[0] in "!|+*(@$")]:
+        got, likely = _decoded(span, model, gaps, strict)
+        if likely >= least:
+            out.append(got)
+    return " ".join(dict.fromkeys(out))
 
 
 def _looks(text: str) -> tuple[bool, bool]:
     """Whether a text may have a letter three times in a row, and four single letters with gaps."""
     c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     same = c[1:] == c[:-1]
-    letter = np.r_[False, _codes()[np.minimum(c, 0x250)] + ((c >= 48) & (c < 58)) + (c > 0x24F) > 0, False]
-    single = np.flatnonzero(letter[1:-1] & ~letter[:-2] & ~letter[2:])
-    near = np.diff(single) <= 3
-    return bool((same[1:] & same[:-1] & letter[3:-1]).any()), bool((near[2:] & near[1:-1] & near[:-2]).any())
+    other = (c > 0x24F) & ((c < 0x2000) | (c > 0x206F))  # may be letters; these are signs and spaces
+    letter = np.r_[False, (_codes()[np.minimum(c, 0x250)] > 0) | (c >= 48) & (c < 58) | other | np.isin(c, _SIGNS), False]
+    edge = np.flatnonzero(letter[1:] != letter[:-1])
+    one = edge[1::2] - edge[::2] == 1
+    return bool((same[1:] & same[:-1] & letter[3:-1]).any()), bool((one[3:] & one[2:-1] & one[1:-2] & one[:-3]).any())
+
+
+_SIGNS = np.array([ord(c) for c in "@$!|+("], np.uint32)
 
 
 def _stretches(text: str) -> Iterator[tuple[str, bool]]:
     """(disguised stretch, whether with gaps) of a text in lower case."""
-    if _SIGN.search(text):
-        for m in _MIXED.finditer(text):
-            s = m[0].rstrip("!|+*(@$")
-            s = m[0] if len(m[0]) == len(s) + 1 else s  # two signs or more at the end are noise
-            signs = sum(c in LEET for c in s)
-            if signs and 3 * signs <= 2 * len(s) and len(s) >= 3:
-                yield s, False
     long, gaps = _looks(text)
-    if long:
-        for m in _WORD.finditer(text):
-            if len(m[0]) <= 64 and _LONG.search(m[0]):
-                yield m[0], False
+    if long or _SIGN.search(text):
+        for m in _TOKEN.finditer(text):
+            s = m[0].strip("_")
+            if s.isalpha() and not (long and _LONG.search(s)):
+                continue
+            core = s.rstrip("!|+*(@$")
+            s = s if len(s) == len(core) + 1 else core  # two signs or more at the end are noise
+            if len(s) >= 3 and (_SIGN.search(s) or _LONG.search(s)):
+                yield _RUN.sub(r"\1\1\1", s), False
     if gaps:
         for m in _GAPS.finditer(text):
-            for at in range(0, len(m[0]), 64):
-                yield m[0][at:at + 80], True
+            yield _GAP.sub(" ", m[0]), True
 
 
 class Restorer:
@@ -186,9 +207,11 @@ class Restorer:
         for key in _stretches(lower):
             got = self.decoded.get(key)
             if got is None:
+                got = decode(key[0], self.model, key[1]).split()
                 if len(self.decoded) > MEMO:
                     self.decoded.clear()
-                got = self.decoded[key] = decode(*[key[0], self.model, key[1]]).split()
+                if len(key[0]) <= 80:
+                    self.decoded[key] = got
             yield from got
 
     def words(self, text: str) -> set[str]:

@@ -356,6 +356,22 @@ def test_toxicity(spark, odd_docs, no_docs):
     assert x.clean(odd_docs, labels).columns == odd_docs.columns
 
 
+@pytest.mark.parametrize("text", [
+    "1d!07", "[1d10t]", "*1d10t*", "-1d10t", "you/1d10t", "\u201c1d10t\u201d", "\u00ab1d10t\u00bb", "<1d10t>", "idi" + 70 * "o" + "t", "id" + 30 * "1" + "ot",
+    "i/d/i/o/t", "i, d, i, o, t", "i   d   i   o   t", "! d ! 0 t", "*diot", "4$$h0l3", "$$cum", "$ c u m", "1d10t", "i.d.i.o.t"])
+def test_disguises(text):
+    import numpy as np
+    from seriesmart.llm import toxicity as x
+    counts = np.full((27, 27, 27), 0.1)
+    for word in 20 * ["idiot", "asshole", "scum"] + sentence(random.Random(14), 2000).split():
+        c = x._code(" " + word + " ")
+        np.add.at(counts, (c[:-2], c[1:-1], c[2:]), 1)
+    model = x.Restorer(np.log(counts / counts.sum(axis=2, keepdims=True)))
+    assert model.words(f"so {text} there".lower()) & {"idiot", "asshole", "scum"}
+    for plain in ("2024", "10:30", "$500", "123,456.78", "07.11.1999"):
+        assert not set(model.restored(plain))
+
+
 # --- 9: main text ---------------------------------------------------------------------------
 
 def test_main_text(spark):
