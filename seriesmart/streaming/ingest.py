@@ -48,6 +48,7 @@ def stream_ingest(spark: SparkSession, landing_dir: str, columns: Sequence[str],
     parsed = parse_lines(lines, columns, min_fields, header_field=HEADER_PREFIX)
     if transform is not None:
         parsed = transform(parsed)
+    before = _last_batch(spark, checkpoint)
     w = parsed.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if on_batch is not None:
         q = w.foreachBatch(on_batch).start()
@@ -56,4 +57,12 @@ def stream_ingest(spark: SparkSession, landing_dir: str, columns: Sequence[str],
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return len(q.recentProgress)
+    return _last_batch(spark, checkpoint) - before
+
+
+def _last_batch(spark: SparkSession, checkpoint: str) -> int:
+    """Number of the last micro-batch that the checkpoint has as done, -1 before the first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+    return max((int(n) for n in names if n.isdigit()), default=-1)

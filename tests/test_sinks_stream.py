@@ -127,3 +127,16 @@ def test_stream_backlog_in_bounded_batches(spark, tmp_path):
     batches = stream_ingest(spark, land, ["series_id", "year"], out, ck, max_files_per_trigger=1)
     assert batches >= 3
     assert spark.read.parquet(out).count() == 15
+
+
+def test_stream_counts_more_batches_than_progress_reports(spark, tmp_path):
+    land, out, ck = (str(tmp_path / x) for x in ("land", "out", "ck"))
+    for i in range(5):
+        write_text(f"{land}/f{i}.txt", f"S{i}\t{2000 + i}\n")
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 2)
+    try:
+        assert stream_ingest(spark, land, ["series_id", "year"], out, ck, max_files_per_trigger=1) == 5
+        assert stream_ingest(spark, land, ["series_id", "year"], out, ck) == 0
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
