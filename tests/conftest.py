@@ -12,14 +12,3 @@ def spark():
     s = build_session("local[*]", shuffle_partitions=8)
     yield s
     s.stop()
-
-
-def write_bytes(path, data: bytes):
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    with open(path, "wb") as f:
-        f.write(data)
-    return str(path)
-
-
-def write_text(path, text: str):
-    return write_bytes(path, text.encode("utf-8"))

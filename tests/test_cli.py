@@ -22,7 +22,7 @@ def test_cli_load_and_status(spark, tmp_path, capsys):
 
 
 def test_cli_other_shapes(spark, tmp_path, capsys):
-    from conftest import write_text
+    from rawfiles import write_text
     from seriesmart.sinks import read_current
     raw, out, log = str(tmp_path / "raw"), str(tmp_path / "mart"), str(tmp_path / "mart" / "_log")
     head = "series_id\tyear\tperiod\tvalue\tfootnote_codes\n"

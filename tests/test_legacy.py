@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import write_text
+from rawfiles import write_text
 
 from seriesmart.operators.loadlog import HEADS_SCHEMA, read_log
 from seriesmart.plans import LegacySpec, load_legacy_dataset, part_keys, yearly_files

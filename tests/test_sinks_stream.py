@@ -1,6 +1,6 @@
 import os
 
-from conftest import write_text
+from rawfiles import write_text
 from pyspark.sql import functions as F
 
 from seriesmart.operators import with_surrogate_id, year_chunks

@@ -2,7 +2,7 @@
 
 import gzip
 
-from conftest import write_bytes, write_text
+from rawfiles import write_bytes, write_text
 
 from seriesmart.sources import (count_skipped, parse_lines, read_dimension, read_dimension_table,
                                 read_facts, read_lines, read_parts, read_series,

@@ -4,7 +4,7 @@ import datetime as dt
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
-from conftest import write_text
+from rawfiles import write_text
 from pyspark.sql import functions as F
 
 from seriesmart.functions import PERIOD_LABELS
