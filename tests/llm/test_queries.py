@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import corpus_pipeline
+from brute_force import brute_components
 from seriesmart.llm.queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -40,7 +41,6 @@ def test_oracle(spark, name):
 
 def test_pipeline_stage_by_stage(spark):
     from seriesmart.llm import secret_scan, toxicity
-    from test_operators import brute_components
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     rows = {r.doc_id: r.text for r in docs.collect()}
