@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, html_main, near_dup, pii, quality_llr, secret_scan, shards, toxicity, warc_index
+from . import bpe, decontaminate, hard_negatives, html_main, near_dup, pii, quality_llr, secret_scan, shards, toxicity, vector_codes, warc_index
 from .common import id_text, n_of, sha256, span_text, table
 from .graph import stored
 
@@ -88,7 +88,41 @@ def op10_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_index, op2_pii_spans, op3_quality_llr, op4_near_duplicates, op5_benchmark_leaks, op6_bpe_roundtrip, op7_secret_spans, op8_toxicity, op9_main_text, op10_balanced_shards)}
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product code, errors and the codebooks' digest of every vector."""
+    rows, books = vector_codes.compress(table(spark, sf_dir, "embeddings"), spark)
+    return rows.select(F.col("id").alias("vec_id"), F.lower(F.hex("codes")).alias("code"), "error", "label_error",
+                       F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh has its label moved on."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), spark, F.col("id") % 100 == 0, k=5, percent=80)
+
+
+QUERIES = {f.__name__: f for f in (op1_warc_index, op2_pii_spans, op3_quality_llr, op4_near_duplicates, op5_benchmark_leaks, op6_bpe_roundtrip, op7_secret_spans, op8_toxicity, op9_main_text, op10_balanced_shards,
+                                  op11_vector_codes, op13_hard_negatives)}
+
+#: Vectors with all components finite, as integers.
+_KEPT = """SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+
+def _assigned(book: str) -> str:
+    """The nearest entry of a codebook ``(p, e, c)`` for every part ``x (vec_id, label, p, v)``."""
+    return f"""SELECT vec_id, label, p, v, min(d * 64 + e) // 64 AS d, min(d * 64 + e) % 64 AS e FROM (
+        SELECT x.vec_id, x.label, x.p, x.v, b.e, list_sum(list_transform(range(1, len(x.v) + 1), lambda i: (x.v[i] - b.c[i]) * (x.v[i] - b.c[i])))::BIGINT AS d
+        FROM x JOIN {book} b USING (p)) GROUP BY vec_id, label, p, v"""
+
+
+def _moved(book: str, parts: str) -> str:
+    """The codebook after a round: the floors of the assigned parts' means, unused entries as they are."""
+    return f"""SELECT p, e, coalesce(m.c, b.c) AS c FROM {book} b LEFT JOIN (
+        SELECT p, e, list(c ORDER BY i) AS c FROM (
+            SELECT p, e, i, floor(sum(v[i])::DOUBLE / count(*))::BIGINT AS c FROM (SELECT *, unnest(range(1, len(v) + 1)) AS i FROM {parts}) GROUP BY p, e, i)
+        GROUP BY p, e) m USING (p, e)"""
+
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
@@ -99,4 +133,22 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN f.k > 1 AND p.page_id <> f.first THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN f.k > 1 AND p.page_id <> f.first THEN f.first END AS refers_to
         FROM p LEFT JOIN f USING (d)""",
+    "op11_vector_codes": f"""
+        WITH k AS ({_KEPT}),
+             x AS (SELECT vec_id, label, p, list_slice(v, p * (len(v) // 16) + 1, (p + 1) * (len(v) // 16)) AS v FROM (SELECT *, unnest(range(16)) AS p FROM k)),
+             b0 AS (SELECT p, e, v AS c FROM x JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM k ORDER BY vec_id LIMIT 64) USING (vec_id)),
+             a0 AS ({_assigned("b0")}), b1 AS ({_moved("b0", "a0")}), a1 AS ({_assigned("b1")}), b2 AS ({_moved("b1", "a1")}), a2 AS ({_assigned("b2")}),
+             r AS (SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a2 GROUP BY vec_id, label)
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+               (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM b2) AS codebooks_sha256
+        FROM r""",
+    "op13_hard_negatives": f"""
+        WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, v FROM ({_KEPT}) WHERE label IS NOT NULL),
+             s AS (SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same, list_inner_product(a.v::DOUBLE[], r.v::DOUBLE[])::BIGINT AS score
+                   FROM r a JOIN r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+             p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+                   QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+        SELECT p.anchor_id, positive_id, (row_number() OVER w)::INT AS rank, id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+        WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) QUALIFY row_number() OVER w <= 5""",
 }

@@ -16,6 +16,8 @@ COLUMNS = {
     "op3_": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept", "op4_": "doc_id n_shingles component_id kept",
     "op5_": "doc_id item_id score", "op6_": "doc_id n_tokens ids_sha256 decoded_sha256", "op7_": "doc_id n_assign n_access n_hex base_sha256 spans",
     "op8_": "doc_id held_out score predicted", "op9_": "page_id url text n_chars", "op10_": "doc_id size text_crc32 law shard slot grown_shard",
+    "op11_": "vec_id code error label_error codebooks_sha256", "op12_": "doc_id n_shingles component_id",
+    "op13_": "anchor_id positive_id rank negative_id positive_score negative_score",
 }
 
 
@@ -24,8 +26,8 @@ def test_query_covers_its_table(spark, name):
     df = QUERIES[name](spark, SF)
     want = next(v for k, v in COLUMNS.items() if name.startswith(k)).split()
     assert set(want) <= set(df.columns)
-    table = "pages" if name.startswith(("op1_", "op9_")) else "documents"
-    if not name.startswith("op5_"):
+    table = "pages" if name.startswith(("op1_", "op9_")) else "embeddings" if name.startswith("op11_") else "documents"
+    if not name.startswith(("op5_", "op13_")):
         key = want[0]
         assert Counter(r[0] for r in df.select(key).collect()) == Counter(r[0] for r in spark.read.parquet(f"{SF}/{table}.parquet").select(key).collect())
 
@@ -33,7 +35,8 @@ def test_query_covers_its_table(spark, name):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{SF}/pages.parquet')")
+    for t in ("pages", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     want = con.execute(ORACLE_SQL[name])
     cols = [d[0] for d in want.description]
     assert Counter(map(tuple, QUERIES[name](spark, SF).select(cols).collect())) == Counter(want.fetchall())
