@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, hard_negatives, html_main, near_dup, pii, quality_llr, secret_scan, shards, toxicity, vector_codes, warc_index
+from . import bpe, decontaminate, hard_negatives, html_main, near_dup, ngram_join, pii, quality_llr, secret_scan, shards, toxicity, vector_codes, warc_index
 from .common import id_text, n_of, sha256, span_text, table
 from .graph import stored
 
@@ -95,6 +95,11 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
 
 
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of five-word shingle sets, similarity 0.8."""
+    return ngram_join.classes(table(spark, sf_dir, "documents"), spark, words=5, percent=80)
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every hundredth vector; every seventh has its label moved on."""
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -102,7 +107,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_warc_index, op2_pii_spans, op3_quality_llr, op4_near_duplicates, op5_benchmark_leaks, op6_bpe_roundtrip, op7_secret_spans, op8_toxicity, op9_main_text, op10_balanced_shards,
-                                  op11_vector_codes, op13_hard_negatives)}
+                                  op11_vector_codes, op12_ngram_join, op13_hard_negatives)}
 
 #: Vectors with all components finite, as integers.
 _KEPT = """SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
