@@ -23,9 +23,9 @@ differs from a linked one in at most D = n - ceil(t n) of its own tokens.
    rare token and at most one token a part, more than D would be lost.)
 4. *Verification*: in a bucket of the index, every vertex is compared with the
    bucket's hub, the one with the fewest tokens of its own, on the whole sets.
-   Of what then is still in different components, a bucket compares the rest
-   block against block; only links come out, no more than join the components,
-   and pairs never become rows.
+   Buckets that then still hold several components go, put together by their
+   main component, block against block; only links come out, no more than join
+   the components, and pairs never become rows.
 
 Nothing but tokens held by very many sets is broadcast (at most ``HOT_TOKENS``,
 as each has that share of all tokens), and the list of texts to be read again up
@@ -217,16 +217,33 @@ def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(x) + len(y) - common)
 
 
-def _rest(close: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between the components of vertices ``(key, v, n, s, c)`` of a bucket, no more than join them.
+def _left(member: DataFrame, percent: int, spark: SparkSession) -> DataFrame:
+    """``(main, v, n, s, c)``: vertices of the buckets that still hold several components, by the bucket's main one.
 
-    A bucket is cut into blocks of about ``BLOCK`` tokens; every two blocks, and
-    each with itself, are a unit of work.
+    A bucket's main component is that of the most of its vertices.  Vertices that
+    meet in many buckets of one main component come once, so whole sets are sent
+    about once a vertex instead of once an index key.
     """
-    size = close.groupBy("key").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
-    units = (close.join(size, "key").withColumn("own", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
+    smallest = member.groupBy("key").agg(F.min("n").alias("least_n"), F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 != c1")
+    # by the sizes of its bucket, a vertex can be linked with some vertex there
+    able = (member.join(smallest.select("key", "least_n"), "key")
+            .filter(f"100 * s >= {percent} * (n + greatest(least_n, s) - s)").select("key", "v", "n", "s", "c"))
+    able = stored(able, spark, "able")
+    per = able.groupBy("key", "c").agg(F.count("*").alias("m"))
+    main = per.groupBy("key").agg(F.max_by("c", F.struct("m", -F.col("c"))).alias("main"), F.count("*").alias("comps")).filter("comps > 1")
+    return stored(able.join(main.select("key", "main"), "key").select("main", "v", "n", "s", "c").distinct(), spark, "left")
+
+
+def _rest(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the components of vertices ``(main, v, n, s, c)``, no more than join them.
+
+    The vertices of a main component are cut into blocks of about ``BLOCK``
+    tokens; every two blocks, and each with itself, are a unit of work.
+    """
+    size = left.groupBy("main").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
+    units = (left.join(size, "main").withColumn("own", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("key", "v", "n", "s", "c", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
+             .select("main", "v", "n", "s", "c", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
 
     def run(unit: pa.Table) -> pa.Table:
         unit = unit.sort_by("n")
@@ -248,7 +265,7 @@ def _rest(close: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         a, b = zip(*out) if out else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return units.join(sets.select("v", "set"), "v").groupBy("key", "i", "j").applyInArrow(run, "a long, b long")
+    return units.join(sets.select("v", "set"), "v").groupBy("main", "i", "j").applyInArrow(run, "a long, b long")
 
 
 def _whole_sets(plain: DataFrame, asked: DataFrame, k: int, spark: SparkSession) -> DataFrame:
@@ -308,10 +325,7 @@ def classes(docs: DataFrame, spark: SparkSession, words: int = 5, percent: int =
              .select(F.least("x.v", "y.v").alias("a"), F.greatest("x.v", "y.v").alias("b")).distinct())
     links = stored(_verified(pairs, sets, percent), spark, "linked")
     member = member.join(components(links, spark), "v", "left").withColumn("c", F.coalesce("c", "v"))
-    apart = member.groupBy("key").agg(F.min("n").alias("least_n"), F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 != c1")
-    close = (member.join(apart.select("key", "least_n"), "key")
-             .filter(f"100 * s >= {percent} * (n + greatest(least_n, s) - s)").select("key", "v", "n", "s", "c"))
-    links = links.union(stored(_rest(stored(close, spark, "close"), sets, percent), spark, "rest"))
+    links = links.union(stored(_rest(_left(member, percent, spark), sets, percent), spark, "rest"))
 
     of = stand.join(components(links, spark), "v", "left").withColumn("c", F.coalesce("c", "v"))
     least_id = of.groupBy("c").agg(F.min("first").alias("component_id"))
