@@ -49,7 +49,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import id_text, map_column
+from .common import id_text, let, map_column
 from .graph import components, stored
 from .near_dup import hashed, words_of
 
@@ -80,10 +80,10 @@ def _sketch(plain: DataFrame, k: int, percent: int) -> DataFrame:
             h = hashed(words_of(text), k)
             out["n"].append(len(h))
             out["set_id"].append(_set_id(h) if len(h) else None)
-            out["prefix"].append(h[:screened(len(h), percent)].tobytes() if len(h) > 1 else b"")
+            out["prefix"].append(h[:screened(len(h), percent) if len(h) > 1 else 0].view(np.int64))
         return out
 
-    return map_column(plain, "text", "n long, set_id binary, prefix binary", run)
+    return map_column(plain, "text", "n long, set_id binary, prefix array<long>", run)
 
 
 def _set_id(h: np.ndarray) -> bytes:
@@ -91,14 +91,8 @@ def _set_id(h: np.ndarray) -> bytes:
 
 
 def _tokens(sets: DataFrame, col: str) -> DataFrame:
-    """``(v, h)``: a row for every token of the binary column."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for v, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                h = np.frombuffer(blob, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), v)), pa.array(h)], ["v", "h"])
-
-    return sets.select("v", col).mapInArrow(_joined(run), "v long, h long")
+    """``(v, h)``: a row for every token of the array column."""
+    return sets.select("v", F.explode(col).alias("h"))
 
 
 def _joined(run, rows: int = 50_000):
@@ -197,20 +191,16 @@ def _reach(x: str, y: str, percent: int) -> Column:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose whole sets reach the similarity."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
-                    for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
-
-    own = sets.select("v", "set")
-    both = pairs.join(own.toDF("b", "set_b"), "b").join(own.toDF("a", "set_a"), "a")
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+    """The pairs ``(a, b)`` whose whole sets reach the similarity (row by row within Spark, as two long
+    sets of every row would make large batches for a Python worker)."""
+    own = sets.select("v", "n", "set")
+    both = pairs.join(own.toDF("b", "n_b", "set_b"), "b").join(own.toDF("a", "n_a", "set_a"), "a")
+    common = let(F.size(F.array_intersect("set_a", "set_b")), lambda k: 100 * k >= percent * (F.col("n_a") + F.col("n_b") - k))
+    return both.filter(common).select("a", "b")
 
 
 def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
-    """Whether two sorted sets reach the similarity."""
+    """Whether two sets reach the similarity."""
     both = np.concatenate([x, y])
     both.sort(kind="stable")
     common = int((both[1:] == both[:-1]).sum())
@@ -250,7 +240,9 @@ def _rest(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         v, n, s, own = (unit.column(x).to_numpy() for x in ("v", "n", "s", "own"))
         comp = np.unique(unit.column("c").to_numpy(), return_inverse=True)[1]
         crossing = unit.column("i")[0].as_py() != unit.column("j")[0].as_py()
-        held = unit.column("set").to_pylist()
+        lists = unit.column("set").combine_chunks()
+        ends, flat = np.concatenate([[0], np.cumsum(np.array(lists.value_lengths()))]), np.array(lists.flatten())
+        held = [flat[x:y] for x, y in zip(ends, ends[1:])]
         out = []
         for i in range(len(v) - 1):
             end = np.searchsorted(n, 100 * n[i] // percent, side="right")  # larger ones can't be linked
@@ -259,7 +251,7 @@ def _rest(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             if crossing:
                 open_ &= own[i + 1:end] != own[i]
             for j in (np.flatnonzero(open_) + i + 1).tolist():
-                if comp[i] != comp[j] and linked(np.frombuffer(held[i], np.uint64), np.frombuffer(held[j], np.uint64), percent):
+                if comp[i] != comp[j] and linked(held[i], held[j], percent):
                     out.append((v[i], v[j]))
                     comp[comp == comp[j]] = comp[i]
         a, b = zip(*out) if out else ((), ())
@@ -279,9 +271,9 @@ def _whole_sets(plain: DataFrame, asked: DataFrame, k: int, spark: SparkSession)
 
     def run(texts: list) -> dict:
         sets = [hashed(words_of(t), k) for t in texts]
-        return {"n": [len(h) for h in sets], "got": [_set_id(h) for h in sets], "set": [h.tobytes() for h in sets]}
+        return {"n": [len(h) for h in sets], "got": [_set_id(h) for h in sets], "set": [h.view(np.int64) for h in sets]}
 
-    sets = map_column(found.select("v", "set_id", "text"), "text", "n long, got binary, set binary", run)
+    sets = map_column(found.select("v", "set_id", "text"), "text", "n long, got binary, set array<long>", run)
     sets = stored(sets.filter("got = set_id").select("v", "n", "set"), spark, "sets")
     if sets.count() > sets.select("v").distinct().count():  # repeated rows, with the same id and text
         sets = stored(sets.dropDuplicates(["v"]), spark, "sets")
