@@ -4,8 +4,8 @@ from .ids import with_surrogate_id
 from .joins import (bounded_broadcast, lookup_join, map_join, orphan_counts, orphans,
                     skip_counts)
 from .latest import latest_per_key, top_k
-from .loadlog import (LOG_SCHEMA, alerts, already_loaded, append_log, empty_log, failed_loads, full_log,
-                      latest_log, log_rows, read_log, recent_log, run_summary, should_download,
+from .loadlog import (LOG_SCHEMA, alerts, already_loaded, append_log, compact_log, empty_log, failed_loads, full_log,
+                      latest_log, log_rows, read_log, recent_log, run_errors, run_summary, should_download,
                       should_reload, stale_success)
 from .quality import (check_constraints, check_unique, deviation_alert, has_duplicates,
                       longer_than, not_null, out_of_range, row_count_verdict, table_rules,

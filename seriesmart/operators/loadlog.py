@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,14 +76,59 @@ def missing(e: AnalysisException) -> bool:
     return (e.getCondition() or "") == "PATH_NOT_FOUND"
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """The log at ``path``; empty where there is none yet.  Writes nothing."""
+#: Compacted logs: pointer rows and the folders of each generation, which plain readers of the folder pass over.
+POINTER, GENERATION = "_generations", "_generation"
+
+
+def _read(spark: SparkSession, path: str, schema) -> DataFrame | None:
     try:
-        return spark.read.schema(LOG_SCHEMA).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if not missing(e):
             raise
-        return empty_log(spark)
+        return None
+
+
+def generation(spark: SparkSession, path: str) -> int:
+    """The log's generation: 0 until it is compacted."""
+    pointer = _read(spark, f"{path.rstrip('/')}/{POINTER}", "generation int")
+    return 0 if pointer is None else pointer.agg(F.max("generation")).first()[0] or 0
+
+
+def _folders(path: str, g: int) -> tuple[str | None, str]:
+    """Snapshot and tail of a generation."""
+    base = path.rstrip("/")
+    return (f"{base}/{GENERATION}/{g}/snapshot", f"{base}/{GENERATION}/{g}/tail") if g else (None, base)
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """The log at ``path`` (the snapshot of its generation and what was appended
+    since); empty where there is none yet.  Writes nothing."""
+    parts = [_read(spark, p, LOG_SCHEMA) for p in _folders(path, generation(spark, path)) if p]
+    parts = [p for p in parts if p is not None]
+    return reduce(DataFrame.unionByName, parts) if parts else empty_log(spark)
+
+
+def compact_log(spark: SparkSession, path: str, keep_all: bool = False) -> int:
+    """Put the log's files together into the snapshot of a new generation.
+
+    The snapshot keeps of each key the latest row and the latest successful one,
+    which is all that decisions and validations look at; with ``keep_all``, every
+    row.  Readers go over to it with the pointer's row, written last; appends go
+    to the new generation's own folder, so a log has the files of one snapshot
+    and of the appends since.  Appends of this process wait meanwhile; those of
+    other processes must not run at the same time.  Returns the generation.
+    """
+    with _LOCK:
+        log = read_log(spark, path)
+        if not keep_all:
+            last = latest_per_key(log, KEYS, ORDER)
+            good = latest_per_key(log.filter("status = 'success'"), KEYS, ORDER)
+            log = last.unionByName(good).distinct()
+        g = generation(spark, path) + 1
+        log.select(*LOG_SCHEMA.fieldNames()).hint("rebalance").write.mode("overwrite").parquet(_folders(path, g)[0])
+        literal_rows(spark, [{"generation": g}], T.StructType([T.StructField("generation", T.IntegerType())])).write.mode("append").parquet(f"{path.rstrip('/')}/{POINTER}")
+        return g
 
 
 def log_rows(spark: SparkSession, entries: Sequence[dict]) -> DataFrame:
@@ -103,7 +149,8 @@ def log_rows(spark: SparkSession, entries: Sequence[dict]) -> DataFrame:
 
 def append_log(entries: DataFrame, path: str) -> None:
     with _LOCK:
-        entries.select(*LOG_SCHEMA.fieldNames()).write.mode("append").parquet(path)
+        tail = _folders(path, generation(entries.sparkSession, path))[1]
+        entries.select(*LOG_SCHEMA.fieldNames()).write.mode("append").parquet(tail)
 
 
 def latest_log(log: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER) -> DataFrame:
@@ -111,11 +158,16 @@ def latest_log(log: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str]
     return latest_per_key(log, keys, order)
 
 
+def shown_etag() -> Column:
+    """The etag as it is displayed: ``N/A`` when missing."""
+    return F.coalesce(F.nullif(F.col("etag"), F.lit("")), F.lit("N/A"))
+
+
 def recent_log(log: DataFrame, n: int = 10, order: Sequence[str] = ORDER) -> DataFrame:
     """The ``n`` newest log rows, newest first; ``etag`` shown as ``N/A`` when missing."""
     shown = log
     if "etag" in log.columns:
-        shown = log.withColumn("etag", F.coalesce(F.nullif(F.col("etag"), F.lit("")), F.lit("N/A")))
+        shown = log.withColumn("etag", shown_etag())
     return top_k(shown, n, order)
 
 
@@ -124,11 +176,19 @@ def full_log(log: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
 
 
 def run_summary(log: DataFrame, status_col: str = "status", count_col: str = "n") -> DataFrame:
-    """Number of log rows per outcome.  Error texts stay rows (filter on
-    ``status = 'failed'``), not a list gathered into one value."""
+    """Number of log rows per outcome; ``run_errors`` has the texts."""
     return log.groupBy(status_col).agg(F.count(F.lit(1)).alias(count_col))
 
 
+def run_errors(log: DataFrame, since=None) -> DataFrame:
+    """The error list of a run: ``(dataset, data_key, error_message, load_timestamp)`` of every failed
+    load (from ``since`` on), a row each - rows rather than one value, which would grow with the run."""
+    failed = log.filter(F.col("status") == "failed")
+    if since is not None:
+        failed = failed.filter(F.col("load_timestamp") >= F.lit(since))
+    return failed.select("dataset", "data_key", F.coalesce("error_message", F.lit("unknown error")).alias("error_message"), "load_timestamp")
+
+
 def _decide(heads: DataFrame, log: DataFrame, keys: Sequence[str], rule,
             order: Sequence[str] = ORDER) -> DataFrame:
     cur = latest_log(log, keys, order).select(*keys, F.lit(True).alias("_known"),

@@ -3,17 +3,19 @@
 A dataset is one or more part files (``{key}_data_1..n`` or one file; the
 yearly census has one file per year).  Every part gets its own download
 decision and its own log row with *its own* row count; when one changed, all
-parts are read (one scan per distinct header) and written in one job, the
-per-part counts being collected as metrics of that write.
+parts are read (one scan per distinct header) and staged with their source
+file.  Rows are counted by file on the staged rows, the files joined to the
+parts; a version is written only from staged rows whose counts hold.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.loadlog import append_log, empty_log, log_rows, read_log, should_download
@@ -21,7 +23,9 @@ from ..operators.quality import verdict_of
 from ..operators.latest import latest_per_key
 from ..sinks.writers import WriteResult, publish_full_refresh
 from ..sources.delimited import read_delimited
-from ..sources.files import existing_per_key
+from ..sources.files import existing_per_key, plain_path, wanted_paths, with_folders
+from ..sources.heads import listing
+from ..session import stored
 
 
 @dataclass(frozen=True)
@@ -36,7 +40,6 @@ def part_keys(parts: Sequence[str], year_keyed: bool = False) -> list[str]:
     """Log keys of the parts: ``all`` for one part, ``part1..n`` for several,
     or the year for yearly files (taken from the file name)."""
     if year_keyed:
-        import re
         out = []
         for p in parts:
             m = re.search(r"(19|20)\d{2}", os.path.basename(p.rstrip("/")))
@@ -51,6 +54,21 @@ def read_parts_delimited(spark: SparkSession, parts: Sequence[str], spec: Legacy
     return df.withColumn("loaded_at", F.current_timestamp()) if spec.stamp else df
 
 
+def rows_per_part(spark: SparkSession, staged: DataFrame, named: Sequence[tuple[str, str]]) -> dict[str, int]:
+    """Rows of each part ``(path, key)``: staged rows counted by source file, and
+    each file joined to the part that names it or one of its folders (a pattern
+    with wildcards is listed first)."""
+    parts = [(k, p) for p, k in named if not re.search(r"[*?\[{]", p)]
+    wanted = wanted_paths(spark, parts, "key string, path string").select("key", "above")
+    for p, k in named:
+        if re.search(r"[*?\[{]", p):
+            wanted = wanted.union(listing(spark, p).select(F.lit(k), plain_path("path")))
+    counts = staged.groupBy(F.col("_file").alias("file")).agg(F.count("*").alias("n"))
+    files = with_folders(listing(spark, [p for p, _ in named]).distinct().join(counts, "file"))
+    per_file = files.join(wanted, "above").groupBy("file", "key").agg(F.max("n").alias("n"))
+    return {r["key"]: r["n"] for r in per_file.groupBy("key").agg(F.sum("n").alias("n")).collect()}
+
+
 def load_legacy_dataset(spark: SparkSession, spec: LegacySpec, parts: Sequence[str], out_root: str,
                         log_path: str | None = None, heads: DataFrame | None = None,
                         force: bool = False, year_keyed: bool = False) -> dict:
@@ -86,25 +104,15 @@ def load_legacy_dataset(spark: SparkSession, spec: LegacySpec, parts: Sequence[s
         ok = log.filter((F.col("dataset") == spec.key) & (F.col("status") == "success"))
         last = {r["data_key"]: r["rows_loaded"] for r in
                 latest_per_key(ok, ["data_key"], ["load_timestamp", "seq"], ["rows_loaded"]).collect()}
-        # the part of a row: the place of its file in the listing, found once a row
-        owner = {f: k for p, k in named for f in spark.read.text(p).inputFiles()}
-        files = list(owner)
-        df = read_parts_delimited(spark, parts, spec).withColumn(
-            "_part", F.array_position(F.array(*[F.lit(f) for f in files]), F.col("_file")))
-        found: dict[str, int] = {}
-
-        def validate(rows: int, metrics: dict):
-            for k in dict.fromkeys(owner.values()):
-                found[k] = sum(metrics[f"file{i}"] for i, f in enumerate(files) if owner[f] == k)
-            verdicts = {k: "success" if force else verdict_of(found.get(k, 0), last.get(k)) for _, k in todo}
-            worst = max(verdicts.values(), key=("success", "warning", "failed").index)
-            text = ", ".join(f"{k}: {found.get(k, 0)} rows against {last[k]} before" for k, v in verdicts.items() if v != "success")
-            return worst, text or None
-
-        observed = df.observe(obs := Observation(f"parts_{spec.key}"), *[
-            F.count_if(F.col("_part") == i + 1).cast("bigint").alias(f"file{i}") for i in range(len(files))])
-        res: WriteResult = publish_full_refresh(
-            observed.drop("_file", "_part"), f"{out_root.rstrip('/')}/{spec.table}", lambda rows: validate(rows, obs.get))
+        staged = stored(read_parts_delimited(spark, parts, spec), spark, f"staged_{spec.key}")
+        found = rows_per_part(spark, staged, named)
+        verdicts = {k: "success" if force else verdict_of(found.get(k, 0), last.get(k)) for _, k in todo}
+        worst = max(verdicts.values(), key=("success", "warning", "failed").index)
+        text = ", ".join(f"{k}: {found.get(k, 0)} rows against {last[k]} before" for k, v in verdicts.items() if v != "success")
+        if worst == "failed":
+            res = WriteResult(None, sum(found.values()), "failed", text)
+        else:
+            res = publish_full_refresh(staged.drop("_file"), f"{out_root.rstrip('/')}/{spec.table}", lambda rows: (worst, text or None))
     except Exception as e:
         entries("failed", {}, str(e), None)
         return {"status": "failed", "rows": 0, "location": None, "parts": {}, "message": str(e)}

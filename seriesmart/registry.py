@@ -734,7 +734,8 @@ ORACLE_SQL: dict[str, str] = {
     "year_range_filter": "SELECT o_orderkey, o_totalprice FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1997",
 }
 
-from . import registry_loads  # noqa: E402  (registers its queries here, after the helpers above)
+from . import registry_loads, registry_tables  # noqa: E402  (register their queries here, after the helpers above)
 
-QUERIES.update(registry_loads.QUERIES)
-ORACLE_SQL.update(registry_loads.ORACLE_SQL)
+for _more in (registry_loads, registry_tables):
+    QUERIES.update(_more.QUERIES)
+    ORACLE_SQL.update(_more.ORACLE_SQL)

@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.labels import PERIOD_LABELS
-from .operators import append_log, check_constraints, full_log, out_of_range, read_log, recent_log
-from .operators.loadlog import LOG_SCHEMA, latest_log
+from .operators import append_log, check_constraints, out_of_range, read_log, with_surrogate_id
+from .operators.loadlog import LOG_SCHEMA, latest_log, shown_etag
 from .operators.quality import validate_row_count
 from .plans import DatasetPaths, LegacySpec, load_all, load_dataset, load_legacy_dataset
 from .plans.legacy_specs import LEGACY_DATASETS, part_names
@@ -292,11 +292,14 @@ def bad_utf8_replaced(spark, sf):
     return rows.withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
 
 
-@query("SELECT CAST(strlen(r_name) + 1 AS BIGINT) AS length, md5(r_name || chr(10)) AS md5 FROM region")
+@query("""SELECT CAST(sum(strlen(line) + 1) AS BIGINT) AS length, md5(string_agg(line || chr(10), '' ORDER BY c_custkey)) AS md5
+          FROM (SELECT c_custkey, c_nationkey, c_mktsegment, c_custkey || chr(9) || c_name AS line FROM customer) GROUP BY c_nationkey, c_mktsegment""")
 def file_checksums(spark, sf):
-    """One file per region: its length and checksum."""
+    """A file of customers per nation and segment: its length and checksum."""
     path = scratch_path(spark, "files")
-    table(spark, sf, "region").select("r_regionkey", F.col("r_name").alias("value")).repartition("r_regionkey").write.partitionBy("r_regionkey").text(path)
+    c = table(spark, sf, "customer").select("c_nationkey", "c_mktsegment", "c_custkey", F.concat_ws("\t", F.col("c_custkey").cast("string"), "c_name").alias("value"))
+    rows = c.repartition("c_nationkey", "c_mktsegment").sortWithinPartitions("c_nationkey", "c_mktsegment", "c_custkey")
+    rows.drop("c_custkey").write.partitionBy("c_nationkey", "c_mktsegment").text(path)
     return manifest(spark, path, with_md5=True, glob="part-*").select("length", "md5")
 
 
@@ -320,15 +323,20 @@ def append_parts(spark, sf):
 
 
 def _user_log(spark, sf) -> DataFrame:
-    """Events below half the largest id as a load log: users are datasets, errors failed
-    loads, the number of events so far the rows (purchases have none)."""
+    """Events below half the largest id as a load log (those above are the new loads)."""
     e = table(spark, sf, "events")
     half = e.select((F.max("event_id") / 2).alias("m")).scalar()
+    return _event_log(e.filter(F.col("event_id") < half))
+
+
+def _event_log(e: DataFrame) -> DataFrame:
+    """Events as a load log: users are datasets, errors failed loads, a number from
+    the event's id the rows (purchases have none)."""
     rows = F.when(F.col("event_type") != "purchase", F.pmod("event_id", F.lit(100)).cast("int"))
     have = {"dataset": F.col("user_id").cast("string"), "data_key": F.lit("all"), "rows_loaded": rows, "load_timestamp": F.col("ts").cast("timestamp"),
             "status": F.when(F.col("event_type") == "error", "failed").otherwise("success"), "seq": F.col("event_id"),
             "etag": F.when(F.col("event_type") != "view", F.col("event_type")).otherwise(F.lit(""))}
-    return e.filter(F.col("event_id") < half).select(*[have.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA.fields])
+    return e.select(*[have.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA.fields])
 
 
 _PREVIOUS = """WITH h AS (SELECT max(event_id) / 2 AS m FROM events),
@@ -361,30 +369,26 @@ def count_rule_latest(spark, sf):
     return _verdicts(spark, sf, "latest")
 
 
-@query("""WITH h AS (SELECT max(event_id) / 2 AS m FROM events)
-          SELECT row_number() OVER (ORDER BY ts DESC, event_id DESC) AS place, CAST(user_id AS STRING) AS dataset,
-                 CASE WHEN event_type <> 'view' THEN event_type ELSE 'N/A' END AS etag FROM events, h WHERE event_id < m""")
+@query("""SELECT row_number() OVER (ORDER BY ts DESC, event_id DESC) AS place, CAST(user_id AS STRING) AS dataset,
+                 CASE WHEN event_type <> 'view' THEN event_type ELSE 'N/A' END AS etag FROM events""")
 def whole_log_newest_first(spark, sf):
-    """The whole log in order, an empty etag shown as N/A; the log is written and read again."""
+    """All events as a log, in order and numbered, an empty etag shown as N/A; the log is written and read again."""
     path = scratch_path(spark, "log")
-    append_log(_user_log(spark, sf), path)
+    append_log(_event_log(table(spark, sf, "events")), path)
     log = read_log(spark, path)
-    shown = recent_log(log, log.count())
-    return full_log(shown).select(F.row_number().over(_newest()).alias("place"), "dataset", "etag").withColumn("place", F.col("place").cast("bigint"))
-
-
-def _newest():
-    from pyspark.sql import Window
-    return Window.orderBy(F.desc("load_timestamp"), F.desc("seq"))
+    shown = log.select("dataset", shown_etag().alias("etag"), (-F.unix_micros("load_timestamp")).alias("newest"), (-F.col("seq")).alias("next"))
+    return with_surrogate_id(shown, ["newest", "next"], "place").select("place", "dataset", "etag")
 
 
-@query("""SELECT * FROM (VALUES ('cpi', 'success'), ('jolts', 'failed'), ('state_metro', 'success')) t(dataset, status)
-          WHERE (SELECT count(*) FROM orders) > 0""")
+@query("""WITH f AS (SELECT l_orderkey FROM lineitem GROUP BY l_orderkey, year(l_shipdate), month(l_shipdate)),
+               n AS (SELECT count(*) AS n FROM f JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey WHERE o_orderstatus <> 'P')
+          SELECT dataset, status, CASE WHEN status = 'success' THEN n ELSE 0 END AS rows_loaded
+          FROM (VALUES ('cpi', 'success'), ('jolts', 'failed'), ('state_metro', 'success')) t(dataset, status), n""")
 def failing_dataset_is_isolated(spark, sf):
-    """Three loads, the second without its files: its failure is logged, the others succeed."""
+    """Three loads, the second without its files: its failure is logged, the others load their rows."""
     specs = [DATASETS[k] for k in ("cpi", "jolts", "state_metro")]
     folders = {s.key: _survey_files(spark, sf, s) if s.key != "jolts" else scratch_path(spark, "nothing") for s in specs}
     out = scratch_path(spark, "isolated")
     load_all(spark, specs, folders, out, f"{out}/_load_log")
-    return latest_log(read_log(spark, f"{out}/_load_log")).select("dataset", "status")
+    return latest_log(read_log(spark, f"{out}/_load_log")).select("dataset", "status", "rows_loaded")
 

@@ -171,6 +171,20 @@ def register_table(spark: SparkSession, name: str, location: str,
     spark.catalog.refreshTable(name)
 
 
+def write_bucketed(df: DataFrame, name: str, keys: Sequence[str] | str, buckets: int, location: str,
+                   sort: bool = True) -> DataFrame:
+    """Write ``df`` as catalog table ``name`` at ``location``, hashed on ``keys`` into ``buckets``.
+
+    Tables bucketed alike on their join keys are joined, grouped and checked for
+    repeated keys without an exchange, as often as they are read; the rows move
+    once, when they are written (one file a bucket).
+    """
+    cols = [keys] if isinstance(keys, str) else list(keys)
+    w = df.repartition(buckets, *cols).write.format("parquet").mode("overwrite").option("path", location).bucketBy(buckets, *cols)
+    (w.sortBy(*cols) if sort else w).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 

@@ -12,15 +12,14 @@ from __future__ import annotations
 import csv
 from collections.abc import Iterable, Sequence
 from functools import reduce
-from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.casts import date_guard
 from ..functions.text import LEGACY_NULL_TOKENS, clean_text, null_if_token
-from .text import first_lines
+from .heads import file_heads, misnamed, streamed_lines
 
 
 def delimiter_of(line: str) -> str:
@@ -50,7 +49,8 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], columns: Seq
     ``schema``; ``with_file`` adds the source file path as ``_file``.
 
     Every file's columns go by its own header line: files are grouped by header
-    and read in one scan a group.  ``sep`` None: each file's own delimiter.
+    and codec (gzip is known by the first bytes, whatever the name) and read in
+    one scan a group; the driver holds the listing, not the lines.  ``sep`` None: each file's own delimiter.
     Quoted fields may hold delimiters and doubled quotes, a backslash is a
     character like any other; with ``multi_line`` they may also hold line
     breaks (such files aren't split among tasks).  Files without a line are
@@ -62,15 +62,9 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], columns: Seq
         types = {k: (v if isinstance(v, T.DataType) else T.DataType.fromDDL(v))
                  for k, v in schema.items()}
     tokens = tuple(null_tokens)
-    groups: dict[tuple[str, str], list[str]] = {}
-    for file, line in first_lines(spark, paths).items():
-        groups.setdefault((sep or delimiter_of(line), line), []).append(unquote(file))
+    heads = file_heads(spark, paths).filter("line IS NOT NULL")
 
-    def one(by: str, names: list[str], files: list[str]) -> DataFrame:
-        # positional names; the header line of each file is dropped by the reader
-        raw = (spark.read.schema(T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))]))
-               .option("header", True).option("enforceSchema", True).option("sep", by).option("quote", '"')
-               .option("escape", '"').option("multiLine", multi_line).option("mode", "PERMISSIVE").csv(files))
+    def typed(raw: DataFrame, names: list[str], file: Column) -> DataFrame:
         at = {n: f"c{i}" for i, n in reversed(list(enumerate(names)))}  # the first of equal names
         out = []
         for c in columns:
@@ -85,11 +79,23 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], columns: Seq
             elif not isinstance(t, T.StringType):
                 v = v.try_cast(t)
             out.append(v.alias(c))
-        if with_file:
-            out.append(F.input_file_name().alias("_file"))
-        return raw.select(*out)
+        return raw.select(*out, *[file.alias("_file")] * with_file)
 
-    frames = [one(by, _fields(line, by), files) for (by, line), files in groups.items()]
+    def one(line: str, files: list[str], odd: bool) -> DataFrame:
+        by = sep or delimiter_of(line)
+        names = _fields(line, by)
+        # positional names; the header line of each file is dropped by the reader
+        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+        options = {"sep": by, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "multiLine": str(multi_line).lower()}
+        if not odd:
+            raw = spark.read.schema(schema).options(**options).option("header", True).option("enforceSchema", True).csv(files)
+            return typed(raw, names, F.col("_metadata.file_path"))
+        same = misnamed(heads).filter(F.col("line") == line)
+        rows = streamed_lines(spark, same, records=multi_line).filter("pos > 0 AND trim(value) <> ''")
+        return typed(rows.select("file", F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), options).alias("c")).select("file", "c.*"), names, F.col("file"))
+
+    groups = heads.groupBy("line", (F.col("packed") != F.col("named")).alias("odd")).agg(F.collect_list("path").alias("files"))
+    frames = [one(g["line"], sorted(g["files"]), g["odd"]) for g in groups.collect()]
     if not frames:
         names = [T.StructField(c, types.get(c, T.StringType())) for c in columns]
         return spark.createDataFrame([], T.StructType(names + [T.StructField("_file", T.StringType())] * with_file))

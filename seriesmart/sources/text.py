@@ -7,8 +7,8 @@ no quoting, and every field is trimmed with NULL tokens mapped to NULL.  The
 CSV reader's modes treat long and short rows alike, so it cannot express this.
 
 Bad UTF-8 bytes become U+FFFD (lines with one are counted as ``replaced``);
-``.gz`` files are decompressed by extension.  Line ends LF, CRLF and CR all
-split lines.
+gzip files are known by their first two bytes, whatever their name (``heads``).
+Line ends LF, CRLF and CR all split lines.
 
 Functions taking ``lines`` accept any DataFrame with a string ``value``
 column, so batch, in-memory and streaming inputs share one parser.
@@ -17,15 +17,14 @@ column, so batch, in-memory and streaming inputs share one parser.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import cast_value
 from ..functions.text import DEFAULT_NULL_TOKENS, WHITESPACE, clean_field, clean_text, is_blank, null_if_token, strip_nul
+from .heads import file_heads, misnamed, streamed_lines, without_headers
 
 FACT_COLUMNS = ("series_id", "year", "period", "value", "footnote_codes")
 HEADER_PREFIX = "series_id"
@@ -36,46 +35,40 @@ def _paths(paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def first_lines(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, str]:
-    """The first line of every (non-empty) file, by the path Spark reports for it.
-
-    One job a file that reads one line, eight at a time: a whole scan would read
-    every byte only to look at the headers."""
-    def first(file: str):
-        row = spark.read.text(unquote(file)).first()
-        return None if row is None else row["value"]
-
-    files = spark.read.text(_paths(paths)).inputFiles()
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        return {f: v for f, v in zip(files, pool.map(first, files)) if v is not None}
-
-
 def read_lines(spark: SparkSession, paths: str | Sequence[str], with_order: bool = False,
-               header: Callable[[str], bool] | None = None) -> DataFrame:
+               header: Callable[[Column], Column] | None = None, with_file: bool = False) -> DataFrame:
     """Raw lines as ``value``; with ``with_order`` also ``_line``, a struct that
-    sorts lines in file order (file path, split start, position in the split).
-
-    ``header`` says of a file's first line whether it is a header; such a line
-    is dropped from its file.  Lines further down are data whatever they start
-    with (only an exact repetition of its own file's header is dropped too)."""
-    df = spark.read.text(_paths(paths))
-    line, file = F.make_valid_utf8("value"), F.input_file_name()
+    sorts lines in file order (file path, split start, position in the split);
+    with ``with_file`` the path of the line's file as ``_file``.
+
+    ``header`` says of a file's first line (a column) whether it is a header; such
+    a line is dropped from its file.  Lines further down are data whatever they
+    start with (only an exact repetition of its own file's header is dropped too).
+    Gzip is known by a file's first bytes, whatever its name."""
+    heads = file_heads(spark, _paths(paths))
+    odd = misnamed(heads)
+    whole = spark.read.text(_paths(paths))
+    extra = []
+    if odd.limit(1).count():
+        right = [r["path"] for r in heads.filter("packed = named").select("path").collect()]
+        whole = spark.read.text(right) if right else whole.filter(F.lit(False))
+        extra = [streamed_lines(spark, odd).select("value", "file", F.lit(0).cast("bigint").alias("block"), "pos")]
+    plain = whole.select(F.make_valid_utf8("value").alias("value"), F.col("_metadata.file_path").alias("file"),
+                         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
+    rows = reduce(DataFrame.unionAll, extra, plain)
     if header:
-        heads = {f: v for f, v in first_lines(spark, paths).items() if header(v)}
-        if heads:
-            pairs = [f"{f}\t{v}" for f, v in heads.items()]
-            df = df.filter(~(line.isin(sorted(set(heads.values()))) & F.concat_ws("\t", file, line).isin(pairs)))
-    if not with_order:
-        return df.select(line.alias("value"))
-    return df.select(line.alias("value"), F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("pos")).alias(LINE))
-
-
-def starts_with(prefix: str) -> Callable[[str], bool]:
+        rows = without_headers(rows, heads, header(F.col("line")))
+    out = [F.col("value")]
+    if with_order:
+        out.append(F.struct("file", "block", "pos").alias(LINE))
+    if with_file:
+        out.append(F.col("file").alias("_file"))
+    return rows.select(*out)
+
+
+def starts_with(prefix: str) -> Callable[[Column], Column]:
     """A header test: the line, without NUL bytes and leading white space, starts with ``prefix``."""
-    return lambda line: line.replace("\0", "").lstrip(WHITESPACE).startswith(prefix)
+    return lambda line: F.startswith(F.ltrim(strip_nul(line), F.lit(WHITESPACE)), F.lit(prefix))
 
 
 def _flags(lines: DataFrame, n: int, strip_nul_bytes: bool, header_field: str | None,
@@ -196,7 +189,7 @@ def read_dimension(spark: SparkSession, paths, key_col: int = 0, name_col: int =
     ``name_col`` (NULL when missing, empty or ``-``); NUL bytes are removed and
     the last line wins for a repeated code.
     """
-    lines = read_lines(spark, paths, with_order=True, header=lambda line: "\t" in line)
+    lines = read_lines(spark, paths, with_order=True, header=lambda line: F.contains(line, F.lit("\t")))
     lines = lines.withColumn("value", strip_nul("value"))
     parts = F.split(F.col("value"), "\t", max(key_col, name_col) + 2)
     code = clean_text(F.try_element_at(parts, F.lit(key_col + 1)))
@@ -215,10 +208,10 @@ def read_dimension_table(spark: SparkSession, paths, pk_column: str,
     those names, otherwise the header names them.  Missing trailing fields are NULL."""
     header = starts_with(pk_column)
     if columns is None:
-        head = next((v for v in first_lines(spark, paths).values() if header(v)), None)
+        head = file_heads(spark, _paths(paths)).filter(header(F.col("line"))).orderBy("file").select("line").first()
         if head is None:
             raise ValueError(f"no header line starting with {pk_column!r} and no column list")
-        columns = [c.strip() for c in head.replace("\0", "").split("\t")]
+        columns = [c.strip() for c in head["line"].replace("\0", "").split("\t")]
     return parse_lines(read_lines(spark, paths, header=header), columns, min_fields=1, null_tokens=null_tokens)
 
 
@@ -227,7 +220,7 @@ def read_bulk(spark: SparkSession, paths, columns: Sequence[str]) -> DataFrame:
     return parse_lines(read_lines(spark, paths, header=starts_with(HEADER_PREFIX)), columns)
 
 
-def read_parts(spark: SparkSession, root: str, stem: str, header: Callable[[str], bool] | None = None) -> DataFrame:
+def read_parts(spark: SparkSession, root: str, stem: str, header: Callable[[Column], Column] | None = None) -> DataFrame:
     """Lines of a dataset split into numbered parts (``{stem}_data_1``,
     ``{stem}_data_2``, ...), else of the single ``{stem}`` file; all parts are
     read in one scan."""

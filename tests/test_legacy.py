@@ -4,6 +4,7 @@ from rawfiles import write_text
 
 from seriesmart.operators.loadlog import HEADS_SCHEMA, read_log
 from seriesmart.plans import LegacySpec, load_legacy_dataset, part_keys, yearly_files
+from seriesmart.plans.legacy import read_parts_delimited, rows_per_part
 from seriesmart.sinks import read_current
 
 SPEC = LegacySpec("la", "unemployment_narrow",
@@ -86,3 +87,24 @@ def test_headers_and_quotes_by_file(spark, tmp_path):
     assert {tuple(r) for r in got.collect()} == {(1, 30.0, 'a "b", c'), (2, 40.0, "C:\\"), (30, 3.0, None)}
     c = write_text(tmp_path / "c.csv", 'id,note\n1,"two\nlines"\n')
     assert [r.note for r in read_delimited(spark, c, ["note"], multi_line=True).collect()] == ["two\nlines"]
+
+
+def test_counts_of_many_parts(spark, tmp_path):
+    """500 parts: each counted by its own file, in a plan that doesn't grow with them."""
+    parts = [write_text(tmp_path / "in" / f"x_{i} +%.csv", "series_id,year\n" + "".join(f"s{i},{2000 + j}\n" for j in range(i % 5 + 1))) for i in range(500)]
+    spec = LegacySpec("x", "x", (("series_id", "string"), ("year", "int")))
+    staged = read_parts_delimited(spark, parts, spec)
+    small = read_parts_delimited(spark, parts[:5], spec)
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString().count("\n")
+    assert plan(staged) == plan(small)
+    named = list(zip(parts, part_keys(parts)))
+    assert rows_per_part(spark, staged, named) == {f"part{i + 1}": i % 5 + 1 for i in range(500)}
+
+
+def test_counts_of_folders_and_patterns(spark, tmp_path):
+    for folder, n in (("a", 3), ("b", 4), ("ab", 5)):
+        write_text(tmp_path / folder / "f.csv", "series_id,year\n" + "s,1\n" * n)
+    spec = LegacySpec("x", "x", (("series_id", "string"), ("year", "int")))
+    named = [(f"file://{tmp_path}/a/", "one"), (f"{tmp_path}/b", "two"), (f"{tmp_path}/a[b]/*.csv", "three")]
+    staged = read_parts_delimited(spark, [p for p, _ in named], spec)
+    assert rows_per_part(spark, staged, named) == {"one": 3, "two": 4, "three": 5}

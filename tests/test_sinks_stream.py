@@ -1,6 +1,7 @@
 import os
 
-from rawfiles import write_text
+import pytest
+from rawfiles import write_bytes, write_text
 from pyspark.sql import functions as F
 
 from seriesmart.operators import with_surrogate_id, year_chunks
@@ -140,3 +141,121 @@ def test_stream_counts_more_batches_than_progress_reports(spark, tmp_path):
         assert stream_ingest(spark, land, ["series_id", "year"], out, ck) == 0
     finally:
         spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+
+
+def test_checksum_of_a_file_larger_than_a_block(spark, tmp_path):
+    import hashlib
+    from seriesmart.sources.files import BLOCK, digest_of
+    data = os.urandom(1 << 16) * ((2 * BLOCK >> 16) + 1)
+    write_bytes(tmp_path / "m" / "big +%41.bin", data)
+    got = {r.path.rsplit("/", 1)[1]: (r.length, r.md5) for r in manifest(spark, str(tmp_path / "m"), with_md5=True).collect()}
+    assert got == {"big +%41.bin": (len(data), hashlib.md5(data).hexdigest())}
+
+    class Counted:
+        """Never more than a block is asked for."""
+        left, most = 10 * 7, 0
+
+        def read(self, n):
+            self.most = max(self.most, n)
+            self.left, n = self.left - min(n, self.left), min(n, self.left)
+            return b"x" * n
+    stream = Counted()
+    assert digest_of(stream, 7) == hashlib.md5(b"x" * 70).hexdigest() and stream.most == 7
+
+
+def test_partitions_are_replaced_whole_or_not_at_all(spark, tmp_path):
+    from seriesmart.operators.quality import not_null
+    from seriesmart.sinks import manifest_of, publish_partitions, read_partitions
+    root = str(tmp_path / "t")
+    rows = [(i, y) for y in ("2020", "2021", None, "a/b=c %") for i in range(10)]
+    first = publish_partitions(spark.createDataFrame(rows, "k int, p string"), root, "p")
+    assert sorted((r.part or "", r.rows, r.prev_rows, r.verdict) for r in first.collect()) == [
+        ("", 10, None, "success"), ("2020", 10, None, "success"), ("2021", 10, None, "success"), ("a/b=c %", 10, None, "success")]
+    assert sorted(read_partitions(spark, root).collect(), key=str) == sorted(spark.createDataFrame(rows, "k int, p string").collect(), key=str)
+    # a good one, one with too few rows, one that breaks a rule
+    new = [(100 + i, "2020") for i in range(8)] + [(200, "2021")] + [(None if i == 5 else i, "a/b=c %") for i in range(10)]
+    got = publish_partitions(spark.createDataFrame(new, "k int, p string"), root, "p", rules={"k": not_null("k")})
+    assert sorted((r.part, r.rows, r.prev_rows, r.violations, r.verdict) for r in got.collect()) == [
+        ("2020", 8, 10, 0, "warning"), ("2021", 1, 10, 0, "failed"), ("a/b=c %", 10, 10, 1, "failed")]
+    want = [(100 + i, "2020") for i in range(8)] + [r for r in rows if r[1] != "2020"]
+    assert sorted(map(str, map(tuple, read_partitions(spark, root).collect()))) == sorted(map(str, want))
+    assert read_partitions(spark, root, ["2020", None]).count() == 18 and read_partitions(spark, root, ["none"]).count() == 0
+    publish_partitions(spark.createDataFrame([(1, "2021")], "k int, p string"), root, "p", force=True)
+    assert {r.part: r.rows for r in manifest_of(spark, root).collect()}["2021"] == 1
+    with pytest.raises(FileNotFoundError):
+        read_partitions(spark, str(tmp_path / "nothing"))
+
+
+def test_a_failing_replacement_leaves_the_table_as_it_is(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from seriesmart.sinks import publish_partitions, read_partitions
+    root = str(tmp_path / "t")
+    df = spark.range(10).withColumn("p", F.lit(1))
+    publish_partitions(df, root, "p")
+    with pytest.raises(Exception):
+        publish_partitions(df.withColumn("id", F.raise_error(F.lit("bad row")).cast("long")), root, "p")
+    assert read_partitions(spark, root).count() == 10
+
+
+def test_revised_files(spark, tmp_path):
+    from seriesmart.streaming import ingest_revised, read_ingested
+    land, out = tmp_path / "land", str(tmp_path / "out")
+    rows = lambda: sorted(tuple(r) for r in read_ingested(spark, out).select("series_id", "v").collect())
+    write_text(land / "a +.txt", "series_id\tv\nA\t1\nB\t2\n")
+    write_text(land / "b", "series_id\tv\nC\t3\n")
+    assert ingest_revised(spark, str(land), ["series_id", "v"], out) == 2
+    assert rows() == [("A", "1"), ("B", "2"), ("C", "3")]
+    assert ingest_revised(spark, str(land), ["series_id", "v"], out) == 0
+    write_text(land / "a +.txt", "series_id\tv\nA\t10\nD\t4\nE\t5\n")
+    write_text(land / "c", "F\t6\n")
+    assert ingest_revised(spark, str(land), ["series_id", "v"], out) == 2
+    assert rows() == [("A", "10"), ("C", "3"), ("D", "4"), ("E", "5"), ("F", "6")]
+    write_text(land / "b", "series_id\tv\n")
+    os.remove(land / "c")
+    assert ingest_revised(spark, str(land), ["series_id", "v"], out) == 1
+    assert rows() == [("A", "10"), ("D", "4"), ("E", "5"), ("F", "6")]
+
+
+def test_compacted_log(spark, tmp_path):
+    import datetime as dt
+    from pathlib import Path
+    from seriesmart.operators import append_log, compact_log, latest_log, log_rows, read_log
+    path = str(tmp_path / "log")
+    at = lambda i: dt.datetime(2024, 1, 1) + dt.timedelta(hours=i)
+    assert compact_log(spark, path) == 1 and read_log(spark, path).count() == 0
+    for i in range(9):
+        status = "failed" if i % 3 == 2 else "success"
+        append_log(log_rows(spark, [{"dataset": d, "data_key": "all", "rows_loaded": i, "status": status, "load_timestamp": at(i), "seq": i} for d in "xy"]), path)
+        if i % 3 == 2:
+            compact_log(spark, path)
+            kept = sorted((r.dataset, r.rows_loaded, r.status) for r in read_log(spark, path).collect())
+            assert kept == [(d, n, s) for d in "xy" for n, s in ((i - 1, "success"), (i, "failed"))]
+    assert {r.dataset: r.rows_loaded for r in latest_log(read_log(spark, path)).collect()} == {"x": 8, "y": 8}
+    files = [f for f in (Path(path) / "_generation" / "4").rglob("part-*.parquet")]
+    assert len(files) <= 2
+
+
+def test_bucketed_tables_need_no_exchange(spark, tmp_path):
+    from seriesmart.operators import check_unique
+    from seriesmart.sinks import write_bucketed
+    from pyspark.sql import functions as F
+    facts = write_bucketed(spark.range(1000).select((F.col("id") % 50).alias("k"), F.col("id").alias("m")), "sm_b_facts", "k", 4, str(tmp_path / "f"))
+    series = write_bucketed(spark.range(50).select(F.col("id").alias("s"), F.lit("n").alias("name")), "sm_b_series", "s", 4, str(tmp_path / "s"))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    keys = check_unique(facts, ["k", "m"])
+    both = facts.join(series.hint("merge"), F.col("k") == F.col("s"))
+    assert "Exchange" not in plan(keys) and "Exchange" not in plan(both)
+    assert keys.count() == 0 and both.count() == 1000
+    for t in ("sm_b_facts", "sm_b_series"):
+        spark.sql(f"DROP TABLE {t}")
+
+
+def test_chunk_counts_read_no_column(spark, tmp_path):
+    """Rows per year chunk come from the files' footers and folder names."""
+    from pyspark.sql import functions as F
+    from seriesmart.operators import year_chunks
+    path = str(tmp_path / "t")
+    spark.range(100).select("id", (F.col("id") % 5 + 2000).cast("int").alias("year")).write.partitionBy("year").parquet(path)
+    got = year_chunks(spark.read.parquet(path).select("year"), 2)
+    assert "ReadSchema: struct<>" in got._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in got.orderBy("chunk_start").collect()] == [(2000, 2001, 40, 40), (2002, 2003, 40, 80), (2004, 2004, 20, 100)]

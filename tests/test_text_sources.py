@@ -2,6 +2,7 @@
 
 import gzip
 
+from pyspark.sql import functions as F
 from rawfiles import write_bytes, write_text
 
 from seriesmart.sources import (count_skipped, parse_lines, read_dimension, read_dimension_table,
@@ -130,3 +131,88 @@ def test_header_is_a_files_first_line_only(spark, tmp_path):
     assert rows(read_series(spark, [a, b], ["series_id", "year"])) == [("A", "1"), ("B", "3"), ("series_id_x", "2"), ("series_idle", "4")]
     p = write_text(tmp_path / "d.txt", "area_code\tarea_name\narea9\tNine\narea_code2\tTwo\n")
     assert rows(read_dimension_table(spark, p, "area")) == [("area9", "Nine"), ("area_code2", "Two")]
+
+
+# --- first lines and codecs -----------------------------------------------------------------
+
+def test_gzip_by_its_bytes(spark, tmp_path):
+    """Gzip without .gz, plain text named .gz, several gzip members, all beside plain files."""
+    d = tmp_path / "in"
+    write_bytes(d / "a", gzip.compress(b"series_id\tv\r\nA\t1\r\n\r\nB\t\xff2\n"))
+    write_bytes(d / "b.gz", b"series_id\tv\nC\t3")
+    write_bytes(d / "c.gz", gzip.compress(b"series_id\tv\nD\t4\n"))
+    write_bytes(d / "d +%41.txt", b"\xef\xbb\xbfseries_id\tv\nE\t5\nseries_id_2\t6\n")
+    write_bytes(d / "e", gzip.compress(b"series") + gzip.compress(b"_id\tv\nF\t7"))
+    write_bytes(d / "f", b"")
+    write_bytes(d / "g", gzip.compress(b""))
+    got = rows(read_series(spark, str(d), ["series_id", "v"]))
+    assert sorted(got) == [("A", "1"), ("B", "�2"), ("C", "3"), ("D", "4"), ("E", "5"), ("F", "7"), ("series_id_2", "6")]
+    last = read_dimension(spark, str(d)).filter("code = 'D'").collect()
+    assert [tuple(r) for r in last] == [("D", "4")]
+
+
+def test_delimited_gzip_by_its_bytes(spark, tmp_path):
+    from seriesmart.sources import read_delimited
+    d = tmp_path / "in"
+    write_bytes(d / "a.csv", gzip.compress(b'k,"v"\n1,"x, ""y"""\n2,\n'))
+    write_bytes(d / "b.csv", b"v\tk\nz\t3\n")
+    write_bytes(d / "c.csv.gz", gzip.compress(b"K,v\n4,w\n"))
+    write_bytes(d / "d.csv.gz", b'k,v\n5,"line\nbreak"\n')
+    got = read_delimited(spark, str(d), ["k", "v"], {"k": "int"}, with_file=True, multi_line=True).collect()
+    assert sorted((r.k, r.v, r._file.rsplit("/", 1)[1]) for r in got) == [
+        (1, 'x, "y"', "a.csv"), (2, None, "a.csv"), (3, "z", "b.csv"), (4, "w", "c.csv.gz"), (5, "line\nbreak", "d.csv.gz")]
+
+
+def test_lines_of_a_stream():
+    """Line ends across block borders, whatever the block size; a first line longer than a block."""
+    import io
+    from seriesmart.sources.heads import first_line, lines_in
+    text = b"\xef\xbb\xbfa\r\nb\rc\n\nlonger line\r\n\r\nend"
+    want = [b"a", b"b", b"c", b"", b"longer line", b"", b"end"]
+    for block in (3, 4, 5, 7, 1000):
+        assert list(lines_in(io.BytesIO(text), False, block)) == want
+        assert list(lines_in(io.BytesIO(gzip.compress(text)), True, block)) == want
+    line = b"x" * 5000
+    assert first_line(io.BytesIO(line + b"\ny"), 16) == (False, line)
+    assert first_line(io.BytesIO(gzip.compress(line[:2000]) + gzip.compress(line[2000:] + b"\r\nz")), 16) == (True, line)
+    assert first_line(io.BytesIO(b"")) == (False, None) and first_line(io.BytesIO(gzip.compress(b""))) == (True, None)
+
+
+def test_headers_of_many_files_in_a_constant_number_of_jobs(spark, tmp_path):
+    """As many jobs for 1,000 files as for 10, and a plan that doesn't grow with them."""
+    def load(n):
+        d = tmp_path / f"in{n}"
+        for i in range(n):
+            write_text(d / f"f{i}", f"series_id\tv{i % 7}\ns{i}\t{i}\n")
+        group = f"heads-{n}"
+        spark.sparkContext.setJobGroup(group, group)
+        df = read_series(spark, str(d), ["series_id", "v"])
+        size = len(df._jdf.queryExecution().analyzed().toString())
+        got = df.count()
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        spark.sparkContext.setJobGroup("", "")
+        assert got == n
+        return jobs, size
+
+    (few, small), (many, large) = load(10), load(1000)
+    assert many <= few + 1 and large < 1.2 * small
+
+
+def test_headers_beyond_a_broadcast(spark, tmp_path, monkeypatch):
+    from seriesmart.sources import heads
+    monkeypatch.setattr(heads, "BROADCAST_FILES", 1)
+    for i in range(4):
+        write_text(tmp_path / "in" / f"f{i}", f"series_id\tv\ns{i}\t{i}\nseries_id_x\t9\n")
+    got = rows(read_series(spark, str(tmp_path / "in"), ["series_id", "v"]))
+    assert sorted(got) == sorted([(f"s{i}", str(i)) for i in range(4)] + [("series_id_x", "9")] * 4)
+
+
+def test_first_lines_where_files_cannot_be_opened(spark, tmp_path, monkeypatch):
+    """Without a file system for the URI, one scan finds the first lines."""
+    from seriesmart.sources import heads
+    for i in range(3):
+        write_text(tmp_path / "in" / f"f{i}", "\n".join(f"line {i} {j}" for j in range(500)))
+    unread = heads.file_heads(spark, str(tmp_path / "in")).withColumn("packed", F.lit(None).cast("boolean"))
+    monkeypatch.setattr(heads, "_opened", lambda *_: unread)
+    got = heads.file_heads(spark, str(tmp_path / "in")).collect()
+    assert sorted((r.line, r.packed) for r in got) == [(f"line {i} 0", False) for i in range(3)]
