@@ -291,14 +291,15 @@ def classes(docs: DataFrame, spark: SparkSession, words: int = 5, percent: int =
         raise ValueError("percent: over 50 (prefixes of pairs need two common tokens), 100 at most")
     plain = id_text(docs, id_col, text_col)
     rows = stored(_sketch(plain.withColumn("key", F.xxhash64("text")), words, percent).withColumn("v", F.monotonically_increasing_id()), spark, "sketch")
-    # The row that stands for its class: that of the least id, and of these that of the least key.
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "v")).alias("x")
-    stand = stored(rows.filter("n > 0").groupBy("set_id").agg(first).select("set_id", F.col("x.doc_id").alias("first"), "x.key", "x.v"), spark, "classes")
+    # The row that stands for its class: that of the least id, and of these that of the least key.  Its prefix
+    # comes with it, so prefixes are shuffled once.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "v", "n", "prefix")).alias("x")
+    stand = stored(rows.filter("n > 0").groupBy("set_id").agg(first).select("set_id", F.col("x.doc_id").alias("first"), "x.key", "x.v", "x.n", "x.prefix"), spark, "classes")
 
     # 1: sets that share enough of their extended prefix with others
-    prefixes = _tokens(rows.select("v", "prefix").join(stand.select("v"), "v", "left_semi"), "prefix")
+    prefixes, stand = _tokens(stand, "prefix"), stand.drop("prefix")
     held = _with_frequency(prefixes, _shared(prefixes, spark)).groupBy("v").agg(F.count("*").alias("held"))
-    small = rows.select("v", F.expr(f"({percent} * n + 99) div 100").alias("n"))  # the smallest partner's size, and its D
+    small = stand.select("v", F.expr(f"({percent} * n + 99) div 100").alias("n"))  # the smallest partner's size, and its D
     bound = small.withColumn("d", F.expr(f"n - ({percent} * n + 99) div 100")).selectExpr("v", "least(n, d + 1 + (d + 4) div 4) - d AS least")
     some = stored(held.join(bound, "v").filter("held >= least").select("v"), spark, "screened")
     asked = stored(stand.join(some, "v"), spark, "asked")
@@ -315,6 +316,7 @@ def classes(docs: DataFrame, spark: SparkSession, words: int = 5, percent: int =
     hubs = member.groupBy("key").agg(F.min(F.struct((F.col("n") - F.col("s")).alias("own"), "v", "n", "s")).alias("y"))
     pairs = (member.alias("x").join(hubs, "key").filter("x.v != y.v").filter(_reach("x", "y", percent))
              .select(F.least("x.v", "y.v").alias("a"), F.greatest("x.v", "y.v").alias("b")).distinct())
+    pairs = stored(pairs, spark, "pairs")  # of known size: few are joined to the sets without moving these
     links = stored(_verified(pairs, sets, percent), spark, "linked")
     member = member.join(components(links, spark), "v", "left").withColumn("c", F.coalesce("c", "v"))
     links = links.union(stored(_rest(_left(member, percent, spark), sets, percent), spark, "rest"))
