@@ -18,8 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id (long) and the text (null: empty); any further columns are left out."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return docs.select(named(id_col).cast("long").alias("doc_id"),
+                       F.coalesce(named(text_col), F.lit("")).alias("text"))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -32,7 +32,7 @@ SLICE = 256
 
 
 def map_column(df: DataFrame, col: str, out: str, fn: Callable[[list], dict[str, Iterable[Any]]]) -> DataFrame:
-    """Replace column ``col`` by the columns that ``fn`` makes of its values.
+    """Replace column ``col``, and those of their names, by the columns that ``fn`` makes of its values.
 
     ``fn`` gets some of the values and returns one sequence per name of the DDL
     ``out``; all other columns pass through as they are.  A worker holds the
@@ -41,19 +41,44 @@ def map_column(df: DataFrame, col: str, out: str, fn: Callable[[list], dict[str,
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    rest = [f for f in df.schema.fields if f.name != col]
     made = StructType.fromDDL(out)
-    schema = StructType(rest + made.fields)
+    # by place, as names may repeat; a column that is made replaces one of its name
+    at_col = df.columns.index(col)
+    replaced = {n.lower() for n in made.names}
+    rest = [i for i, n in enumerate(df.columns) if i != at_col and n.lower() not in replaced]
+    schema = StructType([df.schema.fields[i] for i in rest] + made.fields)
     types = to_arrow_schema(made)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
-            got = fn(batch.column(batch.schema.get_field_index(col)).to_pylist())
-            arrays = [batch.column(batch.schema.get_field_index(f.name)) for f in rest]
+            got = fn(batch.column(at_col).to_pylist())
+            arrays = [batch.column(i) for i in rest]
             arrays += [pa.array(got[t.name], type=t.type) for t in types]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(run, schema)  # names may hold dots
+
+
+#: Rows of a list of ids and keys that are broadcast at most (about 50 MB); a longer one is joined by a shuffle.
+BROADCAST_ROWS = 500_000
+
+
+def bounded(few: DataFrame) -> DataFrame:
+    """A stored list, to be broadcast where its counted rows are within the bound, so the texts it meets stay in place."""
+    return F.broadcast(few) if few.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else few
+
+
+def unused(name: str, columns: Iterable[str]) -> str:
+    """A name made of ``name`` that none of the columns has, in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def named(column: str) -> Column:
+    """The column of exactly this name, also one with dots or backticks."""
+    return F.col("`" + column.replace("`", "``") + "`")
 
 
 def span_text(spans: Column) -> Column:

@@ -40,14 +40,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import id_text, map_column
+from .common import bounded, id_text, map_column, named, unused
 from .graph import components, stored
 
 BANDS, ROWS = 32, 5
 #: Signature values that are compared at once, and the chosen miss probability of each comparison.
 BATCH, MISS = 32, 1e-6
 #: Shingles that are hashed at once, and of a block of vertices that are compared in one task.
-STEP, BLOCK = 2048, 1_000_000
+STEP, BLOCK = 2048, 250_000
 
 
 def words_of(text: str) -> list[bytes]:
@@ -208,7 +208,7 @@ def _found(docs: DataFrame, spark: SparkSession, words: int, percent: int, id_co
     member = vertices.select("v", "n", F.posexplode(_band_keys("sig")).alias("band", "key"))
     full = member.groupBy("band", "key").agg(F.count("*").alias("m")).filter("m > 1")
     member = stored(member.join(full, ["band", "key"]).select("v", "n", "band", "key"), spark, "members")
-    candidates = member.select("v").distinct().join(stand, "v")
+    candidates = stored(member.select("v").distinct().join(stand, "v"), spark, "candidates")
     texts = stored(_texts(plain, candidates, words), spark, "texts")
     if texts.count() > texts.select("v").distinct().count():  # repeated rows, with the same id and text
         texts = stored(texts.dropDuplicates(["v"]), spark, "texts")
@@ -246,7 +246,8 @@ def _texts(plain: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
     """``(v, text)``: the text of the row that stands for each candidate class, once for each repetition of that row."""
     # By the id and the text's key: rows that share an id (or have none) only meet the class that is theirs.
     own = (F.col("key") == F.col("own_key")) & F.col("doc_id").eqNullSafe(F.col("id"))
-    wanted = plain.withColumn("key", _key("text")).join(candidates.select(F.col("first").alias("id"), F.col("key").alias("own_key"), "v", "set_id"), own)
+    candidates = bounded(candidates.select(F.col("first").alias("id"), F.col("key").alias("own_key"), "v", "set_id"))
+    wanted = plain.withColumn("key", _key("text")).join(candidates, own)
     # Texts whose keys collide: only those with the class's own set.
     checked = map_column(wanted.select("v", "set_id", "text", F.col("text").alias("body")), "text", "got binary", lambda texts: {
         "got": [_set_id(hashed(words_of(t), k)) for t in texts]})
@@ -321,11 +322,15 @@ def distinct(docs: DataFrame, spark: SparkSession, words: int = 5, percent: int
     repeated rows with the same id and text, one stays.
     """
     found = stored(_found(docs, spark, words, percent, id_col, text_col).filter("doc_id IS NOT NULL"), spark, "found")
-    gone = found.filter("n > 0 AND (doc_id != component_id OR key != component_key)")
-    gone = stored(gone.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct(), spark, "gone")
-    text_key = _key(F.coalesce(F.col(text_col), F.lit("")))
-    out = docs.join(gone, (F.col(id_col).cast("long") == F.col("__id")) & (text_key == F.col("__key")), "left_anti")
-    if found.groupBy("doc_id", "key").count().filter("count > 1").limit(1).count():
-        alone = F.when(F.col(id_col).isNull(), F.monotonically_increasing_id())
-        out = out.withColumn("__alone", alone).dropDuplicates([id_col, text_col, "__alone"]).drop("__alone")
+    own_id, own_key = (unused(x, [*docs.columns, "doc_id", "key"]) for x in ("id", "own_key"))
+    same = (named(id_col).cast("long") == F.col(own_id)) & (_key(F.coalesce(named(text_col), F.lit(""))) == F.col(own_key))
+
+    def rows(of: DataFrame, name: str) -> DataFrame:
+        return bounded(stored(of.select(F.col("doc_id").alias(own_id), F.col("key").alias(own_key)).distinct(), spark, name))
+
+    gone = rows(found.filter("n > 0 AND (doc_id != component_id OR key != component_key)"), "gone")
+    out = docs.join(gone, same, "left_anti")
+    again = rows(found.groupBy("doc_id", "key").count().filter("count > 1"), "again")
+    if again.limit(1).count():  # only rows that repeat are shuffled with their texts
+        out = out.join(again, same, "left_anti").union(out.join(again, same, "left_semi").dropDuplicates([id_col, text_col]))
     return out
