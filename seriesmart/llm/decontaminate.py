@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import map_column
+from .common import map_column, named, unused
 
 THRESHOLD, RARE, FALLBACK = 0.5, 1e-9, 12
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -83,7 +83,7 @@ def _counts(docs: DataFrame, known: dict[str, int], text_col: str) -> tuple[np.n
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["word", "n"])
 
     out = np.zeros(len(known) + 1, np.int64)
-    for word, n in docs.select(F.col(text_col)).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n")).collect():
+    for word, n in docs.select(named(text_col)).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n")).collect():
         out[word] = n
     return out[1:], int(out.sum())
 
@@ -174,12 +174,14 @@ def leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col
     for block in _blocks(items, item_id_col, item_text_col):
         if block:
             prepared = prepare(docs, block, text_col)
-            out = map_column(out.withColumn("__text", F.col(text_col)), "__text", f"__more array<{LEAK}>",
-                             lambda texts, prepared=prepared: {"__more": [find(t, prepared, threshold) for t in texts]})
-            out = out.withColumn(out_col, F.concat(out_col, "__more")).drop("__more")
+            body, more = unused("text", out.columns), unused("more", out.columns)
+            out = map_column(out.withColumn(body, named(text_col)), body, f"`{more}` array<{LEAK}>",
+                             lambda texts, prepared=prepared, more=more: {more: [find(t, prepared, threshold) for t in texts]})
+            out = out.withColumn(out_col, F.concat(out_col, more)).drop(more)
     return out
 
 
 def clean(docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of the documents that hold no item, with all their columns."""
-    return leaks(docs, items, text_col, out_col="__leaks").filter(F.size("__leaks") == 0).select(*docs.columns)
+    found = unused("leaks", docs.columns)
+    return leaks(docs, items, text_col, out_col=found).filter(F.size(found) == 0).select(*map(named, docs.columns))

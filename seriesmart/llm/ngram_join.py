@@ -29,7 +29,7 @@ differs from a linked one in at most D = n - ceil(t n) of its own tokens.
 
 Nothing but tokens held by very many sets is broadcast (at most ``HOT_TOKENS``,
 as each has that share of all tokens), and the list of texts to be read again up
-to ``BROADCAST_ROWS``; beyond it they are joined by a shuffle.
+to ``common.BROADCAST_ROWS``; beyond it they are joined by a shuffle.
 
 Defined results: null and empty texts, and texts of white space, have no
 tokens, are linked with nothing and are their own component; a text with fewer
@@ -49,7 +49,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import id_text, let, map_column
+from .common import bounded, id_text, let, map_column
 from .graph import components, stored
 from .near_dup import hashed, words_of
 
@@ -57,8 +57,8 @@ from .near_dup import hashed, words_of
 RARE, PART = 16, 2
 #: Tokens that are broadcast at most (each with more than this share of all tokens), and the least sets such a token has.
 HOT_TOKENS, HOT_SETS = 100_000, 5_000
-#: Texts whose list is broadcast at most; tokens of a block of vertices that are compared in one task.
-BROADCAST_ROWS, BLOCK = 500_000, 1_000_000
+#: Tokens of a block of vertices that are compared in one task.
+BLOCK = 1_000_000
 
 
 def spare(n, percent: int):
@@ -266,7 +266,7 @@ def _whole_sets(plain: DataFrame, asked: DataFrame, k: int, spark: SparkSession)
     Rows are found by id and text key; texts whose keys collide are told apart by the set.
     """
     wanted = asked.select(F.col("first").alias("id"), F.col("key").alias("own_key"), "v", "set_id")
-    wanted = F.broadcast(wanted) if asked.count() <= BROADCAST_ROWS else wanted.hint("merge")
+    wanted = bounded(wanted)
     found = plain.withColumn("key", F.xxhash64("text")).join(wanted, (F.col("key") == F.col("own_key")) & F.col("doc_id").eqNullSafe(F.col("id")))
 
     def run(texts: list) -> dict:

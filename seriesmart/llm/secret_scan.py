@@ -14,7 +14,10 @@ and ``npm`` (their last six characters are the CRC-32 of the rest in base 62),
 
 Defined results: a null or empty text has no spans; ties start at the same
 place and follow the order of the kinds; repeated rows give repeated results;
-texts are scanned whole; further columns pass through.
+texts are scanned whole, in time that grows in proportion (nothing is looked
+for twice over the same stretch, also where blocks and tokens have no end); a
+token whose header is no JSON, or nested too deeply, is none; further columns
+pass through, and one named ``spans`` is replaced.
 """
 
 from __future__ import annotations
@@ -22,12 +25,14 @@ from __future__ import annotations
 import base64
 import json
 import re
+from bisect import bisect_left
 from functools import lru_cache
 from zlib import crc32
 
 import ahocorasick
 from pyspark.sql import DataFrame, functions as F
 
+from .common import map_column, named, unused
 from .scan import Span, masked, with_spans
 
 BASE = ["assign", "access", "hex"]
@@ -39,8 +44,10 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _GITHUB = re.compile(r"gh[pousr]_[0-9A-Za-z]{36}(?![0-9A-Za-z])")
 _NPM = re.compile(r"npm_[0-9A-Za-z]{36}(?![0-9A-Za-z])")
-_JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
-_PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----.*?-----END \1-----", re.S)
+_JWT_PART = re.compile(r"[A-Za-z0-9_-]+")
+_JWT_REST = re.compile(r"\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
+_PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----")
+_PEM_END = re.compile(r"(?=-----END ((?:[A-Z0-9]+ )*PRIVATE KEY)-----)")
 _BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
@@ -61,7 +68,7 @@ def _jwt(token: str) -> bool:
     head = token.split(".")[0]
     try:
         got = json.loads(base64.urlsafe_b64decode(head + "=" * (-len(head) % 4)))
-    except ValueError:
+    except (ValueError, RecursionError):  # no JSON, or nested too deeply to be a header
         return False
     return isinstance(got, dict) and "alg" in got
 
@@ -74,11 +81,43 @@ _RULES = {
     "access": (_ACCESS, lambda m: len(m[0]) >= LEAST["access"]),
     "github": (_GITHUB, lambda m: _checked_token(m[0])),
     "npm": (_NPM, lambda m: _checked_token(m[0])),
-    "jwt": (_JWT, lambda m: _jwt(m[0])),
-    "private_key": (_PEM, lambda m: True),
 }
 
 
+class _Tokens:
+    """Ends of ``eyJ..eyJ...`` tokens; what a run of their characters is followed by is looked at once a run."""
+
+    def __init__(self, text: str):
+        self.text, self.run, self.rest = text, (0, 0), None
+
+    def end(self, at: int) -> int | None:
+        if not self.run[0] <= at < self.run[1]:
+            end = _JWT_PART.match(self.text, at).end()
+            rest = _JWT_REST.match(self.text, end)
+            self.run, self.rest = (at, end), rest and rest.end()
+        # the first part has a character after its eyJ
+        return self.rest if at + 3 < self.run[1] else None
+
+
+class _Keys:
+    """Ends of PEM blocks; the places of all end lines are found once a text."""
+
+    def __init__(self, text: str):
+        self.text, self.ends = text, None
+
+    def end(self, at: int) -> int | None:
+        begin = _PEM.match(self.text, at)
+        if not begin:
+            return None
+        if self.ends is None:
+            self.ends = {}
+            for m in _PEM_END.finditer(self.text):
+                self.ends.setdefault(m[1], []).append(m.start())
+        ends = self.ends.get(begin[1], [])
+        i = bisect_left(ends, begin.end())
+        return ends[i] + len(begin[0]) - 2 if i < len(ends) else None  # END is two letters shorter than BEGIN
+
+
 @lru_cache(maxsize=1)
 def _keywords() -> ahocorasick.Automaton:
     a = ahocorasick.Automaton()
@@ -94,16 +133,22 @@ def find(text: str) -> list[Span]:
     if len(lower) != len(text):  # some letters get longer: only A-Z then
         lower = text.translate(_LOWER)
     out: list[Span] = [("hex", m.start(), m.end()) for m in _HEX.finditer(text)]
-    done = dict.fromkeys(_RULES, 0)
+    done, blocks = dict.fromkeys(KINDS, 0), {"jwt": _Tokens(text), "private_key": _Keys(text)}
     for last, (kind, size) in _keywords().iter(lower):
         at = last + 1 - size
-        if at >= done[kind]:
-            pattern, good = _RULES[kind]
+        if at < done[kind]:
+            continue
+        if kind in blocks:
+            end = blocks[kind].end(at) if kind != "jwt" or text.startswith("eyJ", at) else None
+            good = end is not None and (kind != "jwt" or _jwt(text[at:end]))
+        else:
+            pattern, holds = _RULES[kind]
             m = pattern.match(text, at)
-            if m:
-                done[kind] = m.end()
-                if good(m):
-                    out.append((kind, at, m.end()))
+            end, good = (m.end(), holds(m)) if m else (None, False)
+        if end is not None:
+            done[kind] = end
+        if good:
+            out.append((kind, at, end))
     return out
 
 
@@ -115,10 +160,10 @@ def scan(df: DataFrame, text_col: str = "text") -> DataFrame:
 def redact(df: DataFrame, text_col: str = "text") -> DataFrame:
     """The text with every secret replaced by ``[SECRET]``; a null text stays null.
     All other columns, their order included, stay."""
-    from .common import map_column
+    body, mark = unused("text", df.columns), unused("redacted", df.columns)
 
     def run(texts: list) -> dict:
-        return {"__redacted": [t and masked(t, find(t), lambda _: "[SECRET]") for t in texts]}
+        return {mark: [t and masked(t, find(t), lambda _: "[SECRET]") for t in texts]}
 
-    out = map_column(df.withColumn("__text", F.col(text_col)), "__text", "__redacted string", run)
-    return out.select(*[F.col("__redacted").alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns])
+    out = map_column(df.withColumn(body, named(text_col)), body, f"`{mark}` string", run)
+    return out.select(*[F.col(mark).alias(c) if c == text_col else named(c) for c in df.columns])

@@ -40,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import id_text, map_column
+from .common import id_text, map_column, named, unused
 from .graph import stored
 
 TRAIN, CANDIDATES, VOCABULARY = 20_000, 100_000, 4_096
@@ -352,4 +352,6 @@ def rate(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: s
 def clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of the documents that aren't rejected, with all their columns."""
     model = train(id_text(docs, id_col, text_col), labels)
-    return score(docs.withColumn("__text", F.col(text_col)), model, "__text", "__score").filter(F.col("__score") < THRESHOLD).select(*docs.columns)
+    body, rated = unused("text", docs.columns), unused("score", docs.columns)
+    kept = score(docs.withColumn(body, named(text_col)), model, body, rated).filter(F.col(rated) < THRESHOLD)
+    return kept.select(*map(named, docs.columns))

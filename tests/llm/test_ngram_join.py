@@ -39,10 +39,10 @@ def groups(seed):
 
 @pytest.mark.parametrize("seed,words,percent,hot,block", [(1, 5, 80, 5000, 1_000_000), (2, 3, 60, 5, 500), (3, 1, 90, 20, 2000), (4, 5, 51, 5000, 3000)])
 def test_classes_as_brute_force(spark, monkeypatch, seed, words, percent, hot, block):
-    from seriesmart.llm import ngram_join
+    from seriesmart.llm import common, ngram_join
     monkeypatch.setattr(ngram_join, "HOT_SETS", hot)
     monkeypatch.setattr(ngram_join, "BLOCK", block)
-    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", 1_000_000 if seed % 2 else 0)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 1_000_000 if seed % 2 else 0)
     rows = groups(seed)
     docs = spark.createDataFrame([(i, t, "x", "y", 1) for i, t in rows], COLUMNS)
     got = ngram_join.classes(docs, spark, words=words, percent=percent)
