@@ -35,12 +35,11 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .common import bounded, map_column, named, unused
@@ -56,21 +55,31 @@ _WORD = re.compile(r"\w+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Hashes(dict):
-    """Hashes of words, remembered up to a bound."""
+@lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    """Whether each character belongs to words (what the pattern says)."""
+    return np.fromiter((chr(c).isalnum() or c == 95 for c in range(0x110000)), bool, 0x110000)
 
-    def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        got = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return got
 
-    def of(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+@lru_cache(maxsize=1)
+def _powers() -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.multiply.accumulate(np.full(4096, np.uint64(0x9FB21C651E98DF25)))
 
 
-def words_of(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+def word_hashes(text: str | None) -> np.ndarray:
+    """A 64-bit hash of each word of a text in lower case: a polynomial of its characters, mixed."""
+    c = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    inside = np.zeros(len(c) + 2, bool)
+    inside[1:-1] = _letters()[c]
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, sizes = edge[::2], edge[1::2] - edge[::2]
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    c = c[inside[1:-1]].astype(np.uint64)
+    first = np.cumsum(sizes) - sizes
+    place = np.arange(len(c)) - np.repeat(first, sizes)
+    return _mix(np.add.reduceat(c * _powers()[place & 4095], first) + sizes.astype(np.uint64) * _ODD)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -97,14 +106,16 @@ def _patterns(n: int) -> tuple[tuple[int, ...], ...]:
 def _cell_counts(texts: DataFrame) -> DataFrame:
     """``(cell, n)``: how often words of each cell occur."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, total = _Hashes(), np.zeros(CELLS, np.int64)
+        total, held, n = np.zeros(CELLS, np.int64), [], 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                cells = hashes.of(words_of(text)) % np.uint64(CELLS)
-                if len(cells) > CELLS // 8:
-                    total += np.bincount(cells.astype(np.int64), minlength=CELLS)
-                else:
-                    np.add.at(total, cells.astype(np.int64), 1)
+                held.append(word_hashes(text) & np.uint64(CELLS - 1))
+                n += len(held[-1])
+                if n > 1_000_000:
+                    total += np.bincount(np.concatenate(held).view(np.int64), minlength=CELLS)
+                    held, n = [], 0
+        if held:
+            total += np.bincount(np.concatenate(held).view(np.int64), minlength=CELLS)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["cell", "n"])
 
@@ -123,11 +134,10 @@ def _chances(docs: DataFrame, items: DataFrame, spark) -> tuple[dict[int, float]
 def _seeds(items: DataFrame, shares: dict[int, float], none: float) -> DataFrame:
     """``(h, item)``: the seeds of the items ``(item, item_id, text)``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
         for batch in batches:
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                h = hashes.of(words_of(text))
-                share = np.array([shares.get(int(c), none) for c in h % np.uint64(CELLS)])
+                h = word_hashes(text)
+                share = np.array([shares.get(int(c), none) for c in h & np.uint64(CELLS - 1)])
                 chosen = [seeds_of(h, share, p) for p in _patterns(len(h))]
                 got = np.unique(np.concatenate(chosen)) if chosen else np.empty(0, np.uint64)
                 yield pa.RecordBatch.from_arrays([pa.array(got.view(np.int64)), pa.array(np.full(len(got), item, np.int64))], ["h", "item"])
@@ -163,11 +173,10 @@ def _passages(docs: DataFrame, bits: np.ndarray, short: tuple[int, ...]) -> Data
     patterns = (*PATTERNS, *[tuple(range(n)) for n in short])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
         for batch in batches:
             found = {}
             for text in set(batch.column(0).to_pylist()):
-                h = hashes.of(words_of(text))
+                h = word_hashes(text)
                 places, own = [], []
                 for p in patterns:
                     g = grams(h, p)
@@ -252,12 +261,12 @@ def best_place(text: np.ndarray, item: np.ndarray, places: list[int], threshold:
 def _aligned(pairs: DataFrame, threshold: float) -> DataFrame:
     """``(k, leaks)`` of texts with their joined items ``(k, text, near)``."""
     def run(texts: list) -> dict:
-        hashes, out = _Hashes(), []
+        out = []
         for row in texts:
             text, found, spans = row["text"], [], None
-            words = hashes.of(words_of(text))
+            words = word_hashes(text)
             for item in sorted(row["near"], key=lambda x: (x["item_id"] is None, x["item_id"] or 0, x["item"])):
-                own = hashes.of(words_of(item["text"]))
+                own = word_hashes(item["text"])
                 best = best_place(words, own, item["places"], threshold)
                 if best:
                     # lower() may lengthen some letters: places are those of the text as it is
@@ -279,7 +288,7 @@ def _found(docs: DataFrame, items: DataFrame, text_col: str, item_id_col: str, i
     plain = items.select(F.monotonically_increasing_id().alias("item"), named(item_id_col).cast("long").alias("item_id"), named(item_text_col).alias("text"))
     plain = stored(plain.filter("text <> ''"), spark, "items")
     seeds = stored(_seeds(plain, *_chances(texts, plain, spark)), spark, "seeds")
-    short = map_column(plain.select("text"), "text", "n int", lambda t: {"n": [len(words_of(x)) for x in t]})
+    short = map_column(plain.select("text"), "text", "n int", lambda t: {"n": [len(word_hashes(x)) for x in t]})
     short = tuple(sorted(r.n for r in short.filter("n IN (1, 2)").distinct().collect()))
     passages = stored(_passages(texts, _bitmap(seeds), short), spark, "passages")
     hits = passages.select("k", F.explode(F.arrays_zip("hs", "places")).alias("x")).select("k", F.col("x.hs").alias("h"), F.col("x.places").alias("place"))

@@ -1,6 +1,7 @@
 """Benchmark leaks against an alignment of every document with every item."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -27,11 +28,12 @@ KINDS = [("in", 2), ("in", 3), ("other", 3), ("other", 4), ("out", 3), ("out", 4
 
 def brute(docs, items, threshold=0.5):
     from seriesmart.llm import decontaminate as d
-    hashes = d._Hashes()
-    own = [(i, hashes.of(d.words_of(t))) for i, t in items]
+    number = {}
+    numbers = lambda t: np.array([number.setdefault(x, len(number)) for x in re.findall(r"\w+", (t or "").lower())], int)
+    own = [(i, numbers(t)) for i, t in items]
     out = {}
     for doc, text in docs:
-        h = hashes.of(d.words_of(text))
+        h = numbers(text)
         for i, w in own:
             if len(w) > 2 and len(h):
                 score, matched, _, _ = d.align(w, h)
@@ -113,3 +115,19 @@ def test_repeated_texts_and_odd_items(spark):
     assert sorted(got) == [(1, "a", found), (1, "a", found), (2, "b", found), (3, "c", [])]
     assert [(r.doc_id, r.k) for r in d.clean(docs, bench).collect()] == [(3, "c")]
     assert d.leaks(docs, bench.limit(0)).count() == 4 and d.clean(docs.limit(0), bench).count() == 0
+
+
+def test_word_hashes():
+    """As many as words, equal exactly for equal words."""
+    from seriesmart.llm import decontaminate as d
+    rng = random.Random(14)
+    letters = "abAB19_ .,-'\n\u00e9\u00df\u0130\u03a3\u4e2d\U0001F600\u2014\u00b2\u0660\u00a0"
+    seen = {}
+    for i in range(2000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randrange(30)))
+        words, hashes = re.findall(r"\w+", text.lower()), d.word_hashes(text).tolist()
+        assert len(words) == len(hashes), text
+        for w, h in zip(words, hashes):
+            assert seen.setdefault(w, h) == h
+    assert len(set(seen.values())) == len(seen) > 1000
+    assert len(d.word_hashes(None)) == 0 and len(d.word_hashes("x" * 10_000 + " y")) == 2
