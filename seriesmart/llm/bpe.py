@@ -207,10 +207,10 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "text
                       lambda many: {text_col: [tables(path).decode(x) for x in many]})
 
 
-def round_trip(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
-    """Replace the text column by its ids and the text decoded from these, in one pass."""
+def round_trip(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded", keep: bool = False) -> DataFrame:
+    """Replace the text column by its ids and the text decoded from these, in one pass; with ``keep``, add them."""
     def run(texts: list) -> dict:
         many = [tables(path).encode(x) for x in texts]
         return {ids_col: _lists(many), decoded_col: [tables(path).decode(x) for x in many]}
 
-    return map_column(df, text_col, f"`{ids_col}` array<int>, `{decoded_col}` string", run)
+    return map_column(df, text_col, f"`{ids_col}` array<int>, `{decoded_col}` string", run, keep)

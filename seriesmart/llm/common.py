@@ -31,8 +31,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 SLICE = 256
 
 
-def map_column(df: DataFrame, col: str, out: str, fn: Callable[[list], dict[str, Iterable[Any]]]) -> DataFrame:
+def map_column(df: DataFrame, col: str, out: str, fn: Callable[[list], dict[str, Iterable[Any]]], keep: bool = False) -> DataFrame:
     """Replace column ``col``, and those of their names, by the columns that ``fn`` makes of its values.
+    With ``keep`` the column itself stays (rather than being sent twice).
 
     ``fn`` gets some of the values and returns one sequence per name of the DDL
     ``out``; all other columns pass through as they are.  A worker holds the
@@ -45,7 +46,7 @@ def map_column(df: DataFrame, col: str, out: str, fn: Callable[[list], dict[str,
     # by place, as names may repeat; a column that is made replaces one of its name
     at_col = df.columns.index(col)
     replaced = {n.lower() for n in made.names}
-    rest = [i for i, n in enumerate(df.columns) if i != at_col and n.lower() not in replaced]
+    rest = [i for i, n in enumerate(df.columns) if (keep or i != at_col) and n.lower() not in replaced]
     schema = StructType([df.schema.fields[i] for i in rest] + made.fields)
     types = to_arrow_schema(made)
 

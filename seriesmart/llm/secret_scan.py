@@ -30,9 +30,9 @@ from functools import lru_cache
 from zlib import crc32
 
 import ahocorasick
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from .common import map_column, named, unused
+from .common import map_column, named
 from .scan import Span, masked, with_spans
 
 BASE = ["assign", "access", "hex"]
@@ -160,10 +160,7 @@ def scan(df: DataFrame, text_col: str = "text") -> DataFrame:
 def redact(df: DataFrame, text_col: str = "text") -> DataFrame:
     """The text with every secret replaced by ``[SECRET]``; a null text stays null.
     All other columns, their order included, stay."""
-    body, mark = unused("text", df.columns), unused("redacted", df.columns)
-
     def run(texts: list) -> dict:
-        return {mark: [t and masked(t, find(t), lambda _: "[SECRET]") for t in texts]}
+        return {text_col: [t and masked(t, find(t), lambda _: "[SECRET]") for t in texts]}
 
-    out = map_column(df.withColumn(body, named(text_col)), body, f"`{mark}` string", run)
-    return out.select(*[F.col(mark).alias(c) if c == text_col else named(c) for c in df.columns])
+    return map_column(df, text_col, f"`{text_col}` string", run).select(*map(named, df.columns))

@@ -3,7 +3,8 @@
 1. *Character language model*: counts of letter triples over all documents (a
    fixed table of 27^3 cells, letters without their accents).
 2. *Restoration*: stretches that look disguised (digits or signs for letters,
-   letters three times or more, single letters with gaps), of any length but for
+   letters three times or more, three single letters with gaps, single letters
+   beside a piece of a word, pieces with a sign between), of any length but for
    repeats, become a lattice: each character may be itself, a letter it often
    stands for, or nothing.  Viterbi
    decoding takes the likeliest path under channel and language model.  Restored
@@ -23,7 +24,10 @@ Defined results: null and empty texts have no evidence and get the score of
 such texts; an id with contradicting labels isn't learned from, nor is a null
 id; without any label to learn from every score is 0; repeated rows give
 repeated results; an empty table gives an empty result; texts are read whole;
-further columns are left out.
+further columns are left out (``clean`` keeps them, whatever their names).
+
+The logistic curve sees the evidence up to fixed bounds (strongest 6, sum 24,
+words 8), beyond which a text is as toxic as can be told.
 """
 
 from __future__ import annotations
@@ -47,7 +51,7 @@ TRAIN, CANDIDATES, VOCABULARY = 20_000, 100_000, 4_096
 #: Least toxic documents and G-squared of a vocabulary entry, lengths of word beginnings, least score of a toxic document.
 LEAST_TOXIC, LEAST_G2, HEADS, THRESHOLD = 5, 24.0, (3, 4, 5, 6, 7), 0.7
 #: Entries that a worker keeps.
-MEMO = 50_000
+MEMO = 20_000
 
 #: Letters that digits and signs stand for in disguised words.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -58,7 +62,12 @@ _TOKEN = re.compile(r"[\w@$!|+*(]+")
 _LONG = re.compile(r"([^\W\d_])\1\1")
 _RUN = re.compile(r"(.)\1{3,}", re.S)
 _GAP = re.compile(r"(?:[^\w@$!|+(]|_)+")
-_GAPS = re.compile(r"(?<![\w@$!|+(])(?:[^\W_]|[@$!|+(])(?:(?:[^\w@$!|+(]|_)+(?:[^\W_]|[@$!|+(])){3,}(?![\w@$!|+(])")
+_GAPS = re.compile(r"(?<![\w@$!|+(])(?:[^\W_]|[@$!|+(])(?:(?:[^\w@$!|+(]|_)+(?:[^\W_]|[@$!|+(])){2,}(?![\w@$!|+(])")
+#: A sign between letters, and single letters with gaps before or after a piece of a word.
+_JOINT = re.compile(r"(?<=[^\W\d_])[-.\u00b7~_/](?=[^\W\d_])")
+_JOINED = re.compile(r"[^\W\d_]+(?:[-.\u00b7~_/][^\W\d_]+)*")
+_SINGLES = re.compile(r"(?<![^\W_])[^\W\d_](?:[ \t]+[^\W\d_])+(?![^\W_])")
+_BEFORE, _AFTER = re.compile(r"(?<![^\W_])[^\W\d_]{2,}[ \t]+\Z"), re.compile(r"[ \t]+[^\W\d_]{2,}(?![^\W_])")
 #: Least log of the likelihood, by character, of a word behind a stretch without any letter.
 LEAST_LIKELY = -4.3
 
@@ -102,7 +111,7 @@ def language_model(docs: DataFrame) -> np.ndarray:
 
 # --- restoration ----------------------------------------------------------------------------
 
-def _options(c: str, before: str, gaps: bool, end: bool, strict: bool) -> list[tuple[int, float]]:
+def _options(c: str, before: str, gaps: bool, end: bool, strict: bool, tail: bool) -> list[tuple[int, float]]:
     """(code of the letter or -1 for nothing or 0 for a border, log of the channel's probability)"""
     if gaps and c == " ":
         return [(-1, math.log(0.7)), (0, math.log(0.3))]
@@ -116,7 +125,7 @@ def _options(c: str, before: str, gaps: bool, end: bool, strict: bool) -> list[t
     out = [(ord(x) - 96, math.log(0.6 / len(LEET[c]))) for x in LEET.get(c, "")]
     # A sign for nothing hardly stands within a word; around one it may be punctuation.
     nothing = 1e-6 if not end or strict else 1e-4 if c.isdigit() else 1e-2 if c in "$@" else 0.3
-    return out + [(-1, max(math.log(nothing), again) if before[-1:] == c else math.log(nothing))]
+    return out + [(-1, max(math.log(nothing), again) if before[-1:] == c and not tail else math.log(nothing))]
 
 
 def _decoded(span: str, model: np.ndarray, gaps: bool, strict: bool) -> tuple[str, float]:
@@ -127,7 +136,7 @@ def _decoded(span: str, model: np.ndarray, gaps: bool, strict: bool) -> tuple[st
     for k, c in enumerate(span):
         end = k < max(first, 1) or k >= min(last, len(span) - 1)
         after: dict[tuple[int, int], tuple[float, tuple]] = {}
-        options = _options(c, before, gaps, end, strict)
+        options = _options(c, before, gaps, end, strict, strict and k >= last)  # strictly, all signs at the end are letters
         for (a, b), (p, letters) in paths.items():
             for code, q in options:
                 if code < 0:
@@ -147,11 +156,11 @@ def _decoded(span: str, model: np.ndarray, gaps: bool, strict: bool) -> tuple[st
 
 def decode(span: str, model: np.ndarray, gaps: bool = False) -> str:
     """The words behind a disguised stretch: the likeliest reading and, where it begins with
-    signs, also that in which they are letters.  Without any letter, a stretch is only
+    signs or ends with several, also that in which they are letters.  Without any letter, a stretch is only
     read if that is likely; numbers and prices are not."""
     least = -math.inf if any(map(str.isalpha, span)) else LEAST_LIKELY * sum(not c.isspace() for c in span)
     out = []
-    for strict in (False, True)[:1 + (span[0] in "!|+*(@$")]:
+    for strict in (False, True)[:1 + (span[0] in "!|+*(@$" or len(span) > 2 and set(span[-2:]) <= set("!|+*(@$"))]:
         got, likely = _decoded(span, model, gaps, strict)
         if likely >= least:
             out.append(got)
@@ -159,14 +168,14 @@ def decode(span: str, model: np.ndarray, gaps: bool = False) -> str:
 
 
 def _looks(text: str) -> tuple[bool, bool]:
-    """Whether a text may have a letter three times in a row, and four single letters with gaps."""
+    """Whether a text may have a letter three times in a row, and two single letters with gaps."""
     c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     same = c[1:] == c[:-1]
     other = (c > 0x24F) & ((c < 0x2000) | (c > 0x206F))  # may be letters; these are signs and spaces
     letter = np.r_[False, (_codes()[np.minimum(c, 0x250)] > 0) | (c >= 48) & (c < 58) | other | np.isin(c, _SIGNS), False]
     edge = np.flatnonzero(letter[1:] != letter[:-1])
     one = edge[1::2] - edge[::2] == 1
-    return bool((same[1:] & same[:-1] & letter[3:-1]).any()), bool((one[3:] & one[2:-1] & one[1:-2] & one[:-3]).any())
+    return bool((same[1:] & same[:-1] & letter[3:-1]).any()), bool((one[1:] & one[:-1]).any())
 
 
 _SIGNS = np.array([ord(c) for c in "@$!|+("], np.uint32)
@@ -181,12 +190,27 @@ def _stretches(text: str) -> Iterator[tuple[str, bool]]:
             if s.isalpha() and not (long and _LONG.search(s)):
                 continue
             core = s.rstrip("!|+*(@$")
-            s = s if len(s) == len(core) + 1 else core  # two signs or more at the end are noise
-            if len(s) >= 3 and (_SIGN.search(s) or _LONG.search(s)):
-                yield _RUN.sub(r"\1\1\1", s), False
+            # two signs or more at the end may be letters or noise
+            for s in (s,) if len(s) <= len(core) + 1 else (s, core):
+                if len(s) >= 3 and (_SIGN.search(s) or _LONG.search(s)):
+                    yield _RUN.sub(r"\1\1\1", s), False
     if gaps:
         for m in _GAPS.finditer(text):
             yield _GAP.sub(" ", m[0]), True
+        for m in _SINGLES.finditer(text):
+            before, after = _BEFORE.search(text[max(0, m.start() - 64):m.start()]), _AFTER.match(text, m.end())
+            for one in (before and before[0] + m[0], after and m[0] + after[0]):
+                if one:
+                    yield " ".join(one.split()), True
+    done = 0
+    for m in _JOINT.finditer(text):
+        if m.start() >= done:
+            start = m.start()
+            while start > done and text[start - 1].isalpha():
+                start -= 1
+            whole = _JOINED.match(text, start)
+            done = whole.end()
+            yield re.sub(r"[^\w]|_", " ", whole[0]), True
 
 
 class Restorer:
@@ -321,15 +345,15 @@ def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
     return w
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """Replace the text by its score."""
+def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score", keep: bool = False) -> DataFrame:
+    """Replace the text by its score; with ``keep``, add it."""
     def run(texts: list) -> dict:
         restorer = _restorer(model)
         got = np.array([(1.0, *restorer.evidence(t or "", model.vocabulary)) for t in texts]).reshape(-1, 4)
         out = 1 / (1 + np.exp(-np.clip(got @ model.weights, -30, 30))) if model.vocabulary or model.weights.any() else np.zeros(len(got))
         return {score_col: out}
 
-    return map_column(docs, text_col, f"`{score_col}` double", run)
+    return map_column(docs, text_col, f"`{score_col}` double", run, keep)
 
 
 _KEPT: list[tuple[Model, Restorer]] = []
@@ -352,6 +376,6 @@ def rate(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: s
 def clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of the documents that aren't rejected, with all their columns."""
     model = train(id_text(docs, id_col, text_col), labels)
-    body, rated = unused("text", docs.columns), unused("score", docs.columns)
-    kept = score(docs.withColumn(body, named(text_col)), model, body, rated).filter(F.col(rated) < THRESHOLD)
+    rated = unused("score", docs.columns)
+    kept = score(docs, model, text_col, rated, keep=True).filter(F.col(rated) < THRESHOLD)
     return kept.select(*map(named, docs.columns))
