@@ -40,9 +40,9 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text."""
     plain = docs.select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text"))
-    both = bpe.round_trip(plain.withColumn("whole", F.col("text")), public_tokenizers.path("byte_bpe_50k.json"))
+    both = bpe.round_trip(plain, public_tokenizers.path("byte_bpe_50k.json"), keep=True)
     return both.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
-                       (F.col("decoded") == F.col("whole")).alias("lossless"))
+                       (F.col("decoded") == F.col("text")).alias("lossless"))
 
 
 STAGES = [
