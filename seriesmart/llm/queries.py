@@ -27,7 +27,7 @@ def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     places, idx = warc_index.archive(pages, spark)
     found = warc_index.lookup(places.select("url_key", "page_id"), idx)
-    got = stored(warc_index.read(found).select("page_id", "n", "digest", "kind", "refers_to"), spark, "records")
+    got = stored(warc_index.read(found, payloads=False).select("page_id", "n", "digest", "kind", "refers_to"), spark, "records")
     # A revisit has no payload: its length is that of the response which it refers to.
     sizes = got.filter("kind = 'response' AND n >= 1000").groupBy("page_id", "digest").agg(F.max("n").alias("size"))
     return (got.join(sizes.withColumnRenamed("page_id", "refers_to"), ["refers_to", "digest"], "left")

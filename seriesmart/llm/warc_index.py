@@ -152,6 +152,8 @@ def _line(key: str, page_id: int, file: str, offset: int, length: int) -> str:
     return "\t".join((key, str(page_id), file, str(offset), str(length)))
 
 
+#: Captures of a partition of the index, on average: what a task looks up keys in.
+CAPTURES = 20_000
 #: Stands for a null id: it sorts first.
 NO_ID = -(1 << 63)
 
@@ -159,7 +161,8 @@ NO_ID = -(1 << 63)
 def index(places: DataFrame, spark: SparkSession) -> Index:
     """The two-level index of records at ``places``."""
     keyed = places.select("url_key", F.coalesce("page_id", F.lit(NO_ID)).alias("page_id"), "file", "offset", "length")
-    ordered = keyed.repartitionByRange("url_key", "page_id", "file", "offset").sortWithinPartitions("url_key", "page_id", "file", "offset")
+    n = 1 + places.count() // CAPTURES
+    ordered = keyed.repartitionByRange(n, "url_key", "page_id", "file", "offset").sortWithinPartitions("url_key", "page_id", "file", "offset")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, n = [], 0
@@ -227,8 +230,12 @@ def lookup(keys: DataFrame, idx: Index) -> DataFrame:
     return idx.blocks.groupBy("part").cogroup(asked.groupBy("part")).applyInPandas(search, "file string, offset long, length long")
 
 
-def read(places: DataFrame) -> DataFrame:
-    """The records at ``(file, offset, length)``, by range reads in order of place."""
+def read(places: DataFrame, payloads: bool = True) -> DataFrame:
+    """The records at ``(file, offset, length)``, by range reads in order of place.
+
+    Every payload is read and held against its digest; without ``payloads`` it is
+    not handed on (null), only its length.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         name, source = None, None
         for batch in batches:
@@ -244,7 +251,7 @@ def read(places: DataFrame) -> DataFrame:
                 if kind == "response" and hashlib.sha1(payload).hexdigest() != digest:
                     raise OSError(f"a record of {file} at {offset} doesn't have its digest")
                 ids = [int(fields[f]) if fields.get(f, "None") != "None" else None for f in ("X-Page-ID", "X-Refers-To-Page-ID")]
-                out.append((ids[0], fields.get("WARC-Target-URI"), payload if kind == "response" else None,
+                out.append((ids[0], fields.get("WARC-Target-URI"), payload if payloads and kind == "response" else None,
                             len(payload) if kind == "response" else None, digest, kind, ids[1]))
             yield pd.DataFrame(out, columns=_READ).astype({"page_id": "Int64", "n": "Int64", "refers_to": "Int64"})
         if source is not None:
