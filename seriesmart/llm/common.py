@@ -31,6 +31,24 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 SLICE = 256
 
 
+#: Rows of whole texts that Spark sends to a worker at once.
+TEXT_ROWS = 1000
+
+
+def text_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose rows go to the workers in batches of at most ``TEXT_ROWS``: the session's limit is lowered,
+    as rows of whole texts make Spark's 10,000 too large for an executor's memory beside its heap."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(key, "10000")) <= TEXT_ROWS:
+        df.sparkSession.conf.set(key, str(TEXT_ROWS))
+    return df
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of some batches, few at a time, as their texts become Python's."""
+    return (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE))
+
+
 def map_column(df: DataFrame, col: str, out: str, fn: Callable[[list], dict[str, Iterable[Any]]], keep: bool = False) -> DataFrame:
     """Replace column ``col``, and those of their names, by the columns that ``fn`` makes of its values.
     With ``keep`` the column itself stays (rather than being sent twice).
@@ -51,13 +69,13 @@ def map_column(df: DataFrame, col: str, out: str, fn: Callable[[list], dict[str,
     types = to_arrow_schema(made)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
+        for batch in slices(batches):
             got = fn(batch.column(at_col).to_pylist())
             arrays = [batch.column(i) for i in rest]
             arrays += [pa.array(got[t.name], type=t.type) for t in types]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
-    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(run, schema)  # names may hold dots
+    return text_batches(df).toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(run, schema)  # names may hold dots
 
 
 #: Rows of a list of ids and keys that are broadcast at most (about 50 MB); a longer one is joined by a shuffle.

@@ -42,7 +42,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import bounded, map_column, named, unused
+from .common import bounded, map_column, named, slices, text_batches, unused
 from .graph import stored
 
 THRESHOLD, RARE, FALLBACK = 0.5, 1e-9, 12
@@ -107,7 +107,7 @@ def _cell_counts(texts: DataFrame) -> DataFrame:
     """``(cell, n)``: how often words of each cell occur."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, held, n = np.zeros(CELLS, np.int64), [], 0
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 held.append(word_hashes(text) & np.uint64(CELLS - 1))
                 n += len(held[-1])
@@ -119,7 +119,7 @@ def _cell_counts(texts: DataFrame) -> DataFrame:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["cell", "n"])
 
-    return texts.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    return text_batches(texts).mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
 
 
 def _chances(docs: DataFrame, items: DataFrame, spark) -> tuple[dict[int, float], float]:
@@ -173,7 +173,7 @@ def _passages(docs: DataFrame, bits: np.ndarray, short: tuple[int, ...]) -> Data
     patterns = (*PATTERNS, *[tuple(range(n)) for n in short])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = {}
             for text in set(batch.column(0).to_pylist()):
                 h = word_hashes(text)
@@ -192,7 +192,7 @@ def _passages(docs: DataFrame, bits: np.ndarray, short: tuple[int, ...]) -> Data
                 pa.array([p for p, _ in found.values()], pa.list_(pa.int32())), pa.array([g for _, g in found.values()], pa.list_(pa.int64()))],
                 ["k", "text", "places", "hs"])
 
-    return docs.mapInArrow(run, "k string, text string, places array<int>, hs array<long>").dropDuplicates(["k"])
+    return text_batches(docs).mapInArrow(run, "k string, text string, places array<int>, hs array<long>").dropDuplicates(["k"])
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int]:

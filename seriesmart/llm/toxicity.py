@@ -44,14 +44,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import id_text, map_column, named, unused
+from .common import id_text, map_column, named, slices, text_batches, unused
 from .graph import stored
 
 TRAIN, CANDIDATES, VOCABULARY = 20_000, 100_000, 4_096
 #: Least toxic documents and G-squared of a vocabulary entry, lengths of word beginnings, least score of a toxic document.
 LEAST_TOXIC, LEAST_G2, HEADS, THRESHOLD = 5, 24.0, (3, 4, 5, 6, 7), 0.7
 #: Entries that a worker keeps.
-MEMO = 20_000
+MEMO = 50_000
 
 #: Letters that digits and signs stand for in disguised words.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -64,7 +64,7 @@ _RUN = re.compile(r"(.)\1{3,}", re.S)
 _GAP = re.compile(r"(?:[^\w@$!|+(]|_)+")
 _GAPS = re.compile(r"(?<![\w@$!|+(])(?:[^\W_]|[@$!|+(])(?:(?:[^\w@$!|+(]|_)+(?:[^\W_]|[@$!|+(])){2,}(?![\w@$!|+(])")
 #: A sign between letters, and single letters with gaps before or after a piece of a word.
-_JOINT = re.compile(r"(?<=[^\W\d_])[-.\u00b7~_/](?=[^\W\d_])")
+_JOINT = re.compile(r"[-.\u00b7~_/](?=[^\W\d_])")
 _JOINED = re.compile(r"[^\W\d_]+(?:[-.\u00b7~_/][^\W\d_]+)*")
 _SINGLES = re.compile(r"(?<![^\W_])[^\W\d_](?:[ \t]+[^\W\d_])+(?![^\W_])")
 _BEFORE, _AFTER = re.compile(r"(?<![^\W_])[^\W\d_]{2,}[ \t]+\Z"), re.compile(r"[ \t]+[^\W\d_]{2,}(?![^\W_])")
@@ -92,7 +92,7 @@ def language_model(docs: DataFrame) -> np.ndarray:
     """log P(letter | two before) as a 27 x 27 x 27 table, 0 standing for the end of a word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(27 ** 3, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 c = _code(" " + (text or "") + " ")
                 total += np.bincount(c[:-2] * 729 + c[1:-1] * 27 + c[2:], minlength=27 ** 3)
@@ -100,7 +100,7 @@ def language_model(docs: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["cell", "n"])
 
     counts = np.full(27 ** 3, 0.1)
-    for cell, n in docs.select("text").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():
+    for cell, n in text_batches(docs.select("text")).mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():
         counts[cell] += n
     counts = counts.reshape(27, 27, 27)
     two = counts.sum(axis=0)  # back off to one letter before where two are rare
@@ -154,13 +154,17 @@ def _decoded(span: str, model: np.ndarray, gaps: bool, strict: bool) -> tuple[st
     return "".join(reversed(out)), likely
 
 
+#: Several signs at the end, a dollar or at sign among them.
+_TAIL = re.compile(r"[@$][!|+*(@$]+\Z|[!|+*(@$]+[@$]\Z")
+
+
 def decode(span: str, model: np.ndarray, gaps: bool = False) -> str:
     """The words behind a disguised stretch: the likeliest reading and, where it begins with
     signs or ends with several, also that in which they are letters.  Without any letter, a stretch is only
     read if that is likely; numbers and prices are not."""
     least = -math.inf if any(map(str.isalpha, span)) else LEAST_LIKELY * sum(not c.isspace() for c in span)
     out = []
-    for strict in (False, True)[:1 + (span[0] in "!|+*(@$" or len(span) > 2 and set(span[-2:]) <= set("!|+*(@$"))]:
+    for strict in (False, True)[:1 + (span[0] in "!|+*(@$" or bool(_TAIL.search(span)))]:
         got, likely = _decoded(span, model, gaps, strict)
         if likely >= least:
             out.append(got)
@@ -190,8 +194,8 @@ def _stretches(text: str) -> Iterator[tuple[str, bool]]:
             if s.isalpha() and not (long and _LONG.search(s)):
                 continue
             core = s.rstrip("!|+*(@$")
-            # two signs or more at the end may be letters or noise
-            for s in (s,) if len(s) <= len(core) + 1 else (s, core):
+            # two signs or more at the end are noise, but with a dollar or at sign may be letters too
+            for s in (s,) if len(s) <= len(core) + 1 else (s, core) if set(s[len(core):]) & set("@$") else (core,):
                 if len(s) >= 3 and (_SIGN.search(s) or _LONG.search(s)):
                     yield _RUN.sub(r"\1\1\1", s), False
     if gaps:
@@ -204,8 +208,8 @@ def _stretches(text: str) -> Iterator[tuple[str, bool]]:
                     yield " ".join(one.split()), True
     done = 0
     for m in _JOINT.finditer(text):
-        if m.start() >= done:
-            start = m.start()
+        start = m.start()
+        if start >= done and text[start - 1:start].isalpha():
             while start > done and text[start - 1].isalpha():
                 start -= 1
             whole = _JOINED.match(text, start)
@@ -306,7 +310,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         """``(f, n)``: in how many texts each feature (each wanted one) occurs."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             restorer, seen = Restorer(letters), Counter()
-            for batch in batches:
+            for batch in slices(batches):
                 for text in batch.column(0).to_pylist():
                     found = {f for w in restorer.words(text) for f in _features(w)}
                     seen.update(found if wanted is None else found & wanted)
@@ -323,7 +327,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
     def rate_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(letters)
-        for batch in batches:
+        for batch in slices(batches):
             got = [restorer.evidence(x, vocabulary) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([g[i] for g in got], pa.float64()) for i in range(3))], ["toxic", "a", "b", "c"])
 
