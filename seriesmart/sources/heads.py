@@ -183,6 +183,10 @@ def without_headers(rows: DataFrame, heads: DataFrame, is_header: Column | None)
     rows = rows.withColumn("line", F.col("value")).withColumn("_like", like).drop("line")
     same = (F.when(F.col("_like"), F.col("value")) == F.col("_head")) & (F.col("file") == F.col("_file"))
     if own.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES:
-        return rows.join(F.broadcast(own), same, "left_anti").drop("_like")
-    # two scans: only lines that look like a header are shuffled
-    return rows.filter("NOT _like").union(rows.filter("_like").join(own.hint("merge"), same, "left_anti")).drop("_like")
+        data = rows.join(F.broadcast(own), same, "left_anti")
+    else:  # two scans: only lines that look like a header are shuffled
+        data = rows.filter("NOT _like").union(rows.filter("_like").join(own.hint("merge"), same, "left_anti"))
+    # What is made of a value later, casts that may fail among it, must not be pushed down to where headers
+    # still are: an expression that isn't deterministic stays where it is.
+    here = F.when(F.monotonically_increasing_id() >= 0, F.col("value"))
+    return data.drop("_like").withColumn("value", here)
