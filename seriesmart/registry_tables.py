@@ -3,6 +3,7 @@ the compacted log, bucketed tables."""
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -37,7 +38,8 @@ def _write_files(rows: DataFrame, path: str) -> None:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                system, at = fs.FileSystem.from_uri(f"{path}/{name}" if "://" in path else f"file://{path}/{name}")
+                local = re.fullmatch(r"(?:file:(?://)?)?(/.*)", f"{path}/{name}")
+                system, at = (fs.LocalFileSystem(), local.group(1)) if local else fs.FileSystem.from_uri(f"{path}/{name}")
                 system.create_dir(at.rsplit("/", 1)[0])
                 with system.open_output_stream(at, compression=None) as out:
                     out.write(content)
