@@ -3,9 +3,11 @@ the compacted log, bucketed tables."""
 
 from __future__ import annotations
 
+import gzip
 import re
 import uuid
 from collections.abc import Iterator
+from contextlib import ExitStack
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,6 +21,9 @@ from .sinks import create_table, publish_partitions, read_partitions, table_exis
 from .sources import read_series
 from .streaming import ingest_revised, read_ingested
 
+#: Lines of a landed file at most.
+FILE_LINES = 1_000_000
+
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -31,39 +36,50 @@ def query(sql: str):
     return add
 
 
-def _write_files(rows: DataFrame, path: str) -> None:
-    """A file per row ``(name, content)`` under ``path``, by tasks of Spark: files whose names say nothing of their codec."""
-    from pyarrow import fs
+def _write_files(lines: DataFrame, path: str, header: str, files: int) -> None:
+    """The files of ``lines (name, packed, line)`` under ``path``, each with the header first: files whose names
+    say nothing of their codec.  A null line is none (its file is there all the same).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                local = re.fullmatch(r"(?:file:(?://)?)?(/.*)", f"{path}/{name}")
-                system, at = (fs.LocalFileSystem(), local.group(1)) if local else fs.FileSystem.from_uri(f"{path}/{name}")
-                system.create_dir(at.rsplit("/", 1)[0])
-                with system.open_output_stream(at, compression=None) as out:
-                    out.write(content)
-            yield batch.select([0])
+    A file's lines come to one task of about ``files``, in blocks that are written as they come."""
+    from pyarrow import compute, fs
+
+    def opened(name: str, packed: bool, held: ExitStack):
+        local = re.fullmatch(r"(?:file:(?://)?)?(/.*)", f"{path}/{name}")
+        system, at = (fs.LocalFileSystem(), local.group(1)) if local else fs.FileSystem.from_uri(f"{path}/{name}")
+        system.create_dir(at.rsplit("/", 1)[0])
+        out = held.enter_context(system.open_output_stream(at, compression=None))
+        if packed:
+            out = held.enter_context(gzip.GzipFile(fileobj=out, mode="wb"))
+        out.write(f"{header}\n".encode())
+        return out
 
-    rows.select("name", "content").mapInArrow(run, "name string").write.format("noop").mode("overwrite").save()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, out = None, None
+        with ExitStack() as held:
+            for batch in batches:
+                runs, start = compute.run_end_encode(batch.column(0)), 0
+                for name, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
+                    if name != now:
+                        held.close()
+                        now, out = name, opened(name, batch.column(1)[start].as_py(), held)
+                    some = batch.column(2).slice(start, end - start).drop_null().to_pylist()
+                    out.write(b"".join(line + b"\n" for line in some))
+                    start = end
+                yield batch.select([0]).slice(0, 0)
+
+    rows = lines.select("name", "packed", F.col("line").cast("binary").alias("line")).repartition(files, "name").sortWithinPartitions("name")
+    rows.mapInArrow(run, "name string").write.format("noop").mode("overwrite").save()
 
 
 @query("SELECT CAST(o_orderkey AS STRING) AS series_id, CAST(o_custkey AS STRING) AS v, o_orderstatus AS status FROM orders")
 def gzip_by_magic(spark, sf):
     """Orders in files of a customer group each: gzip without .gz, plain text, plain text named .gz, gzip named .gz."""
-    import gzip
     path = scratch_path(spark, "magic")
     o = table(spark, sf, "orders")
-    lines = o.select(F.pmod("o_custkey", F.lit(64)).alias("g"), F.concat_ws("\t", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), "o_orderstatus").alias("line"))
-    files = lines.groupBy("g").agg(F.concat(F.lit("series_id\tv\tstatus\n"), F.array_join(F.collect_list("line"), "\n"), F.lit("\n")).alias("text"))
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            g, text = batch.column(0).to_pylist(), [t.encode() for t in batch.column(1).to_pylist()]
-            names = [f"part{i}" + (".gz" if i % 4 >= 2 else ".txt") for i in g]
-            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([gzip.compress(t) if i % 2 else t for i, t in zip(g, text)], pa.binary())], ["name", "content"])
-
-    _write_files(files.mapInArrow(pack, "name string, content binary"), path)
+    g = F.coalesce(F.pmod("o_custkey", F.lit(64)), F.lit(0))
+    name = F.concat(F.lit("part"), g.cast("string"), F.when(g % 4 >= 2, ".gz").otherwise(".txt"))
+    lines = o.select(name.alias("name"), (g % 2 == 1).alias("packed"), F.concat_ws("\t", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), "o_orderstatus").alias("line"))
+    _write_files(lines, path, "series_id\tv\tstatus", 64)
     return read_series(spark, path, ["series_id", "v", "status"])
 
 
@@ -85,14 +101,19 @@ def partition_validated(spark, sf):
 @query("""SELECT CAST(o_orderkey AS STRING) AS series_id, CASE WHEN o_orderstatus = 'P' THEN 'revised' ELSE o_orderpriority END AS v
           FROM orders WHERE o_orderstatus <> 'O'""")
 def stream_revised_files(spark, sf):
-    """Three landed files of orders; then one is revised under its name, one comes to hold nothing, one stays."""
+    """Landed files of orders, one a status (more where it has over ``FILE_LINES`` orders): three at the least; then a
+    status' files are revised under their names, another's come to hold nothing, the third's stay."""
     landing, out = scratch_path(spark, "revised"), scratch_path(spark, "revised_out")
     o = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("series_id"), F.col("o_orderpriority").alias("v"), "o_orderstatus")
+    counts = {r["o_orderstatus"]: r["count"] for r in o.filter(F.col("o_orderstatus").isin(*"FOP")).groupBy("o_orderstatus").count().collect()}
+    files = {status: max(1, -(-counts.get(status, 0) // FILE_LINES)) for status in "FOP"}
 
     def land(status: str, rows: DataFrame) -> None:
-        lines = rows.select(F.concat_ws("\t", "series_id", "v").alias("line"))
-        whole = F.concat(F.lit("series_id\tv\n"), F.array_join(F.collect_list("line"), "\n"), F.lit("\n"))
-        _write_files(lines.agg(whole.alias("content")).select(F.lit(f"{status}.txt").alias("name"), F.col("content").cast("binary").alias("content")), landing)
+        # dealt in turn, whatever the keys; a row without a line for each file, as it may get no other
+        place = lambda i: F.concat(F.lit(f"{status}-"), (i % files[status]).cast("string"), F.lit(".txt")).alias("name")
+        lines = rows.select(place(F.monotonically_increasing_id()), F.concat_ws("\t", "series_id", "v").alias("line"))
+        every = spark.range(files[status]).select(place(F.col("id")), F.lit(None).cast("string").alias("line"))
+        _write_files(every.union(lines).withColumn("packed", F.lit(False)), landing, "series_id\tv", files[status])
 
     for status in "FOP":
         land(status, o.filter(F.col("o_orderstatus") == status))
@@ -101,7 +122,7 @@ def stream_revised_files(spark, sf):
     land("P", o.filter("o_orderstatus = 'P'").withColumn("v", F.lit("revised")))
     land("O", o.filter("false"))
     again = ingest_revised(spark, landing, ["series_id", "v"], out)
-    if (first, none, again) != (3, 0, 2):
+    if (first, none, again) != (sum(files.values()), 0, files["O"] + files["P"]):
         raise RuntimeError(f"files taken: {first}, {none}, {again}")
     return read_ingested(spark, out)
 

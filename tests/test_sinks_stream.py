@@ -259,3 +259,27 @@ def test_chunk_counts_read_no_column(spark, tmp_path):
     got = year_chunks(spark.read.parquet(path).select("year"), 2)
     assert "ReadSchema: struct<>" in got._jdf.queryExecution().executedPlan().toString()
     assert [tuple(r) for r in got.orderBy("chunk_start").collect()] == [(2000, 2001, 40, 40), (2002, 2003, 40, 80), (2004, 2004, 20, 100)]
+
+
+def test_landed_files_are_written_in_blocks(spark, tmp_path, monkeypatch):
+    """No task builds a file as one value, and a status with many orders lands several files."""
+    import gzip
+
+    from seriesmart import registry_tables
+    path = str(tmp_path / "sf")
+    spark.range(50).selectExpr("if(id % 10 = 0, null, id) AS o_orderkey", "id % 4 AS o_custkey", "substr('FOP', cast(id % 3 AS int) + 1, 1) AS o_orderstatus",
+                               "concat('p', id) AS o_orderpriority").write.parquet(f"{path}/orders.parquet")
+    monkeypatch.setattr(registry_tables, "FILE_LINES", 5)
+    blocks, taken, of = [], [], registry_tables._write_files
+    monkeypatch.setattr(registry_tables, "_write_files", lambda lines, *a: (blocks.append((lines.select(F.max(F.length("line"))).first()[0] or 0)), of(lines, *a)))
+    ingest = registry_tables.ingest_revised
+    monkeypatch.setattr(registry_tables, "ingest_revised", lambda *a: taken.append(ingest(*a)) or taken[-1])
+    got = sorted(tuple(r) for r in registry_tables.stream_revised_files(spark, path).collect())
+    want = sorted((str(i), "revised" if i % 3 == 2 else f"p{i}") for i in range(50) if i % 10 and i % 3 != 1)
+    assert got == want and taken == [12, 0, 8] and max(blocks) < 20
+
+    lines = spark.createDataFrame([("a.txt", True, "x"), ("b.gz", False, "y"), ("a.txt", True, "z"), ("c.txt", False, None)], "name string, packed boolean, line string")
+    of(lines, str(tmp_path / "files"), "head", 2)
+    read = {f: open(tmp_path / "files" / f, "rb").read() for f in os.listdir(tmp_path / "files")}
+    assert sorted(gzip.decompress(read["a.txt"]).split()) == [b"head", b"x", b"z"]
+    assert read["b.gz"] == b"head\ny\n" and read["c.txt"] == b"head\n"
