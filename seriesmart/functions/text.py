@@ -24,8 +24,13 @@ def _c(c: Column | str) -> Column:
 
 
 def clean_text(c: Column | str) -> Column:
-    """Trim white space on both sides, Unicode-aware (F.trim keeps \\r, \\t, NBSP)."""
-    return F.btrim(_c(c), F.lit(WHITESPACE))
+    """Trim white space on both sides, Unicode-aware (F.trim keeps \\r, \\t, NBSP).
+
+    Most fields start and end with a visible ASCII character; they are passed
+    through, as ``btrim`` compares character by character with the whole set."""
+    c = _c(c)
+    visible = F.ascii(c).between(33, 126) & F.ascii(F.substring(c, -1, 1)).between(33, 126)
+    return F.when(visible, c).otherwise(F.btrim(c, F.lit(WHITESPACE)))
 
 
 def is_blank(c: Column | str) -> Column:
@@ -34,8 +39,7 @@ def is_blank(c: Column | str) -> Column:
     Most lines start with a visible character, so that is tested first and
     the trimmed copy is only made for the rest."""
     c = _c(c)
-    starts_visible = ~F.substring(c, 1, 1).isin(*WHITESPACE) & (F.length(c) > 0)
-    return F.when(starts_visible, F.lit(False)).otherwise(clean_text(c) == "")
+    return F.when(F.ascii(c).between(33, 126), F.lit(False)).otherwise(clean_text(c) == "")
 
 
 def strip_nul(c: Column | str) -> Column:

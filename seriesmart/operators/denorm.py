@@ -7,7 +7,10 @@ Plan shape (the point of this module):
 * the enriched series is joined to the facts once, broadcast when its size
   allows, otherwise shuffled (sort-merge; AQE splits a hot series' partition -
   the series side holds one row per key, so splitting is safe);
-* lookups keyed on *fact* columns (the period list) are joined afterwards.
+* lookups keyed on *fact* columns (the period list) are joined afterwards;
+* so are those of code lists that the caller has counted and that can be
+  broadcast: the rows then move, are sorted and numbered (``place``) with their
+  codes, and get their names in the task that writes them.
 
 That gives the same rows as joining every lookup to the fact rows, because a
 series-keyed lookup depends on series columns only, but the facts are
@@ -16,13 +19,13 @@ shuffled at most once.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .joins import bounded_broadcast, lookup_join
+from .joins import bounded_broadcast, broadcast_limit, lookup_join
 
 
 @dataclass(frozen=True)
@@ -60,7 +63,8 @@ def denormalize(facts: DataFrame, series: DataFrame, dims: Mapping[str, DataFram
                 series_key: str | None = None, select: Sequence[Column | str] | None = None,
                 max_rows: int | None = None, series_rows: int | None = None,
                 observation: Observation | None = None,
-                dim_rows: Mapping[str, int] | None = None) -> DataFrame:
+                dim_rows: Mapping[str, int] | None = None,
+                place: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Wide rows: every fact row with a series row, plus one name per lookup.
 
     Facts without a series row are dropped (inner join).  Series columns that
@@ -68,7 +72,8 @@ def denormalize(facts: DataFrame, series: DataFrame, dims: Mapping[str, DataFram
     ``select`` is given the result is projected to it, in that order.
     ``series_rows``, when the caller already counted the series, decides how
     the enriched series is joined (left lookups keep its row count);
-    ``dim_rows`` likewise for the code lists.  Without counts Spark's byte sizes
+    ``dim_rows`` likewise for the code lists; ``place`` deals and orders the joined
+    rows before the names of counted, broadcast lists are looked up.  Without counts Spark's byte sizes
     decide; no job is started here.
     With ``observation`` the fact rows without a series are counted
     (``orphan_facts``) in the same pass: the join is then a left join on the
@@ -76,8 +81,10 @@ def denormalize(facts: DataFrame, series: DataFrame, dims: Mapping[str, DataFram
     """
     series_key = series_key or fact_key
     keep = [c for c in series.columns if c == series_key or c not in facts.columns]
-    s = enrich(series.select(*keep), dims, [lk for lk in lookups if lk.on == "series"], max_rows,
-               dim_rows)
+    limit, counted = broadcast_limit(facts, max_rows), dim_rows or {}
+    small = {lk.dim for lk in lookups if place is not None and counted.get(lk.dim, limit + 1) <= limit}
+    first = [lk for lk in lookups if lk.on == "series" and lk.dim not in small]
+    s = enrich(series.select(*keep), dims, first, max_rows, dim_rows)
     s = bounded_broadcast(s, max_rows, series_rows)
     how = "inner"
     if observation is not None:
@@ -91,7 +98,12 @@ def denormalize(facts: DataFrame, series: DataFrame, dims: Mapping[str, DataFram
         wide = (wide.observe(observation, F.count_if(F.col("_has_series").isNull())
                              .cast("bigint").alias("orphan_facts"))
                 .filter(F.col("_has_series")).drop("_has_series"))
-    wide = enrich(wide, dims, [lk for lk in lookups if lk.on == "fact"], max_rows, dim_rows)
+    late = [lk for lk in lookups if lk not in first]
+    if place is None:
+        wide = enrich(wide, dims, late, max_rows, dim_rows)
+    else:
+        wide = enrich(wide, dims, [lk for lk in late if lk.dim not in small], max_rows, dim_rows)
+        wide = enrich(place(wide), dims, [lk for lk in late if lk.dim in small], max_rows, dim_rows)
     if select is not None:
         wide = wide.select(*select)
     return wide

@@ -10,6 +10,7 @@ from __future__ import annotations
 import traceback
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from ..operators.aggregates import year_chunks
 from ..operators.loadlog import append_log, empty_log, latest_log, log_rows, read_log, should_reload
 from ..operators.quality import has_duplicates, previous_loads, table_rules, verdict_of
+from ..session import stored
 from ..sinks.writers import publish_full_refresh
 from ..sources.text import read_dimension, read_facts, read_series
 from .specs import DatasetSpec
@@ -58,6 +60,16 @@ def read_inputs(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, mod
     return facts, series, dims
 
 
+def stored_lists(spark: SparkSession, dims: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """The code lists, read once into one small table, and their row counts."""
+    if not dims:
+        return {}, {}
+    every = reduce(DataFrame.unionByName, [d.select("code", "name", F.lit(k).alias("_dim")) for k, d in dims.items()])
+    lists = stored(every, spark, "lists")
+    rows = {r["_dim"]: r["count"] for r in lists.groupBy("_dim").count().collect()}
+    return {k: lists.filter(F.col("_dim") == k).drop("_dim") for k in dims}, {k: rows.get(k, 0) for k in dims}
+
+
 def load_dataset(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, out_root: str,
                  log_path: str | None = None, heads: DataFrame | None = None, force: bool = False,
                  mode: str = "strict", data_key: str = "all", check_keys: bool = True,
@@ -65,7 +77,7 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, ou
     """Load one dataset; the result says ``success``, ``warning`` (published,
     row count dropped), ``failed`` (not published) or ``skipped``.
 
-    Passes over the data: one over the series file (uniqueness), one staged
+    Passes over the data: one over the code lists (stored and counted), one over the series file (uniqueness), one staged
     write that also counts parsed/skipped lines and constraint violations,
     and - with ``check_keys`` - one aggregate over the staged key columns.
     In ``strict`` mode a NOT NULL, VARCHAR(n) or PRIMARY KEY violation fails
@@ -99,18 +111,26 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, paths: DatasetPaths, ou
                  .agg(F.sum("n").alias("rows"), F.count_if(F.col("n") > 1).alias("dups")).first())
         if stats["dups"]:
             raise ValueError(f"{spec.key}: duplicate series_id in the series file")
+        dims, dim_rows = stored_lists(spark, dims)
+        # one file set per year, hot years split by AQE's rebalance; rows
+        # sorted by series inside each file so row-group statistics prune
+        # series lookups (the reference's indexes); the year prefix is the
+        # order the partitioned write needs anyway
+        order = ["year", "series_id", "period"] if spec.chunk_years else ["series_id", "year", "period"]
+
+        def place(rows: DataFrame) -> DataFrame:
+            if spec.surrogate_id:
+                return rows
+            rows = rows.hint("rebalance", "year") if spec.chunk_years else rows
+            # a sort below a join is dropped as idle (the joins that follow keep the order), unless an
+            # expression that isn't deterministic stands between
+            here = F.when(F.monotonically_increasing_id() >= 0, F.col("value"))
+            return rows.sortWithinPartitions(*order).withColumn("value", here)
+
         joined, values = Observation(f"join_{spec.key}"), Observation(f"values_{spec.key}")
         wide = wide_table(facts, series, dims, spec, mode=mode,
                           series_rows=int(stats["rows"] or 0), observation=joined,
-                          values_observation=values)
-        if spec.chunk_years:
-            # one file set per year, hot years split by AQE's rebalance; rows
-            # sorted by series inside each file so row-group statistics prune
-            # series lookups (the reference's indexes); the year prefix is the
-            # order the partitioned write needs anyway
-            wide = wide.hint("rebalance", "year").sortWithinPartitions("year", "series_id", "period")
-        elif not spec.surrogate_id:
-            wide = wide.sortWithinPartitions("series_id", "year", "period")
+                          values_observation=values, dim_rows=dim_rows, place=place)
         prev = latest_log(previous_loads(log, count_rule).filter(
             (F.col("dataset") == spec.key) & (F.col("data_key") == data_key)),
             ["dataset", "data_key"]).select("rows_loaded", "status").first()

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -31,7 +32,8 @@ def wide_table(facts: DataFrame, series: DataFrame, dims: Mapping[str, DataFrame
                with_id: bool | None = None, max_rows: int | None = None,
                series_rows: int | None = None, observation: Observation | None = None,
                values_observation: Observation | None = None,
-               dim_rows: dict | None = None) -> DataFrame:
+               dim_rows: dict | None = None,
+               place: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """The wide table of ``spec`` from parsed facts, series and code lists.
 
     ``years`` keeps a year range (pushed to the fact scan).  ``mode`` is the
@@ -40,7 +42,8 @@ def wide_table(facts: DataFrame, series: DataFrame, dims: Mapping[str, DataFrame
     ``observation`` the facts without a series are counted (``orphan_facts``),
     with ``values_observation`` the fact values that do not fit the column
     (``bad_values``) and the facts dropped for a NULL year (``null_years``) -
-    all during the same pass.
+    all during the same pass.  ``dim_rows`` and ``place`` as in ``denormalize``; a
+    surrogate id is numbered there, on the rows with the columns that are needed.
     """
     facts = facts.select(*[c for c in spec.fact_columns if c in facts.columns])
     if years is not None:
@@ -55,8 +58,19 @@ def wide_table(facts: DataFrame, series: DataFrame, dims: Mapping[str, DataFrame
     lookups = list(spec.lookups)
     if spec.period_name == "case":
         lookups = [lk for lk in lookups if lk.dim != "period"]
+    with_id = spec.surrogate_id if with_id is None else with_id
+
+    def placed(rows: DataFrame) -> DataFrame:
+        rows = place(rows) if place is not None else rows
+        if not with_id:
+            return rows
+        exprs = [*spec.code_from.values(), *(lk.key_sql or lk.key for lk in lookups)]
+        needed = {*spec.output_names, *(lk.name_out for lk in lookups), *re.findall(r"\w+", " ".join(exprs))}
+        return with_surrogate_id(rows.select(*[c for c in rows.columns if c in needed]), ["series_id", "year", "period"])
+
     wide = denormalize(facts, series, dims, lookups, fact_key="series_id", max_rows=max_rows,
-                       series_rows=series_rows, observation=observation, dim_rows=dim_rows)
+                       series_rows=series_rows, observation=observation, dim_rows=dim_rows,
+                       place=placed if with_id or place is not None else None)
     produced = {lk.name_out for lk in lookups}
     out = []
     for name, typ, _ in spec.columns:
@@ -70,7 +84,4 @@ def wide_table(facts: DataFrame, series: DataFrame, dims: Mapping[str, DataFrame
             out.append(F.col(name))
         else:
             out.append(F.lit(None).cast("string").alias(name))
-    wide = wide.select(*out)
-    if with_id if with_id is not None else spec.surrogate_id:
-        wide = with_surrogate_id(wide, ["series_id", "year", "period"])
-    return wide
+    return wide.select(*(["id"] if with_id else []), *out)

@@ -74,16 +74,16 @@ def starts_with(prefix: str) -> Callable[[Column], Column]:
 def _flags(lines: DataFrame, n: int, strip_nul_bytes: bool, header_field: str | None,
            keep: Sequence[str] = ()) -> DataFrame:
     """The (NUL-free) line plus ``_real`` (neither blank nor a header line of an
-    input without files) and ``_n``, the number of fields counted up to ``n`` (a split that stops after
-    ``n - 1`` tabs)."""
+    input without files) and ``_full``, whether it has ``n`` fields (``n - 1`` tabs: it goes on
+    where that many fields end)."""
     v = F.col("value")
     if strip_nul_bytes:
         v = strip_nul(v)
     real = ~is_blank(v)
     if header_field:
         real = real & (clean_text(F.substring_index(v, "\t", 1)) != header_field)
-    return lines.select(v.alias("value"), real.alias("_real"),
-                        F.size(F.split(v, "\t", max(n, 1))).alias("_n"), *keep)
+    full = F.substring_index(v, "\t", n - 1) != v if n > 1 else v.isNotNull()
+    return lines.select(v.alias("value"), real.alias("_real"), full.alias("_full"), *keep)
 
 
 def parse_lines(lines: DataFrame, columns: Sequence[str], min_fields: int | None = None,
@@ -104,19 +104,19 @@ def parse_lines(lines: DataFrame, columns: Sequence[str], min_fields: int | None
     With ``observation`` the counts ``kept`` and ``skipped`` (as in
     ``count_skipped``) and ``replaced`` (lines with U+FFFD) are collected while the rows are parsed, no extra pass.
 
-    Splits stop early: the field count stops at ``min_fields`` and a kept line
-    is split only as far as the wanted columns.
+    A line is split once, and only as far as the wanted columns: whether it has
+    ``min_fields`` is seen from its tabs.
     """
     n = len(columns) if min_fields is None else min_fields
     tokens = tuple(null_tokens)
     flagged = _flags(lines, n, strip_nul_bytes, header_field, keep)
     if observation is not None:
-        real, size = F.col("_real"), F.col("_n")
+        real, full = F.col("_real"), F.col("_full")
         flagged = flagged.observe(observation,
-                                  F.count_if(real & (size >= n)).cast("bigint").alias("kept"),
-                                  F.count_if(real & (size < n)).cast("bigint").alias("skipped"),
+                                  F.count_if(real & full).cast("bigint").alias("kept"),
+                                  F.count_if(real & ~full).cast("bigint").alias("skipped"),
                                   F.count_if(F.contains("value", F.lit("\ufffd"))).cast("bigint").alias("replaced"))
-    ok = flagged.filter(F.col("_real") & (F.col("_n") >= n))
+    ok = flagged.filter(F.col("_real") & F.col("_full"))
     parts = ok.select(F.split("value", "\t", len(columns) + 1).alias("_p"), *keep)
     trimmed = parts.select(*[clean_text(F.try_element_at("_p", F.lit(i + 1))).alias(c)
                              for i, c in enumerate(columns)], *keep)
@@ -133,9 +133,9 @@ def count_skipped(lines: DataFrame, columns: Sequence[str] | int, min_fields: in
     width = columns if isinstance(columns, int) else len(columns)
     n = width if min_fields is None else min_fields
     flagged = _flags(lines, n, strip_nul_bytes, header_field)
-    real, size = F.col("_real"), F.col("_n")
-    return flagged.agg(F.count_if(real & (size >= n)).cast("bigint").alias("kept"),
-                       F.count_if(real & (size < n)).cast("bigint").alias("skipped"))
+    real, full = F.col("_real"), F.col("_full")
+    return flagged.agg(F.count_if(real & full).cast("bigint").alias("kept"),
+                       F.count_if(real & ~full).cast("bigint").alias("skipped"))
 
 
 def read_facts(spark: SparkSession, paths, columns: Sequence[str] = FACT_COLUMNS,

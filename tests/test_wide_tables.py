@@ -261,3 +261,55 @@ def test_year_range_load(spark, tmp_path):
     got = wide_table(f, s, d, spec, years=(2020, 2021))
     assert sorted({r["year"] for r in got.collect()}) == [2020, 2021]
     assert got.count() == 4 * 2 * len(PERIODS)
+
+
+def test_load_moves_codes_not_names(spark, tmp_path, monkeypatch):
+    """Rows are dealt, sorted and numbered before they get the names of counted code lists; files stay sorted."""
+    import glob
+
+    import pyarrow.parquet as pq
+    from seriesmart.plans import wide
+    for key in ("cpi", "unemployment"):
+        spec = DATASETS[key]
+        src, out = str(tmp_path / key), str(tmp_path / f"{key}_out")
+        series, facts, dims = make_files(src, spec)
+        with open(f"{src}/{spec.data_file}") as fh:
+            head, *lines = fh.read().splitlines()
+        write_text(f"{src}/{spec.data_file}", "\n".join([head, *sorted(lines, key=lambda x: x[::-1])]) + "\n")
+        numbered, of = [], wide.with_surrogate_id
+        monkeypatch.setattr(wide, "with_surrogate_id", lambda df, *a: numbered.append(df.columns) or of(df, *a))
+        placed, denormalize_of = [], wide.denormalize
+        monkeypatch.setattr(wide, "denormalize", lambda *a, place=None, **kw: denormalize_of(
+            *a, place=lambda rows: placed.append(rows.columns) or place(rows), **kw))
+        res = load_dataset(spark, spec, DatasetPaths.in_folder(src, spec), out)
+        monkeypatch.undo()
+        assert res.status == "success"
+        assert not [c for c in placed[0] if c.endswith("_name") or c.endswith("_text")]
+        assert len(numbered) == (1 if spec.surrogate_id else 0) and all("area_name" not in c for c in numbered)
+        got = spark.read.parquet(res.location).select(*spec.output_names)
+        assert sorted((tuple(r) for r in got.collect()), key=repr) == expected_rows(spec, series, facts, dims)
+        if not spec.surrogate_id:
+            for f in glob.glob(f"{res.location}/year=*/*.parquet"):
+                keys = [tuple(r.values()) for r in pq.ParquetFile(f).read(["series_id", "period"]).to_pylist()]
+                assert keys == sorted(keys)
+
+
+def test_repeated_keys_by_hash(spark, monkeypatch):
+    from seriesmart.operators import has_duplicates, quality
+    compared, of = [], quality.check_unique
+    monkeypatch.setattr(quality, "check_unique", lambda df, keys, *a: compared.append(list(keys)) or of(df, keys, *a))
+    rows = [("a", None), (None, "a"), ("b", "c")]      # the hash passes nulls over: the first two share theirs
+    assert not has_duplicates(spark.createDataFrame(rows, "x string, y string"), ["x", "y"])
+    assert has_duplicates(spark.createDataFrame([*rows, (None, "a")], "x string, y string"), ["x", "y"])
+    compared.clear()
+    assert not has_duplicates(spark.createDataFrame([("a", "b"), ("b", "a")], "x string, y string"), ["x", "y"])
+    assert compared == [["_h"]]
+
+
+def test_fields_are_counted_by_tabs(spark):
+    from seriesmart.sources import count_skipped, parse_lines
+    lines = spark.createDataFrame([(x,) for x in ("a\tb\tc", " a \tb\t", "a\tb", "", " \t \t ", "\ta\t b \t", None, "é\té \t-")], "value string")
+    assert tuple(count_skipped(lines, 3).first()) == (4, 1)
+    assert tuple(count_skipped(lines, 1).first()) == (5, 0)
+    got = sorted((tuple(r) for r in parse_lines(lines, ["x", "y", "z"]).collect()), key=repr)
+    assert got == sorted([("a", "b", "c"), ("a", "b", None), (None, "a", "b"), ("é", "é", None)], key=repr)
