@@ -249,8 +249,8 @@ def _texts(plain: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
     candidates = bounded(candidates.select(F.col("first").alias("id"), F.col("key").alias("own_key"), "v", "set_id"))
     wanted = plain.withColumn("key", _key("text")).join(candidates, own)
     # Texts whose keys collide: only those with the class's own set.
-    checked = map_column(wanted.select("v", "set_id", "text"), "text", "got binary", lambda texts: {
-        "got": [_set_id(hashed(words_of(t), k)) for t in texts]}, keep=True)
+    checked = map_column(wanted.select("v", "set_id", "text"), "text", "got binary, text string", lambda texts: {
+        "got": [_set_id(hashed(words_of(t), k)) for t in texts], "text": texts})
     return checked.filter("got = set_id").select("v", "text")
 
 
