@@ -23,13 +23,20 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def kept_here(c: Column | str) -> Column:
+    """The value by an expression that isn't deterministic: filters above stay above, where they test the column
+    made here; pushed below, they would make it anew for each of its uses in them."""
+    return F.when(F.spark_partition_id() >= 0, _c(c))
+
+
 def clean_text(c: Column | str) -> Column:
     """Trim white space on both sides, Unicode-aware (F.trim keeps \\r, \\t, NBSP).
 
     Most fields start and end with a visible ASCII character; they are passed
     through, as ``btrim`` compares character by character with the whole set."""
     c = _c(c)
-    visible = F.ascii(c).between(33, 126) & F.ascii(F.substring(c, -1, 1)).between(33, 126)
+    last = F.substring(c, -1, 1)
+    visible = (c >= "!") & (c < "\x7f") & (last >= "!") & (last < "\x7f")    # bytes are compared
     return F.when(visible, c).otherwise(F.btrim(c, F.lit(WHITESPACE)))
 
 
@@ -39,7 +46,7 @@ def is_blank(c: Column | str) -> Column:
     Most lines start with a visible character, so that is tested first and
     the trimmed copy is only made for the rest."""
     c = _c(c)
-    return F.when(F.ascii(c).between(33, 126), F.lit(False)).otherwise(clean_text(c) == "")
+    return F.when((c >= "!") & (c < "\x7f"), F.lit(False)).otherwise(F.btrim(c, F.lit(WHITESPACE)) == "")
 
 
 def strip_nul(c: Column | str) -> Column:

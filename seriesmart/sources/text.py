@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import cast_value
-from ..functions.text import DEFAULT_NULL_TOKENS, WHITESPACE, clean_field, clean_text, is_blank, null_if_token, strip_nul
+from ..functions.text import DEFAULT_NULL_TOKENS, WHITESPACE, clean_field, clean_text, is_blank, kept_here, null_if_token, strip_nul
 from .heads import file_heads, misnamed, streamed_lines, without_headers
 
 FACT_COLUMNS = ("series_id", "year", "period", "value", "footnote_codes")
@@ -78,12 +78,12 @@ def _flags(lines: DataFrame, n: int, strip_nul_bytes: bool, header_field: str |
     where that many fields end)."""
     v = F.col("value")
     if strip_nul_bytes:
-        v = strip_nul(v)
+        lines = lines.select(kept_here(strip_nul(v)).alias("value"), *keep)
     real = ~is_blank(v)
     if header_field:
         real = real & (clean_text(F.substring_index(v, "\t", 1)) != header_field)
     full = F.substring_index(v, "\t", n - 1) != v if n > 1 else v.isNotNull()
-    return lines.select(v.alias("value"), real.alias("_real"), full.alias("_full"), *keep)
+    return lines.select("value", real.alias("_real"), full.alias("_full"), *keep)
 
 
 def parse_lines(lines: DataFrame, columns: Sequence[str], min_fields: int | None = None,
@@ -117,9 +117,11 @@ def parse_lines(lines: DataFrame, columns: Sequence[str], min_fields: int | None
                                   F.count_if(real & ~full).cast("bigint").alias("skipped"),
                                   F.count_if(F.contains("value", F.lit("\ufffd"))).cast("bigint").alias("replaced"))
     ok = flagged.filter(F.col("_real") & F.col("_full"))
-    parts = ok.select(F.split("value", "\t", len(columns) + 1).alias("_p"), *keep)
-    trimmed = parts.select(*[clean_text(F.try_element_at("_p", F.lit(i + 1))).alias(c)
-                             for i, c in enumerate(columns)], *keep)
+    parts = ok.select(kept_here(F.split("value", "\t", len(columns) + 1)).alias("_p"), *keep)
+    # a step of its own: else each use of a field in the code that trims it takes it out of the line again, and
+    # with a few columns the generated method is too long (8,000 bytes) for the JVM to compile
+    fields = parts.select(*[F.try_element_at("_p", F.lit(i + 1)).alias(c) for i, c in enumerate(columns)], *keep)
+    trimmed = fields.select(*[clean_text(c).alias(c) for c in columns], *keep)
     return trimmed.select(*[null_if_token(c, tokens).alias(c) for c in columns], *keep)
 
 
@@ -190,12 +192,12 @@ def read_dimension(spark: SparkSession, paths, key_col: int = 0, name_col: int =
     the last line wins for a repeated code.
     """
     lines = read_lines(spark, paths, with_order=True, header=lambda line: F.contains(line, F.lit("\t")))
-    lines = lines.withColumn("value", strip_nul("value"))
+    lines = lines.withColumn("value", kept_here(strip_nul("value")))
     parts = F.split(F.col("value"), "\t", max(key_col, name_col) + 2)
-    code = clean_text(F.try_element_at(parts, F.lit(key_col + 1)))
-    name = clean_field(F.try_element_at(parts, F.lit(name_col + 1)), null_tokens)
-    rows = (lines.filter(~is_blank("value"))
-            .select(code.alias("code"), name.alias("name"), LINE)
+    # fields, then trimmed ones, as in ``parse_lines``
+    fields = lines.filter(~is_blank("value")).select(kept_here(parts).alias("_p"), LINE).select(
+        F.try_element_at("_p", F.lit(key_col + 1)).alias("code"), F.try_element_at("_p", F.lit(name_col + 1)).alias("name"), LINE)
+    rows = (fields.select(clean_text("code").alias("code"), clean_field("name", null_tokens).alias("name"), LINE)
             .filter(F.col("code").isNotNull() & (F.col("code") != "")))
     return latest_by_line(rows, "code", ["name"])
 

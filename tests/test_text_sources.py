@@ -216,3 +216,50 @@ def test_first_lines_where_files_cannot_be_opened(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(heads, "_opened", lambda *_: unread)
     got = heads.file_heads(spark, str(tmp_path / "in")).collect()
     assert sorted((r.line, r.packed) for r in got) == [(f"line {i} 0", False) for i in range(3)]
+
+
+def test_filters_stay_above_parsed_fields(spark, tmp_path):
+    """What a join asks of a field (that it is not null) isn't pushed below the step that takes the line apart."""
+    from seriesmart.sources import read_dimension, read_series
+    write = lambda name, text: (tmp_path / name).write_text(text) and str(tmp_path / name)
+    series = read_series(spark, write("s", "series_id\ta\n A \t1\nB\t-\n \t2\n\x00\n"), ["series_id", "a"])
+    dim = read_dimension(spark, write("d", "code\tname\n1\tone\n 2\t two \n-\t-\n"))
+    for read, key, want in ((series, "series_id", [("A", "1"), ("B", None)]), (dim, "code", [("-", None), ("1", "one"), ("2", "two")])):
+        got = read.filter(F.col(key).isNotNull())
+        assert sorted(tuple(r) for r in got.collect()) == want
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("split(") == 1
+        assert not [x for x in plan.splitlines() if "Filter" in x and "split(" in x]
+
+
+def test_series_scan_is_compiled(spark, tmp_path):
+    """The generated code of a series file's scan stays below the length (8,000 bytes) beyond which the JVM interprets it."""
+    import contextlib
+    import io
+    import re
+
+    from seriesmart.plans.specs import DATASETS
+    from seriesmart.sources import read_series
+    for spec in DATASETS.values():
+        columns = list(spec.series_columns)
+        path = tmp_path / spec.key
+        path.write_text("\t".join(columns) + "\n" + "\t".join("x" for _ in columns) + "\n")
+        rows = read_series(spark, str(path), columns).filter(F.col("series_id").isNotNull())
+        shown = io.StringIO()
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            with contextlib.redirect_stdout(shown):
+                rows.explain("codegen")
+        finally:
+            spark.conf.unset("spark.sql.adaptive.enabled")
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", shown.getvalue())]
+        assert sizes and max(sizes) < 8000, (spec.key, sizes)
+
+
+def test_visible_ends_are_told_by_bytes(spark):
+    from seriesmart.functions.text import clean_text, is_blank
+    texts = ["", " ", "!", "~", " ~", "\x7f", "\x7fa", "a\x7f", "\x1fa\x1f", "\x20a", "a\xa0", "　a", "é", "aé", "éa", "\U0001f600", "a\x85", "\ta\r", "\xa0", None]
+    got = spark.createDataFrame([(x,) for x in texts], "v string").select("v", clean_text("v").alias("c"), is_blank("v").alias("b")).collect()
+    for r in got:
+        assert r["c"] == (None if r["v"] is None else r["v"].strip())
+        assert r["b"] == (None if r["v"] is None else not r["v"].strip())
