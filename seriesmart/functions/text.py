@@ -29,14 +29,19 @@ def kept_here(c: Column | str) -> Column:
     return F.when(F.spark_partition_id() >= 0, _c(c))
 
 
+def first_visible(c: Column) -> Column:
+    """Whether a text starts with a visible ASCII character (strings are compared by their bytes)."""
+    return (c >= "!") & (c < "\x7f")
+
+
 def clean_text(c: Column | str) -> Column:
     """Trim white space on both sides, Unicode-aware (F.trim keeps \\r, \\t, NBSP).
 
     Most fields start and end with a visible ASCII character; they are passed
     through, as ``btrim`` compares character by character with the whole set."""
     c = _c(c)
-    last = F.substring(c, -1, 1)
-    visible = (c >= "!") & (c < "\x7f") & (last >= "!") & (last < "\x7f")    # bytes are compared
+    last = F.substring(c.cast("binary"), -1, 1)      # of bytes: characters would be counted from the start
+    visible = first_visible(c) & (last >= F.lit(b"!")) & (last <= F.lit(b"~"))
     return F.when(visible, c).otherwise(F.btrim(c, F.lit(WHITESPACE)))
 
 
@@ -46,13 +51,13 @@ def is_blank(c: Column | str) -> Column:
     Most lines start with a visible character, so that is tested first and
     the trimmed copy is only made for the rest."""
     c = _c(c)
-    return F.when((c >= "!") & (c < "\x7f"), F.lit(False)).otherwise(F.btrim(c, F.lit(WHITESPACE)) == "")
+    return F.when(first_visible(c), F.lit(False)).otherwise(F.btrim(c, F.lit(WHITESPACE)) == "")
 
 
 def strip_nul(c: Column | str) -> Column:
     """Remove NUL bytes; text without one is passed through without a copy."""
     c = _c(c)
-    return F.when(F.instr(c, "\x00") > 0, F.translate(c, "\x00", "")).otherwise(c)
+    return F.when(F.contains(c, F.lit("\x00")), F.translate(c, "\x00", "")).otherwise(c)
 
 
 def strip_quotes(c: Column | str) -> Column:

@@ -40,9 +40,9 @@ def not_null(c: str) -> Column:
 
 
 def longer_than(c: str, n: int) -> Column:
-    """VARCHAR(n) violation: longer than n after right-trimming blanks (the
-    trim only runs for the rare value that is longer than n as it is)."""
-    return (F.length(F.col(c)) > n) & (F.length(F.rtrim(F.col(c))) > n)
+    """VARCHAR(n) violation: longer than n after right-trimming blanks (characters are counted
+    only where there are more than n bytes, the trim only runs for the rare value that is longer than n as it is)."""
+    return (F.octet_length(F.col(c)) > n) & (F.length(F.col(c)) > n) & (F.length(F.rtrim(F.col(c))) > n)
 
 
 def out_of_range(c: str, precision: int, scale: int) -> Column:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import cast_value
-from ..functions.text import DEFAULT_NULL_TOKENS, WHITESPACE, clean_field, clean_text, is_blank, kept_here, null_if_token, strip_nul
+from ..functions.text import DEFAULT_NULL_TOKENS, WHITESPACE, clean_field, clean_text, first_visible, is_blank, kept_here, null_if_token, strip_nul
 from .heads import file_heads, misnamed, streamed_lines, without_headers
 
 FACT_COLUMNS = ("series_id", "year", "period", "value", "footnote_codes")
@@ -68,7 +68,11 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], with_order: bool
 
 def starts_with(prefix: str) -> Callable[[Column], Column]:
     """A header test: the line, without NUL bytes and leading white space, starts with ``prefix``."""
-    return lambda line: F.startswith(F.ltrim(strip_nul(line), F.lit(WHITESPACE)), F.lit(prefix))
+    def test(line: Column) -> Column:
+        line = strip_nul(line)
+        return F.startswith(F.when(first_visible(line), line).otherwise(F.ltrim(line, F.lit(WHITESPACE))), F.lit(prefix))
+
+    return test
 
 
 def _flags(lines: DataFrame, n: int, strip_nul_bytes: bool, header_field: str | None,
